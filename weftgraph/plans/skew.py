@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A key below this share of the rows is never a problem for one of ~1000 executors.
@@ -59,12 +59,15 @@ def find_hot(df: DataFrame, columns: Sequence[str], limit: int | None = None) ->
     """Keys of ``df`` with more than ``limit`` rows that also hold at least ``SUPPORT`` of all rows.
 
     Both passes read the key columns only and shuffle no rows: the first is a frequent-items sketch
-    without false negatives, the second counts its candidates.
+    without false negatives, the second counts its candidates. The second is left out where the whole
+    input is no larger than ``limit``.
     """
     limit = limit or rows_per_split(df.sparkSession)
     keyed = df.select(F.xxhash64(*columns).alias("k"))
-    candidates = keyed.freqItems(["k"], SUPPORT).first()[0]
-    if not candidates:
+    seen = Observation()
+    counted = keyed.observe(seen, F.count(F.lit(1)).alias("rows"))
+    candidates = counted.freqItems(["k"], SUPPORT).first()[0]
+    if not candidates or seen.get["rows"] <= limit:
         return HotKeys(tuple(columns))
     heavy = (
         keyed.filter(F.col("k").isin(*candidates))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from weftgraph.operators import graph
 from weftgraph.plans import skew
 from weftgraph.queries.registry import query, table
+from weftgraph.session import stage_table
 
 INTEGRATION = "Matillion"
 
@@ -64,31 +65,42 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def access(spark: SparkSession, sf_dir: str, flag: str, line: int) -> DataFrame:
-    """Distinct (job, table_name) of one access mode; repeats vanish before names are looked up."""
+def access(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct (job, table_name, mode); repeats vanish before names are looked up."""
+    flag, line = F.col("l_returnflag"), F.col("l_linenumber")
     touched = (
         table(spark, sf_dir, "lineitem")
-        .filter((F.col("l_returnflag") == flag) & (F.col("l_linenumber") == line))
-        .select("l_suppkey", "l_partkey")
+        .filter(((flag == "A") & (line == 1)) | ((flag == "R") & (line == 2)))
+        .select("l_suppkey", "l_partkey", F.when(flag == "A", "W").otherwise("R").alias("mode"))
         .distinct()
     )
     return touched.join(jobs(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey")).select(
-        "job", F.concat(F.lit("t_"), F.col("l_partkey")).alias("table_name")
+        "job", F.concat(F.lit("t_"), F.col("l_partkey")).alias("table_name"), "mode"
     )
 
 
+def side(access_rows: DataFrame, mode: str) -> DataFrame:
+    return access_rows.filter(F.col("mode") == mode).select("job", "table_name")
+
+
 def writes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return access(spark, sf_dir, "A", 1)
+    return side(access(spark, sf_dir), "W")
 
 
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return access(spark, sf_dir, "R", 2)
+    return side(access(spark, sf_dir), "R")
+
+
+def staged_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Writes and reads from one written access table: line items are scanned and reduced once."""
+    rows = stage_table(access(spark, sf_dir), "access")
+    return side(rows, "W"), side(rows, "R")
 
 
 def lake_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One Pipeline node per nation, one Job node per supplier with its table and job dependencies."""
     job_rows = jobs(spark, sf_dir)
-    w, r = writes(spark, sf_dir), reads(spark, sf_dir)
+    w, r = staged_sides(spark, sf_dir)
     hot_w, hot_r = skew.find_hot(w, graph.TABLE), skew.find_hot(r, graph.TABLE)
     name = F.lit(INTEGRATION)
 
@@ -178,7 +190,7 @@ def source_url(flow):
 
 @query("flagship", EDGES_SQL + "SELECT src_kind, src, dst_kind, dst, table_name FROM edges")
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.job_edges(writes(spark, sf_dir), reads(spark, sf_dir))
+    return graph.job_edges(*staged_sides(spark, sf_dir))
 
 
 def _index(access_rows: DataFrame) -> DataFrame:
@@ -218,7 +230,7 @@ def join_external_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("join_handoff_edges", f"WITH {ACCESS_SQL} SELECT producer, consumer, table_name FROM handoff")
 def join_handoff_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w, r = writes(spark, sf_dir), reads(spark, sf_dir)
+    w, r = staged_sides(spark, sf_dir)
     return graph.handoffs(
         w, r, skew.find_hot(w, graph.TABLE), skew.find_hot(r, graph.TABLE)
     ).select("producer", "consumer", "table_name")
