@@ -48,6 +48,11 @@ TARGET = (
     rf"|INSERT\s+(?:OVERWRITE\s+)?INTO\s+(?:TABLE\s+)?|MERGE\s+INTO\s+)({DOTTED})"
 )
 
+#: Every table a statement writes to, for the list of all tables it names.
+ANY_TARGET = TARGET.replace(
+    r"|MERGE\s+INTO\s+)", r"|MERGE\s+INTO\s+|UPDATE\s+|DELETE\s+FROM\s+|TRUNCATE\s+TABLE\s+)"
+)
+
 
 # -- preparation -------------------------------------------------------------------------------
 
@@ -180,10 +185,18 @@ def _first_statement(df: DataFrame, sql: Column) -> DataFrame:
 
 
 def with_qualified_refs(df: DataFrame, sql: str, out: str) -> DataFrame:
-    """Every table the first statement reads, qualifiers and case kept, CTE references included."""
+    """Every table the first statement names, qualifiers and case kept, CTE references included."""
     df = _first_statement(df, fill_placeholders(F.col(sql)))
-    df = df.withColumn("_names", dotted_names(from_bodies(F.col("_frag"))))
-    names = _distinct(F.transform("_names", full_name))
+    written = F.filter(
+        F.transform("_frag", lambda f: F.regexp_extract(f, ANY_TARGET, 1)), lambda t: t != ""
+    )
+    using = F.filter(
+        F.transform("_frag", lambda f: F.regexp_extract(f, USING_BODY, 1)), lambda u: u != ""
+    )
+    df = df.withColumn(
+        "_names", F.concat(dotted_names(F.concat(from_bodies(F.col("_frag")), using)), written)
+    )
+    names = _distinct(F.transform(F.transform("_names", lambda n: F.regexp_replace(n, r"\s+", "")), full_name))
     return df.withColumn(out, F.coalesce(names, _empty())).drop("_frag", "_names")
 
 

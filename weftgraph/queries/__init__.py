@@ -1,6 +1,6 @@
 """Driver queries over the given tables; importing this package registers all of them."""
 
-from weftgraph.queries import components, lineage  # noqa: F401
+from weftgraph.queries import components, lineage, sqltext  # noqa: F401
 from weftgraph.queries.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
