@@ -23,16 +23,32 @@ def _literal(node: ast.AST) -> str | None:
     return None
 
 
+# Nodes and fields below which no string can be.
+_LEAVES = (ast.Pass, ast.Import, ast.ImportFrom, ast.Global, ast.Nonlocal)
+_BARE_FIELDS = frozenset({"ctx", "op", "ops", "kind", "type_comment"})
+
+
+def _children(node: ast.AST) -> list[ast.AST]:
+    found: list[ast.AST] = []
+    for name in node._fields:
+        if name not in _BARE_FIELDS:
+            value = getattr(node, name, None)
+            found.extend(value if isinstance(value, list) else (value,))
+    return [v for v in found if isinstance(v, ast.AST) and not isinstance(v, _LEAVES)]
+
+
 def literals(source: str) -> Iterator[tuple[int, str]]:
     """(line, text) in source order. What is inside an f-string is not looked at on its own."""
     todo: list[ast.AST] = [ast.parse(source)]
     while todo:
         node = todo.pop()
-        text = _literal(node)
-        if text is not None:
-            yield node.lineno, text
-        if not isinstance(node, ast.JoinedStr):
-            todo.extend(reversed(list(ast.iter_child_nodes(node))))
+        kind = node.__class__
+        if kind is ast.Constant or kind is ast.JoinedStr:
+            text = _literal(node)
+            if text is not None:
+                yield node.lineno, text
+        elif kind is not ast.Name:
+            todo.extend(_children(node)[::-1])
 
 
 def _extract(source: str | None) -> tuple[bool, str | None, list[tuple[int, str]]]:

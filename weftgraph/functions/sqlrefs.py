@@ -31,13 +31,17 @@ CLAUSE_WORDS = (
     "OFFSET WHEN SET RETURNING FROM SELECT"
 ).split()
 NOT_TABLES = ("lateral", "table", "unnest", "values", "select", "only")
+#: Looked for in the last characters only.
 DANGLING = (
     r"(?i)(?:[=<>+\-/,.(|]|\b(?:SELECT|FROM|WHERE|AND|OR|NOT|ON|BY|JOIN|IN|LIKE|BETWEEN|HAVING))\s*$"
 )
 
 IDENT = r"[\p{L}_$][\p{L}\p{N}_$]*+"
 DOTTED = rf"(?:{IDENT}\s*+\.\s*+(?:\.\s*+)?+)*+{IDENT}"
-FROM_BODY = rf"(?is)(?<![.\w])FROM\b(.*?)(?=(?<![.\w])(?:{'|'.join(CLAUSE_WORDS)})\b|;|$)"
+# Word by word rather than character by character; a dotted word such as ``a.order`` ends nothing.
+FROM_BODY = (
+    rf"(?i)(?<![.\w])FROM\b((?:[^\w;]++|(?!(?:{'|'.join(CLAUSE_WORDS)})\b)[\w.$]++)*+)"
+)
 USING_BODY = r"(?is)\A\s*MERGE\s.*?(?<![.\w])USING\b(.*?)(?=(?<![.\w])ON\b|$)"
 HEADS = r"(?is)\A[\s(]*+(?:SELECT|WITH|INSERT|CREATE|UPDATE|MERGE|DELETE)\b"
 CTE_NAME = rf"(?is)(?:\bWITH(?:\s+RECURSIVE)?\s|,)\s*({IDENT})\s*{HOLE}?\s*AS\s*(?:(?:NOT\s+)?MATERIALIZED\s*)?{HOLE}"
@@ -71,7 +75,7 @@ def encode_quoted(c: Column) -> Column:
 
 def decode_quoted(word: Column) -> Column:
     code = F.regexp_extract(word, r"^q__([0-9A-F]*)__q$", 1)
-    return F.when(word.rlike(r"^q__[0-9A-F]+__q$"), F.decode(F.unhex(code), "UTF-8")).otherwise(word)
+    return F.when(word.startswith("q__"), F.decode(F.unhex(code), "UTF-8")).otherwise(word)
 
 
 def blank(c: Column) -> Column:
@@ -133,13 +137,15 @@ def from_bodies(fragments: Column) -> Column:
     return F.flatten(F.transform(fragments, of))
 
 
+def _squeeze(name: Column) -> Column:
+    return F.translate(name, " \t\r\n", "")
+
+
 def dotted_names(bodies: Column) -> Column:
     """Leading dotted name of each comma or JOIN item; functions and sub-queries have none."""
     items = F.flatten(F.transform(bodies, lambda b: F.split(b, r"(?i),|(?<![.\w])JOIN\b")))
     pattern = rf"(?is)\A\s*({DOTTED})(?!\s*{HOLE})"
-    names = F.transform(
-        items, lambda i: F.regexp_replace(F.regexp_extract(i, pattern, 1), r"\s+", "")
-    )
+    names = F.transform(items, lambda i: _squeeze(F.regexp_extract(i, pattern, 1)))
     return F.filter(names, lambda n: (n != "") & ~F.lower(n).isin(*NOT_TABLES))
 
 
@@ -152,7 +158,7 @@ def full_name(name: Column) -> Column:
 
 
 def bare_name(name: Column) -> Column:
-    return F.lower(F.element_at(_segments(name), -1))
+    return F.lower(decode_quoted(F.substring_index(name, ".", -1)))
 
 
 def cte_names(fragments: Column) -> Column:
@@ -179,7 +185,7 @@ def _first_statement(df: DataFrame, sql: Column) -> DataFrame:
         "_stmt", F.when(whole, F.get(F.split(encode_quoted(F.col("_blank")), ";"), F.lit(0)))
     ).withColumn(
         "_stmt",
-        F.when(F.col("_stmt").rlike(HEADS) & ~F.col("_stmt").rlike(DANGLING), F.col("_stmt")),
+        F.when(F.col("_stmt").rlike(HEADS) & ~F.right(strip(F.col("_stmt")), F.lit(9)).rlike(DANGLING), F.col("_stmt")),
     )
     return df.withColumn("_frag", peel(F.col("_stmt"))).drop("_blank", "_stmt")
 
@@ -196,7 +202,7 @@ def with_qualified_refs(df: DataFrame, sql: str, out: str) -> DataFrame:
     df = df.withColumn(
         "_names", F.concat(dotted_names(F.concat(from_bodies(F.col("_frag")), using)), written)
     )
-    names = _distinct(F.transform(F.transform("_names", lambda n: F.regexp_replace(n, r"\s+", "")), full_name))
+    names = _distinct(F.transform("_names", lambda n: full_name(_squeeze(n))))
     return df.withColumn(out, F.coalesce(names, _empty())).drop("_frag", "_names")
 
 
@@ -223,7 +229,7 @@ def statement_io(statement: Column) -> Column:
     body = F.when(
         merge, F.regexp_replace(statement, r"(?is)(?<![.\w])WHEN\s+(?:NOT\s+)?MATCHED\b.*\z", "")
     ).otherwise(statement)
-    target = bare_name(F.nullif(F.regexp_extract(statement, TARGET, 1), F.lit("")))
+    target = bare_name(F.nullif(_squeeze(F.regexp_extract(statement, TARGET, 1)), F.lit("")))
     return F.struct(target.alias("target"), peel(body).alias("fragments"), merge.alias("merge"))
 
 

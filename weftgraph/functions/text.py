@@ -14,9 +14,17 @@ PROSE_WORDS = (
 MIN_SQL_LENGTH = 15
 
 
+# What counts as whitespace at the ends of a text.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(map(chr, range(0x2000, 0x200B)))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(c: Column) -> Column:
-    """Whitespace of any kind off both ends (``trim`` takes spaces only)."""
-    return F.regexp_replace(c, r"^[\s\x1c-\x1f\x85\p{Z}]++|[\s\x1c-\x1f\x85\p{Z}]++$", "")
+    """Whitespace of any kind off both ends (a plain ``trim`` takes spaces only)."""
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def title_case(c: Column) -> Column:
@@ -65,19 +73,29 @@ def drop_magic(c: Column) -> Column:
     return F.regexp_replace(c, r"(?i)\A%%sql[^\n]*\n?", "")
 
 
+def _holds(value: Column, test) -> Column:
+    """``test(value)`` with ``value`` computed once, however often the test mentions it."""
+    return F.exists(F.array(value), test)
+
+
 def looks_like_sql(c: Column) -> Column:
-    text = F.upper(strip(c))
-    query = text.startswith("SELECT") | (text.startswith("WITH") & text.contains("SELECT"))
+    def test(t: Column) -> Column:
+        query = t.startswith("SELECT") | (t.startswith("WITH") & t.contains("SELECT"))
+        return (F.length(t) >= MIN_SQL_LENGTH) & query & t.contains("FROM")
+
+    # Most strings of a program are shorter than any query: they are not even stripped.
     return F.coalesce(
-        (F.length(strip(c)) >= MIN_SQL_LENGTH) & query & text.contains("FROM"), F.lit(False)
+        (F.length(c) >= MIN_SQL_LENGTH) & _holds(F.upper(strip(c)), test), F.lit(False)
     )
 
 
 def reads_like_prose(c: Column) -> Column:
     """More than two of the prose words occur."""
-    text = F.concat(F.lit(" "), F.upper(strip(c)))
-    hits = sum(text.contains(f" {w}").cast("int") for w in PROSE_WORDS)
-    return hits > 2
+
+    def test(t: Column) -> Column:
+        return sum(t.contains(f" {w}").cast("int") for w in PROSE_WORDS) > 2
+
+    return _holds(F.concat(F.lit(" "), F.upper(strip(c))), test)
 
 
 def call_leaf(path: Column) -> Column:

@@ -9,6 +9,7 @@ from weftgraph.functions import sqlrefs, text
 from weftgraph.functions.pyliterals import python_literals
 from weftgraph.plans import dashboard
 from weftgraph.queries.registry import query, table
+from weftgraph.session import widen
 
 # One template per remainder of the order key; {o} {c} {n} are the order's, customer's and nation's table.
 TEMPLATES = (
@@ -67,9 +68,9 @@ corpus AS (SELECT *, CASE k % 8 {" ".join(f"WHEN {i} THEN {fill_sql(t)}" for i,
 def names(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return (
-        table(spark, sf_dir, "orders")
-        .select("o_orderkey", "o_custkey")
+        widen(orders)
         .join(customer, F.col("c_custkey") == F.col("o_custkey"))
         .join(nation, F.col("n_nationkey") == F.col("c_nationkey"))
         .select(

@@ -59,3 +59,12 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def widen(df: DataFrame) -> DataFrame:
+    """Spread the few splits of a small input over the cores before heavy per-row work.
+
+    Inputs that already have a split per core, as large ones do, are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
