@@ -1,6 +1,14 @@
 """Driver queries over the given tables; importing this package registers all of them."""
 
-from weftgraph.queries import components, lineage, sqltext, usage  # noqa: F401
+from weftgraph.queries import (  # noqa: F401
+    components,
+    docs,
+    lineage,
+    notebooks,
+    pages,
+    sqltext,
+    usage,
+)
 from weftgraph.queries.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
