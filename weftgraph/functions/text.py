@@ -127,7 +127,7 @@ def snippet(c: Column, n: int = 200) -> Column:
 
 def heading(markdown: Column) -> Column:
     """First line that is not empty once ``#`` and blanks are off; null if there is none."""
-    lines = F.split(markdown, r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]")
+    lines = F.split(markdown, r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]")
     bare = F.transform(lines, lambda x: strip(F.ltrim(x, F.lit("#"))))
     return F.get(F.filter(bare, lambda x: x != ""), F.lit(0))
 

@@ -7,6 +7,7 @@ from weftgraph.queries import (  # noqa: F401
     notebooks,
     pages,
     sqltext,
+    streams,
     usage,
 )
 from weftgraph.queries.registry import ORACLES, QUERIES

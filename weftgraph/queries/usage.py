@@ -25,14 +25,17 @@ usage AS (
 
 
 def usage_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return of_events(table(spark, sf_dir, "events"))
+
+
+def of_events(events: DataFrame) -> DataFrame:
     k = F.col("k")
     several = F.transform(
         F.when(k % 5 > 0, F.sequence(F.lit(0), k % 5 - 1)).otherwise(F.array().cast("array<int>")),
         lambda i: F.concat(F.lit("t_"), (k + i * 7) % 100),
     )
     return (
-        table(spark, sf_dir, "events")
-        .withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+        events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
         .select(
             F.concat(F.lit("u"), "user_id").alias("file_path"),
             "ts",
