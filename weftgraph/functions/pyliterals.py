@@ -76,4 +76,5 @@ def python_literals(source: Column) -> Column:
             }
         )
 
-    return extract(source)
+    # Kept from being copied into filters above it, which would run Python once per mention.
+    return extract.asNondeterministic()(source)

@@ -45,4 +45,5 @@ def yaml_documents(text: Column) -> Column:
     def convert(batch: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([to_json(t) for t in batch], columns=["doc", "error"])
 
-    return convert(text)
+    # Kept from being copied into filters above it, which would run Python once per mention.
+    return convert.asNondeterministic()(text)

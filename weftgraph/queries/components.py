@@ -10,6 +10,7 @@ from weftgraph.operators import components as comp
 from weftgraph.operators import graph
 from weftgraph.plans import orchestration
 from weftgraph.queries.registry import query, table
+from weftgraph.session import spread_by
 
 TYPES = (
     "API-Extract-Input-v2", "mongodb-query", "crm-OUTPUT", "run-orchestration", "run-shared-pipeline",
@@ -314,9 +315,11 @@ def yaml_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         line(8, F.lit("orchestrationJob: a/b/f_"), (c("k") % 10).cast("string"), F.lit(".orch.yaml")),
         F.coalesce(line(8, F.lit("sqlScript: "), quoted(c("sql_script"))), F.lit("")),
     )
+    blocks = raw_components(spark, sf_dir).select(
+        "rel_path", F.struct(c("ordinal"), block.alias("text")).alias("c")
+    )
     return (
-        raw_components(spark, sf_dir)
-        .select("rel_path", F.struct(c("ordinal"), block.alias("text")).alias("c"))
+        spread_by(blocks, "rel_path")
         .groupBy("rel_path")
         .agg(F.sort_array(F.collect_list("c")).alias("cs"))
         .select(

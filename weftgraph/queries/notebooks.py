@@ -10,7 +10,7 @@ from weftgraph.operators import cells as cell_ops
 from weftgraph.plans import notebook
 from weftgraph.queries.pages import flat_nodes
 from weftgraph.queries.registry import query, table
-from weftgraph.session import stage_table
+from weftgraph.session import spread_by, stage_table
 
 TURNS = 8
 
@@ -68,13 +68,13 @@ def notebooks(spark: SparkSession, sf_dir: str) -> DataFrame:
     cell = F.concat(
         F.lit('{"cell_type":"'), kind, F.lit('","metadata":'), meta, F.lit(',"source":'), source, F.lit("}")
     )
+    cells = table(spark, sf_dir, "conversations").select(
+        "conv_id",
+        F.floor(c("turn") / TURNS).alias("piece"),
+        F.struct(c("turn"), cell.alias("cell")).alias("x"),
+    )
     return (
-        table(spark, sf_dir, "conversations")
-        .select(
-            "conv_id",
-            F.floor(c("turn") / TURNS).alias("piece"),
-            F.struct(c("turn"), cell.alias("cell")).alias("x"),
-        )
+        spread_by(cells, "conv_id", "piece")
         .groupBy("conv_id", "piece")
         .agg(F.sort_array(F.collect_list("x")).alias("xs"))
         .select(

@@ -9,7 +9,7 @@ from weftgraph.functions import sqlrefs, text
 from weftgraph.functions.pyliterals import python_literals
 from weftgraph.plans import dashboard
 from weftgraph.queries.registry import query, table
-from weftgraph.session import widen
+from weftgraph.session import stage_table, widen
 
 # One template per remainder of the order key; {o} {c} {n} are the order's, customer's and nation's table.
 TEMPLATES = (
@@ -291,6 +291,11 @@ def app_text() -> Column:
     )
 
 
+def stage_extracted(df: DataFrame, name: str) -> DataFrame:
+    """Write what Python read once: queries and markers both start from it."""
+    return stage_table(df, name) if name == "extracted" else df
+
+
 @query(
     "chart_infer",
     f"""WITH {NAMES_SQL}
@@ -307,7 +312,7 @@ def chart_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
     apps = names(spark, sf_dir).select(
         F.concat(F.lit("apps/"), "k", F.lit(".py")).alias("rel_path"), app_text().alias("content")
     )
-    return dashboard.parse(dashboard.discover(apps)).usage.select(
+    return dashboard.parse(dashboard.discover(apps), stage_extracted).usage.select(
         "file_path", "id", "line_number", "chart_type", "chart_name", "chart_caption",
         F.array_join("tables_used", ",").alias("tables"),
     )

@@ -68,3 +68,12 @@ def widen(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def spread_by(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition by the keys of the grouping that follows, which then needs no shuffle of its own.
+
+    A stated number of partitions is not merged for being small in bytes: what comes next is heavy in
+    time.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)

@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from weftgraph.sinks.tables import upsert, write_version
+from weftgraph.sinks.tables import upsert
 
 Convert = Callable[[DataFrame], DataFrame]
 
@@ -29,16 +28,12 @@ def ingest_nodes(
 ) -> None:
     """Run until the input is used up (or as ``trigger`` says).
 
-    Each batch writes the node set after it as version ``<batch id>``, from the version before. A batch
-    that runs again overwrites its own version, so the outcome is the same. Readers take the greatest.
+    Each batch adds the nodes it met as ``batch=<id>``; it never rewrites what was there. A batch that
+    runs again overwrites its own folder, so the outcome is the same.
     """
-    spark = records.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        nodes = convert(batch)
-        before = batch_id - 1
-        existing = spark.read.parquet(f"{root}/version={before:09d}") if before >= 0 else None
-        write_version(upsert(existing, nodes), root, f"{batch_id:09d}")
+        convert(batch).write.mode("overwrite").parquet(f"{root}/batch={batch_id:09d}")
 
     (
         records.writeStream.foreachBatch(write)
@@ -49,10 +44,12 @@ def ingest_nodes(
     )
 
 
-def current_nodes(spark: SparkSession, root: str) -> DataFrame:
-    """The newest version below ``root``. Only this version's folder is read."""
-    versions = spark.read.format("parquet").load(root).select(F.max("version")).first()[0]
-    return spark.read.parquet(f"{root}/version={int(versions):09d}")
+def current_nodes(spark: SparkSession, root: str, published: DataFrame | None = None) -> DataFrame:
+    """The node set after all batches, on top of an already ``published`` one.
+
+    ``sinks.tables.write_version`` publishes the outcome; the batches below ``root`` can then go.
+    """
+    return upsert(published, spark.read.parquet(root).drop("batch"))
 
 
 def distinct_arrivals(records: DataFrame, time: str, keys: list[str], delay: str) -> DataFrame:
