@@ -68,6 +68,25 @@ def test_edges(spark, sides, tight):
     assert handed.join(external, ["job", "table_name"], "left_semi").isEmpty()
 
 
+def test_crowded_tables(spark, sides, tight):
+    """A table with too many pairs stays between its jobs; every path is kept."""
+    w, r = sides
+    pairs = {(a, b) for _, a, _, b, _ in graph.job_edges(w, r).filter("dst_kind = src_kind").collect()}
+    spark.conf.set(skew.PAIRS_PER_TABLE, "500")
+    try:
+        assert [x[0] for x in graph.crowded_tables(w, r).collect()] == ["hot"]
+        edges = graph.job_edges(w, r).collect()
+    finally:
+        spark.conf.unset(skew.PAIRS_PER_TABLE)
+    assert not any(e["table_name"] == "hot" and e["src_kind"] == e["dst_kind"] for e in edges)
+    into = {e["src"] for e in edges if e["dst"] == "hot"}
+    out = {e["dst"] for e in edges if e["src"] == "hot"}
+    assert into == {x["job"] for x in w.filter("table_name = 'hot'").collect()}
+    assert out == {x["job"] for x in r.filter("table_name = 'hot'").collect()}
+    direct = {(e["src"], e["dst"]) for e in edges if e["src_kind"] == e["dst_kind"]}
+    assert direct | {(a, b) for a in into for b in out if a != b} == pairs
+
+
 def test_lists_in_parts(spark, sides, tight):
     w, _ = sides
     hot = skew.find_hot(w, graph.TABLE, skew.items_per_list(spark))
@@ -123,24 +142,26 @@ def lines(spark):
     )
 
 
-def test_block_windows(spark, lines):
+@pytest.mark.parametrize("limit", ["20", "1000000"])
+def test_block_windows(spark, lines, tight, limit):
+    spark.conf.set(skew.ROWS_PER_SPLIT, limit)
     w = Window.partitionBy("f").orderBy("o")
     want = lines.withColumn("n", F.row_number().over(w).cast("long"))
-    got = skew.number_rows(lines, ["f"], ["o"], F.floor(F.col("o") / 40), "n")
+    got = skew.number_rows(lines, ["f"], ["o"], "n")
     assert rows(got.select("f", "o", "n")) == rows(want.select("f", "o", "n"))
 
     numbered = want.withColumn("i", F.col("n") - 1).persist()
     at = Window.partitionBy("f").orderBy("i")
     last = F.last("v", True).over(at.rowsBetween(Window.unboundedPreceding, 0))
-    got = skew.carry_last(numbered, ["f"], "i", F.col("v"), F.floor(F.col("i") / 16), "x")
+    got = skew.carry_last(numbered, ["f"], "i", F.col("v"), "x")
     assert rows(got.select("f", "i", "x")) == rows(numbered.select("f", "i", last))
 
-    for reach in (1, 2, 9, 16):
+    for reach in (1, 2, 9, 20):
         following = F.first("v", True).over(at.rowsBetween(0, reach - 1))
-        got = skew.next_within(numbered, ["f"], "i", F.col("v"), reach, 16, "x")
+        got = skew.next_within(numbered, ["f"], "i", F.col("v"), reach, "x")
         assert rows(got.select("f", "i", "x")) == rows(numbered.select("f", "i", following))
         before = F.last("v", True).over(at.rowsBetween(-(reach - 1), 0))
-        got = skew.last_within(numbered, ["f"], "i", F.col("v"), reach, 16, "x")
+        got = skew.last_within(numbered, ["f"], "i", F.col("v"), reach, "x")
         assert rows(got.select("f", "i", "x")) == rows(numbered.select("f", "i", before))
 
 

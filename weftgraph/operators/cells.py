@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 from weftgraph.functions import text
 from weftgraph.plans import skew
 
-#: Cells of one notebook that are numbered in one task.
-BLOCK = 10_000
-
-
 def language(given: Column) -> Column:
     return F.lower(F.coalesce(given, F.lit("python")))
 
@@ -28,9 +24,7 @@ def title(given: Column, index: Column, lang: Column) -> Column:
 
 def unique_titles(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The k-th cell of equal title gets `` (k)``, in cell order; adds ``unique_title``."""
-    numbered = skew.number_rows(
-        cells, [*keys, "title"], ["cell_index"], F.floor(F.col("cell_index") / BLOCK), "_k"
-    )
+    numbered = skew.number_rows(cells, [*keys, "title"], ["cell_index"], "_k")
     return numbered.withColumn(
         "unique_title",
         F.when(F.col("_k") > 1, F.concat(F.col("title"), F.lit(" ("), F.col("_k"), F.lit(")"))).otherwise(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from weftgraph.plans import skew
 from weftgraph.plans.skew import HotKeys
 from weftgraph.schemas import DEP
+from weftgraph.session import stage_table
 
 TABLE = ("table_name",)
 NOT_HOT = HotKeys(TABLE)
@@ -72,18 +73,50 @@ def external_reads(reads: DataFrame, writes: DataFrame, hot_reads: HotKeys = NOT
     return skew.salted_join(reads, produced, TABLE, "left_anti", hot_reads, ["job"])
 
 
+def crowded_tables(writes: DataFrame, reads: DataFrame) -> DataFrame | None:
+    """Tables whose hand-off would be more pairs than ``pairs_per_table``; None if there are none.
+
+    Pairs grow with the square of a table's users. Such a table stays in the graph between its writers
+    and its readers, which says the same in one edge per access.
+    """
+    spark = writes.sparkSession
+    writers = writes.groupBy("table_name").agg(F.count(F.lit(1)).alias("_w"))
+    readers = reads.groupBy("table_name").agg(F.count(F.lit(1)).alias("_r"))
+    found = (
+        writers.join(readers, "table_name")
+        .filter(F.col("_w").cast("double") * F.col("_r") > skew.pairs_per_table(spark))
+        .select("table_name")
+    )
+    return None if found.isEmpty() else stage_table(found, "crowded")
+
+
+def on_tables(
+    access: DataFrame, tables: DataFrame | None, how: str, hot: HotKeys = NOT_HOT
+) -> DataFrame:
+    """Accesses on (``left_semi``) or off (``left_anti``) the given tables."""
+    if tables is None:
+        return access if how == "left_anti" else access.filter(F.lit(False))
+    return skew.salted_join(access, tables, TABLE, how, hot, ["job"])
+
+
 def handoffs(
     writes: DataFrame,
     reads: DataFrame,
+    crowded: DataFrame | None = None,
     hot_writes: HotKeys = NOT_HOT,
     hot_reads: HotKeys = NOT_HOT,
 ) -> DataFrame:
-    """producer -> consumer for every table that joins two different jobs."""
-    producers = writes.withColumnRenamed("job", "producer")
-    consumers = reads.withColumnRenamed("job", "consumer")
-    return skew.grid_join(
-        producers, consumers, TABLE, hot_writes, hot_reads, ["producer"], ["consumer"]
-    ).filter(F.col("producer") != F.col("consumer"))
+    """producer -> consumer for every table that joins two different jobs, but for ``crowded`` ones.
+
+    Without these no key has more rows, in or out, than ``pairs_per_table``.
+    """
+    producers = on_tables(writes, crowded, "left_anti", hot_writes)
+    consumers = on_tables(reads, crowded, "left_anti", hot_reads)
+    return (
+        producers.withColumnRenamed("job", "producer")
+        .join(consumers.withColumnRenamed("job", "consumer"), list(TABLE))
+        .filter(F.col("producer") != F.col("consumer"))
+    )
 
 
 def external_writes(
@@ -110,34 +143,29 @@ def external_writes(
 def job_edges(writes: DataFrame, reads: DataFrame) -> DataFrame:
     """The collapsed job graph: hand-offs, external inputs, external outputs."""
     hot_w, hot_r = skew.find_hot(writes, TABLE), skew.find_hot(reads, TABLE)
-    job, table = F.lit("job"), F.lit("table")
-    return (
-        handoffs(writes, reads, hot_w, hot_r)
-        .select(
-            job.alias("src_kind"),
-            F.col("producer").alias("src"),
-            job.alias("dst_kind"),
-            F.col("consumer").alias("dst"),
+    crowded = crowded_tables(writes, reads)
+    table_writes = external_writes(writes, reads, hot_w)
+    table_reads = external_reads(reads, writes, hot_r)
+    if crowded is not None:
+        kept_w = on_tables(writes, crowded, "left_semi", hot_w)
+        kept_r = on_tables(reads, crowded, "left_semi", hot_r)
+        table_writes, table_reads = table_writes.unionByName(kept_w), table_reads.unionByName(kept_r)
+
+    def edges(rows: DataFrame, src_kind: str, src: str, dst_kind: str, dst: str) -> DataFrame:
+        return rows.select(
+            F.lit(src_kind).alias("src_kind"),
+            F.col(src).alias("src"),
+            F.lit(dst_kind).alias("dst_kind"),
+            F.col(dst).alias("dst"),
             "table_name",
         )
-        .unionByName(
-            external_writes(writes, reads, hot_w).select(
-                job.alias("src_kind"),
-                F.col("job").alias("src"),
-                table.alias("dst_kind"),
-                F.col("table_name").alias("dst"),
-                "table_name",
-            )
-        )
-        .unionByName(
-            external_reads(reads, writes, hot_r).select(
-                table.alias("src_kind"),
-                F.col("table_name").alias("src"),
-                job.alias("dst_kind"),
-                F.col("job").alias("dst"),
-                "table_name",
-            )
+
+    return (
+        edges(
+            handoffs(writes, reads, crowded, hot_w, hot_r), "job", "producer", "job", "consumer"
         )
+        .unionByName(edges(table_writes, "job", "job", "table", "table_name"))
+        .unionByName(edges(table_reads, "table", "table_name", "job", "job"))
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftgraph.plans import skew
@@ -58,9 +58,9 @@ def usage_summary(usage: DataFrame) -> DataFrame:
     return summary(counted(unnested(usage)))
 
 
-def with_ids(usage: DataFrame, order: list[str], block: Column) -> DataFrame:
-    """``id`` from 1 within each file, in ``order``; ``block`` cuts a huge file into pieces."""
-    return skew.number_rows(usage, ["file_path"], order, block, "id")
+def with_ids(usage: DataFrame, order: list[str]) -> DataFrame:
+    """``id`` from 1 within each file, in ``order``."""
+    return skew.number_rows(usage, ["file_path"], order, "id")
 
 
 def results(usage: DataFrame) -> DataFrame:

@@ -218,6 +218,7 @@ def convert(
     hot_w = skew.find_hot(own_writes, graph.TABLE)
     hot_r = skew.find_hot(reads, graph.TABLE)
 
+    crowded = graph.crowded_tables(writes, reads)
     consumers = reads.select(
         "table_name",
         "job",
@@ -257,7 +258,13 @@ def convert(
         )
         .unionByName(graph.external_reads(own_reads, writes, hot_r).select(*dep("up", table)))
         .unionByName(
-            graph.handoffs(own_writes, consumers, hot_w, hot_r).select(
+            graph.on_tables(own_reads, crowded, "left_semi", hot_r).select(*dep("up", table))
+        )
+        .unionByName(
+            graph.on_tables(own_writes, crowded, "left_semi", hot_w).select(*dep("down", table))
+        )
+        .unionByName(
+            graph.handoffs(own_writes, consumers, crowded, hot_w, hot_r).select(
                 *dep(
                     "down",
                     graph.node_ref(name, F.lit("Job"), F.col("consumer")),

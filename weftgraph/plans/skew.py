@@ -5,10 +5,11 @@ and leaves the result exactly what the plain operator gives:
 
 * ``find_hot`` names the heavy keys with one map-side sketch pass (at most ``1 / SUPPORT`` of them, so
   the literal map it yields is of bounded size) and an exact count of just these candidates;
-* ``salted_join`` / ``grid_join`` spread the rows of heavy keys and repeat the other side per piece;
+* ``salted_join`` spreads the rows of heavy keys and repeats the other side per piece;
 * ``collect_parts`` builds bounded lists instead of one list per key;
-* ``number_rows`` / ``carry_last`` / ``next_within`` are row_number, last-value-so-far and next-value
-  windows cut into blocks of the order key, with what crosses a block border carried over.
+* ``number_rows`` / ``carry_last`` / ``next_within`` / ``last_within`` are row_number, last-value-so-far
+  and bounded-frame windows. Without heavy keys they are the plain window; with them the window is cut
+  into blocks along the order, and what crosses a block border is carried over.
 """
 
 from __future__ import annotations
@@ -19,11 +20,14 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from weftgraph.session import stage_table
+
 #: A key below this share of the rows is never a problem for one of ~1000 executors.
 SUPPORT = 0.001
 
 ROWS_PER_SPLIT = "spark.weftgraph.rowsPerSplit"
 ITEMS_PER_LIST = "spark.weftgraph.itemsPerList"
+PAIRS_PER_TABLE = "spark.weftgraph.pairsPerTable"
 
 
 def rows_per_split(spark: SparkSession) -> int:
@@ -36,6 +40,11 @@ def items_per_list(spark: SparkSession) -> int:
     return int(spark.conf.get(ITEMS_PER_LIST, "100000"))
 
 
+def pairs_per_table(spark: SparkSession) -> int:
+    """Direct job-to-job edges that one table may stand for."""
+    return int(spark.conf.get(PAIRS_PER_TABLE, "10000000"))
+
+
 @dataclass(frozen=True)
 class HotKeys:
     """Heavy values of ``columns`` as hash -> number of pieces."""
@@ -107,27 +116,6 @@ def salted_join(
     return left.join(right, [*keys, "_piece"], how).drop("_piece")
 
 
-def grid_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    hot_left: HotKeys,
-    hot_right: HotKeys,
-    spread_left: Sequence[str],
-    spread_right: Sequence[str],
-) -> DataFrame:
-    """Inner equi-join where a key may be heavy on both sides: its product is cut into a grid."""
-    if not hot_left and not hot_right:
-        return left.join(right, list(keys))
-    left = left.withColumn("_row", _piece(spread_left, hot_left.count(keys))).withColumn(
-        "_column", _pieces(hot_right.count(keys))
-    )
-    right = right.withColumn("_column", _piece(spread_right, hot_right.count(keys))).withColumn(
-        "_row", _pieces(hot_left.count(keys))
-    )
-    return left.join(right, [*keys, "_row", "_column"]).drop("_row", "_column")
-
-
 def collect_parts(
     df: DataFrame, keys: Sequence[str], item: Column, out: str, hot: HotKeys, spread: Sequence[str]
 ) -> DataFrame:
@@ -143,11 +131,23 @@ def _carry_join(df: DataFrame, carried: DataFrame, keys: Sequence[str]) -> DataF
     return df.join(carried, [*keys, "_block"], "left").drop("_block")
 
 
-def number_rows(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column, out: str
-) -> DataFrame:
-    """1-based position within ``keys``; ``block`` must not decrease along ``order``."""
-    df = df.withColumn("_block", block)
+def _in_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Adds ``_block``: equal shares of the rows in key and order, whatever their values.
+
+    Range bounds come from a sample, so the table is written before anything depends on them: a lost
+    executor re-reads the same blocks.
+    """
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.repartitionByRange(ranges, *keys, *order)
+    return stage_table(placed.withColumn("_block", F.spark_partition_id()), "ranges")
+
+
+def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str) -> DataFrame:
+    """1-based position within ``keys`` along ``order``, which must tell rows apart."""
+    if not find_hot(df, keys):
+        plain = Window.partitionBy(*keys).orderBy(*order)
+        return df.withColumn(out, F.row_number().over(plain).cast("long"))
+    df = _in_ranges(df, keys, order)
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         df.groupBy(*keys, "_block")
@@ -163,11 +163,20 @@ def number_rows(
     )
 
 
+def _block_of(df: DataFrame, position: str) -> Column:
+    """Positions are dense, so equal stretches of them are equal shares of rows."""
+    return F.floor(F.col(position) / rows_per_split(df.sparkSession))
+
+
 def carry_last(
-    df: DataFrame, keys: Sequence[str], position: str, value: Column, block: Column, out: str
+    df: DataFrame, keys: Sequence[str], position: str, value: Column, out: str
 ) -> DataFrame:
-    """Last non-null ``value`` at or before the row, along ``position`` within ``keys``."""
-    df = df.withColumn("_block", block).withColumn("_value", value)
+    """Last non-null ``value`` at or before the row, along the dense ``position`` within ``keys``."""
+    up_to = (Window.unboundedPreceding, Window.currentRow)
+    if not find_hot(df, keys):
+        plain = Window.partitionBy(*keys).orderBy(position).rowsBetween(*up_to)
+        return df.withColumn(out, F.last(value, True).over(plain))
+    df = df.withColumn("_block", _block_of(df, position)).withColumn("_value", value)
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     seen = F.when(F.col("_value").isNotNull(), F.col(position))
     carried = (
@@ -175,11 +184,7 @@ def carry_last(
         .agg(F.max_by("_value", seen).alias("_last"))
         .select(*keys, "_block", F.last("_last", True).over(before).alias("_carried"))
     )
-    within = (
-        Window.partitionBy(*keys, "_block")
-        .orderBy(position)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    within = Window.partitionBy(*keys, "_block").orderBy(position).rowsBetween(*up_to)
     return (
         _carry_join(df.withColumn("_seen", F.last("_value", True).over(within)), carried, keys)
         .withColumn(out, F.coalesce("_seen", "_carried"))
@@ -187,53 +192,51 @@ def carry_last(
     )
 
 
-def next_within(
+def _in_frame(
     df: DataFrame,
     keys: Sequence[str],
     position: str,
     value: Column,
-    reach: int,
-    block_size: int,
+    frame: tuple[int, int],
+    pick,
     out: str,
 ) -> DataFrame:
-    """First non-null ``value`` on positions ``p .. p + reach - 1``.
+    """``pick(value)`` over the positions ``p + frame[0] .. p + frame[1]``, one end of which is 0.
 
-    Rows with a value near the start of a block are shown to the block before as well, so that every
-    frame is whole inside its block.
+    Rows with a value near a block border are shown to the neighbour block as well, so that every frame
+    is whole inside its block.
     """
-    block = F.floor(F.col(position) / block_size)
-    df = df.withColumn("_value", value).withColumn("_block", block)
-    halo = df.filter(
-        F.col("_value").isNotNull() & (F.col(position) % block_size < reach - 1)
-    ).withColumn("_block", F.col("_block") - 1)
+    if not find_hot(df, keys):
+        plain = Window.partitionBy(*keys).orderBy(position).rangeBetween(*frame)
+        return df.withColumn(out, pick(value).over(plain))
+    size = rows_per_split(df.sparkSession)
+    if max(map(abs, frame)) >= size:
+        raise ValueError("the frame is longer than a block")
+    df = df.withColumn("_value", value).withColumn("_block", _block_of(df, position))
+    inside = F.col(position) % size
+    ahead = frame[1] > 0
+    near = inside < frame[1] if ahead else inside >= size + frame[0]
+    halo = df.filter(F.col("_value").isNotNull() & near).withColumn(
+        "_block", F.col("_block") + (-1 if ahead else 1)
+    )
     rows = df.withColumn("_own", F.lit(True)).unionByName(halo.withColumn("_own", F.lit(False)))
-    frame = Window.partitionBy(*keys, "_block").orderBy(position).rangeBetween(0, reach - 1)
+    within = Window.partitionBy(*keys, "_block").orderBy(position).rangeBetween(*frame)
     return (
-        rows.withColumn(out, F.first("_value", True).over(frame))
+        rows.withColumn(out, pick(F.col("_value")).over(within))
         .filter("_own")
         .drop("_own", "_block", "_value")
     )
 
 
+def next_within(
+    df: DataFrame, keys: Sequence[str], position: str, value: Column, reach: int, out: str
+) -> DataFrame:
+    """First non-null ``value`` on positions ``p .. p + reach - 1``."""
+    return _in_frame(df, keys, position, value, (0, reach - 1), lambda v: F.first(v, True), out)
+
+
 def last_within(
-    df: DataFrame,
-    keys: Sequence[str],
-    position: str,
-    value: Column,
-    reach: int,
-    block_size: int,
-    out: str,
+    df: DataFrame, keys: Sequence[str], position: str, value: Column, reach: int, out: str
 ) -> DataFrame:
-    """Last non-null ``value`` on positions ``p - reach + 1 .. p``; the mirror of ``next_within``."""
-    block = F.floor(F.col(position) / block_size)
-    df = df.withColumn("_value", value).withColumn("_block", block)
-    halo = df.filter(
-        F.col("_value").isNotNull() & (F.col(position) % block_size >= block_size - reach + 1)
-    ).withColumn("_block", F.col("_block") + 1)
-    rows = df.withColumn("_own", F.lit(True)).unionByName(halo.withColumn("_own", F.lit(False)))
-    frame = Window.partitionBy(*keys, "_block").orderBy(position).rangeBetween(-(reach - 1), 0)
-    return (
-        rows.withColumn(out, F.last("_value", True).over(frame))
-        .filter("_own")
-        .drop("_own", "_block", "_value")
-    )
+    """Last non-null ``value`` on positions ``p - reach + 1 .. p``."""
+    return _in_frame(df, keys, position, value, (-(reach - 1), 0), lambda v: F.last(v, True), out)

@@ -1,4 +1,5 @@
-"""The lineage lake: suppliers are jobs of their nation's flow, parts are tables, line items accesses."""
+"""The lineage lake: suppliers are jobs of their nation's flow, a part on a line number is a table, and
+line items are accesses: returned ones (A) write, refused ones (R) read."""
 
 from __future__ import annotations
 
@@ -16,10 +17,10 @@ INTEGRATION = "Matillion"
 
 ACCESS_SQL = """
 access AS (
-  SELECT DISTINCT n_name || '.' || s_name AS job, n_name AS flow, 't_' || l_partkey AS table_name,
+  SELECT DISTINCT n_name || '.' || s_name AS job, n_name AS flow, 't_' || l_partkey || '_' || l_linenumber AS table_name,
          CASE WHEN l_returnflag = 'A' THEN 'W' ELSE 'R' END AS mode
   FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey
-  WHERE (l_returnflag = 'A' AND l_linenumber = 1) OR (l_returnflag = 'R' AND l_linenumber = 2)),
+  WHERE l_returnflag IN ('A', 'R')),
 w AS (SELECT job, table_name FROM access WHERE mode = 'W'),
 r AS (SELECT job, table_name FROM access WHERE mode = 'R'),
 handoff AS (SELECT w.job AS producer, r.job AS consumer, table_name
@@ -67,15 +68,22 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def access(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct (job, table_name, mode); repeats vanish before names are looked up."""
-    flag, line = F.col("l_returnflag"), F.col("l_linenumber")
+    flag = F.col("l_returnflag")
     touched = (
         table(spark, sf_dir, "lineitem")
-        .filter(((flag == "A") & (line == 1)) | ((flag == "R") & (line == 2)))
-        .select("l_suppkey", "l_partkey", F.when(flag == "A", "W").otherwise("R").alias("mode"))
+        .filter(flag.isin("A", "R"))
+        .select(
+            "l_suppkey",
+            "l_partkey",
+            "l_linenumber",
+            F.when(flag == "A", "W").otherwise("R").alias("mode"),
+        )
         .distinct()
     )
     return touched.join(jobs(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey")).select(
-        "job", F.concat(F.lit("t_"), F.col("l_partkey")).alias("table_name"), "mode"
+        "job",
+        F.concat_ws("_", F.lit("t"), "l_partkey", "l_linenumber").alias("table_name"),
+        "mode",
     )
 
 
@@ -102,6 +110,13 @@ def lake_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     job_rows = jobs(spark, sf_dir)
     w, r = staged_sides(spark, sf_dir)
     hot_w, hot_r = skew.find_hot(w, graph.TABLE), skew.find_hot(r, graph.TABLE)
+    crowded = graph.crowded_tables(w, r)
+    table_reads = graph.external_reads(r, w, hot_r).unionByName(
+        graph.on_tables(r, crowded, "left_semi", hot_r)
+    )
+    table_writes = graph.external_writes(w, r, hot_w).unionByName(
+        graph.on_tables(w, crowded, "left_semi", hot_w)
+    )
     name = F.lit(INTEGRATION)
 
     def rank(slot: int, *parts: str):
@@ -120,7 +135,7 @@ def lake_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
             graph.node_ref(name, F.lit("Pipeline"), F.col("flow")).alias("dep"),
         )
         .unionByName(
-            graph.external_reads(r, w, hot_r).select(
+            table_reads.select(
                 "job",
                 F.lit("up").alias("direction"),
                 rank(1, "table_name").alias("rank"),
@@ -128,7 +143,7 @@ def lake_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         )
         .unionByName(
-            graph.handoffs(w, r, hot_w, hot_r).select(
+            graph.handoffs(w, r, crowded, hot_w, hot_r).select(
                 F.col("producer").alias("job"),
                 F.lit("down").alias("direction"),
                 rank(0, "table_name", "consumer").alias("rank"),
@@ -136,7 +151,7 @@ def lake_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         )
         .unionByName(
-            graph.external_writes(w, r, hot_w).select(
+            table_writes.select(
                 "job",
                 F.lit("down").alias("direction"),
                 rank(0, "table_name").alias("rank"),
@@ -231,9 +246,10 @@ def join_external_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("join_handoff_edges", f"WITH {ACCESS_SQL} SELECT producer, consumer, table_name FROM handoff")
 def join_handoff_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     w, r = staged_sides(spark, sf_dir)
-    return graph.handoffs(
-        w, r, skew.find_hot(w, graph.TABLE), skew.find_hot(r, graph.TABLE)
-    ).select("producer", "consumer", "table_name")
+    edges = graph.job_edges(w, r).filter("src_kind = 'job' and dst_kind = 'job'")
+    return edges.select(
+        F.col("src").alias("producer"), F.col("dst").alias("consumer"), "table_name"
+    )
 
 
 @query("join_external_writes", f"WITH {ACCESS_SQL} SELECT job, table_name FROM ext_w")
@@ -301,7 +317,8 @@ def join_unresolved_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 STITCH_SQL = f"""
 WITH {ACCESS_SQL},
-charts AS (SELECT DISTINCT 'u' || user_id AS node, 't_' || (props::JSON->>'k') AS table_name FROM events)
+charts AS (SELECT DISTINCT 'u' || user_id AS node, 't_' || (props::JSON->>'k') || '_' || (event_id % 7 + 1)
+           AS table_name FROM events)
 SELECT 'Matillion' AS integration, job AS node, table_name, 'W' AS mode FROM w
 WHERE table_name IN (SELECT table_name FROM charts)
 UNION ALL
@@ -315,7 +332,9 @@ def join_stitch(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "events")
         .select(
             F.concat(F.lit("u"), F.col("user_id")).alias("node"),
-            F.concat(F.lit("t_"), F.get_json_object("props", "$.k")).alias("table_name"),
+            F.concat_ws(
+                "_", F.lit("t"), F.get_json_object("props", "$.k"), F.col("event_id") % 7 + 1
+            ).alias("table_name"),
         )
         .distinct()
     )

@@ -10,6 +10,7 @@ from weftgraph.operators import graph
 from weftgraph.operators.parent_child import parent_child_nodes
 from weftgraph.plans import dashboard
 from weftgraph.queries.registry import query, table
+from weftgraph.schemas import PARSE_FAILURE
 from weftgraph.sources import artifacts as src
 
 PAGES_SQL = r"""
@@ -190,7 +191,8 @@ def page_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.array(F.lower("href"), F.lit("hub")).alias("tables_used"),
         )
     )
-    parsed = dashboard.Parsed(apps(spark, sf_dir), usage, usage.limit(0))
+    failures = spark.createDataFrame([], PARSE_FAILURE)
+    parsed = dashboard.Parsed(apps(spark, sf_dir), usage, failures)
     return dashboard.convert(parsed, "https://git.example.org/web", "dev")
 
 

@@ -10,8 +10,6 @@ from weftgraph.operators import usage
 from weftgraph.plans import dashboard, skew
 from weftgraph.queries.registry import query, table
 
-BLOCK = 4096
-
 USAGE_SQL = """
 e AS (SELECT *, CAST(props::JSON->>'k' AS INTEGER) AS k FROM events),
 usage AS (
@@ -53,9 +51,7 @@ def of_events(events: DataFrame) -> DataFrame:
 
 
 def numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return usage.with_ids(
-        usage_rows(spark, sf_dir), ["ts", "event_id"], F.col("ts").cast("date")
-    )
+    return usage.with_ids(usage_rows(spark, sf_dir), ["ts", "event_id"])
 
 
 SUMMARY_SQL = f"""WITH {USAGE_SQL},
@@ -143,9 +139,9 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "user_id", "ts", "event_type",
         F.get_json_object("props", "$.k").cast("int").alias("k"),
     )
-    return skew.number_rows(
-        rows, ["user_id"], ["ts", "event_id"], F.col("ts").cast("date"), "n"
-    ).withColumn("i", F.col("n") - 1)
+    return skew.number_rows(rows, ["user_id"], ["ts", "event_id"], "n").withColumn(
+        "i", F.col("n") - 1
+    )
 
 
 @query(
@@ -157,7 +153,7 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def win_next(spark: SparkSession, sf_dir: str) -> DataFrame:
     render = F.when(F.col("event_type") == "purchase", F.col("event_id"))
     return skew.next_within(
-        positions(spark, sf_dir), ["user_id"], "i", render, 50, BLOCK, "next_render"
+        positions(spark, sf_dir), ["user_id"], "i", render, 50, "next_render"
     ).select("event_id", "next_render")
 
 
@@ -171,7 +167,7 @@ def win_next(spark: SparkSession, sf_dir: str) -> DataFrame:
 def win_prev(spark: SparkSession, sf_dir: str) -> DataFrame:
     header = F.when(F.col("event_type") == "signup", F.col("event_id"))
     return skew.carry_last(
-        positions(spark, sf_dir), ["user_id"], "i", header, F.floor(F.col("i") / BLOCK), "header"
+        positions(spark, sf_dir), ["user_id"], "i", header, "header"
     ).select("event_id", "header")
 
 
@@ -192,7 +188,7 @@ def join_tab_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = lines.filter(F.col("event_type").isin("view", "click"))
     defined = F.when((F.col("event_type") == "view") & (F.col("i") >= 1), F.col("i"))
     return (
-        skew.last_within(both, ["user_id", "var"], "i", defined, 30, BLOCK, "def_line")
+        skew.last_within(both, ["user_id", "var"], "i", defined, 30, "def_line")
         .filter(F.col("event_type") == "click")
         .select("event_id", "def_line")
     )
