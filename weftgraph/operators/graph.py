@@ -20,6 +20,11 @@ TABLE = ("table_name",)
 NOT_HOT = HotKeys(TABLE)
 
 
+def _others(df: DataFrame) -> list[str]:
+    """What tells accesses of one table apart."""
+    return [c for c in df.columns if c not in TABLE]
+
+
 # -- dependency structs ------------------------------------------------------------------------
 
 
@@ -70,7 +75,7 @@ def table_index(access: DataFrame, hot: HotKeys = NOT_HOT) -> DataFrame:
 def external_reads(reads: DataFrame, writes: DataFrame, hot_reads: HotKeys = NOT_HOT) -> DataFrame:
     """Reads of a table that no parsed job produces."""
     produced = writes.select("table_name").distinct()
-    return skew.salted_join(reads, produced, TABLE, "left_anti", hot_reads, ["job"])
+    return skew.salted_join(reads, produced, TABLE, "left_anti", hot_reads, _others(reads))
 
 
 def crowded_tables(writes: DataFrame, reads: DataFrame) -> DataFrame | None:
@@ -96,7 +101,7 @@ def on_tables(
     """Accesses on (``left_semi``) or off (``left_anti``) the given tables."""
     if tables is None:
         return access if how == "left_anti" else access.filter(F.lit(False))
-    return skew.salted_join(access, tables, TABLE, how, hot, ["job"])
+    return skew.salted_join(access, tables, TABLE, how, hot, _others(access))
 
 
 def handoffs(
@@ -134,7 +139,7 @@ def external_writes(
         (F.col("_first") == F.col("job")) & (F.col("_last") == F.col("job"))
     )
     return (
-        skew.salted_join(writes, readers, TABLE, "left", hot_writes, ["job"])
+        skew.salted_join(writes, readers, TABLE, "left", hot_writes, _others(writes))
         .filter(only_self)
         .drop("_first", "_last")
     )
@@ -222,7 +227,7 @@ def assemble_nodes(
 
     spread = ["direction", "rank", "dep"]
     lists = (
-        deps.withColumn("part", skew._piece(spread, hot.count(keys)) if hot else F.lit(0))
+        deps.withColumn("part", skew.piece(spread, hot.count(keys)) if hot else F.lit(0))
         .groupBy(*keys, "part")
         .agg(side("up").alias("_up"), side("down").alias("_down"))
     )
@@ -287,7 +292,7 @@ def stitch(table_edges: DataFrame) -> DataFrame:
         other = (F.col("_first") != F.col("integration")) | (F.col("_last") != F.col("integration"))
         return (
             skew.salted_join(
-                edges, sides, TABLE, "inner", skew.find_hot(edges, TABLE), ["integration", "node"]
+                edges, sides, TABLE, "inner", skew.find_hot(edges, TABLE), _others(edges)
             )
             .filter(other)
             .drop("_first", "_last")

@@ -31,7 +31,7 @@ def summary(counts: DataFrame) -> DataFrame:
     """
     limit = skew.items_per_list(counts.sparkSession)
     hot: HotKeys = skew.find_hot(counts, TABLE, limit)
-    part = skew._piece(["chart_name"], hot.count(TABLE)) if hot else F.lit(0)
+    part = skew.piece(["chart_name"], hot.count(TABLE)) if hot else F.lit(0)
     table = Window.partitionBy(*TABLE)
     return (
         counts.withColumn("part", part)

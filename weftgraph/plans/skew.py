@@ -88,7 +88,7 @@ def find_hot(df: DataFrame, columns: Sequence[str], limit: int | None = None) ->
     return HotKeys(tuple(columns), {r["k"]: -(-r["count"] // limit) for r in heavy})
 
 
-def _piece(spread: Sequence[str], pieces: Column) -> Column:
+def piece(spread: Sequence[str], pieces: Column) -> Column:
     return F.pmod(F.xxhash64(*spread), pieces.cast("long")).cast("int")
 
 
@@ -111,7 +111,7 @@ def salted_join(
     """
     if not hot:
         return left.join(right, list(keys), how)
-    left = left.withColumn("_piece", _piece(spread, hot.count(keys)))
+    left = left.withColumn("_piece", piece(spread, hot.count(keys)))
     right = right.withColumn("_piece", _pieces(hot.count(keys)))
     return left.join(right, [*keys, "_piece"], how).drop("_piece")
 
@@ -121,7 +121,7 @@ def collect_parts(
 ) -> DataFrame:
     """Sorted list of ``item`` per key: one row (``part`` 0), or several for a heavy key."""
     return (
-        df.withColumn("part", _piece(spread, hot.count(keys)) if hot else F.lit(0))
+        df.withColumn("part", piece(spread, hot.count(keys)) if hot else F.lit(0))
         .groupBy(*keys, "part")
         .agg(F.sort_array(F.collect_list(item)).alias(out))
     )
