@@ -95,6 +95,11 @@ def crowded_tables(writes: DataFrame, reads: DataFrame) -> DataFrame | None:
     return None if found.isEmpty() else stage_table(found, "crowded")
 
 
+def heavy_tables(writes: DataFrame, reads: DataFrame) -> HotKeys:
+    """Heavy tables of both sides, found in one pass."""
+    return skew.find_hot(writes.select(*TABLE).unionByName(reads.select(*TABLE)), TABLE)
+
+
 def on_tables(
     access: DataFrame, tables: DataFrame | None, how: str, hot: HotKeys = NOT_HOT
 ) -> DataFrame:
@@ -147,7 +152,7 @@ def external_writes(
 
 def job_edges(writes: DataFrame, reads: DataFrame) -> DataFrame:
     """The collapsed job graph: hand-offs, external inputs, external outputs."""
-    hot_w, hot_r = skew.find_hot(writes, TABLE), skew.find_hot(reads, TABLE)
+    hot_w = hot_r = heavy_tables(writes, reads)
     crowded = crowded_tables(writes, reads)
     table_writes = external_writes(writes, reads, hot_w)
     table_reads = external_reads(reads, writes, hot_r)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weftgraph.plans import skew
 from weftgraph.plans.skew import HotKeys
+from weftgraph.session import stage_table
 
 TABLE = ("table_name",)
 
@@ -26,9 +27,11 @@ def counted(rows: DataFrame) -> DataFrame:
 def summary(counts: DataFrame) -> DataFrame:
     """table -> usage_count, sorted distinct chart types and chart names (a null name stays, once).
 
-    Starts from ``counted`` rows, so repeats are gone before any list is built. A table with very many
+    Starts from ``counted`` rows, so repeats are gone before any list is built; they are written once,
+    for the look at heavy tables and the lists both read them. A table with very many
     chart names comes as several parts that repeat its totals.
     """
+    counts = stage_table(counts, "usage-counts")
     limit = skew.items_per_list(counts.sparkSession)
     hot: HotKeys = skew.find_hot(counts, TABLE, limit)
     part = skew.piece(["chart_name"], hot.count(TABLE)) if hot else F.lit(0)
@@ -70,6 +73,8 @@ def results(usage: DataFrame) -> DataFrame:
 
 def file_tables(usage: DataFrame) -> DataFrame:
     """Distinct tables per file, sorted; a file with very many comes as several parts."""
-    pairs = usage.select("file_path", F.explode("tables_used").alias("t")).distinct()
+    pairs = stage_table(
+        usage.select("file_path", F.explode("tables_used").alias("t")).distinct(), "file-tables"
+    )
     hot = skew.find_hot(pairs, ["file_path"], skew.items_per_list(usage.sparkSession))
     return skew.collect_parts(pairs, ["file_path"], F.col("t"), "tables", hot, ["t"])

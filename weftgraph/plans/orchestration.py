@@ -215,8 +215,7 @@ def convert(
     writes = stage(_touched(jobs, "ingestion", "output_table", "sql_targets"), "writes")
     reads = stage(_touched(jobs, "reverse_etl", "source_table", "sql_sources"), "reads")
     own_writes, own_reads = writes.filter("emitted"), reads.filter("emitted")
-    hot_w = skew.find_hot(own_writes, graph.TABLE)
-    hot_r = skew.find_hot(reads, graph.TABLE)
+    hot_w = hot_r = graph.heavy_tables(writes, reads)
 
     crowded = graph.crowded_tables(writes, reads)
     consumers = reads.select(

@@ -14,7 +14,7 @@ and leaves the result exactly what the plain operator gives:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
@@ -127,6 +127,11 @@ def collect_parts(
     )
 
 
+def _known(hot: HotKeys | None, df: DataFrame, keys: Sequence[str]) -> HotKeys:
+    """Heavy keys the caller already knows of, or a look at the data."""
+    return find_hot(df, keys) if hot is None else hot
+
+
 def _carry_join(df: DataFrame, carried: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(carried, [*keys, "_block"], "left").drop("_block")
 
@@ -142,9 +147,15 @@ def _in_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
     return stage_table(placed.withColumn("_block", F.spark_partition_id()), "ranges")
 
 
-def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str) -> DataFrame:
+def number_rows(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    out: str,
+    hot: HotKeys | None = None,
+) -> DataFrame:
     """1-based position within ``keys`` along ``order``, which must tell rows apart."""
-    if not find_hot(df, keys):
+    if not _known(hot, df, keys):
         plain = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(out, F.row_number().over(plain).cast("long"))
     df = _in_ranges(df, keys, order)
@@ -169,11 +180,16 @@ def _block_of(df: DataFrame, position: str) -> Column:
 
 
 def carry_last(
-    df: DataFrame, keys: Sequence[str], position: str, value: Column, out: str
+    df: DataFrame,
+    keys: Sequence[str],
+    position: str,
+    value: Column,
+    out: str,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Last non-null ``value`` at or before the row, along the dense ``position`` within ``keys``."""
     up_to = (Window.unboundedPreceding, Window.currentRow)
-    if not find_hot(df, keys):
+    if not _known(hot, df, keys):
         plain = Window.partitionBy(*keys).orderBy(position).rowsBetween(*up_to)
         return df.withColumn(out, F.last(value, True).over(plain))
     df = df.withColumn("_block", _block_of(df, position)).withColumn("_value", value)
@@ -198,15 +214,16 @@ def _in_frame(
     position: str,
     value: Column,
     frame: tuple[int, int],
-    pick,
+    pick: Callable[[Column], Column],
     out: str,
+    hot: HotKeys | None,
 ) -> DataFrame:
     """``pick(value)`` over the positions ``p + frame[0] .. p + frame[1]``, one end of which is 0.
 
     Rows with a value near a block border are shown to the neighbour block as well, so that every frame
     is whole inside its block.
     """
-    if not find_hot(df, keys):
+    if not _known(hot, df, keys):
         plain = Window.partitionBy(*keys).orderBy(position).rangeBetween(*frame)
         return df.withColumn(out, pick(value).over(plain))
     size = rows_per_split(df.sparkSession)
@@ -229,14 +246,28 @@ def _in_frame(
 
 
 def next_within(
-    df: DataFrame, keys: Sequence[str], position: str, value: Column, reach: int, out: str
+    df: DataFrame,
+    keys: Sequence[str],
+    position: str,
+    value: Column,
+    reach: int,
+    out: str,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """First non-null ``value`` on positions ``p .. p + reach - 1``."""
-    return _in_frame(df, keys, position, value, (0, reach - 1), lambda v: F.first(v, True), out)
+    frame = (0, reach - 1)
+    return _in_frame(df, keys, position, value, frame, lambda v: F.first(v, True), out, hot)
 
 
 def last_within(
-    df: DataFrame, keys: Sequence[str], position: str, value: Column, reach: int, out: str
+    df: DataFrame,
+    keys: Sequence[str],
+    position: str,
+    value: Column,
+    reach: int,
+    out: str,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Last non-null ``value`` on positions ``p - reach + 1 .. p``."""
-    return _in_frame(df, keys, position, value, (-(reach - 1), 0), lambda v: F.last(v, True), out)
+    frame = (-(reach - 1), 0)
+    return _in_frame(df, keys, position, value, frame, lambda v: F.last(v, True), out, hot)

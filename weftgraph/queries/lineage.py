@@ -109,7 +109,7 @@ def lake_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One Pipeline node per nation, one Job node per supplier with its table and job dependencies."""
     job_rows = jobs(spark, sf_dir)
     w, r = staged_sides(spark, sf_dir)
-    hot_w, hot_r = skew.find_hot(w, graph.TABLE), skew.find_hot(r, graph.TABLE)
+    hot_w = hot_r = graph.heavy_tables(w, r)
     crowded = graph.crowded_tables(w, r)
     table_reads = graph.external_reads(r, w, hot_r).unionByName(
         graph.on_tables(r, crowded, "left_semi", hot_r)
@@ -159,6 +159,7 @@ def lake_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         )
     )
+    deps = stage_table(deps, "dependencies")
     heads = job_rows.select(
         "job",
         name.alias("integration"),
@@ -227,18 +228,18 @@ FROM {side} GROUP BY table_name
 
 @query("agg_producers", f"WITH {ACCESS_SQL}" + INDEX_SQL.format(side="w"))
 def agg_producers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _index(writes(spark, sf_dir))
+    return _index(staged_sides(spark, sf_dir)[0])
 
 
 @query("agg_consumers", f"WITH {ACCESS_SQL}" + INDEX_SQL.format(side="r"))
 def agg_consumers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _index(reads(spark, sf_dir))
+    return _index(staged_sides(spark, sf_dir)[1])
 
 
 @query("join_external_reads", f"WITH {ACCESS_SQL} SELECT job, table_name FROM ext_r")
 def join_external_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = reads(spark, sf_dir)
-    return graph.external_reads(r, writes(spark, sf_dir), skew.find_hot(r, graph.TABLE)).select(
+    w, r = staged_sides(spark, sf_dir)
+    return graph.external_reads(r, w, skew.find_hot(r, graph.TABLE)).select(
         "job", "table_name"
     )
 
@@ -254,8 +255,8 @@ def join_handoff_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("join_external_writes", f"WITH {ACCESS_SQL} SELECT job, table_name FROM ext_w")
 def join_external_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = writes(spark, sf_dir)
-    return graph.external_writes(w, reads(spark, sf_dir), skew.find_hot(w, graph.TABLE)).select(
+    w, r = staged_sides(spark, sf_dir)
+    return graph.external_writes(w, r, skew.find_hot(w, graph.TABLE)).select(
         "job", "table_name"
     )
 
@@ -352,7 +353,7 @@ def join_stitch(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         )
     )
-    return graph.stitch(edges).select("integration", "node", "table_name", "mode")
+    return graph.stitch(stage_table(edges, "table-edges")).select("integration", "node", "table_name", "mode")
 
 
 @query(

@@ -133,15 +133,15 @@ def preview_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- windows along a user's events -------------------------------------------------------------------
 
 
-def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as lines of their user's file, numbered from 0."""
+def positions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, skew.HotKeys]:
+    """Events as lines of their user's file, numbered from 0, and the users with very many."""
     rows = table(spark, sf_dir, "events").select(
         "event_id", "user_id", "ts", "event_type",
         F.get_json_object("props", "$.k").cast("int").alias("k"),
     )
-    return skew.number_rows(rows, ["user_id"], ["ts", "event_id"], "n").withColumn(
-        "i", F.col("n") - 1
-    )
+    hot = skew.find_hot(rows, ["user_id"])
+    numbered = skew.number_rows(rows, ["user_id"], ["ts", "event_id"], "n", hot)
+    return numbered.withColumn("i", F.col("n") - 1), hot
 
 
 @query(
@@ -152,9 +152,10 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def win_next(spark: SparkSession, sf_dir: str) -> DataFrame:
     render = F.when(F.col("event_type") == "purchase", F.col("event_id"))
-    return skew.next_within(
-        positions(spark, sf_dir), ["user_id"], "i", render, 50, "next_render"
-    ).select("event_id", "next_render")
+    lines, hot = positions(spark, sf_dir)
+    return skew.next_within(lines, ["user_id"], "i", render, 50, "next_render", hot).select(
+        "event_id", "next_render"
+    )
 
 
 @query(
@@ -166,9 +167,10 @@ def win_next(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def win_prev(spark: SparkSession, sf_dir: str) -> DataFrame:
     header = F.when(F.col("event_type") == "signup", F.col("event_id"))
-    return skew.carry_last(
-        positions(spark, sf_dir), ["user_id"], "i", header, "header"
-    ).select("event_id", "header")
+    lines, hot = positions(spark, sf_dir)
+    return skew.carry_last(lines, ["user_id"], "i", header, "header", hot).select(
+        "event_id", "header"
+    )
 
 
 @query(
@@ -184,11 +186,12 @@ def win_prev(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def join_tab_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nearest definition of the same variable at most 29 lines back: a frame instead of a range join."""
-    lines = positions(spark, sf_dir).withColumn("var", F.col("k") % 3)
-    both = lines.filter(F.col("event_type").isin("view", "click"))
+    lines, hot = positions(spark, sf_dir)
+    both = lines.withColumn("var", F.col("k") % 3)
+    both = both.filter(F.col("event_type").isin("view", "click"))
     defined = F.when((F.col("event_type") == "view") & (F.col("i") >= 1), F.col("i"))
     return (
-        skew.last_within(both, ["user_id", "var"], "i", defined, 30, "def_line")
+        skew.last_within(both, ["user_id", "var"], "i", defined, 30, "def_line", hot)
         .filter(F.col("event_type") == "click")
         .select("event_id", "def_line")
     )
