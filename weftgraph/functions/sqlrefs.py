@@ -11,7 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftgraph.functions.text import drop_magic, fill_flow_variables, fill_placeholders, strip
+from weftgraph.functions.text import (
+    FLOW_NAME,
+    PLACEHOLDER_NAME,
+    drop_magic,
+    fill_flow_variables,
+    fill_placeholders,
+    strip,
+)
 
 #: Stands where a bracket was peeled off; cannot occur in SQL text.
 HOLE = "\x01"
@@ -216,7 +223,7 @@ def with_read_refs(df: DataFrame, sql: str, out: str) -> DataFrame:
     qualified = F.transform(F.filter("_names", lambda n: n.contains(".")), bare_name)
     plain = F.transform(F.filter("_names", lambda n: ~n.contains(".")), bare_name)
     kept = F.concat(qualified, F.array_except(plain, cte_names(F.col("_frag"))))
-    names = _distinct(F.filter(kept, lambda n: n != "placeholder"))
+    names = _distinct(F.filter(kept, lambda n: n != PLACEHOLDER_NAME))
     return df.withColumn(out, F.coalesce(names, _empty())).drop("_frag", "_names")
 
 
@@ -266,7 +273,7 @@ def with_script_io(df: DataFrame, sql: str, sources: str, targets: str) -> DataF
         return F.filter(names, lambda n: n != io["target"])
 
     df = df.withColumn("_read", F.transform("_io", read_by))
-    real = lambda names: _distinct(F.filter(names, lambda n: n != "_mtl_var_"))
+    real = lambda names: _distinct(F.filter(names, lambda n: n != FLOW_NAME.lower()))
     return (
         df.withColumn(sources, F.coalesce(real(F.flatten("_read")), _empty()))
         .withColumn(
@@ -278,6 +285,7 @@ def with_script_io(df: DataFrame, sql: str, sources: str, targets: str) -> DataF
 
 # -- session.sql("...") calls in Python text ---------------------------------------------------
 
+# Fixed value: pattern of the start of a query call.
 CALL_HEAD = r"""session\.sql\s*\(\s*[f]?["']+"""
 
 

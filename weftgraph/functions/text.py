@@ -13,6 +13,16 @@ PROSE_WORDS = (
 
 MIN_SQL_LENGTH = 15
 
+# Patterns of templated names and of the line that starts a SQL cell, and what stands in
+# for the names.
+FLOW_VARIABLE, FLOW_NAME = r"\$\{[^}]+\}", "_MTL_VAR_"
+PLACEHOLDER, PLACEHOLDER_NAME = r"\{[^}]+\}", "placeholder"
+MAGIC_LINE = r"(?i)\A%%sql[^\n]*\n?"
+
+# Formats of links and lists.
+SOURCE_URL = "{}/blob/{}/{}"
+MORE = " and {} more"
+
 
 # What counts as whitespace at the ends of a text.
 WHITESPACE = (
@@ -27,6 +37,15 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
+def fill(template: str, *values: Column) -> Column:
+    """``template`` with its ``{}`` replaced; null if a value is null."""
+    pieces = template.split("{}")
+    parts: list[Column] = [F.lit(pieces[0])]
+    for value, piece in zip(values, pieces[1:], strict=True):
+        parts += [value, F.lit(piece)]
+    return F.concat(*parts)
+
+
 def title_case(c: Column) -> Column:
     """Upper-case each letter that follows a non-letter, lower-case the others."""
     words = F.split(F.lower(c), r"(?<=[^\p{L}])")
@@ -52,7 +71,7 @@ def app_name(rel_path: Column) -> Column:
 
 
 def source_url(repo: Column, branch: Column, rel_path: Column) -> Column:
-    return F.concat(repo, F.lit("/blob/"), branch, F.lit("/"), rel_path)
+    return fill(SOURCE_URL, repo, branch, rel_path)
 
 
 def bare_table(c: Column) -> Column:
@@ -61,16 +80,16 @@ def bare_table(c: Column) -> Column:
 
 
 def fill_flow_variables(c: Column) -> Column:
-    return F.regexp_replace(c, r"\$\{[^}]+\}", "_MTL_VAR_")
+    return F.regexp_replace(c, FLOW_VARIABLE, FLOW_NAME)
 
 
 def fill_placeholders(c: Column) -> Column:
-    return F.regexp_replace(c, r"\{[^}]+\}", "placeholder")
+    return F.regexp_replace(c, PLACEHOLDER, PLACEHOLDER_NAME)
 
 
 def drop_magic(c: Column) -> Column:
     """Takes a leading ``%%sql ...`` line off."""
-    return F.regexp_replace(c, r"(?i)\A%%sql[^\n]*\n?", "")
+    return F.regexp_replace(c, MAGIC_LINE, "")
 
 
 def _holds(value: Column, test) -> Column:
@@ -117,7 +136,7 @@ def first_non_empty(*columns: Column) -> Column:
 def preview(items: Column, n: int) -> Column:
     """``a, b, c and k more``."""
     shown = F.array_join(F.slice(items, 1, n), ", ")
-    more = F.concat(F.lit(" and "), F.size(items) - n, F.lit(" more"))
+    more = fill(MORE, F.size(items) - n)
     return F.when(F.size(items) > n, F.concat(shown, more)).otherwise(shown)
 
 
@@ -150,9 +169,14 @@ RENDER_MARKS = (
 )
 
 
+# Patterns of a call with one quoted argument and of a triple-quoted markdown call.
+QUOTED_CALL = r"""st\.{}\(["']([^"']+)["']\)"""
+MARKDOWN_CALL = r"""(?s)st\.markdown\(["']{3}(.*?)["']{3}\)"""
+
+
 def call_text(c: Column, name: str) -> Column:
     """First quoted argument of ``st.<name>("...")``; null without one."""
-    return F.nullif(F.regexp_extract(c, rf"""st\.{name}\(["']([^"']+)["']\)""", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(c, QUOTED_CALL.format(name), 1), F.lit(""))
 
 
 def render_type(line: Column) -> Column:
@@ -165,5 +189,6 @@ def app_title(content: Column) -> Column:
 
 def app_description(content: Column) -> Column:
     """Text of the first triple-quoted ``st.markdown``; null without one."""
-    pattern = r"""(?s)st\.markdown\(["']{3}(.*?)["']{3}\)"""
-    return F.when(content.rlike(pattern), strip(F.regexp_extract(content, pattern, 1)))
+    return F.when(
+        content.rlike(MARKDOWN_CALL), strip(F.regexp_extract(content, MARKDOWN_CALL, 1))
+    )

@@ -10,6 +10,17 @@ from pyspark.sql import functions as F
 from weftgraph.functions import text
 from weftgraph.plans import skew
 
+# Formats of titles and descriptions.
+UNTITLED = "Cell {} ({})"
+REPEATED = "{} ({})"
+NOTEBOOK = "Snowflake Notebook with {} code cell(s){}."
+QUERYING = ", {} querying dbt model output"
+CELL = "{} cell: **{}**."
+CELL_TABLES = " Queries tables: {}."
+CELL_SOURCE = " `{}…`"
+SOURCE_SHOWN = 120
+
+
 def language(given: Column) -> Column:
     return F.lower(F.coalesce(given, F.lit("python")))
 
@@ -17,9 +28,7 @@ def language(given: Column) -> Column:
 def title(given: Column, index: Column, lang: Column) -> Column:
     """A blank title becomes ``Cell <n> (<language>)``."""
     bare = F.coalesce(text.strip(given), F.lit(""))
-    return F.when(
-        bare == "", F.concat(F.lit("Cell "), index + 1, F.lit(" ("), lang, F.lit(")"))
-    ).otherwise(bare)
+    return F.when(bare == "", text.fill(UNTITLED, index + 1, lang)).otherwise(bare)
 
 
 def unique_titles(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -27,7 +36,7 @@ def unique_titles(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
     numbered = skew.number_rows(cells, [*keys, "title"], ["cell_index"], "_k")
     return numbered.withColumn(
         "unique_title",
-        F.when(F.col("_k") > 1, F.concat(F.col("title"), F.lit(" ("), F.col("_k"), F.lit(")"))).otherwise(
+        F.when(F.col("_k") > 1, text.fill(REPEATED, F.col("title"), F.col("_k"))).otherwise(
             F.col("title")
         ),
     ).drop("_k")
@@ -40,18 +49,14 @@ def counts(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def notebook_description(given: Column, n_cells: Column, n_sql: Column) -> Column:
-    querying = F.when(
-        n_sql > 0, F.concat(F.lit(", "), n_sql, F.lit(" querying dbt model output"))
-    ).otherwise("")
-    plain = F.concat(F.lit("Snowflake Notebook with "), n_cells, F.lit(" code cell(s)"), querying, F.lit("."))
-    return F.coalesce(F.nullif(given, F.lit("")), plain)
+    querying = F.when(n_sql > 0, text.fill(QUERYING, n_sql)).otherwise("")
+    return F.coalesce(F.nullif(given, F.lit("")), text.fill(NOTEBOOK, n_cells, querying))
 
 
 def cell_description(lang: Column, name: Column, tables: Column, snippet: Column) -> Column:
-    head = F.concat(F.upper(lang), F.lit(" cell: **"), name, F.lit("**."))
-    quoted = F.transform(tables, lambda t: F.concat(F.lit("`"), t, F.lit("`")))
-    shown = F.concat(F.lit(" `"), text.strip(F.substring(snippet, 1, 120)), F.lit("…`"))
-    return F.when(
-        F.size(tables) > 0,
-        F.concat(head, F.lit(" Queries tables: "), text.preview(quoted, 3), F.lit(".")),
-    ).otherwise(F.concat(head, F.when(snippet != "", shown).otherwise("")))
+    quoted = F.transform(tables, lambda t: text.fill("`{}`", t))
+    shown = text.fill(CELL_SOURCE, text.strip(F.substring(snippet, 1, SOURCE_SHOWN)))
+    more = F.when(
+        F.size(tables) > 0, text.fill(CELL_TABLES, text.preview(quoted, 3))
+    ).otherwise(F.when(snippet != "", shown).otherwise(""))
+    return F.concat(text.fill(CELL, F.upper(lang), name), more)

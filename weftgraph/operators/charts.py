@@ -16,6 +16,7 @@ RENDER_REACH = 50
 TAB_REACH = 30
 CAPTION_REACH = 10
 
+# Patterns of a tab being used and of tabs being defined.
 TAB_USE = r"with\s+(\w+)\[.*?\]"
 TAB_DEF = r"(\w+)\s*=\s*st\.tabs\(\[(.*?)\]"
 

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftgraph.functions.text import landing_to_staging
+from weftgraph.functions import text
 from weftgraph.plans import skew
 
 # Component types that carry no data and are known not to.
@@ -40,6 +40,21 @@ OTHER_LABEL = "orchestration"
 
 STAGING_MARK = "_STG_MERGE"
 
+# Formats of descriptions.
+FLOW = "Matillion {} pipeline with {} active job(s){}."
+FLOW_SKIPPED = " and {} skipped job(s)"
+JOB = "Matillion job: {}."
+JOB_SKIPPED = " *(currently skipped)*"
+CALLS_ENDPOINT = "Calls the **{}** API endpoint"
+WRITES_TABLE = "writes results to Snowflake table `{}`"
+READS_TABLE = "reads from Snowflake table/view `{}`"
+WRITES_FROM = "runs SQL writing `{}` from `{}`"
+WRITES_ONLY = "runs SQL writing `{}`"
+RUNS_FLOW = "runs orchestration `{}`"
+RUNS_SHARED = "runs shared pipeline `{}`"
+RUNS_DBT = "runs shared pipeline `{}` (dbt job `{}`)"
+JOINED = " and "
+
 
 def role(component_type: Column) -> Column:
     t = F.lower(component_type)
@@ -106,7 +121,7 @@ def rewrite_staging(components: DataFrame) -> DataFrame:
     """``X_LND`` outputs become ``X_STG`` in files whose scripts merge into staging (column ``staged``)."""
     return components.withColumn(
         "output_table",
-        F.when(F.col("staged"), landing_to_staging(F.col("output_table"))).otherwise(
+        F.when(F.col("staged"), text.landing_to_staging(F.col("output_table"))).otherwise(
             F.col("output_table")
         ),
     )
@@ -125,14 +140,8 @@ def flow_description(given: Column, flow_type: Column, n_active: Column, n_skipp
         F.create_map(*[F.lit(x) for kv in TYPE_LABELS.items() for x in kv])[flow_type],
         F.lit(OTHER_LABEL),
     )
-    skipped = F.when(
-        n_skipped > 0, F.concat(F.lit(" and "), n_skipped, F.lit(" skipped job(s)"))
-    ).otherwise("")
-    built = F.concat(
-        F.lit("Matillion "), label, F.lit(" pipeline with "), n_active, F.lit(" active job(s)"),
-        skipped, F.lit("."),
-    )
-    return F.coalesce(F.nullif(given, F.lit("")), built)
+    skipped = F.when(n_skipped > 0, text.fill(FLOW_SKIPPED, n_skipped)).otherwise("")
+    return F.coalesce(F.nullif(given, F.lit("")), text.fill(FLOW, label, n_active, skipped))
 
 
 def job_description() -> Column:
@@ -145,39 +154,34 @@ def job_description() -> Column:
     def list_of(name: str) -> Column:
         return F.array_join(c(name), ", ")
 
+    flow, role_, shared = c("pipeline_type"), c("role"), c("shared_pipeline_name")
     dbt_job = F.try_element_at(c("shared_pipeline_vars"), F.lit("DBT_JOB_ID"))
-    shared = F.concat(F.lit("runs shared pipeline `"), c("shared_pipeline_name"), F.lit("`"))
-    sql = (c("role") == "sql_transform") & (F.size("sql_targets") > 0)
-    wrote = F.concat(F.lit("runs SQL writing `"), list_of("sql_targets"), F.lit("`"))
+    writes = (role_ == "sql_transform") & (F.size("sql_targets") > 0)
     parts = F.concat_ws(
-        " and ",
-        F.when(
-            some(c("endpoint")),
-            F.concat(F.lit("Calls the **"), c("endpoint"), F.lit("** API endpoint")),
-        ),
+        JOINED,
+        F.when(some(c("endpoint")), text.fill(CALLS_ENDPOINT, c("endpoint"))),
         F.when(
-            (c("pipeline_type") == "ingestion") & some(c("output_table")),
-            F.concat(F.lit("writes results to Snowflake table `"), c("output_table"), F.lit("`")),
+            (flow == "ingestion") & some(c("output_table")), text.fill(WRITES_TABLE, c("output_table"))
         ).when(
-            (c("pipeline_type") == "reverse_etl") & some(c("source_table")),
-            F.concat(F.lit("reads from Snowflake table/view `"), c("source_table"), F.lit("`")),
+            (flow == "reverse_etl") & some(c("source_table")),
+            text.fill(READS_TABLE, c("source_table")),
         ),
         F.when(
-            sql & (F.size("sql_sources") > 0),
-            F.concat(wrote, F.lit(" from `"), list_of("sql_sources"), F.lit("`")),
-        ).when(sql, wrote),
+            writes & (F.size("sql_sources") > 0),
+            text.fill(WRITES_FROM, list_of("sql_targets"), list_of("sql_sources")),
+        ).when(writes, text.fill(WRITES_ONLY, list_of("sql_targets"))),
         F.when(
-            (c("role") == "orchestrator_call") & some(c("called_pipeline")),
-            F.concat(F.lit("runs orchestration `"), c("called_pipeline"), F.lit("`")),
+            (role_ == "orchestrator_call") & some(c("called_pipeline")),
+            text.fill(RUNS_FLOW, c("called_pipeline")),
         ),
         F.when(
-            (c("role") == "shared_pipeline_call") & some(c("shared_pipeline_name")),
-            F.when(
-                some(dbt_job), F.concat(shared, F.lit(" (dbt job `"), dbt_job, F.lit("`)"))
-            ).otherwise(shared),
+            (role_ == "shared_pipeline_call") & some(shared),
+            F.when(some(dbt_job), text.fill(RUNS_DBT, shared, dbt_job)).otherwise(
+                text.fill(RUNS_SHARED, shared)
+            ),
         ),
     )
-    skipped = F.when(c("skipped"), " *(currently skipped)*").otherwise("")
+    skipped = F.when(c("skipped"), JOB_SKIPPED).otherwise("")
     return F.when(parts != "", F.concat(parts, skipped, F.lit("."))).otherwise(
-        F.concat(F.lit("Matillion job: "), c("name"), F.lit("."), skipped)
+        F.concat(text.fill(JOB, c("name")), skipped)
     )

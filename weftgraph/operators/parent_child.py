@@ -5,9 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftgraph.functions.text import fill
 from weftgraph.operators import graph
 
 
+# Formats of descriptions.
+PARENT = "Auto-generated parent node for {}."
+CHILD = "Child node: {}."
+
+
 def parent_child_nodes(
     records: DataFrame,
     integration: str,
@@ -54,7 +60,7 @@ def parent_child_nodes(
         parents,
         F.col("parent"),
         parent_type,
-        F.concat(F.lit("Auto-generated parent node for "), "parent", F.lit(".")),
+        fill(PARENT, F.col("parent")),
         graph.no_deps(),
         F.lit(None).cast(graph.no_deps_type()),
     ).unionByName(
@@ -62,7 +68,7 @@ def parent_child_nodes(
             rows,
             F.concat_ws(".", "parent", "child"),
             child_type,
-            F.concat(F.lit("Child node: "), "child", F.lit(".")),
+            fill(CHILD, F.col("child")),
             up,
             down,
         )

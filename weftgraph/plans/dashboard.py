@@ -19,6 +19,14 @@ INTEGRATION = "Streamlit"
 SUFFIX = "*.py"
 MARK = "import streamlit"
 
+# Formats of names and descriptions.
+TITLED = "{} - {}"
+APP = "Streamlit application with {} SQL queries"
+APP_TABLES = " using tables: {}"
+CHART_NAME = "{} (Line {})"
+CHART = "{} chart (line {}) using {}"
+LINE_ANCHOR = "{}#L{}"
+
 
 @dataclass(frozen=True)
 class Parsed:
@@ -124,35 +132,25 @@ def app_tables(usage: DataFrame) -> DataFrame:
 
 
 def app_description(title: Column, description: Column, n_queries: Column, tables: Column) -> Column:
-    titled = F.concat(
-        title, F.when(description != "", F.concat(F.lit(" - "), description)).otherwise("")
+    titled = F.when(description != "", text.fill(TITLED, title, description)).otherwise(title)
+    using = F.when(F.size(tables) > 0, text.fill(APP_TABLES, text.preview(tables, 3))).otherwise("")
+    return F.when(F.coalesce(title != "", F.lit(False)), titled).otherwise(
+        F.concat(text.fill(APP, n_queries), using)
     )
-    using = F.when(
-        F.size(tables) > 0, F.concat(F.lit(" using tables: "), text.preview(tables, 3))
-    ).otherwise("")
-    plain = F.concat(F.lit("Streamlit application with "), n_queries, F.lit(" SQL queries"), using)
-    return F.when(F.coalesce(title != "", F.lit(False)), titled).otherwise(plain)
 
 
 def chart_label(name: Column, kind: Column, line: Column) -> Column:
     """Name of a chart within its app; the line keeps charts under one header apart."""
-    return F.concat(
-        F.coalesce(F.nullif(name, F.lit("")), kind),
-        F.lit(" (Line "),
-        F.coalesce(line.cast("string"), F.lit("None")),
-        F.lit(")"),
-    )
+    at = F.coalesce(line.cast("string"), F.lit("None"))
+    return text.fill(CHART_NAME, F.coalesce(F.nullif(name, F.lit("")), kind), at)
 
 
 def chart_description(
     label: Column, caption: Column, kind: Column, line: Column, tables: Column
 ) -> Column:
-    plain = F.concat(
-        kind, F.lit(" chart (line "), line, F.lit(") using "), text.preview(tables, 2)
-    )
     return F.when(
-        F.coalesce(caption != "", F.lit(False)), F.concat(label, F.lit(" - "), caption)
-    ).otherwise(plain)
+        F.coalesce(caption != "", F.lit(False)), text.fill(TITLED, label, caption)
+    ).otherwise(text.fill(CHART, kind, line, text.preview(tables, 2)))
 
 
 def charted(usage: DataFrame) -> DataFrame:
@@ -211,7 +209,7 @@ def convert(
                     c("_label"), c("chart_caption"), c("chart_type"), c("line_number"),
                     c("tables_used"),
                 ).alias("description"),
-                F.concat(url, F.lit("#L"), c("line_number")).alias("url"),
+                text.fill(LINE_ANCHOR, url, c("line_number")).alias("url"),
             ).alias("attributes"),
             F.struct(
                 graph.table_refs(
