@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from weftgraph.jobs import run
 from weftgraph.operators import graph, usage
 from weftgraph.plans import registry
-from weftgraph.schemas import NODE
+from weftgraph.schemas import APP_METADATA, NODE
 from weftgraph.sinks import tables as sinks
 from weftgraph.sources import artifacts as src
 from weftgraph.sources import catalog
+from weftgraph.session import stage_table
 from weftgraph.streaming import ingest
 from weftgraph.streaming import usage as usage_stream
 
@@ -76,7 +77,9 @@ def test_run(spark, tmp_path, name, folder, parents):
     run(spark, name, f"{FIXTURES}/{folder}", str(tmp_path), "https://g/r")
     assert sinks.read_nodes(spark, f"{tmp_path}/nodes").count() == len(lines)
     if name == "Streamlit":
-        assert spark.read.parquet(f"{tmp_path}/app_metadata").count() == 4  # two appended runs
+        metadata = spark.read.schema(APP_METADATA).parquet(f"{tmp_path}/app_metadata")
+        assert metadata.count() == 4  # two appended runs
+        assert usage.first_metadata(metadata).count() == 2
         log = spark.read.parquet(f"{tmp_path}/table_usage").withColumnRenamed("file_path", "f")
         top = usage.usage_summary(log).first()
         assert top["usage_count"] >= 2
@@ -174,7 +177,7 @@ def test_records_from_elsewhere(spark, tmp_path):
 
 
 def test_streamed_artifacts(spark, tmp_path):
-    """Changed files arrive in a later batch and replace their nodes."""
+    """Files of a later batch replace nodes of the same name."""
     folder = tmp_path / "in"
     folder.mkdir()
     (folder / "one.orch.yaml").write_text("pipeline: {metadata: {description: first}}\n")
@@ -182,7 +185,7 @@ def test_streamed_artifacts(spark, tmp_path):
 
     def convert(batch):
         where = registry.Run("https://g/r")
-        nodes = job.convert(job.parse(batch, lambda d, n: d), where, lambda d, n: d)
+        nodes = job.convert(job.parse(batch, stage_table), where, stage_table)
         return nodes.withColumn("modified_at", F.current_timestamp())
 
     def go():
@@ -201,6 +204,29 @@ def test_streamed_artifacts(spark, tmp_path):
     assert go() == {"One": "newer", "Two": "second"}
 
 
+def test_streamed_flows(spark, tmp_path):
+    """Edges between files of different batches."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    sql = "pipeline: {components: {J: {type: sql-executor, parameters: {sqlScript: %r}}}}\n"
+
+    def go():
+        ingest.ingest_flows(
+            src.stream_artifacts(spark, str(folder), "*.orch.yaml", "Matillion"),
+            f"{tmp_path}/log", f"{tmp_path}/state",
+        )
+        parsed = ingest.current_flows(spark, f"{tmp_path}/log")
+        nodes = by_name(registry.get("Matillion").convert(parsed, registry.Run("u"), stage_table))
+        return {k: v[0][3:] for k, v in nodes.items() if v[0][0] == "Job"}
+
+    (folder / "one.orch.yaml").write_text(sql % "INSERT INTO mid SELECT * FROM src")
+    assert go() == {"One.J": (["Pipeline:One", "src"], ["mid"])}
+    (folder / "two.orch.yaml").write_text(sql % "INSERT INTO out SELECT * FROM mid")
+    assert go() == {
+        "One.J": (["Pipeline:One", "src"], ["Job:Two.J"]), "Two.J": (["Pipeline:Two"], ["out"]),
+    }
+
+
 def test_streamed_usage(spark, tmp_path):
     log = spark.range(300).select(
         F.array(F.concat(F.lit("t"), F.col("id") % 7), F.lit("")).alias("tables_used"),

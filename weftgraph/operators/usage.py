@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from weftgraph.operators import graph
 from weftgraph.plans import skew
 from weftgraph.plans.skew import HotKeys
 from weftgraph.session import stage_table
@@ -78,3 +79,8 @@ def file_tables(usage: DataFrame) -> DataFrame:
     )
     hot = skew.find_hot(pairs, ["file_path"], skew.items_per_list(usage.sparkSession))
     return skew.collect_parts(pairs, ["file_path"], F.col("t"), "tables", hot, ["t"])
+
+
+def first_metadata(metadata: DataFrame) -> DataFrame:
+    """The first metadata row of each file."""
+    return graph.earliest(metadata, ["file_path"], [F.col("created_at"), F.col("id")])

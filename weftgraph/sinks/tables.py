@@ -47,7 +47,13 @@ def append_app_metadata(apps: DataFrame, path: str) -> None:
     """Apps with a title or a description; others leave no row."""
     (
         apps.filter(F.col("app_title").isNotNull() | F.col("app_description").isNotNull())
-        .withColumn("created_at", F.current_timestamp())
+        .select(
+            F.lit(1).cast("long").alias("id"),
+            F.col("rel_path").alias("file_path"),
+            "app_title",
+            "app_description",
+            F.current_timestamp().alias("created_at"),
+        )
         .write.mode("append")
         .parquet(path)
     )

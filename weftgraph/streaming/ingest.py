@@ -5,9 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from weftgraph.plans import orchestration
+from weftgraph.session import stage_table
 from weftgraph.sinks.tables import upsert
 
+TABLES = ("docs", "components", "failures")
+
 Convert = Callable[[DataFrame], DataFrame]
 
 
@@ -52,6 +57,39 @@ def current_nodes(spark: SparkSession, root: str, published: DataFrame | None =
     return upsert(published, spark.read.parquet(root).drop("batch"))
 
 
+def ingest_flows(artifacts: DataFrame, root: str, checkpoint: str, **trigger: object) -> None:
+    """Orchestration files as they arrive or change: each batch is parsed and logged, not converted.
+
+    Hand-offs and calls cross files, so nodes come from ``current_flows``, which knows all of them.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        parsed = orchestration.parse(batch, stage_table)
+        for table in TABLES:
+            getattr(parsed, table).write.mode("overwrite").parquet(
+                f"{root}/{table}/batch={batch_id:09d}"
+            )
+
+    (
+        artifacts.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+        .awaitTermination()
+    )
+
+
+def current_flows(spark: SparkSession, root: str) -> orchestration.Parsed:
+    """What the last batch said about each file, ready for ``orchestration.convert``."""
+    logs = {t: spark.read.parquet(f"{root}/{t}") for t in TABLES}
+    seen = [logs[t].select("rel_path", "batch") for t in ("docs", "failures")]
+    newest = seen[0].unionByName(seen[1]).groupBy("rel_path").agg(F.max("batch").alias("batch"))
+    newest = stage_table(newest, "newest")
+    return orchestration.Parsed(
+        **{t: log.join(newest, ["rel_path", "batch"], "left_semi").drop("batch") for t, log in logs.items()}
+    )
+
+
 def distinct_arrivals(records: DataFrame, time: str, keys: list[str], delay: str) -> DataFrame:
     """Drop replays of a record that arrive within ``delay``; state is bounded by the watermark."""
     return records.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
