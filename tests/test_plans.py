@@ -60,8 +60,7 @@ def test_pushdown(spark):
 
 
 def test_no_cross_joins(spark):
-    w, r = lake.writes(spark, SF), lake.reads(spark, SF)
-    for df in (graph.job_edges(w, r), *(QUERIES[n](spark, SF) for n in ("chart_infer", "join_tab_range", "conv_nodes"))):
+    for df in (graph.job_edges(lake.access(spark, SF)), *(QUERIES[n](spark, SF) for n in ("chart_infer", "join_tab_range", "conv_nodes"))):
         text = plan(df)
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 

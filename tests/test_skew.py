@@ -47,11 +47,12 @@ def test_find_hot(spark, sides, tight):
     }
     assert hot.pieces == {k: -(-n // 20) for k, n in counted.items()} and hot
     assert not skew.find_hot(w, graph.TABLE, 10_000)
+    assert skew.hot_of(w.groupBy("table_name").agg(F.count("*").alias("n")), graph.TABLE) == hot
 
 
 def test_edges(spark, sides, tight):
     w, r = sides
-    split = rows(graph.job_edges(w, r))
+    split = rows(graph.job_edges(graph.accesses(w, r)))
     w.createOrReplaceTempView("w")
     r.createOrReplaceTempView("r")
     want = spark.sql("""
@@ -62,8 +63,9 @@ def test_edges(spark, sides, tight):
         where table_name not in (select table_name from w)""")
     assert split == rows(want)
     # Each write is handed over or external, never both; each read has a producer or is external.
-    handed = graph.handoffs(w, r).select(F.col("producer").alias("job"), "table_name").distinct()
-    external = graph.external_writes(w, r)
+    tagged = graph.tag_accesses(graph.accesses(w, r))
+    handed = graph.handoffs(tagged).select(F.col("producer").alias("job"), "table_name").distinct()
+    external = graph.kept_writes(tagged)
     assert handed.count() + external.count() == w.count()
     assert handed.join(external, ["job", "table_name"], "left_semi").isEmpty()
 
@@ -71,11 +73,10 @@ def test_edges(spark, sides, tight):
 def test_crowded_tables(spark, sides, tight):
     """A table with too many pairs stays between its jobs; every path is kept."""
     w, r = sides
-    pairs = {(a, b) for _, a, _, b, _ in graph.job_edges(w, r).filter("dst_kind = src_kind").collect()}
+    pairs = {(a, b) for _, a, _, b, _ in graph.job_edges(graph.accesses(w, r)).filter("dst_kind = src_kind").collect()}
     spark.conf.set(skew.PAIRS_PER_TABLE, "500")
     try:
-        assert [x[0] for x in graph.crowded_tables(w, r).collect()] == ["hot"]
-        edges = graph.job_edges(w, r).collect()
+        edges = graph.job_edges(graph.accesses(w, r)).collect()
     finally:
         spark.conf.unset(skew.PAIRS_PER_TABLE)
     assert not any(e["table_name"] == "hot" and e["src_kind"] == e["dst_kind"] for e in edges)

@@ -1,7 +1,7 @@
 """The lineage graph: producer and consumer indexes, hand-offs, external tables, calls, nodes, edges.
 
-Access rows are ``(job, table_name)``, one set for writes and one for reads. They stay exploded through
-every join; lists are built last, per node.
+Access rows are ``(job, table_name, mode)`` with mode W or R. They stay exploded through every join; lists
+are built last, per node.
 """
 
 from __future__ import annotations
@@ -72,94 +72,81 @@ def table_index(access: DataFrame, hot: HotKeys = NOT_HOT) -> DataFrame:
     return skew.collect_parts(access, TABLE, F.col("job"), "jobs", hot, ["job"])
 
 
-def external_reads(reads: DataFrame, writes: DataFrame, hot_reads: HotKeys = NOT_HOT) -> DataFrame:
-    """Reads of a table that no parsed job produces."""
-    produced = writes.select("table_name").distinct()
-    return skew.salted_join(reads, produced, TABLE, "left_anti", hot_reads, _others(reads))
+def accesses(writes: DataFrame, reads: DataFrame) -> DataFrame:
+    """Both sides as one table with ``mode`` W or R."""
+    w, r = writes.withColumn("mode", F.lit("W")), reads.withColumn("mode", F.lit("R"))
+    return w.unionByName(r)
 
 
-def crowded_tables(writes: DataFrame, reads: DataFrame) -> DataFrame | None:
-    """Tables whose hand-off would be more pairs than ``pairs_per_table``; None if there are none.
+def table_profile(access: DataFrame) -> DataFrame:
+    """One row per table: how many write and read it, and its first and last reader by name."""
+    w, r = F.col("mode") == "W", F.col("mode") == "R"
+    return access.groupBy(*TABLE).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(w).alias("n_writes"),
+        F.count_if(r).alias("n_reads"),
+        F.min(F.when(r, F.col("job"))).alias("first_reader"),
+        F.max(F.when(r, F.col("job"))).alias("last_reader"),
+    )
+
 
-    Pairs grow with the square of a table's users. Such a table stays in the graph between its writers
-    and its readers, which says the same in one edge per access.
+def tag_accesses(access: DataFrame) -> DataFrame:
+    """Adds ``kept``: whether the access stays an edge to its table instead of becoming job-to-job edges.
+
+    A write is kept if no other job reads the table, a read if no job writes it. Both are kept if the
+    table stands for more than ``pairs_per_table`` pairs: these grow with the square of its users, and
+    the table between them says the same in one edge per access. The profile answers all of this, so
+    no pair is made to find out.
     """
-    spark = writes.sparkSession
-    writers = writes.groupBy("table_name").agg(F.count(F.lit(1)).alias("_w"))
-    readers = reads.groupBy("table_name").agg(F.count(F.lit(1)).alias("_r"))
-    found = (
-        writers.join(readers, "table_name")
-        .filter(F.col("_w").cast("double") * F.col("_r") > skew.pairs_per_table(spark))
-        .select("table_name")
+    spark = access.sparkSession
+    profile = stage_table(table_profile(access), "profile")
+    hot = skew.hot_of(profile, TABLE)
+    c = F.col
+    crowded = c("n_writes").cast("double") * c("n_reads") > skew.pairs_per_table(spark)
+    alone = (c("n_reads") == 0) | (
+        (c("first_reader") == c("job")) & (c("last_reader") == c("job"))
+    )
+    unwritten = c("n_writes") == 0
+    kept = crowded | F.when(c("mode") == "W", alone).otherwise(unwritten)
+    return skew.salted_join(access, profile, TABLE, "inner", hot, _others(access)).select(
+        *access.columns, kept.alias("kept")
     )
-    return None if found.isEmpty() else stage_table(found, "crowded")
-
 
-def heavy_tables(writes: DataFrame, reads: DataFrame) -> HotKeys:
-    """Heavy tables of both sides, found in one pass."""
-    return skew.find_hot(writes.select(*TABLE).unionByName(reads.select(*TABLE)), TABLE)
 
+def kept_writes(tagged: DataFrame) -> DataFrame:
+    """Writes that stay edges to their table."""
+    return tagged.filter((F.col("mode") == "W") & F.col("kept"))
 
-def on_tables(
-    access: DataFrame, tables: DataFrame | None, how: str, hot: HotKeys = NOT_HOT
-) -> DataFrame:
-    """Accesses on (``left_semi``) or off (``left_anti``) the given tables."""
-    if tables is None:
-        return access if how == "left_anti" else access.filter(F.lit(False))
-    return skew.salted_join(access, tables, TABLE, how, hot, _others(access))
-
-
-def handoffs(
-    writes: DataFrame,
-    reads: DataFrame,
-    crowded: DataFrame | None = None,
-    hot_writes: HotKeys = NOT_HOT,
-    hot_reads: HotKeys = NOT_HOT,
-) -> DataFrame:
-    """producer -> consumer for every table that joins two different jobs, but for ``crowded`` ones.
 
-    Without these no key has more rows, in or out, than ``pairs_per_table``.
-    """
-    producers = on_tables(writes, crowded, "left_anti", hot_writes)
-    consumers = on_tables(reads, crowded, "left_anti", hot_reads)
-    return (
-        producers.withColumnRenamed("job", "producer")
-        .join(consumers.withColumnRenamed("job", "consumer"), list(TABLE))
-        .filter(F.col("producer") != F.col("consumer"))
-    )
+def kept_reads(tagged: DataFrame) -> DataFrame:
+    """Reads that stay edges from their table."""
+    return tagged.filter((F.col("mode") == "R") & F.col("kept"))
 
 
-def external_writes(
-    writes: DataFrame, reads: DataFrame, hot_writes: HotKeys = NOT_HOT
-) -> DataFrame:
-    """Writes of a table that no other job reads.
+def handoffs(tagged: DataFrame, producers: DataFrame | None = None) -> DataFrame:
+    """producer -> consumer for every table that joins two different jobs and is not kept.
 
-    The first and last reader of a table tell whether anyone but the writer reads it, so the join has
-    one row per table and makes no pairs.
+    ``producers`` narrows the writing side. Consumer columns get the prefix ``c_``. No key has more
+    rows, in or out, than ``pairs_per_table``.
     """
-    readers = reads.groupBy("table_name").agg(
-        F.min("job").alias("_first"), F.max("job").alias("_last")
+    made = (tagged if producers is None else producers).filter(
+        (F.col("mode") == "W") & ~F.col("kept")
     )
-    only_self = F.col("_first").isNull() | (
-        (F.col("_first") == F.col("job")) & (F.col("_last") == F.col("job"))
+    used = tagged.filter((F.col("mode") == "R") & ~F.col("kept")).drop("mode", "kept")
+    used = used.select(
+        *TABLE, *[F.col(x).alias("consumer" if x == "job" else f"c_{x}") for x in _others(used)]
     )
     return (
-        skew.salted_join(writes, readers, TABLE, "left", hot_writes, _others(writes))
-        .filter(only_self)
-        .drop("_first", "_last")
+        made.drop("mode", "kept")
+        .withColumnRenamed("job", "producer")
+        .join(used, list(TABLE))
+        .filter(F.col("producer") != F.col("consumer"))
     )
 
 
-def job_edges(writes: DataFrame, reads: DataFrame) -> DataFrame:
-    """The collapsed job graph: hand-offs, external inputs, external outputs."""
-    hot_w = hot_r = heavy_tables(writes, reads)
-    crowded = crowded_tables(writes, reads)
-    table_writes = external_writes(writes, reads, hot_w)
-    table_reads = external_reads(reads, writes, hot_r)
-    if crowded is not None:
-        kept_w = on_tables(writes, crowded, "left_semi", hot_w)
-        kept_r = on_tables(reads, crowded, "left_semi", hot_r)
-        table_writes, table_reads = table_writes.unionByName(kept_w), table_reads.unionByName(kept_r)
+def job_edges(access: DataFrame) -> DataFrame:
+    """The collapsed job graph of (job, table_name, mode): hand-offs, external inputs and outputs."""
+    tagged = tag_accesses(access)
 
     def edges(rows: DataFrame, src_kind: str, src: str, dst_kind: str, dst: str) -> DataFrame:
         return rows.select(
@@ -171,11 +158,9 @@ def job_edges(writes: DataFrame, reads: DataFrame) -> DataFrame:
         )
 
     return (
-        edges(
-            handoffs(writes, reads, crowded, hot_w, hot_r), "job", "producer", "job", "consumer"
-        )
-        .unionByName(edges(table_writes, "job", "job", "table", "table_name"))
-        .unionByName(edges(table_reads, "table", "table_name", "job", "job"))
+        edges(handoffs(tagged), "job", "producer", "job", "consumer")
+        .unionByName(edges(kept_writes(tagged), "job", "job", "table", "table_name"))
+        .unionByName(edges(kept_reads(tagged), "table", "table_name", "job", "job"))
     )
 
 

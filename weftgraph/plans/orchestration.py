@@ -212,18 +212,15 @@ def convert(
         "jobs",
     )
     # The indexes know every component, also those that become no node.
-    writes = stage(_touched(jobs, "ingestion", "output_table", "sql_targets"), "writes")
-    reads = stage(_touched(jobs, "reverse_etl", "source_table", "sql_sources"), "reads")
-    own_writes, own_reads = writes.filter("emitted"), reads.filter("emitted")
-    hot_w = hot_r = graph.heavy_tables(writes, reads)
-
-    crowded = graph.crowded_tables(writes, reads)
-    consumers = reads.select(
-        "table_name",
-        "job",
-        F.col("rel_path").alias("c_path"),
-        F.col("ordinal").alias("c_ordinal"),
+    access = stage(
+        graph.accesses(
+            _touched(jobs, "ingestion", "output_table", "sql_targets"),
+            _touched(jobs, "reverse_etl", "source_table", "sql_sources"),
+        ),
+        "access",
     )
+    tagged = graph.tag_accesses(access)
+    own = tagged.filter("emitted")
 
     def dep(direction: str, ref: Column, slot="slot", pos="pos", path=F.lit(""), at=F.lit(0)):
         slot, pos = (x if isinstance(x, Column) else F.col(x) for x in (slot, pos))
@@ -255,24 +252,18 @@ def convert(
                 F.lit(0),
             )
         )
-        .unionByName(graph.external_reads(own_reads, writes, hot_r).select(*dep("up", table)))
-        .unionByName(
-            graph.on_tables(own_reads, crowded, "left_semi", hot_r).select(*dep("up", table))
-        )
-        .unionByName(
-            graph.on_tables(own_writes, crowded, "left_semi", hot_w).select(*dep("down", table))
-        )
+        .unionByName(graph.kept_reads(own).select(*dep("up", table)))
+        .unionByName(graph.kept_writes(own).select(*dep("down", table)))
         .unionByName(
-            graph.handoffs(own_writes, consumers, crowded, hot_w, hot_r).select(
+            graph.handoffs(tagged, own).select(
                 *dep(
                     "down",
                     graph.node_ref(name, F.lit("Job"), F.col("consumer")),
-                    path=F.col("c_path"),
+                    path=F.col("c_rel_path"),
                     at=F.col("c_ordinal"),
                 )
             )
         )
-        .unionByName(graph.external_writes(own_writes, reads, hot_w).select(*dep("down", table)))
         .unionByName(
             resolved.select(
                 *dep(

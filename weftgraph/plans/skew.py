@@ -88,6 +88,19 @@ def find_hot(df: DataFrame, columns: Sequence[str], limit: int | None = None) ->
     return HotKeys(tuple(columns), {r["k"]: -(-r["count"] // limit) for r in heavy})
 
 
+def hot_of(counts: DataFrame, columns: Sequence[str], n: str = "n") -> HotKeys:
+    """The same from exact counts per key that are at hand: a table with one row per key."""
+    limit = rows_per_split(counts.sparkSession)
+    total, most = counts.agg(F.sum(n), F.max(n)).first()
+    if most is None or most <= limit:
+        return HotKeys(tuple(columns))
+    # No more than 1 / SUPPORT keys can pass this.
+    heavy = counts.filter((F.col(n) > limit) & (F.col(n) >= SUPPORT * total)).select(
+        F.xxhash64(*columns).alias("k"), F.col(n).alias("n")
+    )
+    return HotKeys(tuple(columns), {r["k"]: -(-r["n"] // limit) for r in heavy.collect()})
+
+
 def piece(spread: Sequence[str], pieces: Column) -> Column:
     return F.pmod(F.xxhash64(*spread), pieces.cast("long")).cast("int")
 

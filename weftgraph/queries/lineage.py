@@ -87,36 +87,15 @@ def access(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def side(access_rows: DataFrame, mode: str) -> DataFrame:
-    return access_rows.filter(F.col("mode") == mode).select("job", "table_name")
-
-
-def writes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return side(access(spark, sf_dir), "W")
-
-
-def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return side(access(spark, sf_dir), "R")
-
-
-def staged_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Writes and reads from one written access table: line items are scanned and reduced once."""
-    rows = stage_table(access(spark, sf_dir), "access")
-    return side(rows, "W"), side(rows, "R")
+def staged_access(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The accesses as a written table: line items are scanned and reduced once."""
+    return stage_table(access(spark, sf_dir), "access")
 
 
 def lake_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One Pipeline node per nation, one Job node per supplier with its table and job dependencies."""
     job_rows = jobs(spark, sf_dir)
-    w, r = staged_sides(spark, sf_dir)
-    hot_w = hot_r = graph.heavy_tables(w, r)
-    crowded = graph.crowded_tables(w, r)
-    table_reads = graph.external_reads(r, w, hot_r).unionByName(
-        graph.on_tables(r, crowded, "left_semi", hot_r)
-    )
-    table_writes = graph.external_writes(w, r, hot_w).unionByName(
-        graph.on_tables(w, crowded, "left_semi", hot_w)
-    )
+    tagged = graph.tag_accesses(staged_access(spark, sf_dir))
     name = F.lit(INTEGRATION)
 
     def rank(slot: int, *parts: str):
@@ -135,7 +114,7 @@ def lake_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
             graph.node_ref(name, F.lit("Pipeline"), F.col("flow")).alias("dep"),
         )
         .unionByName(
-            table_reads.select(
+            graph.kept_reads(tagged).select(
                 "job",
                 F.lit("up").alias("direction"),
                 rank(1, "table_name").alias("rank"),
@@ -143,7 +122,7 @@ def lake_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         )
         .unionByName(
-            graph.handoffs(w, r, crowded, hot_w, hot_r).select(
+            graph.handoffs(tagged).select(
                 F.col("producer").alias("job"),
                 F.lit("down").alias("direction"),
                 rank(0, "table_name", "consumer").alias("rank"),
@@ -151,7 +130,7 @@ def lake_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         )
         .unionByName(
-            table_writes.select(
+            graph.kept_writes(tagged).select(
                 "job",
                 F.lit("down").alias("direction"),
                 rank(0, "table_name").alias("rank"),
@@ -206,10 +185,11 @@ def source_url(flow):
 
 @query("flagship", EDGES_SQL + "SELECT src_kind, src, dst_kind, dst, table_name FROM edges")
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.job_edges(*staged_sides(spark, sf_dir))
+    return graph.job_edges(staged_access(spark, sf_dir))
 
 
-def _index(access_rows: DataFrame) -> DataFrame:
+def _index(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    access_rows = staged_access(spark, sf_dir).filter(F.col("mode") == mode)
     limit = skew.items_per_list(access_rows.sparkSession)
     hot = skew.find_hot(access_rows, graph.TABLE, limit)
     return graph.table_index(access_rows, hot).select(
@@ -228,37 +208,30 @@ FROM {side} GROUP BY table_name
 
 @query("agg_producers", f"WITH {ACCESS_SQL}" + INDEX_SQL.format(side="w"))
 def agg_producers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _index(staged_sides(spark, sf_dir)[0])
+    return _index(spark, sf_dir, "W")
 
 
 @query("agg_consumers", f"WITH {ACCESS_SQL}" + INDEX_SQL.format(side="r"))
 def agg_consumers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _index(staged_sides(spark, sf_dir)[1])
+    return _index(spark, sf_dir, "R")
 
 
 @query("join_external_reads", f"WITH {ACCESS_SQL} SELECT job, table_name FROM ext_r")
 def join_external_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w, r = staged_sides(spark, sf_dir)
-    return graph.external_reads(r, w, skew.find_hot(r, graph.TABLE)).select(
-        "job", "table_name"
-    )
+    tagged = graph.tag_accesses(staged_access(spark, sf_dir))
+    return graph.kept_reads(tagged).select("job", "table_name")
 
 
 @query("join_handoff_edges", f"WITH {ACCESS_SQL} SELECT producer, consumer, table_name FROM handoff")
 def join_handoff_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w, r = staged_sides(spark, sf_dir)
-    edges = graph.job_edges(w, r).filter("src_kind = 'job' and dst_kind = 'job'")
-    return edges.select(
-        F.col("src").alias("producer"), F.col("dst").alias("consumer"), "table_name"
-    )
+    tagged = graph.tag_accesses(staged_access(spark, sf_dir))
+    return graph.handoffs(tagged).select("producer", "consumer", "table_name")
 
 
 @query("join_external_writes", f"WITH {ACCESS_SQL} SELECT job, table_name FROM ext_w")
 def join_external_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w, r = staged_sides(spark, sf_dir)
-    return graph.external_writes(w, r, skew.find_hot(w, graph.TABLE)).select(
-        "job", "table_name"
-    )
+    tagged = graph.tag_accesses(staged_access(spark, sf_dir))
+    return graph.kept_writes(tagged).select("job", "table_name")
 
 
 CALLS_SQL = """
@@ -340,7 +313,8 @@ def join_stitch(spark: SparkSession, sf_dir: str) -> DataFrame:
         .distinct()
     )
     edges = (
-        writes(spark, sf_dir)
+        access(spark, sf_dir)
+        .filter(F.col("mode") == "W")
         .select(
             F.lit("Matillion").alias("integration"),
             F.col("job").alias("node"),
