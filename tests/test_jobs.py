@@ -28,6 +28,17 @@ def test_artifacts(spark):
     assert [r["rel_path"] for r in one.collect()] == ["main.orch.yaml"]
 
 
+def test_paths(spark, tmp_path):
+    """The root's name may come again below it; names may hold blanks and plus signs."""
+    for name in ("in/x.py", "in/in/a b+c.py", "in/in/in/y.py"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("1")
+    root = str(tmp_path / "in")
+    for given in (root, root + "/", f"file://{root}", os.path.relpath(root)):
+        rows = src.read_artifacts(spark, given, "*.py", "S").collect()
+        assert {r["rel_path"] for r in rows} == {"x.py", "in/a b+c.py", "in/in/y.py"}, given
+
+
 def test_allow_list(spark):
     corpus = src.read_artifacts(spark, f"{FIXTURES}/orchestration", "*.orch.yaml", "M")
     listed = " main.orch.yaml ,, a/dup.orch.yaml,gone.orch.yaml"

@@ -59,6 +59,22 @@ def test_pushdown(spark):
     assert "ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint,l_linenumber:int,l_returnflag:string>" in scan
 
 
+def test_accesses_are_shuffled_once(spark):
+    """Where no side is small enough to be sent around, writes and reads each cross one exchange."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    access = lake.staged_access(spark, SF)
+    spark.conf.set(key, "-1")
+    try:
+        edges = graph.job_edges(access)
+        edges.collect()
+        text = plan(edges).split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set(key, before)
+    assert text.count("ReusedExchange [job") == 2
+    assert len(re.findall(r"FileScan parquet \[job", text)) == 2
+
+
 def test_no_cross_joins(spark):
     for df in (graph.job_edges(lake.access(spark, SF)), *(QUERIES[n](spark, SF) for n in ("chart_infer", "join_tab_range", "conv_nodes"))):
         text = plan(df)

@@ -99,6 +99,8 @@ def tag_accesses(access: DataFrame) -> DataFrame:
     no pair is made to find out.
     """
     spark = access.sparkSession
+    # Stated here so that all branches below ask the same of their scan and share its shuffle.
+    access = access.filter(F.col("job").isNotNull() & F.col("table_name").isNotNull())
     profile = stage_table(table_profile(access), "profile")
     hot = skew.hot_of(profile, TABLE)
     c = F.col

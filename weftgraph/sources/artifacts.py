@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,8 +41,11 @@ def stream_artifacts(spark: SparkSession, root: str, suffix: str, integration: s
 
 def _rows(files: DataFrame, root: str, integration: str) -> DataFrame:
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    # What follows the root folder, whatever scheme and slashes the path is written with.
-    tail = F.split_part(path, F.lit(root.rstrip("/").split("://")[-1]), F.lit(-1))
+    # What follows the first mention of the root, whatever scheme and slashes the path is written with.
+    base = root.split("://")[-1].rstrip("/")
+    if os.path.exists(base):
+        base = os.path.abspath(base)
+    tail = path.substr(F.locate(base, path) + len(base), F.lit(2**30))
     rel = F.regexp_replace(tail, r"^/+", "")
     return files.select(
         F.lit(integration).alias("integration"),
