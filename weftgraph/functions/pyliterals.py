@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import ast
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -78,3 +80,7 @@ def python_literals(source: Column) -> Column:
 
     # Kept from being copied into filters above it, which would run Python once per mention.
     return extract.asNondeterministic()(source)
+
+
+# The functions above travel inside the job, so workers need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

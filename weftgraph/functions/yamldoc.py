@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -47,3 +49,7 @@ def yaml_documents(text: Column) -> Column:
 
     # Kept from being copied into filters above it, which would run Python once per mention.
     return convert.asNondeterministic()(text)
+
+
+# The functions above travel inside the job, so workers need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
