@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.llm import mixing, sharding
+from weftgraph.llm import bpe, langid, mixing, sharding
+from weftgraph.llm.words import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +25,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", fold(F.col("doc_id"), 4, 2))
+    model = langid.fit(docs.where("doc_id is not null and not held_out"))
+    return langid.predict(docs.select("doc_id", "text", "held_out"), model).drop("text")
+
+
+@query
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document and the text they decode to, as digests."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = tokenizer("byte_bpe_50k.json")
+    coded = bpe.decode(bpe.encode(docs, path).drop("text"), path)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that the mix takes."""

@@ -47,8 +47,10 @@ def coded(words: pa.Array) -> tuple[np.ndarray, pa.Array]:
 
 
 def blocks(batch: pa.RecordBatch, column: str, most: int = 4 << 20):
-    """Parts of a batch with about ``most`` bytes of text each; a longer text stands alone."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    """Parts of a batch with about ``most`` bytes of text (or items of lists) each; a longer one stands alone."""
+    values = batch.column(column)
+    size = pc.list_value_length if pa.types.is_list(values.type) else pc.binary_length
+    sizes = pc.fill_null(size(values), 0).to_numpy(zero_copy_only=False)
     begin, total = 0, 0
     for i, n in enumerate(sizes):
         if total and total + n > most:
