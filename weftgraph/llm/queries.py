@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.llm import bpe, langid, mixing, sharding
+from weftgraph.llm import bpe, langid, mixing, repetition, sharding
 from weftgraph.llm.words import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,12 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base figures and verdict of every document."""
+    return repetition.judge(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 @query
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that the mix takes."""
