@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.llm import bpe, langid, mixing, repetition, sharding
+from weftgraph.llm import bpe, langid, maintext, mixing, repetition, sharding
 from weftgraph.llm.words import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,13 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("row.doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op7_maintext(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = maintext.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @query
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shard of every document."""
