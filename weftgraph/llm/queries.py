@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.llm import bpe, langid, maintext, mixing, repetition, sharding
+from weftgraph.llm import bpe, langid, maintext, mixing, repetition, sharding, warc
 from weftgraph.llm.words import fold
+from weftgraph.session import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +68,15 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("row.doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of all pages, written to the shared folder and read back."""
+    path = fresh_path(spark, "archives")
+    warc.write_archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
+    rows = warc.resolve(warc.assemble(spark, path, payload=False))
+    return rows.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op7_maintext(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
@@ -81,4 +91,18 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(docs, "doc_id", sharding.shard_names())
 
 
-ORACLES |= {"op5_mixing": mixing.SQL, "op8_sharding": sharding.sql()}
+WARC_SQL = """
+WITH captured AS (
+  SELECT page_id, url, coalesce(html, '') AS payload, octet_length(encode(coalesce(html, ''))) AS bytes,
+         sha256(coalesce(html, '')) AS digest
+  FROM pages
+), firsts AS (
+  SELECT digest, min(page_id) AS first_id FROM captured WHERE bytes >= 100 GROUP BY digest
+)
+SELECT c.page_id, c.bytes AS payload_bytes, c.digest AS payload_digest,
+       CASE WHEN f.first_id IS NULL OR f.first_id = c.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN f.first_id <> c.page_id THEN f.first_id END AS refers_to
+FROM captured c LEFT JOIN firsts f ON c.digest = f.digest AND c.bytes >= 100
+"""
+
+ORACLES |= {"op5_mixing": mixing.SQL, "op6_warc": WARC_SQL, "op8_sharding": sharding.sql()}
