@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.llm import bpe, langid, maintext, mixing, repetition, sharding, warc
+from weftgraph.llm import bpe, langid, maintext, mixing, neighbours, repetition, sharding, warc
 from weftgraph.llm.words import fold
 from weftgraph.session import fresh_path
 
@@ -41,6 +41,12 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "text", "held_out"), model).drop("text")
 
 
+@query
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest found of every fiftieth vector."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 @query
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the text they decode to, as digests."""
