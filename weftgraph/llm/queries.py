@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.llm import bpe, langid, maintext, mixing, neighbours, repetition, sharding, warc
+from weftgraph.llm import bpe, hmm, langid, maintext, mixing, neighbours, repetition, sharding, warc
 from weftgraph.llm.words import fold
 from weftgraph.session import fresh_path
 
@@ -97,6 +97,15 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(docs, "doc_id", sharding.shard_names())
 
 
+@query
+def op10_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document, by the model of those that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = fold(F.col("doc_id"), 5, 1)
+    scores = hmm.score(docs.withColumn("learn", F.col("doc_id").isNotNull() & ~held), "learn")
+    return scores.withColumn("held_out", held)
+
+
 WARC_SQL = """
 WITH captured AS (
   SELECT page_id, url, coalesce(html, '') AS payload, octet_length(encode(coalesce(html, ''))) AS bytes,

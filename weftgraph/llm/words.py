@@ -47,15 +47,17 @@ def coded(words: pa.Array) -> tuple[np.ndarray, pa.Array]:
 
 
 def blocks(batch: pa.RecordBatch, column: str, most: int = 4 << 20):
-    """Parts of a batch with about ``most`` bytes of text (or items of lists) each; a longer one stands alone."""
+    """Parts of a batch with about ``most`` bytes of text (or items of lists) each; a longer one stands alone.
+
+    They are copies, no slices: Arrow's functions on text can misread where a slice begins."""
     values = batch.column(column)
     size = pc.list_value_length if pa.types.is_list(values.type) else pc.binary_length
     sizes = pc.fill_null(size(values), 0).to_numpy(zero_copy_only=False)
     begin, total = 0, 0
     for i, n in enumerate(sizes):
         if total and total + n > most:
-            yield batch.slice(begin, i - begin)
+            yield batch.take(pa.array(np.arange(begin, i)))
             begin, total = i, 0
         total += int(n)
     if begin < batch.num_rows:
-        yield batch.slice(begin)
+        yield batch.take(pa.array(np.arange(begin, batch.num_rows))) if begin else batch
