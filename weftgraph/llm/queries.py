@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.llm import bpe, hmm, langid, maintext, mixing, neighbours, repetition, sharding, warc
+from weftgraph.llm import bpe, hmm, langid, maintext, mixing, neighbours, partenum, repetition, sharding, warc
 from weftgraph.llm.words import fold
 from weftgraph.session import fresh_path
 
@@ -97,6 +97,14 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(docs, "doc_id", sharding.shard_names())
 
 
+@query
+def op9_partenum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = partenum.near_duplicates(docs, width=4, percent=85)
+    return found.select("doc_id", F.col("size").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
 @query
 def op10_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log10 probability of every document, by the model of those that are not held out."""
