@@ -34,6 +34,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weftgraph.llm.components import components
 from weftgraph.llm.words import blocks, coded, split_words
@@ -434,10 +435,9 @@ def likely(classes, parts, sizes, slices, own, two: bool, percent: int, all_: bo
     return np.concatenate(out_a), np.concatenate(out_b)
 
 
-def near_duplicates(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80
-) -> DataFrame:
-    """(key, size, component) of every text: the number of its shingles and the least key its links reach."""
+def _resolve(docs: DataFrame, key: str, text: str, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(key, size, class) of every text, and (class, label, part): every class that is not empty with its
+    least key and its component. Both are written tables."""
     rows = stage_table(_classes(docs, width, key, text), "texts")
     sizes = stage_table(
         rows.where("size > 0").groupBy("class").agg(F.min("key").alias("label"), F.max("size").alias("size")), "classes"
@@ -463,10 +463,59 @@ def near_duplicates(
     named = sizes.join(parts, F.col("class") == F.col("node"), "left").select(
         "class", "label", F.coalesce("component", "class").alias("part")
     )
-    least = named.groupBy("part").agg(F.min("label").alias("component")).withColumnRenamed("part", "p")
-    named = stage_table(
-        named.join(least, F.col("part") == F.col("p")).select(F.col("class").alias("c"), "component"), "components"
-    )
+    return rows, stage_table(named, "components")
+
+
+def near_duplicates(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80
+) -> DataFrame:
+    """(key, size, component) of every text: the number of its shingles and the least key its links reach."""
+    rows, named = _resolve(docs, key, text, width, percent)
+    least = named.groupBy(F.col("part").alias("p")).agg(F.min("label").alias("component"))
+    named = named.join(least, F.col("part") == F.col("p")).select(F.col("class").alias("c"), "component")
+    named = stage_table(named, "components")
     return rows.join(named, (F.col("class") == F.col("c")) & (F.col("size") > 0), "left").select(
         F.col("key").alias(key), "size", F.when(F.col("size") > 0, F.col("component")).otherwise(F.col("key")).alias("component")
     )
+
+
+def one_per_group(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80
+) -> DataFrame:
+    """The rows of ``docs``, one of each group of near duplicates: the one with the least key, null last; of
+    several with that key and that set, one. Rows without words are in no group and stay.
+
+    A task passes on a row only if its key is less than those of all copies it has met, so a text with many
+    copies has few rows left when they are brought together.
+    """
+    _, named = _resolve(docs, key, text, width, percent)
+    rank = F.struct(F.col("label").isNull(), "label", "class")
+    keepers = named.groupBy("part").agg(F.min_by(F.struct("class", "label"), rank).alias("k"))
+    keepers = stage_table(keepers.select("k.class", F.col("k.label").alias("label")), "keepers")
+    rows = docs.select(F.struct("*").alias("row"), docs[f"`{key}`"].alias("key"), docs[f"`{text}`"].alias("text"))
+    fields = [*rows.schema.fields, T.StructField("size", T.LongType()), T.StructField("digest", T.LongType())]
+    names = [f.name for f in fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least: dict[int, object] = {}
+        for batch in batches:
+            for part in blocks(batch, "text"):
+                bounds, shingles = shingle_sets(part.column("text"), width)
+                sizes, digests = np.diff(bounds), set_digests(bounds, shingles)
+                kept = []
+                for i, (n, d, k) in enumerate(zip(sizes.tolist(), digests.tolist(), part.column("key").to_pylist())):
+                    if n and d in least and (k is None or (least[d] is not None and k >= least[d])):
+                        continue
+                    least[d] = k
+                    kept.append(i)
+                take = pa.array(kept, pa.int64())
+                columns = [*part.take(take).columns, pa.array(sizes).take(take), _long(digests).take(take)]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    made = rows.mapInArrow(run, T.StructType(fields))
+    # Rows without words share a digest but are no group: they are spread by their key.
+    made = made.withColumn("at", F.when(F.col("size") > 0, F.col("digest")).otherwise(F.xxhash64("key")))
+    both = made.join(keepers, (F.col("at") == F.col("class")) & (F.col("size") > 0), "left")
+    kept = both.where((F.col("size") == 0) | (F.col("class").isNotNull() & F.col("key").eqNullSafe(F.col("label"))))
+    nth = F.row_number().over(Window.partitionBy("at", "key").orderBy("text"))
+    return kept.withColumn("nth", nth).where("size = 0 or nth = 1").select("row.*")
