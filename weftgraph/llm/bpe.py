@@ -11,14 +11,13 @@ have joined them across the seam.
 
 Texts are cut as byte-level pre-tokenization does it; added tokens of the file are found first, as the
 tokenizer does. Null texts are empty and have no ids; an id outside the vocabulary decodes to nothing;
-bytes that are no UTF-8 decode to replacement characters. Columns beside text and ids are carried along
-and may have any name but those of the results.
+bytes that are no UTF-8 decode to replacement characters. Other columns are carried along; one named
+like a result gives way to it.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
@@ -28,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from weftgraph.llm.words import blocks
+from weftgraph.llm.words import attach
 
 #: The pattern of byte-level pre-tokenization.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -162,39 +161,35 @@ class Codec:
         return [str(data[a:b], "utf-8", "replace") for a, b in zip(at[:-1], at[1:])]
 
 
-def _over(docs: DataFrame, vocabulary: dict, column: str, result: str, kind, fn) -> DataFrame:
-    if result in docs.columns:
-        raise ValueError(f"column exists already: {result}")
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    schema = T.StructType([*docs.schema.fields, T.StructField(result, kind)])
+def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
+    """``docs`` with the ids of every text."""
+    shared = docs.sparkSession.sparkContext.broadcast(load(path))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def maker():
         codec = Codec(shared.value)
-        for batch in batches:
-            for part in blocks(batch, column):
-                made = fn(codec, part.column(column))
-                yield pa.RecordBatch.from_arrays([*part.columns, made], [*part.schema.names, result])
-
-    return docs.mapInArrow(run, schema)
 
+        def make(texts: pa.Array) -> list[pa.Array]:
+            lists = [np.asarray(codec.encode(t or ""), dtype=np.int32) for t in texts.to_pylist()]
+            ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
+            return [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *lists])))]
 
-def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with the ids of every text."""
+        return make
 
-    def make(codec: Codec, texts: pa.Array) -> pa.Array:
-        lists = [np.asarray(codec.encode(t or ""), dtype=np.int32) for t in texts.to_pylist()]
-        bounds = np.concatenate(([0], np.cumsum([len(x) for x in lists]))).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(lists or [np.zeros(0, np.int32)])))
-
-    return _over(docs, load(path), text, ids, T.ArrayType(T.IntegerType()), make)
+    return attach(docs, text, [T.StructField(ids, T.ArrayType(T.IntegerType()))], maker)
 
 
 def decode(docs: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``docs`` with the text of every list of ids; a null list is empty."""
+    shared = docs.sparkSession.sparkContext.broadcast(load(path))
+
+    def maker():
+        codec = Codec(shared.value)
+
+        def make(lists: pa.Array) -> list[pa.Array]:
+            ends = np.cumsum([0, *pc.fill_null(pc.list_value_length(lists), 0).to_pylist()])
+            items = pc.fill_null(lists.flatten(), -1).to_numpy()
+            return [pa.array(codec.decode(items.astype(np.int64), ends.astype(np.int64)), pa.string())]
 
-    def make(codec: Codec, lists: pa.Array) -> pa.Array:
-        flat = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())])
-        items = pc.fill_null(lists.flatten(), -1).to_numpy()
-        return pa.array(codec.decode(items.astype(np.int64), flat.astype(np.int64)), pa.string())
+        return make
 
-    return _over(docs, load(path), ids, decoded, T.StringType(), make)
+    return attach(docs, ids, [T.StructField(decoded, T.StringType())], maker)

@@ -11,14 +11,12 @@ language, so that it can be broadcast whatever the size of the corpus. Every tex
 
 Null texts and texts without a letter are ``und`` with score 0, as is every text if no row is labelled. A
 tie goes to the language first in code point order. Rows with a null language are predicted but never
-learned from. Repeated rows are judged alike. Other columns are carried along under any name but those of
-the results.
+learned from. Repeated rows are judged alike. Other columns are carried along; one named
+like a result gives way to it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -26,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftgraph.llm.words import blocks, coded, split_words
+from weftgraph.llm.words import attach, coded, split_words
 from weftgraph.session import stage_table
 
 TRAIN_ROWS = 4000
@@ -141,19 +139,15 @@ def predict(
 ) -> DataFrame:
     """``docs`` with the language of every text and how clearly it wins: 10 to the power of minus the mean
     score, as a share of all languages'."""
-    if {lang, score} & set(docs.columns):
-        raise ValueError(f"columns exist already: {lang}, {score}")
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType(
-        [*docs.schema.fields, T.StructField(lang, T.StringType()), T.StructField(score, T.DoubleType())]
-    )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def maker():
         judge = Judge(shared.value)
-        for batch in batches:
-            for part in blocks(batch, text):
-                names, scores = judge.texts(part.column(text))
-                made = [*part.columns, pa.array(names, pa.string()), pa.array(scores)]
-                yield pa.RecordBatch.from_arrays(made, names=[*part.schema.names, lang, score])
 
-    return docs.mapInArrow(run, schema)
+        def make(texts: pa.Array) -> list[pa.Array]:
+            names, scores = judge.texts(texts)
+            return [pa.array(names, pa.string()), pa.array(scores)]
+
+        return make
+
+    return attach(docs, text, [T.StructField(lang, T.StringType()), T.StructField(score, T.DoubleType())], maker)

@@ -11,7 +11,7 @@ threshold gives the subtree with its own greatest sum.
 Text is joined per block, in page order; white space inside a block is one space. Null and empty pages give
 an empty text, plain text without tags is one block, unclosed elements end with their parent, unknown
 character references stay as they are. A page is read as a whole in time in proportion to its length.
-Repeated rows give equal texts. Other columns are carried along under any name but that of the result.
+Repeated rows give equal texts. Other columns are carried along; one named like the result gives way to it.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from weftgraph.llm.words import blocks
+from weftgraph.llm.words import attach
 
 TOKEN = re.compile(
     r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)"
@@ -302,14 +302,8 @@ def main_text(page: str | None) -> str:
 
 def extract(pages: DataFrame, column: str = "html", result: str = "text") -> DataFrame:
     """``pages`` with the main text of every page."""
-    if result in pages.columns:
-        raise ValueError(f"column exists already: {result}")
-    schema = T.StructType([*pages.schema.fields, T.StructField(result, T.StringType())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in blocks(batch, column):
-                made = pa.array([main_text(page) for page in part.column(column).to_pylist()], pa.string())
-                yield pa.RecordBatch.from_arrays([*part.columns, made], names=schema.names)
+    def make(texts: pa.Array) -> list[pa.Array]:
+        return [pa.array([main_text(page) for page in texts.to_pylist()], pa.string())]
 
-    return pages.mapInArrow(run, schema)
+    return attach(pages, column, [T.StructField(result, T.StringType())], lambda: make)

@@ -9,20 +9,18 @@ Many texts share one array: a suffix begins with the number of its text, so text
 by itself. Ranks double in length from round to round, only for suffixes that are not yet told apart.
 
 Null and empty texts have no words and fail the base rules; a line without a word is no duplicate; repeated
-rows are judged alike. Other columns are carried along under any name but those of the results.
+rows are judged alike. Other columns are carried along; one named like a result gives way to it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from weftgraph.llm.words import blocks, coded, split_words
+from weftgraph.llm.words import attach, coded, split_words
 
 FEWEST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
@@ -168,14 +166,4 @@ def judge_texts(
 
 def judge(docs: DataFrame, text: str = "text", **limits) -> DataFrame:
     """``docs`` with the base figures, the repeats and the verdict of every text."""
-    if set(RESULTS.names) & set(docs.columns):
-        raise ValueError(f"columns exist already: {sorted(set(RESULTS.names) & set(docs.columns))}")
-    schema = T.StructType([*docs.schema.fields, *RESULTS.fields])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in blocks(batch, text):
-                made = judge_texts(part.column(text), **limits).flatten()
-                yield pa.RecordBatch.from_arrays([*part.columns, *made], names=schema.names)
-
-    return docs.mapInArrow(run, schema)
+    return attach(docs, text, RESULTS.fields, lambda: lambda texts: judge_texts(texts, **limits).flatten())

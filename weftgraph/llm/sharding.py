@@ -6,7 +6,7 @@ none is left. A key is placed by its digest modulo the size: one look-up. When s
 slots keep their shard. The table has ``slots`` rows whatever the data, so it is broadcast.
 
 A null key has the slot of the empty text; repeated rows share a shard; an empty table stays empty. Columns
-of the input keep their names and values; names of the result are parameters.
+of the input keep their names and values; one named like a result gives way to it.
 """
 
 from __future__ import annotations
@@ -66,15 +66,16 @@ def slot_of(key: Column, slots: int = SLOTS) -> Column:
 def place(
     df: DataFrame, key: str, shards: list[str], slots: int = SLOTS, slot: str = "slot", shard: str = "shard"
 ) -> DataFrame:
-    """``df`` with the slot and the shard of every row; no shuffle. A column of the same name is refused."""
-    taken = {c.lower() for c in df.columns} & {slot.lower(), shard.lower()}
-    if taken or any("," in name for name in shards):
-        raise ValueError(f"columns exist already: {sorted(taken)}" if taken else "a shard's name has a comma")
+    """``df`` with the slot and the shard of every row; no shuffle."""
+    if any("," in name for name in shards):
+        raise ValueError("a shard's name has a comma")
+    kept = [c for c in df.columns if c.lower() not in (slot.lower(), shard.lower())]
     table = lookup_table(df.sparkSession, shards, slots)
-    table = table.select(F.col("slot").alias("_claimed_slot"), F.col("shard").alias("_claimed_by"))
-    row = df.select(F.struct("*").alias("row"), slot_of(df[f"`{key}`"], slots).alias("_slot"))
-    out = row.join(F.broadcast(table), F.col("_slot") == F.col("_claimed_slot"))
-    return out.select("row.*", F.col("_slot").alias(slot), F.col("_claimed_by").alias(shard))
+    table = table.select(F.col("slot").alias("claimed_slot"), F.col("shard").alias("claimed_by"))
+    row = F.struct(F.lit(0).alias("nothing"), *[df[f"`{c}`"] for c in kept]).alias("row")
+    out = df.select(row, slot_of(df[f"`{key}`"], slots).alias("at"))
+    out = out.join(F.broadcast(table), F.col("at") == F.col("claimed_slot"))
+    return out.select(*[F.col(f"row.`{c}`") for c in kept], F.col("at").alias(slot), F.col("claimed_by").alias(shard))
 
 
 def write_shards(placed: DataFrame, path: str, shard: str = "shard", most_rows: int = 1_000_000) -> None:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A word: code points other than space and the five ASCII controls from tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -61,3 +64,26 @@ def blocks(batch: pa.RecordBatch, column: str, most: int = 4 << 20):
         total += int(n)
     if begin < batch.num_rows:
         yield batch.take(pa.array(np.arange(begin, batch.num_rows))) if begin else batch
+
+
+def attach(
+    df: DataFrame, column: str, results: list[T.StructField], maker: Callable[[], Callable[[pa.Array], list[pa.Array]]]
+) -> DataFrame:
+    """``df`` with columns made from one of its columns. ``maker`` is called once per task and gives the
+    function that makes them for a block of rows. An input column named like a result gives way to it."""
+    taken = {f.name.lower() for f in results}
+    at = df.columns.index(column)
+    rows = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    made = [T.StructField(f"r{i}", f.dataType) for i, f in enumerate(results)]
+    schema = T.StructType([*rows.schema.fields, *made])
+    names = schema.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make = maker()
+        for batch in batches:
+            for part in blocks(batch, f"c{at}"):
+                yield pa.RecordBatch.from_arrays([*part.columns, *make(part.column(at))], names=names)
+
+    kept = [F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns) if c.lower() not in taken]
+    new = [F.col(f"r{i}").alias(f.name) for i, f in enumerate(results)]
+    return rows.mapInArrow(run, schema).select(*kept, *new)
