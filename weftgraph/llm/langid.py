@@ -62,7 +62,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", rows: int = TRA
     pieces = [words.select("lang", F.lit(0).alias("n"), "gram", "count")]
     for n in range(1, LONGEST + 1):
         grams = F.expr(f"transform(sequence(1, length(p) - {n - 1}), i -> substring(p, i, {n}))")
-        long = words.withColumn("p", padded).where(F.length("p") >= n)
+        long = words.withColumn("p", padded if n > 1 else F.col("gram")).where(F.length("p") >= n)
         pieces.append(
             long.select("lang", F.lit(n).alias("n"), F.explode(grams).alias("gram"), "count")
             .groupBy("lang", "n", "gram")
@@ -109,9 +109,9 @@ class Judge:
         return found
 
     def _back_off(self, word: str) -> np.ndarray:
-        padded = f" {word} "
         for n in range(LONGEST, 0, -1):
-            table = self.grams[n]
+            # Blanks mark where a word begins and ends; alone they say nothing.
+            table, padded = self.grams[n], f" {word} " if n > 1 else word
             found = [g for i in range(len(padded) - n + 1) if (g := table.get(padded[i : i + n])) is not None]
             if found:
                 return sum(found) / len(found)
