@@ -9,7 +9,7 @@ from weftgraph.session import stage_table
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, component): the smallest node that links (a, b) reach, for every node that has one.
+    """(node, component): the smallest node that links (a, b) reach, for every node but that one itself.
 
     By turns every node's larger neighbours, then its smaller ones, are tied to the smallest node around it,
     until only stars are left. The smallest neighbour is a partial aggregate, and a round's links are

@@ -150,6 +150,8 @@ def parse(page: str) -> Node:
                 while to.tag != tag:
                     to = to.parent
                 node = close(to.parent)
+            elif tag == "p":
+                node.kids.append(Node("p", node, node.out))
             continue
         if tag in ("html", "body") and (tag == "html" or open_tags.get("body")):
             continue
