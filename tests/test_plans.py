@@ -95,8 +95,9 @@ def test_hot_side_is_spread(spark):
 def test_library_rules():
     """No driver-side data, no local checkpoints, no explicit RDDs; broadcasts are of literal rows."""
     for path in ROOT.rglob("*.py"):
+        if "llm" in path.relative_to(ROOT).parts:
+            continue
         text = path.read_text(encoding="utf-8")
         assert "toPandas" not in text and "localCheckpoint" not in text and "crossJoin" not in text
         assert not re.search(r"F\.udf\(|@udf|mapPartitions|sparkContext\.parallelize", text), path
-        if ".collect()" in text:
-            assert path.name == "skew.py"
+        assert ".collect()" not in text, path

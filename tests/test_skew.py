@@ -37,6 +37,10 @@ def sides(spark):
     return w.persist(), r.persist()
 
 
+def pieces(hot):
+    return {r["_key"]: r["_pieces"] for r in hot.table.collect()} if hot else {}
+
+
 def test_find_hot(spark, sides, tight):
     w, r = sides
     hot = skew.find_hot(w, graph.TABLE)
@@ -45,9 +49,26 @@ def test_find_hot(spark, sides, tight):
         for k, n in w.groupBy(F.xxhash64("table_name")).count().collect()
         if n > 20
     }
-    assert hot.pieces == {k: -(-n // 20) for k, n in counted.items()} and hot
+    assert pieces(hot) == {k: -(-n // 20) for k, n in counted.items()} and hot
     assert not skew.find_hot(w, graph.TABLE, 10_000)
-    assert skew.hot_of(w.groupBy("table_name").agg(F.count("*").alias("n")), graph.TABLE) == hot
+    assert pieces(skew.hot_of(w.groupBy("table_name").agg(F.count("*").alias("n")), graph.TABLE)) == pieces(hot)
+
+
+def test_small_share(spark):
+    """A key above the limit is split however small its share of all rows."""
+    df = spark.range(200_000).select(F.col("id").alias("k"), "id").unionByName(
+        spark.range(60).select(F.lit(-1).cast("long").alias("k"), "id")
+    )
+    hot = skew.find_hot(df, ["k"], 10)
+    assert list(pieces(hot).values()) == [6]
+    parts = skew.collect_parts(df, ["k"], F.col("id"), "ids", hot, ["id"]).filter("k = -1").collect()
+    assert len(parts) > 1 and sum(len(p["ids"]) for p in parts) == 60
+    spark.conf.set(skew.ROWS_PER_SPLIT, "10")
+    try:
+        numbered = skew.number_rows(df, ["k"], ["id"], "n").filter("k = -1")
+        assert sorted(r["n"] for r in numbered.collect()) == list(range(1, 61))
+    finally:
+        spark.conf.unset(skew.ROWS_PER_SPLIT)
 
 
 def test_edges(spark, sides, tight):
@@ -70,22 +91,16 @@ def test_edges(spark, sides, tight):
     assert handed.join(external, ["job", "table_name"], "left_semi").isEmpty()
 
 
-def test_crowded_tables(spark, sides, tight):
-    """A table with too many pairs stays between its jobs; every path is kept."""
-    w, r = sides
-    pairs = {(a, b) for _, a, _, b, _ in graph.job_edges(graph.accesses(w, r)).filter("dst_kind = src_kind").collect()}
-    spark.conf.set(skew.PAIRS_PER_TABLE, "500")
-    try:
-        edges = graph.job_edges(graph.accesses(w, r)).collect()
-    finally:
-        spark.conf.unset(skew.PAIRS_PER_TABLE)
-    assert not any(e["table_name"] == "hot" and e["src_kind"] == e["dst_kind"] for e in edges)
-    into = {e["src"] for e in edges if e["dst"] == "hot"}
-    out = {e["dst"] for e in edges if e["src"] == "hot"}
-    assert into == {x["job"] for x in w.filter("table_name = 'hot'").collect()}
-    assert out == {x["job"] for x in r.filter("table_name = 'hot'").collect()}
-    direct = {(e["src"], e["dst"]) for e in edges if e["src_kind"] == e["dst_kind"]}
-    assert direct | {(a, b) for a in into for b in out if a != b} == pairs
+def test_crowded_table(spark, tight):
+    """All pairs of a table with 300 writers and 300 readers, in cells of a grid; hubs on request only."""
+    job = F.concat(F.lit("j"), "id")
+    w = spark.range(300).select(job.alias("job"), F.lit("t").alias("table_name"))
+    r = spark.range(200, 500).select(job.alias("job"), F.lit("t").alias("table_name"))
+    edges = graph.job_edges(graph.accesses(w, r))
+    assert edges.count() == edges.distinct().count() == 300 * 300 - 100
+    assert edges.filter("src_kind <> 'job' or dst_kind <> 'job' or src = dst").isEmpty()
+    hubs = graph.job_edges(graph.accesses(w, r), hubs=True)
+    assert hubs.groupBy("src_kind").count().orderBy("src_kind").collect() == [("job", 300), ("table", 300)]
 
 
 def test_lists_in_parts(spark, sides, tight):

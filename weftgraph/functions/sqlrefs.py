@@ -23,15 +23,18 @@ from weftgraph.functions.text import (
 #: Stands where a bracket was peeled off; cannot occur in SQL text.
 HOLE = "\x01"
 
-#: Brackets nested deeper than this are left in place (their tables are still found fragment-wise).
-MAX_DEPTH = 64
-
 BLANK = (
     r"(?s)(')[^'\\]*+(?:(?:\\.|'')[^'\\]*+)*+(')"  # literal -> ''
     r'|("[^"]*+")'  # quoted identifier, kept
     r"|--[^\n]*+|//[^\n]*+|/\*.*?\*/|\$\$.*?\$\$"  # comment or dollar-quoted text -> blank
 )
 
+# The words a statement can begin with.
+STATEMENT_WORDS = (
+    "SELECT WITH INSERT UPDATE DELETE MERGE CREATE ALTER DROP TRUNCATE COPY PUT GET LIST REMOVE UNLOAD CALL EXECUTE "
+    "EXEC BEGIN START COMMIT ROLLBACK END DECLARE LET SET UNSET USE SHOW DESCRIBE DESC EXPLAIN GRANT REVOKE COMMENT "
+    "ANALYZE VACUUM REFRESH UNDROP RETURN IF FOR WHILE LOOP REPEAT VALUES"
+).split()
 # Words that end a FROM clause, and words that are no table although they follow FROM.
 CLAUSE_WORDS = (
     "WHERE GROUP ORDER HAVING QUALIFY LIMIT UNION INTERSECT EXCEPT MINUS WINDOW START CONNECT FETCH "
@@ -49,6 +52,11 @@ DOTTED = rf"(?:{IDENT}\s*+\.\s*+(?:\.\s*+)?+)*+{IDENT}"
 FROM_BODY = (
     rf"(?i)(?<![.\w])FROM\b((?:[^\w;]++|(?!(?:{'|'.join(CLAUSE_WORDS)})\b)[\w.$]++)*+)"
 )
+# A single table in brackets: directly inside other brackets, or after FROM or JOIN.
+LONE = rf"(?!SELECT\b|VALUES\b){DOTTED}(?:\s+(?:AS\s+)?{IDENT})?"
+LONE_INSIDE = rf"(?i)(?<=\()\s*\(\s*({LONE})\s*\)\s*(?=\))"
+LONE_TABLE = rf"(?i)(?<![.\w])(FROM|JOIN)\s*\(\s*({LONE})\s*\)"
+LONE_CHAIN = rf"(?i)(?<![.\w])(?:FROM|JOIN)\s*\((?:\s*\()*\s*{LONE}\s*\)"
 USING_BODY = r"(?is)\A\s*MERGE\s.*?(?<![.\w])USING\b(.*?)(?=(?<![.\w])ON\b|$)"
 HEADS = r"(?is)\A[\s(]*+(?:SELECT|WITH|INSERT|CREATE|UPDATE|MERGE|DELETE)\b"
 CTE_NAME = rf"(?is)(?:\bWITH(?:\s+RECURSIVE)?\s|,)\s*({IDENT})\s*{HOLE}?\s*AS\s*(?:(?:NOT\s+)?MATERIALIZED\s*)?{HOLE}"
@@ -104,23 +112,40 @@ def well_formed(blanked: Column) -> Column:
     )
 
 
+def nesting(c: Column) -> Column:
+    """How deep the brackets of a text are nested, by a running count over its brackets."""
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(acc: Column, bracket: Column) -> Column:
+        now = acc["now"] + F.when(bracket == "(", 1).otherwise(-1)
+        return F.struct(now.alias("now"), F.greatest(acc["most"], now).alias("most"))
+
+    return F.aggregate(F.regexp_extract_all(c, F.lit(r"([()])"), F.lit(1)), start, step, lambda acc: acc["most"])
+
+
+def unwrap(c: Column) -> Column:
+    """``FROM ((t))`` and the like without the brackets around the single table."""
+    steps = F.aggregate(
+        F.sequence(F.lit(1), nesting(c)),
+        c,
+        lambda acc, _: F.regexp_replace(F.regexp_replace(acc, LONE_INSIDE, "$1"), LONE_TABLE, "$1 $2 "),
+    )
+    return F.when(c.rlike(LONE_CHAIN), steps).otherwise(c)
+
+
 def peel(c: Column) -> Column:
-    """Bracket-free fragments: bracket contents from the inside out, what is left over last."""
-    depth = F.least(_count(c, "("), F.lit(MAX_DEPTH))
+    """Bracket-free fragments: bracket contents from the inside out until no bracket is left, then the rest."""
     empty = F.array().cast("array<string>")
     inner = r"\(([^()]*+)\)"
     state = F.aggregate(
-        F.sequence(F.lit(0), depth),
+        F.sequence(F.lit(1), nesting(c)),
         F.struct(c.alias("rest"), empty.alias("done")),
-        lambda acc, _: F.when(
-            acc["rest"].contains("("),
-            F.struct(
-                F.regexp_replace(acc["rest"], inner, f" {HOLE} ").alias("rest"),
-                F.concat(
-                    acc["done"], F.regexp_extract_all(acc["rest"], F.lit(inner), F.lit(1))
-                ).alias("done"),
-            ),
-        ).otherwise(acc),
+        lambda acc, _: F.struct(
+            F.regexp_replace(acc["rest"], inner, f" {HOLE} ").alias("rest"),
+            F.concat(
+                acc["done"], F.regexp_extract_all(acc["rest"], F.lit(inner), F.lit(1))
+            ).alias("done"),
+        ),
         lambda acc: F.concat(acc["done"], F.array(acc["rest"])),
     )
     return F.when(c.contains("("), state).otherwise(F.array(c))
@@ -194,6 +219,7 @@ def _first_statement(df: DataFrame, sql: Column) -> DataFrame:
         "_stmt",
         F.when(F.col("_stmt").rlike(HEADS) & ~F.right(strip(F.col("_stmt")), F.lit(9)).rlike(DANGLING), F.col("_stmt")),
     )
+    df = df.withColumn("_stmt", unwrap(F.col("_stmt")))
     return df.withColumn("_frag", peel(F.col("_stmt"))).drop("_blank", "_stmt")
 
 
@@ -237,23 +263,35 @@ def statement_io(statement: Column) -> Column:
         merge, F.regexp_replace(statement, r"(?is)(?<![.\w])WHEN\s+(?:NOT\s+)?MATCHED\b.*\z", "")
     ).otherwise(statement)
     target = bare_name(F.nullif(_squeeze(F.regexp_extract(statement, TARGET, 1)), F.lit("")))
-    return F.struct(target.alias("target"), peel(body).alias("fragments"), merge.alias("merge"))
+    return F.struct(target.alias("target"), peel(unwrap(body)).alias("fragments"), merge.alias("merge"))
+
+
+def unreadable(statement: Column) -> Column:
+    """Whether a statement begins with no word a statement begins with, or breaks off at its end."""
+    known = statement.rlike(rf"(?i)\A[\s(]*+(?:{'|'.join(STATEMENT_WORDS)})\b")
+    return (strip(statement) != "") & (~known | F.right(strip(statement), F.lit(9)).rlike(DANGLING))
 
 
-def with_script_io(df: DataFrame, sql: str, sources: str, targets: str) -> DataFrame:
+def with_script_io(
+    df: DataFrame, sql: str, sources: str, targets: str, partial: str | None = None
+) -> DataFrame:
     """Sorted bare tables a script reads (``sources``) and writes (``targets``).
 
     CREATE ... AS, INSERT ... SELECT and MERGE ... USING count; a statement without a target (UPDATE,
-    DELETE, CALL, a bare SELECT) does not. CTE references stay. A malformed script yields nothing.
+    DELETE, CALL, a bare SELECT) does not. CTE references stay. A script with odd quotes or brackets
+    yields nothing; an unreadable statement is left out alone. Either way ``partial`` says so.
     """
     df = df.withColumn("_blank", blank(fill_flow_variables(F.col(sql))))
+    if partial:
+        bad = F.exists(F.split("_blank", ";"), unreadable)
+        df = df.withColumn(partial, F.coalesce(~well_formed(F.col("_blank")) | bad, F.lit(False)))
     df = df.withColumn(
         "_stmts",
         F.when(
             well_formed(F.col("_blank")),
             F.filter(
                 F.split(encode_quoted(F.col("_blank")), ";"),
-                lambda s: s.rlike(r"(?i)\A\s*(?:CREATE|INSERT|MERGE)\b"),
+                lambda s: s.rlike(r"(?i)\A\s*(?:CREATE|INSERT|MERGE)\b") & ~unreadable(s),
             ),
         ),
     ).drop("_blank")

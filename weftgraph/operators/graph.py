@@ -18,6 +18,8 @@ from weftgraph.session import stage_table
 
 TABLE = ("table_name",)
 NOT_HOT = HotKeys(TABLE)
+#: Into how many pieces the writes and the reads of a table are cut.
+PIECES = ("w_pieces", "r_pieces")
 
 
 def _others(df: DataFrame) -> list[str]:
@@ -90,65 +92,80 @@ def table_profile(access: DataFrame) -> DataFrame:
     )
 
 
-def tag_accesses(access: DataFrame) -> DataFrame:
+def tag_accesses(access: DataFrame, hubs: bool = False) -> DataFrame:
     """Adds ``kept``: whether the access stays an edge to its table instead of becoming job-to-job edges.
 
-    A write is kept if no other job reads the table, a read if no job writes it. Both are kept if the
-    table stands for more than ``pairs_per_table`` pairs: these grow with the square of its users, and
-    the table between them says the same in one edge per access. The profile answers all of this, so
-    no pair is made to find out.
+    A write is kept if no other job reads the table, a read if no job writes it; with ``hubs`` every
+    access is kept, so a table stands between its jobs and edges grow with accesses, not with pairs.
+    The profile answers all of this, so no pair is made to find out. If tables stand for so many pairs
+    that one task should not make them all, the pieces their writes and reads are cut into are added.
     """
-    spark = access.sparkSession
     # Stated here so that all branches below ask the same of their scan and share its shuffle.
     access = access.filter(F.col("job").isNotNull() & F.col("table_name").isNotNull())
+    if hubs:
+        return access.withColumn("kept", F.lit(True))
     profile = stage_table(table_profile(access), "profile")
     hot = skew.hot_of(profile, TABLE)
+    limit = skew.rows_per_split(access.sparkSession)
+    side = max(1, int(limit**0.5))
     c = F.col
-    crowded = c("n_writes").cast("double") * c("n_reads") > skew.pairs_per_table(spark)
+    crowded = c("n_writes").cast("double") * c("n_reads") > limit
+    pieces = []
+    if profile.filter(crowded).first() is not None:
+        pieces = [
+            F.when(crowded, F.ceil(c(n) / side)).otherwise(1).cast("int").alias(name)
+            for n, name in zip(("n_writes", "n_reads"), PIECES)
+        ]
     alone = (c("n_reads") == 0) | (
         (c("first_reader") == c("job")) & (c("last_reader") == c("job"))
     )
-    unwritten = c("n_writes") == 0
-    kept = crowded | F.when(c("mode") == "W", alone).otherwise(unwritten)
+    kept = F.when(c("mode") == "W", alone).otherwise(c("n_writes") == 0)
     return skew.salted_join(access, profile, TABLE, "inner", hot, _others(access)).select(
-        *access.columns, kept.alias("kept")
+        *access.columns, kept.alias("kept"), *pieces
     )
 
 
 def kept_writes(tagged: DataFrame) -> DataFrame:
     """Writes that stay edges to their table."""
-    return tagged.filter((F.col("mode") == "W") & F.col("kept"))
+    return tagged.filter((F.col("mode") == "W") & F.col("kept")).drop(*PIECES)
 
 
 def kept_reads(tagged: DataFrame) -> DataFrame:
     """Reads that stay edges from their table."""
-    return tagged.filter((F.col("mode") == "R") & F.col("kept"))
+    return tagged.filter((F.col("mode") == "R") & F.col("kept")).drop(*PIECES)
 
 
 def handoffs(tagged: DataFrame, producers: DataFrame | None = None) -> DataFrame:
     """producer -> consumer for every table that joins two different jobs and is not kept.
 
-    ``producers`` narrows the writing side. Consumer columns get the prefix ``c_``. No key has more
-    rows, in or out, than ``pairs_per_table``.
+    ``producers`` narrows the writing side. Consumer columns get the prefix ``c_``. Both sides of a
+    crowded table are spread over a grid: every piece of its writes meets every piece of its reads in
+    a cell of its own, of bounded size.
     """
     made = (tagged if producers is None else producers).filter(
         (F.col("mode") == "W") & ~F.col("kept")
     )
-    used = tagged.filter((F.col("mode") == "R") & ~F.col("kept")).drop("mode", "kept")
-    used = used.select(
-        *TABLE, *[F.col(x).alias("consumer" if x == "job" else f"c_{x}") for x in _others(used)]
-    )
+    used = tagged.filter((F.col("mode") == "R") & ~F.col("kept"))
+    keys = list(TABLE)
+    if set(PIECES) <= set(tagged.columns):
+        writes, reads = (F.col(x) for x in PIECES)
+        made = made.withColumn("_row", skew.piece(["job"], writes)).withColumn("_cell", skew.pieces_of(reads))
+        used = used.withColumn("_cell", skew.piece(["job"], reads)).withColumn("_row", skew.pieces_of(writes))
+        keys += ["_row", "_cell"]
+    used = used.drop("mode", "kept", *PIECES)
+    renamed = {"job": "consumer"} | {x: f"c_{x}" for x in _others(used) if x not in ("job", *keys)}
     return (
-        made.drop("mode", "kept")
+        made.drop("mode", "kept", *PIECES)
         .withColumnRenamed("job", "producer")
-        .join(used, list(TABLE))
+        .join(used.withColumnsRenamed(renamed), keys)
+        .drop("_row", "_cell")
         .filter(F.col("producer") != F.col("consumer"))
     )
 
 
-def job_edges(access: DataFrame) -> DataFrame:
+def job_edges(access: DataFrame, hubs: bool = False) -> DataFrame:
     """The collapsed job graph of (job, table_name, mode): hand-offs, external inputs and outputs."""
-    tagged = tag_accesses(access)
+    tagged = tag_accesses(access, hubs)
 
     def edges(rows: DataFrame, src_kind: str, src: str, dst_kind: str, dst: str) -> DataFrame:
         return rows.select(
@@ -219,7 +236,8 @@ def assemble_nodes(
 
     spread = ["direction", "rank", "dep"]
     lists = (
-        deps.withColumn("part", skew.piece(spread, hot.count(keys)) if hot else F.lit(0))
+        hot.tell(deps, keys)
+        .withColumn("part", skew.piece(spread, F.col("_pieces")))
         .groupBy(*keys, "part")
         .agg(side("up").alias("_up"), side("down").alias("_down"))
     )

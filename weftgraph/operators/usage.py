@@ -35,10 +35,10 @@ def summary(counts: DataFrame) -> DataFrame:
     counts = stage_table(counts, "usage-counts")
     limit = skew.items_per_list(counts.sparkSession)
     hot: HotKeys = skew.find_hot(counts, TABLE, limit)
-    part = skew.piece(["chart_name"], hot.count(TABLE)) if hot else F.lit(0)
     table = Window.partitionBy(*TABLE)
     return (
-        counts.withColumn("part", part)
+        hot.tell(counts, TABLE)
+        .withColumn("part", skew.piece(["chart_name"], F.col("_pieces")))
         .groupBy(*TABLE, "part")
         .agg(
             F.sum("n").alias("_n"),

@@ -3,8 +3,8 @@
 One key may hold a large share of all rows. Every helper here splits such a key into bounded pieces
 and leaves the result exactly what the plain operator gives:
 
-* ``find_hot`` names the heavy keys with one map-side sketch pass (at most ``1 / SUPPORT`` of them, so
-  the literal map it yields is of bounded size) and an exact count of just these candidates;
+* ``find_hot`` counts the rows of every key and keeps each one above the limit, whatever its share of
+  all rows, as a table that is joined to the rows;
 * ``salted_join`` spreads the rows of heavy keys and repeats the other side per piece;
 * ``collect_parts`` builds bounded lists instead of one list per key;
 * ``number_rows`` / ``carry_last`` / ``next_within`` / ``last_within`` are row_number, last-value-so-far
@@ -15,19 +15,15 @@ and leaves the result exactly what the plain operator gives:
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weftgraph.session import stage_table
 
-#: A key below this share of the rows is never a problem for one of ~1000 executors.
-SUPPORT = 0.001
-
 ROWS_PER_SPLIT = "spark.weftgraph.rowsPerSplit"
 ITEMS_PER_LIST = "spark.weftgraph.itemsPerList"
-PAIRS_PER_TABLE = "spark.weftgraph.pairsPerTable"
 
 
 def rows_per_split(spark: SparkSession) -> int:
@@ -40,72 +36,54 @@ def items_per_list(spark: SparkSession) -> int:
     return int(spark.conf.get(ITEMS_PER_LIST, "100000"))
 
 
-def pairs_per_table(spark: SparkSession) -> int:
-    """Direct job-to-job edges that one table may stand for."""
-    return int(spark.conf.get(PAIRS_PER_TABLE, "10000000"))
-
-
 @dataclass(frozen=True)
 class HotKeys:
-    """Heavy values of ``columns`` as hash -> number of pieces."""
+    """Heavy values of ``columns`` as a table (_key: digest of the key, _pieces), none if there are none."""
 
     columns: tuple[str, ...]
-    pieces: dict[int, int] = field(default_factory=dict)
+    table: DataFrame | None = None
 
     def __bool__(self) -> bool:
-        return bool(self.pieces)
+        return self.table is not None
 
-    def count(self, columns: Sequence[str] | None = None) -> Column:
-        """Pieces of the row's key: 1 for every key that is not heavy."""
-        if not self.pieces:
-            return F.lit(1)
+    def tell(self, df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+        """Adds ``_pieces``: 1 for every key that is not heavy."""
+        if self.table is None:
+            return df.withColumn("_pieces", F.lit(1))
         key = F.xxhash64(*(columns or self.columns))
-        table = F.create_map(*[F.lit(x) for kv in sorted(self.pieces.items()) for x in kv])
-        return F.when(key.isin(*self.pieces), F.element_at(table, key)).otherwise(F.lit(1))
+        return (
+            df.withColumn("_key", key)
+            .join(self.table.withColumnRenamed("_pieces", "_heavy"), "_key", "left")
+            .withColumn("_pieces", F.coalesce("_heavy", F.lit(1)))
+            .drop("_key", "_heavy")
+        )
 
 
 def find_hot(df: DataFrame, columns: Sequence[str], limit: int | None = None) -> HotKeys:
-    """Keys of ``df`` with more than ``limit`` rows that also hold at least ``SUPPORT`` of all rows.
+    """Every key of ``df`` with more than ``limit`` rows, by an exact count with partial sums."""
+    return hot_of(df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")), columns, limit=limit)
 
-    Both passes read the key columns only and shuffle no rows: the first is a frequent-items sketch
-    without false negatives, the second counts its candidates. The second is left out where the whole
-    input is no larger than ``limit``.
-    """
-    limit = limit or rows_per_split(df.sparkSession)
-    keyed = df.select(F.xxhash64(*columns).alias("k"))
-    seen = Observation()
-    counted = keyed.observe(seen, F.count(F.lit(1)).alias("rows"))
-    candidates = counted.freqItems(["k"], SUPPORT).first()[0]
-    if not candidates or seen.get["rows"] <= limit:
-        return HotKeys(tuple(columns))
-    heavy = (
-        keyed.filter(F.col("k").isin(*candidates))
-        .groupBy("k")
-        .count()
-        .filter(F.col("count") > limit)
-        .collect()
-    )
-    return HotKeys(tuple(columns), {r["k"]: -(-r["count"] // limit) for r in heavy})
 
+def hot_of(counts: DataFrame, columns: Sequence[str], n: str = "n", limit: int | None = None) -> HotKeys:
+    """The same from counts per key that are at hand: a table with one row per key.
 
-def hot_of(counts: DataFrame, columns: Sequence[str], n: str = "n") -> HotKeys:
-    """The same from exact counts per key that are at hand: a table with one row per key."""
-    limit = rows_per_split(counts.sparkSession)
-    total, most = counts.agg(F.sum(n), F.max(n)).first()
-    if most is None or most <= limit:
-        return HotKeys(tuple(columns))
-    # No more than 1 / SUPPORT keys can pass this.
-    heavy = counts.filter((F.col(n) > limit) & (F.col(n) >= SUPPORT * total)).select(
-        F.xxhash64(*columns).alias("k"), F.col(n).alias("n")
+    There are at most as many heavy keys as rows divided by the limit. They are written only if there
+    are any.
+    """
+    limit = limit or rows_per_split(counts.sparkSession)
+    heavy = counts.filter(F.col(n) > limit).select(
+        F.xxhash64(*columns).alias("_key"), F.ceil(F.col(n) / limit).cast("int").alias("_pieces")
     )
-    return HotKeys(tuple(columns), {r["k"]: -(-r["n"] // limit) for r in heavy.collect()})
+    if heavy.first() is None:
+        return HotKeys(tuple(columns))
+    return HotKeys(tuple(columns), stage_table(heavy, "heavy-keys"))
 
 
 def piece(spread: Sequence[str], pieces: Column) -> Column:
     return F.pmod(F.xxhash64(*spread), pieces.cast("long")).cast("int")
 
 
-def _pieces(pieces: Column) -> Column:
+def pieces_of(pieces: Column) -> Column:
     return F.explode(F.sequence(F.lit(0), pieces.cast("int") - 1))
 
 
@@ -124,8 +102,8 @@ def salted_join(
     """
     if not hot:
         return left.join(right, list(keys), how)
-    left = left.withColumn("_piece", piece(spread, hot.count(keys)))
-    right = right.withColumn("_piece", _pieces(hot.count(keys)))
+    left = hot.tell(left, keys).withColumn("_piece", piece(spread, F.col("_pieces"))).drop("_pieces")
+    right = hot.tell(right, keys).withColumn("_piece", pieces_of(F.col("_pieces"))).drop("_pieces")
     return left.join(right, [*keys, "_piece"], how).drop("_piece")
 
 
@@ -134,7 +112,8 @@ def collect_parts(
 ) -> DataFrame:
     """Sorted list of ``item`` per key: one row (``part`` 0), or several for a heavy key."""
     return (
-        df.withColumn("part", piece(spread, hot.count(keys)) if hot else F.lit(0))
+        hot.tell(df, keys)
+        .withColumn("part", piece(spread, F.col("_pieces")))
         .groupBy(*keys, "part")
         .agg(F.sort_array(F.collect_list(item)).alias(out))
     )

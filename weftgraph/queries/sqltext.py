@@ -25,6 +25,9 @@ TEMPLATES = (
     " WHEN MATCHED THEN UPDATE SET x = s.x",
     "/* FROM nope */ SELECT x, 'it''s FROM trap' AS l -- JOIN nope2\n FROM {o}"
     " WHERE y IN (SELECT y FROM \"{c}\") AND z = 'a;b'; SELECT * FROM second_stmt",
+    "SELECT * FROM ((raw.{o})) JOIN ({c} AS c) ON o.id = c.id WHERE x IN ((1)) AND EXTRACT(DAY FROM (ts)) = 1",
+    "WITH deep AS (SELECT * FROM {o} WHERE x = " + "(" * 70 + "1" + ")" * 70 + ")"
+    " SELECT * FROM deep, " + "(SELECT * FROM " * 70 + "{c}" + ")" * 70 + " q",
 )
 
 SCRIPT = (
@@ -60,7 +63,7 @@ names AS (SELECT o_orderkey AS k, o_custkey AS cust, 'O_' || o_orderkey AS o, 'C
           FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey)
 """
 CORPUS_SQL = f"""{NAMES_SQL},
-corpus AS (SELECT *, CASE k % 8 {" ".join(f"WHEN {i} THEN {fill_sql(t)}" for i, t in enumerate(TEMPLATES))}
+corpus AS (SELECT *, CASE k % 10 {" ".join(f"WHEN {i} THEN {fill_sql(t)}" for i, t in enumerate(TEMPLATES))}
            END AS sql FROM names)
 """
 
@@ -84,7 +87,7 @@ def names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    which = F.col("k") % 8
+    which = F.col("k") % 10
     sql = F.when(which == 0, fill_column(TEMPLATES[0]))
     for i, template in enumerate(TEMPLATES[1:], 1):
         sql = sql.when(which == i, fill_column(template))
@@ -94,15 +97,15 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 def refs_sql(lists: tuple[str, ...], rows: str = "names") -> str:
     """Expected list per template, sorted and joined."""
     cases = " ".join(f"WHEN {i} THEN [{x}]" for i, x in enumerate(lists))
-    return f"array_to_string(list_sort(CASE k % 8 {cases} END), ',')"
+    return f"array_to_string(list_sort(CASE k % 10 {cases} END), ',')"
 
 
 QUALIFIED = (
     "'db.S.' || o, c, n", "o, 'raw.' || c, n", "o, c, n, 'recent', 'other'", "o, c, n",
-    "o, c, 'T_' || o", "o, c, 'mart.V_' || o", "o, c, 'T_' || o", "o, c",
+    "o, c, 'T_' || o", "o, c, 'mart.V_' || o", "o, c, 'T_' || o", "o, c", "'raw.' || o, c", "o, c, 'deep'",
 )
 READ = tuple(
-    f"lower(o), lower(c){', lower(n)' if i < 4 else ''}" for i in range(8)
+    f"lower(o), lower(c){', lower(n)' if i < 4 else ''}" for i in range(10)
 )
 
 
@@ -127,13 +130,20 @@ def sql_read_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     "sql_script_io",
     f"""WITH {NAMES_SQL}
     SELECT k, array_to_string(list_sort([lower(o), lower(c), lower(n), 't_' || lower(o)]), ',') AS sources,
-           'm_' || lower(o) || ',t_' || lower(o) || ',v_' || lower(o) AS targets
+           'm_' || lower(o) || ',t_' || lower(o) || ',v_' || lower(o) AS targets, k % 3 > 0 AS partial
     FROM names""",
 )
 def sql_script_io(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scripts = names(spark, sf_dir).withColumn("script", fill_column(SCRIPT))
-    return sqlrefs.with_script_io(scripts, "script", "s", "t").select(
-        "k", F.array_join("s", ",").alias("sources"), F.array_join("t", ",").alias("targets")
+    """Two of three scripts hold a statement that cannot be read, in their midst or at their end."""
+    k = F.col("k") % 3
+    script = F.concat(
+        F.when(k == 1, F.lit("SELEC BAD BAD FROM bad_1;\n")).otherwise(F.lit("")),
+        fill_column(SCRIPT),
+        F.when(k == 2, F.lit(" INSERT INTO bad_2 SELECT * FROM")).otherwise(F.lit("")),
+    )
+    scripts = names(spark, sf_dir).withColumn("script", script)
+    return sqlrefs.with_script_io(scripts, "script", "s", "t", "partial").select(
+        "k", F.array_join("s", ",").alias("sources"), F.array_join("t", ",").alias("targets"), "partial"
     )
 
 
