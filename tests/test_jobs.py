@@ -89,13 +89,42 @@ def test_run(spark, tmp_path, name, folder, parents):
     assert sinks.read_nodes(spark, f"{tmp_path}/nodes").count() == len(lines)
     if name == "Streamlit":
         metadata = spark.read.schema(APP_METADATA).parquet(f"{tmp_path}/app_metadata")
-        assert metadata.count() == 4  # two appended runs
+        assert metadata.count() == 2
         assert usage.first_metadata(metadata).count() == 2
         log = spark.read.parquet(f"{tmp_path}/table_usage").withColumnRenamed("file_path", "f")
         top = usage.usage_summary(log).first()
         assert top["usage_count"] >= 2
 
 
+def test_smaller_second_run(spark, tmp_path):
+    """What a second run writes is all that is there, but for other integrations."""
+    args = (spark, "Streamlit", f"{FIXTURES}/dashboard", str(tmp_path), "https://g/r")
+    run(*args)
+    first = spark.read.parquet(f"{tmp_path}/table_usage").count()
+    run(spark, "Matillion", f"{FIXTURES}/orchestration", str(tmp_path), "https://g/r")
+    run(*args)
+    assert spark.read.parquet(f"{tmp_path}/table_usage").count() == first
+    others = sinks.read_nodes(spark, f"{tmp_path}/nodes").filter("integration = 'Matillion'").count()
+    out = run(*args, files="plain.py")
+    back = sinks.read_nodes(spark, f"{tmp_path}/nodes")
+    assert by_name(back.filter("integration = 'Streamlit'")) == by_name(out.nodes)
+    assert back.filter("integration = 'Matillion'").count() == others > 0
+    log = spark.read.parquet(f"{tmp_path}/table_usage")
+    assert {r["file_path"] for r in log.select("file_path").distinct().collect()} <= {"plain.py"}
+
+
+def test_replaced_nodes(spark, tmp_path):
+    """Nodes in several parts leave nothing behind."""
+    def nodes(name, parts):
+        return spark.createDataFrame(
+            [("I", name, "T", ("d", "u"), ([], []), p) for p in parts], NODE
+        )
+
+    sinks.write_nodes(nodes("a", (0, 1)), str(tmp_path))
+    sinks.write_nodes(nodes("b", (0,)), str(tmp_path))
+    assert [(r["name"], r["part"]) for r in sinks.read_nodes(spark, str(tmp_path)).collect()] == [("b", 0)]
+
+
 def test_run_of_listed_file(spark, tmp_path):
     out = run(
         spark, "Streamlit", f"{FIXTURES}/dashboard", str(tmp_path), "https://g/r",

@@ -51,6 +51,6 @@ def run(
     sinks.write_nodes(nodes, f"{output_path}/nodes")
     sinks.write_failures(parsed.failures, f"{output_path}/failures")
     if isinstance(parsed, dashboard.Parsed):
-        sinks.append_usage(parsed.usage, f"{output_path}/table_usage", name)
-        sinks.append_app_metadata(parsed.apps, f"{output_path}/app_metadata")
+        sinks.write_usage(parsed.usage, f"{output_path}/table_usage", name)
+        sinks.write_app_metadata(parsed.apps, f"{output_path}/app_metadata", name)
     return Outcome(nodes, parsed.failures, graph.run_summary(nodes), absent)

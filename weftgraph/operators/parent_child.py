@@ -24,9 +24,13 @@ def parent_child_nodes(
     parent_type: str = "ParentNode",
     child_type: str = "ChildNode",
     direction: str = "downstream",
+    sources: DataFrame | None = None,
 ) -> DataFrame:
     """Nodes of records from any source (files, a warehouse query, a stream).
 
+    Parents are those of ``sources`` (rows with what ``parent`` and ``url`` ask for, whether or not they
+    hold records), or else of the records.
+
     ``direction`` tells whether a child writes its table (``downstream``) or reads it (``upstream``);
     a child of the second kind feeds its parent, one of the first kind belongs to it.
     """
@@ -55,7 +59,8 @@ def parent_child_nodes(
             F.lit(0).alias("part"),
         )
 
-    parents = rows.groupBy("parent").agg(F.min("url").alias("url"))
+    held = rows if sources is None else sources.select(parent.alias("parent"), url.alias("url"))
+    parents = held.groupBy("parent").agg(F.min("url").alias("url"))
     return nodes(
         parents,
         F.col("parent"),

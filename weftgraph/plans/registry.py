@@ -107,6 +107,8 @@ class Records:
 
     rows: DataFrame
     failures: DataFrame
+    #: rel_path of every file that was read without failure, with or without records
+    sources: DataFrame
 
 
 def parse_rows(
@@ -138,7 +140,8 @@ def parse_rows(
             F.lit("file").alias("stage"),
             F.col("_error").alias("error"),
         )
-        return Records(rows.filter(F.col("_error").isNull()).drop("_error"), failures)
+        sources = artifacts.select("rel_path").join(failures.select("rel_path"), "rel_path", "left_anti")
+        return Records(rows.filter(F.col("_error").isNull()).drop("_error"), failures, sources)
 
     return parse
 
@@ -161,6 +164,7 @@ def template(
             F.col("table"),
             text.source_url(F.lit(run.repo_url), F.lit(run.branch), path),
             direction=direction,
+            sources=parsed.sources,
         )
 
     return Integration(

@@ -1,5 +1,5 @@
 """The lineage lake: suppliers are jobs of their nation's flow, a part on a line number is a table, and
-line items are accesses: returned ones (A) write, refused ones (R) read."""
+line items are accesses: returned ones (A) write, refused ones (R) read, all others (N) do both."""
 
 from __future__ import annotations
 
@@ -18,9 +18,10 @@ INTEGRATION = "Matillion"
 ACCESS_SQL = """
 access AS (
   SELECT DISTINCT n_name || '.' || s_name AS job, n_name AS flow, 't_' || l_partkey || '_' || l_linenumber AS table_name,
-         CASE WHEN l_returnflag = 'A' THEN 'W' ELSE 'R' END AS mode
-  FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey
-  WHERE l_returnflag IN ('A', 'R')),
+         mode
+  FROM (SELECT *, unnest(CASE l_returnflag WHEN 'A' THEN ['W'] WHEN 'R' THEN ['R'] ELSE ['W', 'R'] END) AS mode
+        FROM lineitem)
+  JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey),
 w AS (SELECT job, table_name FROM access WHERE mode = 'W'),
 r AS (SELECT job, table_name FROM access WHERE mode = 'R'),
 handoff AS (SELECT w.job AS producer, r.job AS consumer, table_name
@@ -71,12 +72,15 @@ def access(spark: SparkSession, sf_dir: str) -> DataFrame:
     flag = F.col("l_returnflag")
     touched = (
         table(spark, sf_dir, "lineitem")
-        .filter(flag.isin("A", "R"))
         .select(
             "l_suppkey",
             "l_partkey",
             "l_linenumber",
-            F.when(flag == "A", "W").otherwise("R").alias("mode"),
+            F.explode(
+                F.when(flag == "A", F.array(F.lit("W")))
+                .when(flag == "R", F.array(F.lit("R")))
+                .otherwise(F.array(F.lit("W"), F.lit("R")))
+            ).alias("mode"),
         )
         .distinct()
     )

@@ -268,16 +268,19 @@ def pages_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
            '' AS upstream, CAST(NULL AS VARCHAR) AS downstream FROM art GROUP BY host
     UNION ALL
     SELECT 'Web', host || '.page ' || page_id, 'ChildNode', 'Child node: page ' || page_id || '.', rel_path,
-           'ParentNode:' || host, CASE WHEN page_id % 4 > 0 THEN 't_' || (page_id % 50) ELSE '' END FROM art""",
+           'ParentNode:' || host, CASE WHEN page_id % 4 > 0 THEN 't_' || (page_id % 50) ELSE '' END
+    FROM art WHERE page_id % 3 > 0""",
 )
 def tmpl_parent_child(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third page holds no record; its host is a parent all the same."""
     k = F.col("page_id")
     nodes = parent_child_nodes(
-        pages(spark, sf_dir),
+        pages(spark, sf_dir).filter(k % 3 > 0),
         "Web",
         F.col("host"),
         F.concat(F.lit("page "), k),
         F.when(k % 4 > 0, F.concat(F.lit("T_"), k % 50)),
         F.col("rel_path"),
+        sources=pages(spark, sf_dir),
     )
     return flat_nodes(nodes)

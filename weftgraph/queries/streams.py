@@ -20,8 +20,7 @@ from weftgraph.streaming import usage as usage_stream
     """
     WITH w AS (
       SELECT DISTINCT n_name AS flow, s_name || ' ' || l_linestatus AS child, 't_' || s_suppkey AS t
-      FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey
-      WHERE l_returnflag = 'A')
+      FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey)
     SELECT 'Lake' AS integration, flow AS name, 'ParentNode' AS node_type,
            'Auto-generated parent node for ' || flow || '.' AS description, flow AS url, '' AS upstream,
            CAST(NULL AS VARCHAR) AS downstream FROM (SELECT DISTINCT flow FROM w)
@@ -35,9 +34,7 @@ def stream_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     job_rows = jobs(spark, sf_dir)
 
     def convert(batch: DataFrame) -> DataFrame:
-        touched = (
-            batch.filter(F.col("l_returnflag") == "A").select("l_suppkey", "l_linestatus").distinct()
-        )
+        touched = batch.select("l_suppkey", "l_linestatus").distinct()
         records = touched.join(job_rows, F.col("l_suppkey") == F.col("s_suppkey")).select(
             "flow",
             F.concat(F.substring_index("job", ".", -1), F.lit(" "), "l_linestatus").alias("child"),

@@ -11,13 +11,13 @@ from weftgraph.schemas import NODE
 
 def write_nodes(nodes: DataFrame, path: str) -> None:
     """Replace the node set of every integration in ``nodes``, as JSON lines below
-    ``integration=<name>/part=<n>``. Null fields are left out, so a dependency shows either shape. The
+    ``integration=<name>``. Null fields are left out, so a dependency shows either shape. The
     node sets of other integrations under ``path`` stay."""
     (
         nodes.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("ignoreNullFields", True)
-        .partitionBy("integration", "part")
+        .partitionBy("integration")
         .json(path)
     )
 
@@ -34,41 +34,45 @@ def write_failures(failures: DataFrame, path: str) -> bool:
     return True
 
 
-def append_usage(usage: DataFrame, path: str, integration: str) -> None:
+def _replace(rows: DataFrame, path: str, integration: str) -> None:
+    """Replace what an integration's last run wrote; those of other integrations stay."""
     (
-        usage.withColumn("integration", F.lit(integration))
-        .write.mode("append")
+        rows.withColumn("integration", F.lit(integration))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("integration")
         .parquet(path)
     )
 
 
-def append_app_metadata(apps: DataFrame, path: str) -> None:
+def write_usage(usage: DataFrame, path: str, integration: str) -> None:
+    """The usage table of the integration's newest run."""
+    _replace(usage, path, integration)
+
+
+def write_app_metadata(apps: DataFrame, path: str, integration: str) -> None:
     """Apps with a title or a description; others leave no row."""
-    (
-        apps.filter(F.col("app_title").isNotNull() | F.col("app_description").isNotNull())
-        .select(
-            F.lit(1).cast("long").alias("id"),
-            F.col("rel_path").alias("file_path"),
-            "app_title",
-            "app_description",
-            F.current_timestamp().alias("created_at"),
-        )
-        .write.mode("append")
-        .parquet(path)
+    rows = apps.filter(F.col("app_title").isNotNull() | F.col("app_description").isNotNull()).select(
+        F.lit(1).cast("long").alias("id"),
+        F.col("rel_path").alias("file_path"),
+        "app_title",
+        "app_description",
+        F.current_timestamp().alias("created_at"),
     )
+    _replace(rows, path, integration)
 
 
 def upsert(existing: DataFrame | None, incoming: DataFrame) -> DataFrame:
     """Node set after a run: nodes are keyed by integration and name, the newest run wins.
 
-    Both sides carry ``modified_at``. A node in several parts is replaced as a whole: only the parts of
-    its newest run stay.
+    Both sides carry ``modified_at``; a row without one is older than any with one. A node in several
+    parts is replaced as a whole: only the parts of its newest run stay.
     """
     keys = ["integration", "name"]
     rows = incoming if existing is None else existing.unionByName(incoming)
-    newest = rows.groupBy(*keys).agg(F.max("modified_at").alias("modified_at"))
-    current = rows.join(newest, [*keys, "modified_at"], "left_semi")
+    newest = rows.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.max("modified_at").alias("_newest"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    current = rows.join(newest, [*same, F.col("modified_at").eqNullSafe(F.col("_newest"))], "left_semi")
     return graph.latest(current, [*keys, "part"], [F.col("modified_at"), F.col("node_type")])
 
 
