@@ -21,12 +21,12 @@ probability 1. Other columns are not read.
 
 from __future__ import annotations
 
-import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,10 +39,13 @@ CLASSES = 16_384
 SLICES = 8
 BURN_IN = 6
 #: Bytes of text in a chunk, about; a longer text is a chunk of its own.
-CHUNK_BYTES = 3 << 20
+CHUNK_BYTES = 3 << 19
+#: A task numbers its chunks in this many bits; with the task's own number a chunk's is unique.
+CHUNK_BITS = 32
 SEGMENT = 64
-#: Weight, in tokens, of the overall class frequencies in every state's emissions.
-PRIOR = 50.0
+#: Weight, in tokens, of the overall class frequencies in a state's emissions is the number of classes the
+#: state has met, and at least this.
+LEAST_PRIOR = 50
 SEED = 1970
 
 #: No word is empty, so the empty text can stand for the end.
@@ -50,22 +53,25 @@ END = ""
 
 
 def pack(docs: DataFrame, key: str, text: str, learn: str) -> DataFrame:
-    """Chunks: keys, which texts are learned from, where each text's tokens end, the tokens as numbers of
-    the chunk's words, the words, and how often each occurs in texts that are learned from."""
+    """Chunks: keys, the slice of each text that is learned from (-1: not learned from), where each text's
+    tokens end, the tokens as numbers of the chunk's words, the words' classes, the words, and how often each
+    occurs in texts that are learned from. A chunk is numbered by its task and its place there."""
     kind = docs.schema[key].dataType
     schema = T.StructType(
         [
             T.StructField("chunk", T.LongType()),
             T.StructField("keys", T.ArrayType(kind)),
-            T.StructField("learn", T.ArrayType(T.BooleanType())),
+            T.StructField("slices", T.BinaryType()),
             T.StructField("ends", T.ArrayType(T.IntegerType())),
             T.StructField("codes", T.BinaryType()),
+            T.StructField("kinds", T.BinaryType()),
             T.StructField("words", T.ArrayType(T.StringType())),
             T.StructField("counts", T.ArrayType(T.IntegerType())),
         ]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << CHUNK_BITS
         for batch in batches:
             for part in blocks(batch, text, CHUNK_BYTES):
                 bounds, flat = split_words(part.column(text), lower=True)
@@ -78,21 +84,32 @@ def pack(docs: DataFrame, key: str, text: str, learn: str) -> DataFrame:
                 learned = part.column(learn).to_numpy(zero_copy_only=False).astype(bool)
                 each = np.repeat(learned, np.diff(ends, prepend=0))
                 counts = np.bincount(tokens[each], minlength=len(words) + 1)
-                small = np.uint16 if len(words) < 65_535 else np.uint32
+                named = [zlib.crc32(f"{k} {SEED}".encode()) % SLICES for k in part.column(key).to_pylist()]
+                kinds = np.array([class_of(w) for w in words.to_pylist()] + [CLASSES], dtype=np.uint16)
                 row = [
-                    pa.array([uuid.uuid4().int >> 65], pa.int64()),
+                    pa.array([number], pa.int64()),
                     _one(part.column(key)),
-                    _one(pa.array(learned)),
+                    _bytes(np.where(learned, named, -1).astype(np.int8)),
                     _one(pa.array(ends, pa.int32())),
-                    pa.array([tokens.astype(small).tobytes()], pa.binary()),
+                    _bytes(tokens.astype(_code_type(kinds))),
+                    _bytes(kinds),
                     _one(pa.concat_arrays([words.cast(pa.string()), pa.array([END])])),
                     _one(pa.array(counts, pa.int32())),
                 ]
+                number += 1
                 yield pa.RecordBatch.from_arrays(row, names=schema.names)
 
     return stage_table(docs.select(key, text, learn).mapInArrow(run, schema), "model-chunks")
 
 
+def _bytes(values: np.ndarray) -> pa.Array:
+    return pa.array([values.tobytes()], pa.binary())
+
+
+def _code_type(kinds: np.ndarray) -> type:
+    return np.uint16 if len(kinds) <= 65_536 else np.uint32
+
+
 def _one(values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
@@ -250,10 +267,11 @@ def _by_number(number: np.ndarray) -> list[np.ndarray]:
     return np.split(order, np.flatnonzero(np.diff(number[order])) + 1) if len(order) else []
 
 
-def unpack(chunk: dict) -> tuple[np.ndarray, np.ndarray]:
-    """(token numbers, ends) of a chunk."""
-    small = np.uint16 if len(chunk["words"]) <= 65_535 else np.uint32
-    return np.frombuffer(chunk["codes"], dtype=small), np.asarray(chunk["ends"], dtype=np.int64)
+def unpack(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(token numbers, their ends, class of every word) of a chunk."""
+    kinds = np.frombuffer(batch.column("kinds")[i].as_buffer(), dtype=np.uint16)
+    codes = np.frombuffer(batch.column("codes")[i].as_buffer(), dtype=_code_type(kinds))
+    return codes, batch.column("ends")[i].values.to_numpy().astype(np.int64), kinds
 
 
 def some_texts(tokens: np.ndarray, ends: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -284,16 +302,12 @@ def _round(chunks: DataFrame, chain: Chain, share: np.ndarray, part: int | None)
         starts, steps, emissions = np.zeros(k), np.zeros((k, k)), np.zeros((len(chain.emit), k))
         for batch in batches:
             for i in range(batch.num_rows):
-                chunk = batch.slice(i, 1).to_pydict()
-                chunk = {name: values[0] for name, values in chunk.items()}
-                chosen = np.array(chunk["learn"], dtype=bool)
-                if part is not None:
-                    chosen &= np.array([zlib.crc32(f"{x} {SEED}".encode()) % SLICES == part for x in chunk["keys"]])
+                slices = np.frombuffer(batch.column("slices")[i].as_buffer(), dtype=np.int8)
+                chosen = slices >= 0 if part is None else slices == part
                 if not chosen.any():
                     continue
-                tokens, ends = unpack(chunk)
+                tokens, ends, kinds = unpack(batch, i)
                 tokens, ends = some_texts(tokens, ends, chosen)
-                kinds = np.array([class_of(w) for w in chunk["words"]])
                 made = chain.expected(kinds[tokens], ends)
                 starts, steps, emissions = starts + made[0], steps + made[1], emissions + made[2]
         used = np.flatnonzero(emissions.sum(axis=1))
@@ -316,7 +330,8 @@ def _round(chunks: DataFrame, chain: Chain, share: np.ndarray, part: int | None)
     if not emissions.sum():
         return chain
     starts, steps = starts + 0.1, steps + 0.1
-    emissions = emissions + PRIOR * share[:, None]
+    # The more classes a state has met for its tokens, the more it leaves to those it has not met.
+    emissions = emissions + np.maximum((emissions > 0.5).sum(axis=0), LEAST_PRIOR) * share[:, None]
     return Chain(starts / starts.sum(), steps / steps.sum(axis=1, keepdims=True), emissions / emissions.sum(axis=0))
 
 
@@ -337,13 +352,13 @@ def score(docs: DataFrame, learn: str, key: str = "doc_id", text: str = "text",
     tokens, words = np.zeros(CLASSES + 1), np.zeros(CLASSES + 1)
     tokens[stats.column("class").to_numpy()] = stats.column("tokens").to_numpy()
     words[stats.column("class").to_numpy()] = stats.column("words").to_numpy()
-    chain = fit(chunks.select("keys", "learn", "ends", "codes", "words"), tokens, states)
+    chain = fit(chunks.select("slices", "ends", "codes", "kinds"), tokens, states)
     shared = docs.sparkSession.sparkContext.broadcast((chain.start, chain.step, chain.emit, tokens, words))
     known = totals.groupBy(F.col("chunk").alias("of")).agg(
         F.sort_array(F.collect_list(F.struct("at", "total"))).alias("totals")
     )
     both = chunks.join(known, F.col("chunk") == F.col("of")).select(
-        "keys", "ends", "codes", "words", F.col("totals.total").alias("totals")
+        "keys", "ends", "codes", "kinds", F.col("totals.total").alias("totals")
     )
     kind = docs.schema[key].dataType.simpleString()
     names = [key, "n_tokens", "n_known", "train_tokens", "base_score", "score"]
@@ -354,18 +369,15 @@ def score(docs: DataFrame, learn: str, key: str = "doc_id", text: str = "text",
         n, v = in_class.sum(), words_in.sum()
         for batch in batches:
             for i in range(batch.num_rows):
-                part = batch.slice(i, 1)
-                chunk = {c: part.column(c)[0].as_py() for c in ("ends", "codes", "words")}
-                codes, ends = unpack(chunk)
-                kinds = np.array([class_of(w) for w in chunk["words"]])
-                totals = part.column("totals").flatten().to_numpy().astype(np.float64)
+                codes, ends, kinds = unpack(batch, i)
+                totals = batch.column("totals")[i].values.to_numpy().astype(np.float64)
                 base = np.log10((totals + 0.5) / (n + 0.5 * (v + 1)))
                 inside = np.log10((totals + 0.5) / (in_class[kinds] + 0.5 * (words_in[kinds] + 1)))
                 begins = np.concatenate(([0], ends[:-1]))
                 add = lambda per_word: np.add.reduceat(per_word[codes], begins)
                 model = chain.likelihood(kinds[codes], ends) / np.log(10.0)
                 columns = [
-                    part.column("keys").flatten(),
+                    batch.column("keys")[i].values,
                     pa.array(np.diff(ends, prepend=0)),
                     pa.array(add((totals > 0).astype(np.int64))),
                     pa.array(np.full(len(ends), int(n))),
