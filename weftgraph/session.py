@@ -50,14 +50,14 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/weftgraph/{name}-{uuid.uuid4().hex}"
 
 
-def stage_table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and go on from the written table.
+def stage_table(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write ``df`` once to the shared folder (with options of the writer) and go on from the written table.
 
     Used where a result is read by several later branches (the parsed corpus): a lost executor then
     costs a re-read of files, not a second run of the Python parse.
     """
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
