@@ -113,18 +113,6 @@ def test_smaller_second_run(spark, tmp_path):
     assert {r["file_path"] for r in log.select("file_path").distinct().collect()} <= {"plain.py"}
 
 
-def test_replaced_nodes(spark, tmp_path):
-    """Nodes in several parts leave nothing behind."""
-    def nodes(name, parts):
-        return spark.createDataFrame(
-            [("I", name, "T", ("d", "u"), ([], []), p) for p in parts], NODE
-        )
-
-    sinks.write_nodes(nodes("a", (0, 1)), str(tmp_path))
-    sinks.write_nodes(nodes("b", (0,)), str(tmp_path))
-    assert [(r["name"], r["part"]) for r in sinks.read_nodes(spark, str(tmp_path)).collect()] == [("b", 0)]
-
-
 def test_run_of_listed_file(spark, tmp_path):
     out = run(
         spark, "Streamlit", f"{FIXTURES}/dashboard", str(tmp_path), "https://g/r",
@@ -167,22 +155,25 @@ def test_dimensions(spark, tmp_path):
 
 
 def nodes_at(spark, when, *names):
-    rows = [(n, f"{n}@{when}", p) for n, parts in names for p in range(parts)]
-    return spark.createDataFrame(rows, "name string, d string, part int").select(
+    rows = [(n, f"{n}@{when}") for n in names]
+    return spark.createDataFrame(rows, "name string, d string").select(
         F.lit("I").alias("integration"), "name", F.lit("Job").alias("node_type"),
         F.struct(F.col("d").alias("description"), F.lit("u").alias("url")).alias("attributes"),
-        "part", F.lit(when).alias("modified_at"),
+        F.lit(when).alias("modified_at"),
     )
 
 
 def test_upsert(spark, tmp_path):
-    first = sinks.upsert(None, nodes_at(spark, 1, ("a", 3), ("b", 1)))
+    first = sinks.upsert(None, nodes_at(spark, 1, "a", "b"))
     path = sinks.write_version(first, str(tmp_path), "1")
-    second = sinks.upsert(spark.read.parquet(path), nodes_at(spark, 2, ("a", 1), ("c", 1)))
-    found = {(r["name"], r["part"]): r["attributes"]["description"] for r in second.collect()}
-    assert found == {("a", 0): "a@2", ("b", 0): "b@1", ("c", 0): "c@2"}
-    replay = sinks.upsert(second, nodes_at(spark, 1, ("c", 1)))
+    second = sinks.upsert(spark.read.parquet(path), nodes_at(spark, 2, "a", "c"))
+    found = {r["name"]: r["attributes"]["description"] for r in second.collect()}
+    assert found == {"a": "a@2", "b": "b@1", "c": "c@2"}
+    replay = sinks.upsert(second, nodes_at(spark, 1, "c"))
     assert {r["attributes"]["description"] for r in replay.collect()} == {"a@2", "b@1", "c@2"}
+    undated = nodes_at(spark, 1, "c", "d").withColumn("modified_at", F.lit(None).cast("int"))
+    kept = {r["attributes"]["description"] for r in sinks.upsert(second, undated).collect()}
+    assert kept == {"a@2", "b@1", "c@2", "d@1"}
 
 
 def test_user_parser(spark, tmp_path):
@@ -301,5 +292,5 @@ def test_replays(spark, tmp_path):
 
 
 def test_graph_set_operations(spark):
-    old = nodes_at(spark, 1, ("a", 1), ("b", 1))
+    old = nodes_at(spark, 1, "a", "b")
     assert graph.run_summary(old).first()["nodes"] == 2

@@ -11,10 +11,8 @@ from weftgraph.plans import skew
 @pytest.fixture
 def tight(spark):
     spark.conf.set(skew.ROWS_PER_SPLIT, "20")
-    spark.conf.set(skew.ITEMS_PER_LIST, "20")
     yield
     spark.conf.unset(skew.ROWS_PER_SPLIT)
-    spark.conf.unset(skew.ITEMS_PER_LIST)
 
 
 def rows(df):
@@ -61,8 +59,6 @@ def test_small_share(spark):
     )
     hot = skew.find_hot(df, ["k"], 10)
     assert list(pieces(hot).values()) == [6]
-    parts = skew.collect_parts(df, ["k"], F.col("id"), "ids", hot, ["id"]).filter("k = -1").collect()
-    assert len(parts) > 1 and sum(len(p["ids"]) for p in parts) == 60
     spark.conf.set(skew.ROWS_PER_SPLIT, "10")
     try:
         numbered = skew.number_rows(df, ["k"], ["id"], "n").filter("k = -1")
@@ -103,49 +99,23 @@ def test_crowded_table(spark, tight):
     assert hubs.groupBy("src_kind").count().orderBy("src_kind").collect() == [("job", 300), ("table", 300)]
 
 
-def test_lists_in_parts(spark, sides, tight):
+def test_index_rows(spark, sides, tight):
     w, _ = sides
-    hot = skew.find_hot(w, graph.TABLE, skew.items_per_list(spark))
-    index = graph.table_index(w, hot)
-    assert index.filter("part > 0").count() > 0
-    assert rows(index.select("table_name", F.explode("jobs"))) == rows(w.select("table_name", "job"))
+    at = Window.partitionBy("table_name").orderBy("job")
+    want = w.select("table_name", "job", F.row_number().over(at).cast("long").alias("position"))
+    assert rows(graph.table_index(w).select("table_name", "job", "position")) == rows(want)
 
 
-def test_nodes_in_parts(spark, tight):
-    heads = spark.range(3).select(
-        F.col("id").alias("k"), F.lit("I").alias("integration"),
-        F.concat(F.lit("n"), "id").alias("name"), F.lit("Job").alias("node_type"),
-        F.lit("d").alias("description"), F.lit("u").alias("url"), F.lit(True).alias("has_downstream"),
-    )
-    deps = spark.range(200).select(
-        F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 2).cast("long").alias("k"),
-        F.when(F.col("id") % 4 < 2, "up").otherwise("down").alias("direction"),
-        F.struct(F.col("id").alias("slot")).alias("rank"),
-        graph.table_ref(F.concat(F.lit("t"), "id")).alias("dep"),
-    )
-    hot = skew.find_hot(deps, ["k"], 20)
-    nodes = graph.assemble_nodes(heads, deps, ["k"], hot)
-    parts = {r["name"]: r["n"] for r in nodes.groupBy("name").agg(F.count("*").alias("n")).collect()}
-    assert parts["n0"] > 1 and parts["n1"] > 1 and parts["n2"] == 1
-    back = nodes.select("name", F.explode("lineage.upstream_dependencies.table_name")).unionByName(
-        nodes.select("name", F.explode("lineage.downstream_dependencies.table_name"))
-    )
-    assert rows(back) == rows(deps.select(F.concat(F.lit("n"), "k"), "dep.table_name"))
-    assert graph.duplicate_names(nodes).isEmpty()
-
-
-def test_summary_in_parts(spark, tight):
+def test_summary_rows(spark, tight):
     log = spark.range(600).select(
         F.array(F.lit("hot"), F.concat(F.lit("t"), F.col("id") % 5)).alias("tables_used"),
         F.when(F.col("id") % 2 == 0, "table").otherwise("metric").alias("chart_type"),
         F.when(F.col("id") % 7 > 0, F.concat(F.lit("c"), F.col("id") % 200)).alias("chart_name"),
     )
-    out = usage.usage_summary(log)
-    hot = out.filter("table_name = 'hot'")
-    assert hot.count() > 1 and hot.select("usage_count").distinct().collect()[0][0] == 600
-    names = [n for r in hot.collect() for n in r["used_in_charts"]]
+    hot = usage.usage_summary(log).filter("table_name = 'hot'").collect()
+    assert {(r["usage_count"], *r["used_in_chart_types"]) for r in hot} == {(600, "metric", "table")}
+    names = [r["chart_name"] for r in hot]
     assert len(names) == len(set(names)) and set(names) == {None} | {f"c{i % 200}" for i in range(600) if i % 7}
-    assert {tuple(r["used_in_chart_types"]) for r in hot.collect()} == {("metric", "table")}
 
 
 @pytest.fixture(scope="module")

@@ -12,12 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftgraph.plans import skew
-from weftgraph.plans.skew import HotKeys
 from weftgraph.schemas import DEP
 from weftgraph.session import stage_table
 
 TABLE = ("table_name",)
-NOT_HOT = HotKeys(TABLE)
 #: Into how many pieces the writes and the reads of a table are cut.
 PIECES = ("w_pieces", "r_pieces")
 
@@ -69,9 +67,9 @@ def dep_label(dep: Column) -> Column:
 # -- indexes and table joins -------------------------------------------------------------------
 
 
-def table_index(access: DataFrame, hot: HotKeys = NOT_HOT) -> DataFrame:
-    """table -> sorted jobs. A table with very many jobs comes in several parts."""
-    return skew.collect_parts(access, TABLE, F.col("job"), "jobs", hot, ["job"])
+def table_index(access: DataFrame) -> DataFrame:
+    """(table_name, position, job): the jobs of every table in order, a row each, however many they are."""
+    return skew.number_rows(access.select(*TABLE, "job"), TABLE, ["job"], "position")
 
 
 def accesses(writes: DataFrame, reads: DataFrame) -> DataFrame:
@@ -219,14 +217,12 @@ def unresolved_calls(calls: DataFrame, index: DataFrame, spread: Sequence[str])
 # -- nodes -------------------------------------------------------------------------------------
 
 
-def assemble_nodes(
-    heads: DataFrame, deps: DataFrame, keys: Sequence[str], hot: HotKeys
-) -> DataFrame:
-    """Node rows from one head per node and one row per dependency.
+def assemble_nodes(heads: DataFrame, deps: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Node documents from one head per node and one row per dependency, the form they are stored in.
 
     ``heads``: keys, integration, name, node_type, description, url, has_downstream.
-    ``deps``: keys, direction ``up``/``down``, ``rank`` (sort struct) and ``dep``. A node with more
-    dependencies than fit a row comes as several parts.
+    ``deps``: keys, direction ``up``/``down``, ``rank`` (sort struct) and ``dep``. Lists are built here,
+    for output, and nowhere before.
     """
     ranked = F.struct("rank", "dep")
 
@@ -234,13 +230,7 @@ def assemble_nodes(
         lists = F.sort_array(F.collect_list(F.when(F.col("direction") == direction, ranked)))
         return F.transform(lists, lambda x: x["dep"])
 
-    spread = ["direction", "rank", "dep"]
-    lists = (
-        hot.tell(deps, keys)
-        .withColumn("part", skew.piece(spread, F.col("_pieces")))
-        .groupBy(*keys, "part")
-        .agg(side("up").alias("_up"), side("down").alias("_down"))
-    )
+    lists = deps.groupBy(*keys).agg(side("up").alias("_up"), side("down").alias("_down"))
     down = F.when(F.col("has_downstream"), F.coalesce("_down", no_deps()))
     return heads.join(lists, list(keys), "left").select(
         "integration",
@@ -251,38 +241,33 @@ def assemble_nodes(
             F.coalesce("_up", no_deps()).alias("upstream_dependencies"),
             down.alias("downstream_dependencies"),
         ).alias("lineage"),
-        F.coalesce("part", F.lit(0)).alias("part"),
+    )
+
+
+def dependency_edges(deps: DataFrame) -> DataFrame:
+    """Every dependency (node, direction, dep) as one directed edge: an upstream one d -> node, a downstream
+    one node -> d."""
+    kind = F.when(F.col("dep.table_name").isNotNull(), F.lit("table")).otherwise(F.lit("node"))
+    up, other = F.col("direction") == "up", dep_label(F.col("dep"))
+    return deps.select(
+        F.when(up, kind).otherwise(F.lit("node")).alias("src_kind"),
+        F.when(up, other).otherwise(F.col("node")).alias("src"),
+        F.when(up, F.lit("node")).otherwise(kind).alias("dst_kind"),
+        F.when(up, F.col("node")).otherwise(other).alias("dst"),
     )
 
 
 def edge_list(nodes: DataFrame) -> DataFrame:
-    """Every dependency as one directed edge: upstream d of n is d -> n, downstream d of n is n -> d."""
+    """The edges of node documents."""
 
-    def ends(direction: str) -> DataFrame:
+    def of(direction: str, side: str) -> DataFrame:
         return nodes.select(
             F.concat_ws(":", "node_type", "name").alias("node"),
-            F.explode(f"lineage.{direction}_dependencies").alias("dep"),
-        ).select(
-            "node",
-            F.when(F.col("dep.table_name").isNotNull(), F.lit("table"))
-            .otherwise(F.lit("node"))
-            .alias("kind"),
-            dep_label(F.col("dep")).alias("other"),
+            F.lit(direction).alias("direction"),
+            F.explode(f"lineage.{side}_dependencies").alias("dep"),
         )
 
-    up = ends("upstream").select(
-        F.col("kind").alias("src_kind"),
-        F.col("other").alias("src"),
-        F.lit("node").alias("dst_kind"),
-        F.col("node").alias("dst"),
-    )
-    down = ends("downstream").select(
-        F.lit("node").alias("src_kind"),
-        F.col("node").alias("src"),
-        F.col("kind").alias("dst_kind"),
-        F.col("other").alias("dst"),
-    )
-    return up.unionByName(down)
+    return dependency_edges(of("up", "upstream").unionByName(of("down", "downstream")))
 
 
 def stitch(table_edges: DataFrame) -> DataFrame:
@@ -318,10 +303,9 @@ def unknown_types(nodes: DataFrame, types: DataFrame) -> DataFrame:
 
 
 def duplicate_names(nodes: DataFrame) -> DataFrame:
-    """Names that an integration uses for more than one node (parts of one node count once)."""
+    """Names that an integration uses for more than one node."""
     return (
-        nodes.filter(F.col("part") == 0)
-        .groupBy("integration", "name")
+        nodes.groupBy("integration", "name")
         .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") > 1)
     )
@@ -369,8 +353,4 @@ def earliest(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> D
 
 def run_summary(nodes: DataFrame) -> DataFrame:
     """Nodes per integration and type."""
-    return (
-        nodes.filter(F.col("part") == 0)
-        .groupBy("integration", "node_type")
-        .agg(F.count(F.lit(1)).alias("nodes"))
-    )
+    return nodes.groupBy("integration", "node_type").agg(F.count(F.lit(1)).alias("nodes"))

@@ -56,7 +56,6 @@ def parent_child_nodes(
             F.struct(
                 up.alias("upstream_dependencies"), down.alias("downstream_dependencies")
             ).alias("lineage"),
-            F.lit(0).alias("part"),
         )
 
     held = rows if sources is None else sources.select(parent.alias("parent"), url.alias("url"))

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftgraph.operators import graph
 from weftgraph.plans import skew
-from weftgraph.plans.skew import HotKeys
-from weftgraph.session import stage_table
 
 TABLE = ("table_name",)
 
@@ -25,39 +23,23 @@ def counted(rows: DataFrame) -> DataFrame:
     return rows.groupBy("table_name", "chart_type", "chart_name").agg(F.count(F.lit(1)).alias("n"))
 
 
-def summary(counts: DataFrame) -> DataFrame:
-    """table -> usage_count, sorted distinct chart types and chart names (a null name stays, once).
-
-    Starts from ``counted`` rows, so repeats are gone before any list is built; they are written once,
-    for the look at heavy tables and the lists both read them. A table with very many
-    chart names comes as several parts that repeat its totals.
-    """
-    counts = stage_table(counts, "usage-counts")
-    limit = skew.items_per_list(counts.sparkSession)
-    hot: HotKeys = skew.find_hot(counts, TABLE, limit)
-    table = Window.partitionBy(*TABLE)
-    return (
-        hot.tell(counts, TABLE)
-        .withColumn("part", skew.piece(["chart_name"], F.col("_pieces")))
-        .groupBy(*TABLE, "part")
-        .agg(
-            F.sum("n").alias("_n"),
-            F.collect_set("chart_type").alias("_types"),
-            F.sort_array(F.collect_set(F.struct("chart_name"))).alias("_names"),
-        )
-        .select(
-            *TABLE,
-            "part",
-            F.sum("_n").over(table).alias("usage_count"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("_types").over(table)))).alias(
-                "used_in_chart_types"
-            ),
-            F.transform("_names", lambda x: x["chart_name"]).alias("used_in_charts"),
-        )
-        .orderBy(F.desc("usage_count"), *TABLE, "part")
+def totals(counts: DataFrame) -> DataFrame:
+    """table -> usage_count and its sorted chart types, of which there are few."""
+    return counts.groupBy(*TABLE).agg(
+        F.sum("n").alias("usage_count"),
+        F.array_sort(F.collect_set("chart_type")).alias("used_in_chart_types"),
     )
 
 
+def summary(counts: DataFrame) -> DataFrame:
+    """Tables by usage, each with a row per distinct chart name (a null name counts as one): table_name,
+    usage_count, used_in_chart_types, chart_name. Starts from ``counted`` rows; no list of names is built."""
+    names = counts.select(*TABLE, "chart_name").distinct()
+    return names.join(totals(counts), list(TABLE)).select(
+        *TABLE, "usage_count", "used_in_chart_types", "chart_name"
+    ).orderBy(F.desc("usage_count"), *TABLE, "chart_name")
+
+
 def usage_summary(usage: DataFrame) -> DataFrame:
     return summary(counted(unnested(usage)))
 
@@ -73,12 +55,9 @@ def results(usage: DataFrame) -> DataFrame:
 
 
 def file_tables(usage: DataFrame) -> DataFrame:
-    """Distinct tables per file, sorted; a file with very many comes as several parts."""
-    pairs = stage_table(
-        usage.select("file_path", F.explode("tables_used").alias("t")).distinct(), "file-tables"
-    )
-    hot = skew.find_hot(pairs, ["file_path"], skew.items_per_list(usage.sparkSession))
-    return skew.collect_parts(pairs, ["file_path"], F.col("t"), "tables", hot, ["t"])
+    """(file_path, position, table_name): the distinct tables of every file in order, a row each."""
+    pairs = usage.select("file_path", F.explode("tables_used").alias("table_name")).distinct()
+    return skew.number_rows(pairs, ["file_path"], ["table_name"], "position")
 
 
 def first_metadata(metadata: DataFrame) -> DataFrame:

@@ -191,7 +191,6 @@ def convert(
                 graph.no_deps().alias("upstream_dependencies"),
                 F.lit(None).cast(graph.no_deps_type()).alias("downstream_dependencies"),
             ).alias("lineage"),
-            F.lit(0).alias("part"),
         )
     )
     c = F.col
@@ -221,7 +220,6 @@ def convert(
                     "downstream_dependencies"
                 ),
             ).alias("lineage"),
-            F.lit(0).alias("part"),
         )
     )
     return apps.unionByName(chart_nodes)

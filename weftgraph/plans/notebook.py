@@ -148,7 +148,6 @@ def convert(parsed: Parsed, repo_url: str, branch: str) -> DataFrame:
             graph.no_deps().alias("upstream_dependencies"),
             F.lit(None).cast(graph.no_deps_type()).alias("downstream_dependencies"),
         ).alias("lineage"),
-        F.lit(0).alias("part"),
     )
     named = cell_ops.unique_titles(parsed.cells, keys).join(
         parsed.notebooks.select("rel_path", "notebook_name"), keys
@@ -169,6 +168,5 @@ def convert(parsed: Parsed, repo_url: str, branch: str) -> DataFrame:
                 graph.node_ref(F.lit(INTEGRATION), F.lit("Notebook"), F.col("notebook_name"))
             ).alias("downstream_dependencies"),
         ).alias("lineage"),
-        F.lit(0).alias("part"),
     )
     return heads.unionByName(cells)

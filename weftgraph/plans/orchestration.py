@@ -194,7 +194,6 @@ def convert(
             graph.no_deps().alias("upstream_dependencies"),
             F.lit(None).cast(graph.no_deps_type()).alias("downstream_dependencies"),
         ).alias("lineage"),
-        F.lit(0).alias("part"),
     )
 
     attached = comp.with_flow(
@@ -287,8 +286,7 @@ def convert(
         F.lit(True).alias("has_downstream"),
     )
     keys = ["rel_path", "ordinal"]
-    hot = skew.find_hot(deps, keys, skew.items_per_list(spark))
-    return pipelines.unionByName(graph.assemble_nodes(heads, deps, keys, hot))
+    return pipelines.unionByName(graph.assemble_nodes(heads, deps, keys))
 
 
 def unresolved(parsed: Parsed) -> DataFrame:

@@ -6,7 +6,6 @@ and leaves the result exactly what the plain operator gives:
 * ``find_hot`` counts the rows of every key and keeps each one above the limit, whatever its share of
   all rows, as a table that is joined to the rows;
 * ``salted_join`` spreads the rows of heavy keys and repeats the other side per piece;
-* ``collect_parts`` builds bounded lists instead of one list per key;
 * ``number_rows`` / ``carry_last`` / ``next_within`` / ``last_within`` are row_number, last-value-so-far
   and bounded-frame windows. Without heavy keys they are the plain window; with them the window is cut
   into blocks along the order, and what crosses a block border is carried over.
@@ -23,7 +22,6 @@ from pyspark.sql import functions as F
 from weftgraph.session import stage_table
 
 ROWS_PER_SPLIT = "spark.weftgraph.rowsPerSplit"
-ITEMS_PER_LIST = "spark.weftgraph.itemsPerList"
 
 
 def rows_per_split(spark: SparkSession) -> int:
@@ -31,11 +29,6 @@ def rows_per_split(spark: SparkSession) -> int:
     return int(spark.conf.get(ROWS_PER_SPLIT, "1000000"))
 
 
-def items_per_list(spark: SparkSession) -> int:
-    """Longest array that is built in a single row."""
-    return int(spark.conf.get(ITEMS_PER_LIST, "100000"))
-
-
 @dataclass(frozen=True)
 class HotKeys:
     """Heavy values of ``columns`` as a table (_key: digest of the key, _pieces), none if there are none."""
@@ -107,18 +100,6 @@ def salted_join(
     return left.join(right, [*keys, "_piece"], how).drop("_piece")
 
 
-def collect_parts(
-    df: DataFrame, keys: Sequence[str], item: Column, out: str, hot: HotKeys, spread: Sequence[str]
-) -> DataFrame:
-    """Sorted list of ``item`` per key: one row (``part`` 0), or several for a heavy key."""
-    return (
-        hot.tell(df, keys)
-        .withColumn("part", piece(spread, F.col("_pieces")))
-        .groupBy(*keys, "part")
-        .agg(F.sort_array(F.collect_list(item)).alias(out))
-    )
-
-
 def _known(hot: HotKeys | None, df: DataFrame, keys: Sequence[str]) -> HotKeys:
     """Heavy keys the caller already knows of, or a look at the data."""
     return find_hot(df, keys) if hot is None else hot

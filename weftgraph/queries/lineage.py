@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftgraph.operators import graph
-from weftgraph.plans import skew
 from weftgraph.queries.registry import query, table
 from weftgraph.session import stage_table
 
@@ -96,8 +95,8 @@ def staged_access(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage_table(access(spark, sf_dir), "access")
 
 
-def lake_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One Pipeline node per nation, one Job node per supplier with its table and job dependencies."""
+def lake_deps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(job, direction, rank, dep): a row per dependency of a Job node, on jobs, flows and tables."""
     job_rows = jobs(spark, sf_dir)
     tagged = graph.tag_accesses(staged_access(spark, sf_dir))
     name = F.lit(INTEGRATION)
@@ -110,7 +109,7 @@ def lake_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.col(second) if second else F.lit("")).alias("b"),
         )
 
-    deps = (
+    return (
         job_rows.select(
             "job",
             F.lit("up").alias("direction"),
@@ -142,36 +141,37 @@ def lake_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         )
     )
-    deps = stage_table(deps, "dependencies")
-    heads = job_rows.select(
-        "job",
-        name.alias("integration"),
-        F.col("job").alias("name"),
-        F.lit("Job").alias("node_type"),
-        F.concat(F.lit("Matillion job: "), F.element_at(F.split("job", r"\."), -1), F.lit(".")).alias(
-            "description"
-        ),
-        source_url(F.col("flow")).alias("url"),
-        F.lit(True).alias("has_downstream"),
-    )
-    job_nodes = graph.assemble_nodes(
-        heads, deps, ["job"], skew.find_hot(deps, ["job"], skew.items_per_list(spark))
-    )
+
+
+def lake_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a node is without its dependencies: a Pipeline per nation, a Job per supplier."""
     flows = table(spark, sf_dir, "nation").select(
-        name.alias("integration"),
+        F.lit(None).cast("string").alias("job"),
+        F.lit(INTEGRATION).alias("integration"),
         F.col("n_name").alias("name"),
         F.lit("Pipeline").alias("node_type"),
-        F.struct(
-            F.concat(F.lit("Flow "), F.col("n_name")).alias("description"),
-            source_url(F.col("n_name")).alias("url"),
-        ).alias("attributes"),
-        F.struct(
-            graph.no_deps().alias("upstream_dependencies"),
-            F.lit(None).cast(graph.no_deps_type()).alias("downstream_dependencies"),
-        ).alias("lineage"),
-        F.lit(0).alias("part"),
+        F.concat(F.lit("Flow "), F.col("n_name")).alias("description"),
+        source_url(F.col("n_name")).alias("url"),
+        F.lit(False).alias("has_downstream"),
+    )
+    return flows.unionByName(
+        jobs(spark, sf_dir).select(
+            "job",
+            F.lit(INTEGRATION).alias("integration"),
+            F.col("job").alias("name"),
+            F.lit("Job").alias("node_type"),
+            F.concat(F.lit("Matillion job: "), F.element_at(F.split("job", r"\."), -1), F.lit(".")).alias(
+                "description"
+            ),
+            source_url(F.col("flow")).alias("url"),
+            F.lit(True).alias("has_downstream"),
+        )
     )
-    return flows.unionByName(job_nodes)
+
+
+def lake_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One Pipeline node per nation, one Job node per supplier with its table and job dependencies."""
+    return graph.assemble_nodes(lake_heads(spark, sf_dir), lake_deps(spark, sf_dir), ["job"])
 
 
 def source_url(flow):
@@ -193,20 +193,11 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _index(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
-    access_rows = staged_access(spark, sf_dir).filter(F.col("mode") == mode)
-    limit = skew.items_per_list(access_rows.sparkSession)
-    hot = skew.find_hot(access_rows, graph.TABLE, limit)
-    return graph.table_index(access_rows, hot).select(
-        "table_name",
-        "part",
-        F.size("jobs").cast("bigint").alias("n_jobs"),
-        F.array_join("jobs", ",").alias("jobs"),
-    )
+    return graph.table_index(access(spark, sf_dir).filter(F.col("mode") == mode))
 
 
 INDEX_SQL = """
-SELECT table_name, CAST(0 AS INTEGER) AS part, count(*) AS n_jobs, string_agg(job, ',' ORDER BY job) AS jobs
-FROM {side} GROUP BY table_name
+SELECT table_name, row_number() OVER (PARTITION BY table_name ORDER BY job) AS position, job FROM {side}
 """
 
 
@@ -340,10 +331,10 @@ def join_stitch(spark: SparkSession, sf_dir: str) -> DataFrame:
     + """,
 u AS (SELECT job, string_agg(dep, ',' ORDER BY slot, dep) AS deps FROM up GROUP BY job),
 d AS (SELECT job, string_agg(dep, ',' ORDER BY t, dep) AS deps FROM down GROUP BY job)
-SELECT 'Matillion' AS integration, n_name AS name, 'Pipeline' AS node_type, CAST(0 AS INTEGER) AS part,
+SELECT 'Matillion' AS integration, n_name AS name, 'Pipeline' AS node_type,
        '' AS upstream, CAST(NULL AS VARCHAR) AS downstream FROM nation
 UNION ALL
-SELECT 'Matillion', jobs.job, 'Job', 0, u.deps, coalesce(d.deps, '')
+SELECT 'Matillion', jobs.job, 'Job', u.deps, coalesce(d.deps, '')
 FROM jobs LEFT JOIN u ON u.job = jobs.job LEFT JOIN d ON d.job = jobs.job
 """,
 )
@@ -354,7 +345,7 @@ def node_assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias(side)
 
     return lake_nodes(spark, sf_dir).select(
-        "integration", "name", "node_type", "part", labels("upstream"), labels("downstream")
+        "integration", "name", "node_type", labels("upstream"), labels("downstream")
     )
 
 
@@ -369,7 +360,8 @@ SELECT 'node', 'Job:' || job, CASE WHEN dep LIKE 'Job:%' THEN 'node' ELSE 'table
 """,
 )
 def edge_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.edge_list(lake_nodes(spark, sf_dir))
+    deps = lake_deps(spark, sf_dir).withColumn("node", F.concat(F.lit("Job:"), F.col("job")))
+    return graph.dependency_edges(deps)
 
 
 URL_SQL = "'https://git.example.org/lake/blob/main/flows/' || lower(n_name) || '.orch.yaml'"
@@ -384,7 +376,7 @@ SELECT n_name || '.' || s_name, 'Job', {URL_SQL} FROM supplier JOIN nation ON n_
 """,
 )
 def node_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lake_nodes(spark, sf_dir).select("name", "node_type", F.col("attributes.url").alias("url"))
+    return lake_heads(spark, sf_dir).select("name", "node_type", "url")
 
 
 @query(
@@ -418,4 +410,4 @@ SELECT 'Matillion', 'Job', count(*) FROM supplier JOIN nation ON n_nationkey = s
 """,
 )
 def agg_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.run_summary(lake_nodes(spark, sf_dir))
+    return graph.run_summary(lake_heads(spark, sf_dir))

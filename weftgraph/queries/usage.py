@@ -56,22 +56,16 @@ def numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SUMMARY_SQL = f"""WITH {USAGE_SQL},
 unnested AS (SELECT unnest(tables_used) AS table_name, chart_type, chart_name FROM usage)
-SELECT table_name, CAST(0 AS INTEGER) AS part, count(*) AS usage_count,
-       string_agg(DISTINCT chart_type, ',' ORDER BY chart_type) AS used_in_chart_types,
-       CASE WHEN bool_or(chart_name IS NULL) THEN '-,' ELSE '' END
-         || string_agg(DISTINCT chart_name, ',' ORDER BY chart_name) AS used_in_charts
-FROM unnested WHERE table_name IS NOT NULL AND table_name <> '' GROUP BY table_name
+SELECT table_name, usage_count, used_in_chart_types, chart_name
+FROM (SELECT table_name, count(*) AS usage_count,
+             string_agg(DISTINCT chart_type, ',' ORDER BY chart_type) AS used_in_chart_types
+      FROM unnested WHERE table_name IS NOT NULL AND table_name <> '' GROUP BY table_name)
+JOIN (SELECT DISTINCT table_name, chart_name FROM unnested) USING (table_name)
 """
 
 
 def flat_summary(rows: DataFrame) -> DataFrame:
-    return rows.select(
-        "table_name",
-        "part",
-        "usage_count",
-        F.array_join("used_in_chart_types", ",").alias("used_in_chart_types"),
-        F.array_join("used_in_charts", ",", "-").alias("used_in_charts"),
-    )
+    return rows.withColumn("used_in_chart_types", F.array_join("used_in_chart_types", ","))
 
 
 @query("usage_summary", SUMMARY_SQL)
@@ -94,16 +88,11 @@ def usage_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     "agg_app_tables",
     f"""WITH {USAGE_SQL},
     pairs AS (SELECT DISTINCT file_path, unnest(tables_used) AS t FROM usage)
-    SELECT file_path, CAST(0 AS INTEGER) AS part, count(*) AS n_tables, string_agg(t, ',' ORDER BY t) AS tables
-    FROM pairs GROUP BY file_path""",
+    SELECT file_path, row_number() OVER (PARTITION BY file_path ORDER BY t) AS position, t AS table_name
+    FROM pairs""",
 )
 def agg_app_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return usage.file_tables(usage_rows(spark, sf_dir)).select(
-        "file_path",
-        "part",
-        F.size("tables").cast("bigint").alias("n_tables"),
-        F.array_join("tables", ",").alias("tables"),
-    )
+    return usage.file_tables(usage_rows(spark, sf_dir))
 
 
 @query(

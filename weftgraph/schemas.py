@@ -25,11 +25,8 @@ LINEAGE = _struct(
     upstream_dependencies=T.ArrayType(DEP), downstream_dependencies=T.ArrayType(DEP)
 )
 
-#: ``part`` is 0 but for nodes whose dependency list is too long for one row: these come as several
-#: rows with disjoint lists.
-NODE = _struct(
-    integration=_s, name=_s, node_type=_s, attributes=ATTRIBUTES, lineage=LINEAGE, part=_i
-)
+#: A node as it is written: one document, with its dependencies as lists.
+NODE = _struct(integration=_s, name=_s, node_type=_s, attributes=ATTRIBUTES, lineage=LINEAGE)
 
 TABLE_USAGE = _struct(
     id=T.LongType(),

@@ -65,15 +65,11 @@ def write_app_metadata(apps: DataFrame, path: str, integration: str) -> None:
 def upsert(existing: DataFrame | None, incoming: DataFrame) -> DataFrame:
     """Node set after a run: nodes are keyed by integration and name, the newest run wins.
 
-    Both sides carry ``modified_at``; a row without one is older than any with one. A node in several
-    parts is replaced as a whole: only the parts of its newest run stay.
+    Both sides carry ``modified_at``; a row without one is older than any with one.
     """
     keys = ["integration", "name"]
     rows = incoming if existing is None else existing.unionByName(incoming)
-    newest = rows.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.max("modified_at").alias("_newest"))
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    current = rows.join(newest, [*same, F.col("modified_at").eqNullSafe(F.col("_newest"))], "left_semi")
-    return graph.latest(current, [*keys, "part"], [F.col("modified_at"), F.col("node_type")])
+    return graph.latest(rows, keys, [F.col("modified_at"), F.col("node_type")])
 
 
 def write_version(rows: DataFrame, root: str, version: str) -> str:
