@@ -328,23 +328,28 @@ CALL_HEAD = r"""session\.sql\s*\(\s*[f]?["']+"""
 
 
 def session_calls(content: Column) -> Column:
-    """Array of (line, sql) for each ``session.sql("...")``, text up to the first quote character."""
-    call = rf"""(?is)\A{CALL_HEAD}(.*?)["']+"""
+    """Array of (line, sql) for each ``session.sql("...")``, text up to the first quote character. A call in
+    the text of a call is none: the search goes on after the end of a match."""
+    call = rf"""(?is){CALL_HEAD}(.*?)["']+"""
     none = F.array().cast("array<struct<line:int,text:string>>")
-    chunks = F.aggregate(
-        F.split(content, rf"(?is)(?={CALL_HEAD})", -1),
+    between = F.split(content, call, -1)
+    whole, texts = (F.regexp_extract_all(content, F.lit(call), F.lit(group)) for group in (0, 1))
+    return F.aggregate(
+        F.arrays_zip(between.alias("before"), whole.alias("whole"), texts.alias("text")),
         F.struct(F.lit(1).alias("line"), none.alias("found")),
         lambda acc, c: F.struct(
-            (acc["line"] + _count(c, "\n")).alias("line"),
+            (acc["line"] + _count(c["before"], "\n") + F.coalesce(_count(c["whole"], "\n"), F.lit(0))).alias("line"),
             F.concat(
-                acc["found"], F.array(F.struct(acc["line"].alias("line"), c.alias("text")))
+                acc["found"],
+                F.when(
+                    c["whole"].isNotNull(),
+                    F.array(
+                        F.struct(
+                            (acc["line"] + _count(c["before"], "\n")).alias("line"), c["text"].alias("text")
+                        )
+                    ),
+                ).otherwise(none),
             ).alias("found"),
         ),
         lambda acc: acc["found"],
     )
-    return F.transform(
-        F.filter(chunks, lambda c: c["text"].rlike(call)),
-        lambda c: F.struct(
-            c["line"].alias("line"), F.regexp_extract(c["text"], call, 1).alias("text")
-        ),
-    )

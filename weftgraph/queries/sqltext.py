@@ -183,14 +183,17 @@ def sql_magic(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH {NAMES_SQL}
     SELECT k, CAST(1 + k % 5 AS INTEGER) AS line, 'select a from ' || o AS sql FROM names
     UNION ALL
-    SELECT k, CAST(2 + k % 5 AS INTEGER), chr(10) || ' select b from {{db}}.' || c || ' where x = ' FROM names""",
+    SELECT k, CAST(2 + k % 5 AS INTEGER), chr(10) || ' select b from {{db}}.' || c || ' where x = ' FROM names
+    UNION ALL
+    SELECT k, CAST(4 + k % 5 AS INTEGER), 'session.sql(' FROM names""",
 )
 def sql_session_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A call per line; the second one holds a quote, where its text ends."""
+    """A call per line; the second one holds a quote, where its text ends, the third a call, which is none."""
     content = F.concat(
         F.repeat(F.lit("pad = 1\n"), (F.col("k") % 5).cast("int")),
         F.lit('x = session.sql("select a from '), F.col("o"), F.lit('")\n'),
         F.lit('y = Session.SQL ( f"""\n select b from {db}.'), F.col("c"), F.lit(" where x = 'a'\"\"\")\n"),
+        F.lit("""z = session.sql("session.sql('select c from no_call')")\n"""),
     )
     return (
         names(spark, sf_dir)
