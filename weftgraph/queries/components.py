@@ -99,13 +99,22 @@ def orch_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return components(spark, sf_dir).select("rel_path", "ordinal", "type", "role")
 
 
+# Every known utility type and two that are none, dealt out over the utility components.
+UTILITIES = (*comp.KNOWN_UTILITIES, "notify-team", "rest-call")
+UTILITY_LIST = ", ".join(f"'{t}'" for t in UTILITIES)
+
+
 @query(
     "orch_unclassified",
-    f"""WITH {COMPONENTS_SQL} SELECT rel_path, ordinal, name, type FROM typed
-    WHERE role = 'utility' AND type NOT IN ('start', 'python-script')""",
+    f"""WITH {COMPONENTS_SQL},
+    dealt AS (SELECT rel_path, ordinal, name, list_extract([{UTILITY_LIST}], k % {len(UTILITIES)} + 1) AS type
+              FROM typed WHERE role = 'utility')
+    SELECT rel_path, ordinal, name, type FROM dealt WHERE type IN ('notify-team', 'rest-call')""",
 )
 def orch_unclassified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comp.unclassified(components(spark, sf_dir)).select("rel_path", "ordinal", "name", "type")
+    dealt = F.get(F.array(*[F.lit(t) for t in UTILITIES]), (F.col("k") % len(UTILITIES)).cast("int"))
+    rows = components(spark, sf_dir).filter("role = 'utility'").withColumn("type", dealt)
+    return comp.unclassified(rows).select("rel_path", "ordinal", "name", "type")
 
 
 @query("orch_output_table", f"WITH {COMPONENTS_SQL} SELECT rel_path, ordinal, output_table FROM typed")
@@ -154,21 +163,25 @@ def filter_data_bearing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "desc_flow",
     f"""WITH {COMPONENTS_SQL}
-    SELECT rel_path, 'Matillion ' || CASE pipeline_type
+    SELECT rel_path, CASE WHEN active_jobs % 3 = 1 THEN 'Given: ' || pipeline_type || '.' ELSE 'Matillion ' || CASE pipeline_type
              WHEN 'ingestion' THEN 'ingestion (SaaS → Snowflake)'
              WHEN 'reverse_etl' THEN 'reverse ETL (Snowflake → destination)'
              WHEN 'orchestrator' THEN 'orchestrator (calls other pipelines)'
              WHEN 'sql_transform' THEN 'SQL transform' ELSE 'orchestration' END
            || ' pipeline with ' || active_jobs || ' active job(s)'
            || CASE WHEN skipped_jobs > 0 THEN ' and ' || skipped_jobs || ' skipped job(s)' ELSE '' END
-           || '.' AS description
+           || '.' END AS description
     FROM flow""",
 )
 def desc_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flows of some sizes have a text of their own; others an empty one or none."""
+    given = F.when(F.col("active_jobs") % 3 == 1, F.concat(F.lit("Given: "), "pipeline_type", F.lit("."))).when(
+        F.col("active_jobs") % 3 == 2, F.lit("")
+    )
     return comp.flows(components(spark, sf_dir)).select(
         "rel_path",
         comp.flow_description(
-            F.lit(""), F.col("pipeline_type"), F.col("active_jobs"), F.col("skipped_jobs")
+            given, F.col("pipeline_type"), F.col("active_jobs"), F.col("skipped_jobs")
         ).alias("description"),
     )
 
