@@ -40,7 +40,7 @@ from weftgraph.llm.components import components
 from weftgraph.llm.words import blocks, coded, split_words
 from weftgraph.session import stage_table
 
-PIECES = 3
+PIECES = 2
 SPARE = 1.2
 #: Slices of the domain whose counts bound the difference of two sets from below.
 SLICES = 256
@@ -71,14 +71,20 @@ def shingle_sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     n = np.diff(bounds)
     count = np.where(n == 0, 0, np.maximum(n - width + 1, 1))
     owner = np.repeat(np.arange(len(n)), count)
-    inside = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-    start = bounds[owner] + inside
-    length = np.minimum(n[owner], width)
-    value = mix(length.astype(np.uint64))
+    start = np.repeat(bounds[:-1] - np.cumsum(count) + count, count) + np.arange(len(owner))
     with np.errstate(over="ignore"):
+        # A shingle is the sum of its words' digests, each times an odd number for its place.
+        odd = mix(np.arange(1, width + 1, dtype=np.uint64) * GOLDEN) | np.uint64(1)
+        summed = np.zeros(max(len(of) - width + 1, 0), dtype=np.uint64)
         for j in range(width):
-            more = length > j
-            value[more] = mix(value[more] * GOLDEN + of[start[more] + j])
+            summed += of[j : len(of) - width + 1 + j] * odd[j]
+        short = n[owner] < width
+        value = np.zeros(len(owner), dtype=np.uint64)
+        value[~short] = summed[start[~short]]
+        for i in np.flatnonzero(short):
+            words_ = of[start[i] : start[i] + n[owner[i]]]
+            value[i] = (words_ * odd[: len(words_)]).sum() + np.uint64(len(words_))
+        value = mix(value)
         # Equal shingles of one text have equal digests with the text's number mixed in.
         marked = value ^ mix(owner.astype(np.uint64) * GOLDEN + GOLDEN)
     order = np.argsort(marked)
@@ -194,11 +200,12 @@ def _classes(docs: DataFrame, width: int, key: str, text: str) -> DataFrame:
             for part in blocks(batch, "text"):
                 bounds, shingles = shingle_sets(part.column("text"), width)
                 sizes = np.diff(bounds)
-                columns = [part.column("key"), pa.array(sizes, pa.int64()), _long(set_digests(bounds, shingles))]
-                yield pa.RecordBatch.from_arrays(columns, names=["key", "size", "class"])
+                counts = pa.array([row.tobytes() for row in slice_counts(bounds, shingles)], pa.binary())
+                columns = [part.column("key"), pa.array(sizes, pa.int64()), _long(set_digests(bounds, shingles)), counts]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "size", "class", "slices"])
 
     rows = docs.select(docs[f"`{key}`"].alias("key"), docs[f"`{text}`"].alias("text"))
-    return rows.mapInArrow(run, f"key {kind}, size bigint, class bigint")
+    return rows.mapInArrow(run, f"key {kind}, size bigint, class bigint, slices binary")
 
 
 def _signed(docs: DataFrame, width: int, percent: int, text: str) -> DataFrame:
@@ -236,70 +243,102 @@ def _some_sets(bounds: np.ndarray, shingles: np.ndarray, which: np.ndarray):
     return ends, shingles[take]
 
 
-class Marks:
-    """A fixed number of bits, one of which stands for a class that is wanted. Others may share it."""
-
-    def __init__(self, wanted: DataFrame, column: str):
-        rows = (
-            wanted.select(F.pmod(F.col(column), F.lit(FILTER_BITS)).alias("bit"))
-            .groupBy(F.shiftright("bit", 6).alias("word"))
-            .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
-            .toArrow()
-        )
-        self.bits = np.zeros(FILTER_BITS // 64, dtype=np.int64)
-        self.bits[rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
+def _marks(wanted: DataFrame, column: str, sizes: DataFrame) -> np.ndarray:
+    """A fixed number of bits, one of which stands for the key of a wanted class. Other keys may share it."""
+    labels = wanted.join(sizes.select(F.col("class").alias("w"), "label"), F.col(column) == F.col("w"))
+    rows = (
+        labels.select(F.pmod(F.xxhash64("label"), F.lit(FILTER_BITS)).alias("bit"))
+        .groupBy(F.shiftright("bit", 6).alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
+        .toArrow()
+    )
+    bits = np.zeros(FILTER_BITS // 64, dtype=np.int64)
+    bits[rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
+    return bits
 
 
 def _marked(bits: np.ndarray, digests: np.ndarray) -> np.ndarray:
-    bit = digests % np.uint64(FILTER_BITS)
+    bit = digests.view(np.uint64) % np.uint64(FILTER_BITS)
     words = bits.view(np.uint64)[(bit >> np.uint64(6)).astype(np.int64)]
     return (words >> (bit & np.uint64(63))) & np.uint64(1) == 1
 
 
-def _sets(docs: DataFrame, width: int, text: str, wanted: DataFrame, column: str, slices: bool = False) -> DataFrame:
-    """(class, shingles) of the wanted classes and some more, one row each; or the counts of their shingles
-    per slice of the domain, none above 255, instead of the shingles."""
-    shared = docs.sparkSession.sparkContext.broadcast(Marks(wanted, column).bits)
+@dataclass(frozen=True)
+class Corpus:
+    """The texts of a join, and what of their sets it needs to know."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        met: set[int] = set()
-        for batch in batches:
-            for part in blocks(batch, "text"):
-                bounds, shingles = shingle_sets(part.column("text"), width)
-                digests = set_digests(bounds, shingles)
-                which = np.flatnonzero(_marked(shared.value, digests) & (np.diff(bounds) > 0))
-                which = which[_first_met(digests[which], met)]
-                ends, items = _some_sets(bounds, shingles, which)
-                if slices:
-                    owner = np.repeat(np.arange(len(which)), np.diff(ends))
-                    place = owner * SLICES + (items % np.uint64(SLICES)).astype(np.int64)
-                    counts = np.minimum(np.bincount(place, minlength=len(which) * SLICES), 255).astype(np.uint8)
-                    made = pa.array([row.tobytes() for row in counts.reshape(-1, SLICES)], pa.binary())
-                else:
+    docs: DataFrame
+    key: str
+    text: str
+    width: int
+    percent: int
+
+    def sets(self, wanted: DataFrame, column: str, sizes: DataFrame) -> DataFrame:
+        """(class, shingles) of the wanted classes and some more, one row each, from the text with the
+        class's least key."""
+        shared = self.docs.sparkSession.sparkContext.broadcast(_marks(wanted, column, sizes))
+        width = self.width
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            met: set[int] = set()
+            for batch in batches:
+                keys = batch.column("mark").to_numpy()
+                batch = batch.take(pa.array(np.flatnonzero(_marked(shared.value, keys))))
+                for part in blocks(batch, "text") if batch.num_rows else ():
+                    bounds, shingles = shingle_sets(part.column("text"), width)
+                    digests = set_digests(bounds, shingles)
+                    which = np.flatnonzero(np.diff(bounds) > 0)
+                    which = which[_first_met(digests[which], met)]
+                    ends, items = _some_sets(bounds, shingles, which)
                     made = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _long(items))
-                yield pa.RecordBatch.from_arrays([_long(digests[which]), made], names=["class", "shingles"])
+                    yield pa.RecordBatch.from_arrays([_long(digests[which]), made], names=["class", "shingles"])
+
+        key, text = self.docs[f"`{self.key}`"], self.docs[f"`{self.text}`"]
+        rows = self.docs.select(F.xxhash64(key).alias("mark"), text.alias("text"))
+        rows = rows.mapInArrow(run, "class bigint, shingles array<bigint>")
+        return rows.groupBy("class").agg(F.any_value("shingles").alias("shingles"))
+
 
-    kind = "binary" if slices else "array<bigint>"
-    rows = docs.select(docs[f"`{text}`"].alias("text")).mapInArrow(run, f"class bigint, shingles {kind}")
-    return rows.groupBy("class").agg(F.any_value("shingles").alias("shingles"))
+def slice_counts(ends: np.ndarray, items: np.ndarray) -> np.ndarray:
+    """Shingles of every set per slice of the domain, none above 255."""
+    owner = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+    place = owner * SLICES + (items % np.uint64(SLICES)).astype(np.int64)
+    counts = np.bincount(place, minlength=(len(ends) - 1) * SLICES)
+    return np.minimum(counts, 255).astype(np.uint8).reshape(-1, SLICES)
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, width: int, percent: int, text: str) -> DataFrame:
-    """The pairs (a, b) of classes that are linked: their sets are compared shingle by shingle.
+def _linked(corpus: Corpus, pairs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The pairs (a, b) of classes that are linked. Of those that sizes and slices don't rule out, the sets
+    are compared shingle by shingle.
 
     A class with many pairs has its set copied to as many tasks as ``BLOCK`` pairs each need.
     """
-    pairs = stage_table(pairs, "pairs")
+    percent = corpus.percent
+    ends = [
+        sizes.select(*[F.col(c).alias(f"{x}_{c}") for c in ("class", "size", "slices")]) for x in "ab"
+    ]
+    known = pairs.join(ends[0], F.col("a") == F.col("a_class")).join(ends[1], F.col("b") == F.col("b_class"))
+    known = known.where(100 * F.least("a_size", "b_size") >= percent * F.greatest("a_size", "b_size"))
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = (as_counts(batch.column(f"{x}_slices")) for x in "ab")
+            both = batch.column("a_size").to_numpy() + batch.column("b_size").to_numpy()
+            apart = np.abs(left - right).sum(axis=1)
+            kept = pa.array(np.flatnonzero(apart * (100 + percent) <= both * (100 - percent)))
+            yield pa.RecordBatch.from_arrays([batch.column("a").take(kept), batch.column("b").take(kept)], names=["a", "b"])
+
+    known = known.select("a", "b", "a_size", "b_size", "a_slices", "b_slices")
+    pairs = stage_table(known.mapInArrow(fit, "a bigint, b bigint"), "pairs")
     many = pairs.groupBy(F.col("a").alias("of")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("tasks"))
     many = stage_table(many, "pair-tasks")
     dealt = pairs.join(many, F.col("a") == F.col("of")).withColumn(
         "task", F.pmod(F.xxhash64("b"), F.col("tasks")).cast("int")
     )
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("class"))
-    sets = stage_table(_sets(docs, width, text, ends, "class"), "sets")
-    right = sets.select(F.col("class").alias("r"), F.col("shingles").alias("right"))
+    right = corpus.sets(pairs, "b", sizes).select(F.col("class").alias("r"), F.col("shingles").alias("right"))
     left = (
-        sets.select(F.col("class").alias("l"), F.col("shingles").alias("left"))
+        corpus.sets(many, "of", sizes)
+        .select(F.col("class").alias("l"), F.col("shingles").alias("left"))
         .join(many, F.col("l") == F.col("of"))
         .select("l", "left", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("l_task"))
     )
@@ -308,7 +347,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, width: int, percent: int, text: s
     both = dealt.join(right, F.col("b") == F.col("r")).join(
         left, (F.col("a") == F.col("l")) & (F.col("task") == F.col("l_task"))
     )
-    return both.where(100 * common >= percent * every).select("a", "b")
+    return stage_table(both.where(100 * common >= percent * every).select("a", "b"), "linked")
 
 
 def _groups(docs: DataFrame, width: int, percent: int, text: str) -> DataFrame:
@@ -326,21 +365,16 @@ def _groups(docs: DataFrame, width: int, percent: int, text: str) -> DataFrame:
 
 def _apart(groups: DataFrame, parts: DataFrame) -> DataFrame:
     """(signature, class, part, members) of groups whose classes lie in different components."""
-    named = (
-        groups.select("signature", "class")
-        .distinct()
-        .join(parts.withColumnRenamed("node", "n"), F.col("class") == F.col("n"), "left")
-        .select("signature", "class", F.coalesce("component", "class").alias("part"))
-    )
-    named = stage_table(named, "members")
-    open_ = (
-        named.groupBy(F.col("signature").alias("s"))
-        .agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("members"))
-        .where("low <> high")
-        .select("s", "members")
-    )
+    one = Window.partitionBy("signature")
+    named = groups.join(parts.withColumnRenamed("node", "n"), F.col("class") == F.col("n"), "left")
+    named = named.select("signature", "class", F.coalesce("component", "class").alias("part"))
     return stage_table(
-        named.join(open_, F.col("signature") == F.col("s")).select("signature", "class", "part", "members"), "apart"
+        named.withColumn("low", F.min("part").over(one))
+        .withColumn("high", F.max("part").over(one))
+        .withColumn("members", F.count("*").over(one))
+        .where("low <> high")
+        .select("signature", "class", "part", "members"),
+        "apart",
     )
 
 
@@ -362,20 +396,19 @@ def _few_pairs(apart: DataFrame) -> DataFrame:
     return lists.select(F.explode(across).alias("p")).select("p.a", "p.b").distinct()
 
 
-def _block_pairs(apart: DataFrame, sizes: DataFrame, docs: DataFrame, width: int, percent: int, text: str, all_: bool):
-    """Pairs across components of the large groups that sizes and slices don't rule out. Unless ``all_``,
-    components that such a pair joins count as one from then on, so a block gives fewer pairs than members.
+def _block_pairs(corpus: Corpus, many: DataFrame, sizes: DataFrame, all_: bool) -> DataFrame:
+    """(signature, a, b): pairs across components of the large groups that sizes and slices don't rule out.
+    Unless ``all_``, components that such a pair joins count as one from then on, so a block gives fewer
+    pairs than members.
 
     Every block of a group meets every other in a task of its own.
     """
-    many = apart.where(F.col("members") > FEW)
-    slices = _sets(docs, width, text, many, "class", slices=True).withColumnRenamed("class", "c")
+    percent = corpus.percent
+    known = sizes.select(F.col("class").alias("c"), "size", "slices")
     blocks_ = F.ceil(F.col("members") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("class"), blocks_).cast("int")
     rows = (
-        many.join(sizes.withColumnRenamed("class", "k"), F.col("class") == F.col("k"))
-        .join(slices, F.col("class") == F.col("c"))
-        .withColumn("own", own)
+        many.join(known, F.col("class") == F.col("c"))
+        .withColumn("own", F.pmod(F.xxhash64("class"), blocks_).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks_ - 1)))
         .select(
             "signature",
@@ -385,32 +418,30 @@ def _block_pairs(apart: DataFrame, sizes: DataFrame, docs: DataFrame, width: int
             "class",
             "part",
             "size",
-            "shingles",
+            "slices",
         )
     )
 
     def run(table: pa.Table) -> pa.Table:
         get = lambda name: table.column(name).to_numpy()
-        a, b = likely(
-            get("class"),
-            get("part"),
-            get("size"),
-            np.frombuffer(b"".join(table.column("shingles").to_pylist()), np.uint8).reshape(-1, SLICES),
-            get("own"),
-            table.column("low")[0].as_py() != table.column("high")[0].as_py(),
-            percent,
-            all_,
-        )
-        return pa.Table.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        counts = as_counts(table.column("slices"))
+        two = table.column("low")[0].as_py() != table.column("high")[0].as_py()
+        a, b = likely(get("class"), get("part"), get("size"), counts, get("own"), two, percent, all_)
+        signature = pa.array(np.full(len(a), get("signature")[0]), pa.int64())
+        return pa.Table.from_arrays([signature, pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["signature", "a", "b"])
 
-    return rows.groupBy("signature", "low", "high").applyInArrow(run, "a bigint, b bigint").distinct()
+    found = rows.groupBy("signature", "low", "high").applyInArrow(run, "signature bigint, a bigint, b bigint")
+    return stage_table(found, "likely")
+
+
+def as_counts(slices: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(slices.to_pylist()), np.uint8).reshape(-1, SLICES).astype(np.int16)
 
 
 def likely(classes, parts, sizes, slices, own, two: bool, percent: int, all_: bool):
     """Pairs (a, b), a < b, of different parts that may be linked; with ``two``, only across the two blocks."""
     order = np.argsort(classes)
     classes, parts, sizes, slices, own = (x[order] for x in (classes, parts, sizes, slices, own))
-    slices = slices.astype(np.int16)
     parts = parts.copy()
     out_a, out_b = [], []
     for i in range(len(classes) - 1):
@@ -438,32 +469,29 @@ def likely(classes, parts, sizes, slices, own, two: bool, percent: int, all_: bo
 def _resolve(docs: DataFrame, key: str, text: str, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(key, size, class) of every text, and (class, label, part): every class that is not empty with its
     least key and its component. Both are written tables."""
-    rows = stage_table(_classes(docs, width, key, text), "texts")
-    sizes = stage_table(
-        rows.where("size > 0").groupBy("class").agg(F.min("key").alias("label"), F.max("size").alias("size")), "classes"
-    )
+    corpus = Corpus(docs, key, text, width, percent)
+    rows = stage_table(_classes(docs, width, key, text), "texts", compression="zstd")
+    same = [F.min("key").alias("label"), F.max("size").alias("size"), F.any_value("slices").alias("slices")]
+    sizes = stage_table(rows.where("size > 0").groupBy("class").agg(*same), "classes", compression="zstd")
     groups = _groups(docs, width, percent, text)
-    by_size = sizes.select("class", "size")
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        left, right = (by_size.select(F.col("class").alias(f"{x}_of"), F.col("size").alias(f"{x}_n")) for x in "ab")
-        fit = pairs.join(left, F.col("a") == F.col("a_of")).join(right, F.col("b") == F.col("b_of"))
-        fit = fit.where(100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")).select("a", "b")
-        return stage_table(_linked(fit, docs, width, percent, text), "linked")
-
-    links = linked(groups.where("class <> least").select(F.col("least").alias("a"), F.col("class").alias("b")).distinct())
+    stars = groups.where("class <> least").select(F.col("least").alias("a"), F.col("class").alias("b")).distinct()
+    links = _linked(corpus, stars, sizes)
+    parts = components(links)
+    apart = _apart(groups, parts)
+    many = apart.where(F.col("members") > FEW)
+    likely_ = _block_pairs(corpus, many, sizes, all_=False)
+    more = _linked(corpus, _few_pairs(apart).union(likely_.select("a", "b")).distinct(), sizes)
+    links = links.union(more)
     parts = components(links)
-    for last in (False, True):
-        apart = _apart(groups, parts)
-        pairs = _block_pairs(apart, by_size, docs, width, percent, text, last)
-        if not last:
-            pairs = pairs.union(_few_pairs(apart)).distinct()
-        links = links.union(linked(pairs))
-        parts = components(links)
+    # Where a pair that stood for others isn't linked after all, all pairs of its group are compared.
+    failed = likely_.join(more, ["a", "b"], "left_anti").select(F.col("signature").alias("s")).distinct()
+    again = _apart(many.join(failed, F.col("signature") == F.col("s"), "left_semi"), parts)
+    rest = _block_pairs(corpus, again, sizes, all_=True).select("a", "b").distinct()
+    parts = components(links.union(_linked(corpus, rest, sizes)))
     named = sizes.join(parts, F.col("class") == F.col("node"), "left").select(
         "class", "label", F.coalesce("component", "class").alias("part")
     )
-    return rows, stage_table(named, "components")
+    return rows.drop("slices"), stage_table(named, "components")
 
 
 def near_duplicates(
