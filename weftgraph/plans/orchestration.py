@@ -15,7 +15,6 @@ from weftgraph.functions import nested, sqlrefs, text
 from weftgraph.functions.yamldoc import yaml_documents
 from weftgraph.operators import components as comp
 from weftgraph.operators import graph
-from weftgraph.plans import skew
 
 INTEGRATION = "Matillion"
 SUFFIX = "*.orch.yaml"
@@ -173,7 +172,6 @@ def convert(
     parsed: Parsed, repo_url: str, branch: str, stage=lambda df, name: df
 ) -> DataFrame:
     """Pipeline and Job nodes of the whole corpus."""
-    spark = parsed.docs.sparkSession
     flows = stage(flow_rows(parsed), "flows")
     name = F.lit(INTEGRATION)
 
