@@ -83,7 +83,6 @@ def mix(
     A source is cut into pieces of its shuffled order, whose sums give every piece its start, so no source
     is ever sorted in one task. The place of the cut is a sum over pieces of time, then over one piece.
     """
-    spark = docs.sparkSession
     row = F.struct(*[docs[f"`{c}`"].alias(c) for c in (keep if keep is not None else docs.columns)])
     sized = docs.select(
         row.alias("row"),
@@ -141,7 +140,7 @@ def mix(
             ).alias("finish"),
         )
     )
-    time, at_place = _cut(spark, narrow, sources, late, queued, most)
+    time, at_place = _cut(narrow, sources, late, queued)
     finish = [(F.col("sent") + F.col("source_size") * e) / F.col("target") for e in range(most)]
     extra = sum(
         (
@@ -168,7 +167,7 @@ def mix(
     )
 
 
-def _cut(spark, narrow, sources, late, queued, most) -> tuple[float, int]:
+def _cut(narrow: DataFrame, sources: DataFrame, late: DataFrame, queued) -> tuple[float, int]:
     """(time, place) of the last copy after time 1 that the budget still holds; two numbers."""
     budget = sources.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
     sent = queued(narrow).agg(F.coalesce(F.sum(F.col("size") * F.col("copies")), F.lit(0))).first()[0]
