@@ -39,7 +39,9 @@ CLASSES = 16_384
 SLICES = 8
 BURN_IN = 6
 #: Bytes of text in a chunk, about; a longer text is a chunk of its own.
-CHUNK_BYTES = 3 << 19
+CHUNK_BYTES = 6 << 20
+#: A word's class and a mark stand in so many bits below its count.
+TOTAL_BITS = 16
 #: A task numbers its chunks in this many bits; with the task's own number a chunk's is unique.
 CHUNK_BITS = 32
 SEGMENT = 64
@@ -86,28 +88,39 @@ def pack(docs: DataFrame, key: str, text: str, learn: str) -> DataFrame:
                 counts = np.bincount(tokens[each], minlength=len(words) + 1)
                 named = [zlib.crc32(f"{k} {SEED}".encode()) % SLICES for k in part.column(key).to_pylist()]
                 kinds = np.array([class_of(w) for w in words.to_pylist()] + [CLASSES], dtype=np.uint16)
+                # Frequent words get small numbers, most bytes of which are zero.
+                order = np.argsort(-np.bincount(tokens, minlength=len(kinds)), kind="stable")
+                number_of = np.empty(len(order), dtype=np.int64)
+                number_of[order] = np.arange(len(order))
+                tokens, kinds, counts = number_of[tokens], kinds[order], counts[order]
+                words = pa.concat_arrays([words.cast(pa.string()), pa.array([END])]).take(pa.array(order))
                 row = [
                     pa.array([number], pa.int64()),
                     _one(part.column(key)),
                     _bytes(np.where(learned, named, -1).astype(np.int8)),
                     _one(pa.array(ends, pa.int32())),
-                    _bytes(tokens.astype(_code_type(kinds))),
+                    _bytes(planes(tokens)),
                     _bytes(kinds),
-                    _one(pa.concat_arrays([words.cast(pa.string()), pa.array([END])])),
+                    _one(words),
                     _one(pa.array(counts, pa.int32())),
                 ]
                 number += 1
                 yield pa.RecordBatch.from_arrays(row, names=schema.names)
 
-    return stage_table(docs.select(key, text, learn).mapInArrow(run, schema), "model-chunks")
+    return stage_table(docs.select(key, text, learn).mapInArrow(run, schema), "model-chunks", compression="zstd")
 
 
 def _bytes(values: np.ndarray) -> pa.Array:
     return pa.array([values.tobytes()], pa.binary())
 
 
-def _code_type(kinds: np.ndarray) -> type:
-    return np.uint16 if len(kinds) <= 65_536 else np.uint32
+def planes(tokens: np.ndarray) -> np.ndarray:
+    """The lowest bytes of all numbers, then the next ones, and so on: zeros lie together and compress."""
+    return np.ascontiguousarray(tokens.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+
+
+def from_planes(data) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
 def _one(values: pa.Array) -> pa.ListArray:
@@ -119,24 +132,21 @@ def class_of(word: str) -> int:
 
 
 def word_totals(chunks: DataFrame) -> DataFrame:
-    """(chunk, at, class, total, first): every chunk's words with their count over all chunks; ``first`` in
-    one of the chunks. A word has one row per chunk that holds it."""
+    """(of, words): for every chunk its words in order, each as one number: its count over all chunks, its
+    class, and whether this chunk is the first that holds it. A word has one row per chunk on the way."""
     words = chunks.select("chunk", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w"))
     words = words.select("chunk", "at", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
     one = Window.partitionBy("word")
-    return stage_table(
-        words.select(
-            "chunk",
-            "at",
-            F.when(F.col("word") == END, CLASSES)
-            .otherwise(F.crc32(F.col("word").cast("binary")) % CLASSES)
-            .cast("int")
-            .alias("class"),
-            F.sum("n").over(one).alias("total"),
-            (F.row_number().over(one.orderBy("chunk")) == 1).alias("first"),
-        ),
-        "model-words",
+    kind = F.when(F.col("word") == END, CLASSES).otherwise(F.crc32(F.col("word").cast("binary")) % CLASSES)
+    first = (F.row_number().over(one.orderBy("chunk")) == 1).cast("long")
+    number = F.shiftleft(F.sum("n").over(one), TOTAL_BITS) + F.shiftleft(kind.cast("long"), 1) + first
+    gathered = (
+        words.select("chunk", F.struct("at", number.alias("number")).alias("w"))
+        .groupBy(F.col("chunk").alias("of"))
+        .agg(F.sort_array(F.collect_list("w")).alias("w"))
+        .select("of", F.col("w.number").alias("words"))
     )
+    return stage_table(gathered, "model-words", compression="zstd")
 
 
 class Chain:
@@ -270,7 +280,7 @@ def _by_number(number: np.ndarray) -> list[np.ndarray]:
 def unpack(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(token numbers, their ends, class of every word) of a chunk."""
     kinds = np.frombuffer(batch.column("kinds")[i].as_buffer(), dtype=np.uint16)
-    codes = np.frombuffer(batch.column("codes")[i].as_buffer(), dtype=_code_type(kinds))
+    codes = from_planes(batch.column("codes")[i].as_buffer())
     return codes, batch.column("ends")[i].values.to_numpy().astype(np.int64), kinds
 
 
@@ -344,7 +354,12 @@ def score(docs: DataFrame, learn: str, key: str = "doc_id", text: str = "text",
     chunks = pack(docs, key, text, learn)
     totals = word_totals(chunks)
     stats = (
-        totals.where("first and total > 0")
+        totals.select(F.explode("words").alias("w"))
+        .where((F.col("w").bitwiseAND(1) == 1) & (F.col("w") >= 1 << TOTAL_BITS))
+        .select(
+            F.shiftright("w", TOTAL_BITS).alias("total"),
+            F.shiftright(F.col("w").bitwiseAND((1 << TOTAL_BITS) - 1), 1).alias("class"),
+        )
         .groupBy("class")
         .agg(F.sum("total").alias("tokens"), F.count("*").alias("words"))
         .toArrow()
@@ -354,11 +369,8 @@ def score(docs: DataFrame, learn: str, key: str = "doc_id", text: str = "text",
     words[stats.column("class").to_numpy()] = stats.column("words").to_numpy()
     chain = fit(chunks.select("slices", "ends", "codes", "kinds"), tokens, states)
     shared = docs.sparkSession.sparkContext.broadcast((chain.start, chain.step, chain.emit, tokens, words))
-    known = totals.groupBy(F.col("chunk").alias("of")).agg(
-        F.sort_array(F.collect_list(F.struct("at", "total"))).alias("totals")
-    )
-    both = chunks.join(known, F.col("chunk") == F.col("of")).select(
-        "keys", "ends", "codes", "kinds", F.col("totals.total").alias("totals")
+    both = chunks.select("chunk", "keys", "ends", "codes", "kinds").join(
+        totals.withColumnRenamed("words", "totals"), F.col("chunk") == F.col("of")
     )
     kind = docs.schema[key].dataType.simpleString()
     names = [key, "n_tokens", "n_known", "train_tokens", "base_score", "score"]
@@ -370,7 +382,7 @@ def score(docs: DataFrame, learn: str, key: str = "doc_id", text: str = "text",
         for batch in batches:
             for i in range(batch.num_rows):
                 codes, ends, kinds = unpack(batch, i)
-                totals = batch.column("totals")[i].values.to_numpy().astype(np.float64)
+                totals = (batch.column("totals")[i].values.to_numpy() >> TOTAL_BITS).astype(np.float64)
                 base = np.log10((totals + 0.5) / (n + 0.5 * (v + 1)))
                 inside = np.log10((totals + 0.5) / (in_class[kinds] + 0.5 * (words_in[kinds] + 1)))
                 begins = np.concatenate(([0], ends[:-1]))
