@@ -43,6 +43,7 @@ PIECES = 2
 SPARE = 1.2
 #: Slices of the domain whose counts bound the difference of two sets from below.
 SLICES = 256
+COARSE = 32
 #: Members of a block of a crowded group.
 BLOCK = 2048
 #: Bits of the fixed-size filter that spares most texts that are not compared.
@@ -442,6 +443,8 @@ def likely(classes, parts, sizes, slices, own, two: bool, percent: int, all_: bo
     order = np.argsort(classes)
     classes, parts, sizes, slices, own = (x[order] for x in (classes, parts, sizes, slices, own))
     parts = parts.copy()
+    # Sums over neighbouring slices differ by no more than the slices do, and rule most pairs out already.
+    coarse = slices.reshape(len(slices), COARSE, -1).sum(axis=2, dtype=np.int16)
     out_a, out_b = [], []
     for i in range(len(classes) - 1):
         rest = np.flatnonzero(parts[i + 1 :] != parts[i]) + i + 1
@@ -449,10 +452,11 @@ def likely(classes, parts, sizes, slices, own, two: bool, percent: int, all_: bo
             rest = rest[own[rest] != own[i]]
         small, great = np.minimum(sizes[rest], sizes[i]), np.maximum(sizes[rest], sizes[i])
         rest = rest[100 * small >= percent * great]
+        for counts in (coarse, slices):
+            apart = np.abs(counts[rest] - counts[i]).sum(axis=1)
+            rest = rest[apart * (100 + percent) <= (sizes[rest] + sizes[i]) * (100 - percent)]
         if not len(rest):
             continue
-        apart = np.abs(slices[rest] - slices[i]).sum(axis=1)
-        rest = rest[apart * (100 + percent) <= (sizes[rest] + sizes[i]) * (100 - percent)]
         if not all_:
             _, first = np.unique(parts[rest], return_index=True)
             rest = rest[first]
