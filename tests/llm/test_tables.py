@@ -283,6 +283,30 @@ def test_recursions():
         assert np.allclose(made, sum(w[i] for w in want), atol=1e-4)
 
 
+def test_recursions_of_cut_and_whole_texts():
+    rng = np.random.default_rng(1)
+    k, c = 3, 5
+    chain = hmm.Chain(rng.dirichlet(np.ones(k)), rng.dirichlet(np.ones(k), k), rng.dirichlet(np.ones(c), k).T)
+    texts = [rng.integers(0, c, n) for n in (3, hmm.WHOLE + 1, hmm.WHOLE, 70, 3 * hmm.WHOLE + 5)]
+    classes, ends = np.concatenate(texts), np.cumsum([len(t) for t in texts])
+    assert chain.segments(ends)[4].any() and not chain.segments(ends)[4].all()
+    want = [plain(chain, t) for t in texts]
+    assert np.allclose(chain.likelihood(classes, ends), [w[0] for w in want])
+    for made, i in zip(chain.expected(classes, ends), (1, 2, 3)):
+        assert np.allclose(made, sum(w[i] for w in want), rtol=1e-4, atol=1e-3)
+
+
+def test_every_round_learns_from_all_texts(spark, rows, prose):
+    """Which keys the texts have, and whether all have the same, changes nothing."""
+    texts = [prose(lang, 40, i) for i, lang in enumerate(["de", "en", "es", "fr"] * 6)]
+    got = []
+    for key in (lambda i: i, lambda i: 1000 - 7 * i, lambda i: 5):
+        docs = rows([(key(i), t, None, None) for i, t in enumerate(texts)])
+        scores = hmm.score(docs.coalesce(1).withColumn("learn", F.lit(True)), "learn").collect()
+        got.append(sorted(r.score for r in scores))
+    assert got[1] == pytest.approx(got[0], rel=1e-6) and got[2] == pytest.approx(got[0], rel=1e-6)
+
+
 def test_scores(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

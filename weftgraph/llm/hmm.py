@@ -10,9 +10,9 @@ Texts are first packed in chunks of bounded size, each with its own list of word
 added up inside it before they meet those of other chunks, and the totals come back per chunk, so a word
 costs a row per chunk and not per occurrence.
 
-A text is cut into segments; for all segments at once the chain's transfer matrices are multiplied up, and
-combining them in order gives the exact forward (and backward) vectors at every segment's ends. Burn-in
-rounds each take a ``SLICES``-th of the training texts; the last round, which sets the model, takes all.
+A text of more than ``WHOLE`` tokens is cut into segments; for all segments at once the chain's transfer
+matrices are multiplied up, and combining them in order gives the exact forward (and backward) vectors at
+every segment's ends. A shorter text is one segment, whose ends are known. Every round takes all training texts.
 
 A null text is empty: one end token. A null key is scored but never learned from. Repeated rows are learned
 from as often as they occur and scored alike. Without training texts every token is unknown with
@@ -36,8 +36,7 @@ from weftgraph.session import stage_table
 
 STATES = 6
 CLASSES = 16_384
-SLICES = 8
-BURN_IN = 6
+ROUNDS = 7
 #: Bytes of text in a chunk, about; a longer text is a chunk of its own.
 CHUNK_BYTES = 6 << 20
 #: A word's class and a mark stand in so many bits below its count.
@@ -45,6 +44,8 @@ TOTAL_BITS = 16
 #: A task numbers its chunks in this many bits; with the task's own number a chunk's is unique.
 CHUNK_BITS = 32
 SEGMENT = 64
+#: Tokens of a text that is not cut.
+WHOLE = 1024
 #: Weight, in tokens, of the overall class frequencies in a state's emissions is the number of classes the
 #: state has met, and at least this.
 LEAST_PRIOR = 50
@@ -55,15 +56,14 @@ END = ""
 
 
 def pack(docs: DataFrame, key: str, text: str, learn: str) -> DataFrame:
-    """Chunks: keys, the slice of each text that is learned from (-1: not learned from), where each text's
-    tokens end, the tokens as numbers of the chunk's words, the words' classes, the words, and how often each
+    """Chunks: keys, whether each text is learned from, where each text's tokens end, the tokens as numbers of the chunk's words, the words' classes, the words, and how often each
     occurs in texts that are learned from. A chunk is numbered by its task and its place there."""
     kind = docs.schema[key].dataType
     schema = T.StructType(
         [
             T.StructField("chunk", T.LongType()),
             T.StructField("keys", T.ArrayType(kind)),
-            T.StructField("slices", T.BinaryType()),
+            T.StructField("learned", T.BinaryType()),
             T.StructField("ends", T.ArrayType(T.IntegerType())),
             T.StructField("codes", T.BinaryType()),
             T.StructField("kinds", T.BinaryType()),
@@ -86,7 +86,6 @@ def pack(docs: DataFrame, key: str, text: str, learn: str) -> DataFrame:
                 learned = part.column(learn).to_numpy(zero_copy_only=False).astype(bool)
                 each = np.repeat(learned, np.diff(ends, prepend=0))
                 counts = np.bincount(tokens[each], minlength=len(words) + 1)
-                named = [zlib.crc32(f"{k} {SEED}".encode()) % SLICES for k in part.column(key).to_pylist()]
                 kinds = np.array([class_of(w) for w in words.to_pylist()] + [CLASSES], dtype=np.uint16)
                 # Frequent words get small numbers, most bytes of which are zero.
                 order = np.argsort(-np.bincount(tokens, minlength=len(kinds)), kind="stable")
@@ -97,7 +96,7 @@ def pack(docs: DataFrame, key: str, text: str, learn: str) -> DataFrame:
                 row = [
                     pa.array([number], pa.int64()),
                     _one(part.column(key)),
-                    _bytes(np.where(learned, named, -1).astype(np.int8)),
+                    _bytes(learned),
                     _one(pa.array(ends, pa.int32())),
                     _bytes(planes(tokens)),
                     _bytes(kinds),
@@ -156,15 +155,16 @@ class Chain:
         self.start, self.step, self.emit = start, step, emit
 
     def segments(self, ends: np.ndarray):
-        """(first token, length, text, number in the text) per segment, longest first."""
+        """(first token, length, text, number in the text, whether the text is cut) per segment, longest first."""
         begins = np.concatenate(([0], ends[:-1]))
-        per_text = -(-(ends - begins) // SEGMENT)
+        cut = ends - begins > WHOLE
+        per_text = np.where(cut, -(-(ends - begins) // SEGMENT), 1)
         text = np.repeat(np.arange(len(ends)), per_text)
         number = np.arange(len(text)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
         at = begins[text] + number * SEGMENT
-        length = np.minimum(SEGMENT, ends[text] - at)
+        length = np.minimum(np.where(cut[text], SEGMENT, WHOLE), ends[text] - at)
         order = np.argsort(-length, kind="stable")
-        return at[order], length[order], text[order], number[order]
+        return at[order], length[order], text[order], number[order], cut[text[order]]
 
     def transfers(self, classes: np.ndarray, at, length, number, kind=np.float64):
         """Per segment the product of its steps, scaled, and the log of the scale. A first segment begins
@@ -217,30 +217,45 @@ class Chain:
 
     def likelihood(self, classes: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Exact natural log likelihood of every text's classes."""
-        at, length, text, number = self.segments(ends)
-        product, scale = self.transfers(classes, at, length, number)
-        return self.forward(product, scale, text, number, len(ends))[1]
+        at, length, text, number, cut = self.segments(ends)
+        product, scale = self.transfers(classes, at[cut], length[cut], number[cut])
+        found = self.forward(product, scale, text[cut], number[cut], len(ends))[1]
+        at, length, text = at[~cut], length[~cut], text[~cut]
+        vector, scale = self.start * self.emit[classes[at]], np.zeros(len(at))
+        for t in range(int(length.max(initial=0))):
+            n = int(np.searchsorted(-length, -t, side="left"))
+            if t:
+                vector[:n] = vector[:n] @ self.step * self.emit[classes[at[:n] + t]]
+            if t % 4 == 0:
+                total = vector[:n].sum(axis=1)
+                vector[:n] /= total[:, None]
+                scale[:n] += np.log(total)
+        found[text] = scale + np.log(vector.sum(axis=1))
+        return found
 
     def expected(self, classes: np.ndarray, ends: np.ndarray):
         """Expected counts of starts, steps and emissions over all texts."""
         kind = np.float32
         k = len(self.start)
-        at, length, text, number = self.segments(ends)
-        product, scale = self.transfers(classes, at, length, number, kind)
+        at, length, text, number, cut = self.segments(ends)
+        product, scale = self.transfers(classes, at[cut], length[cut], number[cut], kind)
         product = product.astype(np.float64)
-        incoming, _ = self.forward(product, scale, text, number, len(ends))
-        outgoing = self.backward(product, text, number, len(ends)).astype(kind)
-        incoming, first = incoming.astype(kind), number == 0
+        incoming, outgoing = np.zeros((len(at), k), kind), np.ones((len(at), k), kind)
+        incoming[cut] = self.forward(product, scale, text[cut], number[cut], len(ends))[0]
+        outgoing[cut] = self.backward(product, text[cut], number[cut], len(ends))
+        first = number == 0
         step, emit, start = self.step.astype(kind), self.emit.astype(kind), self.start.astype(kind)
         longest = int(length.max(initial=0))
         active = [int(np.searchsorted(-length, -t, side="left")) for t in range(longest)]
-        ahead = [np.empty((0, k), kind)] * longest
+        every = [classes[at[:n] + t].astype(np.intp) for t, n in enumerate(active)]
+        shown = [emit.take(where, axis=0, mode="clip") for where in every]
+        ahead, one = [np.empty((0, k), kind)] * longest, np.ones((k, 1), kind)
         vector = np.where(first[:, None], start[None, :], incoming @ step)
         for t in range(longest):
             n = active[t]
             vector = vector[:n] if t == 0 else vector[:n] @ step
-            vector = vector * emit[classes[at[:n] + t]]
-            vector /= vector.sum(axis=1, keepdims=True)
+            vector = vector * shown[t]
+            vector /= vector @ one
             ahead[t] = vector
         steps, emissions = np.zeros((k, k)), np.zeros((len(self.emit), k))
         starts = np.zeros(k)
@@ -249,22 +264,21 @@ class Chain:
             n = active[t]
             now = after[:n]
             state = ahead[t] * now
-            state /= state.sum(axis=1, keepdims=True)
-            where = classes[at[:n] + t]
+            state /= state @ one
             ahead[t] = state
-            seen = emit[where] * now
+            seen = np.multiply(shown[t], now, out=shown[t])
             if t:
                 before = ahead[t - 1][:n]
             else:
                 starts += state[first[:n]].sum(axis=0)
                 before = np.where(first[:n, None], 0, incoming[:n])
             reach = before @ step
-            weight = (reach * seen).sum(axis=1, keepdims=True)
+            weight = (reach * seen) @ one
             np.divide(before, weight, out=before if t == 0 else (before := before.copy()), where=weight > 0)
             steps += (before.T @ seen).astype(np.float64)
             back = seen @ step.T
-            after[:n] = back / back.sum(axis=1, keepdims=True)
-        every = np.concatenate([classes[at[: active[t]] + t] for t in range(longest)]) if longest else np.zeros(0, int)
+            np.divide(back, back @ one, out=now)
+        every = np.concatenate(every) if longest else np.zeros(0, int)
         states = np.concatenate(ahead) if longest else np.zeros((0, k))
         for s in range(k):
             emissions[:, s] = np.bincount(every, weights=states[:, s], minlength=len(self.emit))
@@ -298,12 +312,12 @@ def fit(chunks: DataFrame, classes: np.ndarray, states: int = STATES) -> Chain:
     chain = Chain(
         np.full(states, 1 / states), np.full((states, states), 0.1 / states) + 0.9 * np.eye(states), emit / emit.sum(axis=0)
     )
-    for round_ in range(BURN_IN + 1):
-        chain = _round(chunks, chain, share, round_ if round_ < BURN_IN else None)
+    for _ in range(ROUNDS):
+        chain = _round(chunks, chain, share)
     return chain
 
 
-def _round(chunks: DataFrame, chain: Chain, share: np.ndarray, part: int | None) -> Chain:
+def _round(chunks: DataFrame, chain: Chain, share: np.ndarray) -> Chain:
     k = len(chain.start)
     shared = chunks.sparkSession.sparkContext.broadcast((chain.start, chain.step, chain.emit))
 
@@ -312,8 +326,7 @@ def _round(chunks: DataFrame, chain: Chain, share: np.ndarray, part: int | None)
         starts, steps, emissions = np.zeros(k), np.zeros((k, k)), np.zeros((len(chain.emit), k))
         for batch in batches:
             for i in range(batch.num_rows):
-                slices = np.frombuffer(batch.column("slices")[i].as_buffer(), dtype=np.int8)
-                chosen = slices >= 0 if part is None else slices == part
+                chosen = np.frombuffer(batch.column("learned")[i].as_buffer(), dtype=bool)
                 if not chosen.any():
                     continue
                 tokens, ends, kinds = unpack(batch, i)
@@ -367,7 +380,7 @@ def score(docs: DataFrame, learn: str, key: str = "doc_id", text: str = "text",
     tokens, words = np.zeros(CLASSES + 1), np.zeros(CLASSES + 1)
     tokens[stats.column("class").to_numpy()] = stats.column("tokens").to_numpy()
     words[stats.column("class").to_numpy()] = stats.column("words").to_numpy()
-    chain = fit(chunks.select("slices", "ends", "codes", "kinds"), tokens, states)
+    chain = fit(chunks.select("learned", "ends", "codes", "kinds"), tokens, states)
     shared = docs.sparkSession.sparkContext.broadcast((chain.start, chain.step, chain.emit, tokens, words))
     both = chunks.select("chunk", "keys", "ends", "codes", "kinds").join(
         totals.withColumnRenamed("words", "totals"), F.col("chunk") == F.col("of")
