@@ -180,6 +180,33 @@ def test_without_marked_article():
     assert maintext.main_text(page) == f"{text}\n\n{text}"
 
 
+WRAPPERS = ["overflow-hidden", "has-sidebar", "comments-open", "elementor-widget-container", "skip social menu"]
+
+
+@pytest.mark.parametrize("name", WRAPPERS)
+def test_named_wrappers(name):
+    text = "Long text of the article one two three four five six seven eight nine ten."
+    both, wrap = f"<p>{text}</p><p>{text}</p>", f'<div class="{name}">'
+    comments = f'<div id="comments">{"".join(f"<article><p>Comment {i} of a reader</p></article>" for i in range(40))}</div>'
+    other = f'<div class="sidebar"><p>Side</p></div><div class="related"><article><p>Other text</p></article></div>{comments}'
+    for page in (
+        f"{wrap}<article>{both}</article></div>{other}",
+        f"{wrap}{wrap}<main>{both}</main></div></div><div class='cookie'><p>We use cookies</p></div>",
+        f"<main>{wrap}<div id='sidebar-page'><article>{both}</article></div></div>{other}</main>",
+        f"<article>{wrap}<p>{text}</p></div>{wrap}<p>{text}</p></div></article>{other}",
+        f"{wrap}<div class='post'>{both}</div></div><div class='share'>Share</div>",
+    ):
+        assert maintext.main_text(f"<body>{page}</body>") == f"{text}\n\n{text}"
+
+
+def test_names_remove_furniture():
+    text = "Long text of the article one two three four five six seven eight nine ten."
+    page = f'<body><div class="post"><p>{text}</p></div><div class="related"><article><p>Other text</p></article></div></body>'
+    assert maintext.main_text(page) == text
+    deep = '<div class="widget"><div class="menu">' * 10_000 + "x y" + "</div>" * 20_000
+    assert maintext.main_text(deep) == "x y"
+
+
 def test_given_pages(spark):
     import html
 

@@ -2,7 +2,9 @@
 
 A page becomes a tree of elements; what never is article text (scripts, forms, navigation, asides, elements
 that say in a class, id or role that they are adverts, notices, menus or reader comments) is left out of
-it. For every node, the density is its characters per tag, lowered by the share of characters and tags in
+it. A class or id alone removes no element around the page's largest article (or main, if there is none),
+and not so much of it, or of a page without one, that less than ``LEAST`` of the characters outside links are
+left: then the largest such elements stay, with others of the same words. For every node, the density is its characters per tag, lowered by the share of characters and tags in
 links. A node's density sum is that of its children. The node with the greatest sum is the core of the
 page. If it lies in an ``article`` or ``main`` element, that element is the text. If not, the smallest
 density between core and body is the threshold: beside the core, every node around it that reaches the
@@ -16,6 +18,7 @@ Repeated rows give equal texts. Other columns are carried along; one named like
 
 from __future__ import annotations
 
+import heapq
 import html
 import math
 import re
@@ -77,14 +80,17 @@ OUT_WORDS = set(
     "replies pagination pager widget skip hidden".split()
 )
 OUT_PARTS = ("advert", "cookie", "sidebar", "breadcrumb", "newsletter", "commentlist", "comments")
+#: Share of the characters outside links that classes and ids leave of an article or page.
+LEAST = 0.25
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 
 class Node:
-    __slots__ = ("tag", "parent", "kids", "out", "chars", "links", "tags", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "kids", "out", "named", "chars", "links", "tags", "link_tags", "density", "total")
 
     def __init__(self, tag: str, parent: "Node | None", out: bool):
         self.tag, self.parent, self.out = tag, parent, out
+        self.named: frozenset[str] = frozenset()
         self.kids: list[Node | str] = []
         self.chars = self.links = self.tags = self.link_tags = 0
         self.density = self.total = 0.0
@@ -110,13 +116,21 @@ def left_out(tag: str, attributes: str, parent: Node) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
-        if name in ("class", "id"):
-            words = WORDS.findall(CAMEL.sub(" ", value).lower())
-            if OUT_WORDS.intersection(words) or any(p in w for w in words for p in OUT_PARTS):
-                return True
     return False
 
 
+def telling(tag: str, attributes: str) -> frozenset[str]:
+    """Words of an element's class and id that tell that it is no article text."""
+    if not attributes or tag in ("html", "body", "article", "main"):
+        return frozenset()
+    found: set[str] = set()
+    for name, value in ATTRIBUTE.findall(attributes):
+        if name.lower() in ("class", "id"):
+            words = WORDS.findall(CAMEL.sub(" ", html.unescape(value.strip("\"'"))).lower())
+            found.update(w for w in words if w in OUT_WORDS or any(p in w for p in OUT_PARTS))
+    return frozenset(found)
+
+
 def parse(page: str) -> Node:
     """The tree of a page; text is in the lists of children, references still in place."""
     root = Node("html", None, False)
@@ -182,6 +196,8 @@ def parse(page: str) -> Node:
                 node.kids.append(Node("hr", node, False))
             continue
         kid = Node(tag, node, node.out or left_out(tag, attributes, node))
+        if not kid.out:
+            kid.named = telling(tag, attributes)
         node.kids.append(kid)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(page, at)
@@ -205,6 +221,72 @@ def preorder(root: Node) -> list[Node]:
     return found
 
 
+def judge_names(root: Node) -> None:
+    """Leaves out the elements whose names tell so, but for those that hold the text itself."""
+    nodes = preorder(root)
+    if not any(n.named for n in nodes):
+        return
+    linked, own = {id(None): False}, {}
+    for node in nodes:
+        linked[id(node)] = node.tag == "a" or linked[id(node.parent)]
+        texts = () if linked[id(node)] else (k for k in node.kids if isinstance(k, str))
+        own[id(node)] = sum(len("".join(k.split())) for k in texts)
+    whole = dict(own)
+    for node in reversed(nodes):
+        if node.parent is not None:
+            whole[id(node.parent)] += whole[id(node)]
+
+    def look(top: Node) -> tuple[int, list[Node]]:
+        """The characters below an element outside named ones, and the first named ones."""
+        seen, named, stack = 0, [], [top]
+        while stack:
+            node = stack.pop()
+            seen += own[id(node)]
+            for kid in node.kids:
+                if isinstance(kid, Node) and not kid.out:
+                    (named if kid.named else stack).append(kid)
+        return seen, named
+
+    scope, outside = root, look(root)[0]
+    for tag in ("article", "main"):
+        top = max((n for n in nodes if n.tag == tag), key=lambda n: whole[id(n)], default=None)
+        if top is None or not whole[id(top)]:
+            continue
+        around = [n for n in _upwards(top) if n.named]
+        if around and whole[id(top)] <= outside:
+            continue
+        for node in around:
+            node.named = frozenset()
+        scope = top
+        break
+    seen, named = look(scope)
+    heap: list[tuple[int, int, Node]] = []
+    waiting: dict[frozenset[str], list[Node]] = {}
+    kept: set[frozenset[str]] = set()
+    count = 0
+    while True:
+        while named:
+            node = named.pop()
+            if node.named in kept:
+                node.named = frozenset()
+                more, below = look(node)
+                seen += more
+                named += below
+            else:
+                count += 1
+                heapq.heappush(heap, (-whole[id(node)], count, node))
+                waiting.setdefault(node.named, []).append(node)
+        while heap and not heap[0][2].named:
+            heapq.heappop(heap)
+        if not heap or not heap[0][0] or seen >= LEAST * whole[id(scope)]:
+            break
+        words = heap[0][2].named
+        kept.add(words)
+        named = waiting.pop(words)
+    for node in nodes:
+        node.out = node.out or bool(node.named)
+
+
 def weigh(nodes: list[Node], body: Node) -> None:
     """Characters, tags, link shares and densities of every node, from the leaves up."""
     for node in nodes:
@@ -234,6 +316,7 @@ def weigh(nodes: list[Node], body: Node) -> None:
 
 def content(root: Node) -> set[int]:
     """The chosen subtrees, as identities of their top nodes."""
+    judge_names(root)
     nodes = preorder(root)
     body = next((n for n in nodes if n.tag == "body"), root)
     weigh(nodes, body)
