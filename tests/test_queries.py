@@ -30,3 +30,11 @@ def test_entry(spark):
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert entry.entry(spark).columns == ["src_kind", "src", "dst_kind", "dst", "table_name"]
+
+
+def test_every_page_is_a_child(spark):
+    nodes = QUERIES["tmpl_parent_child_whole"](spark, SF)
+    pages = spark.read.parquet(f"{SF}/pages.parquet").count()
+    parents = {r.name for r in nodes.filter("node_type = 'ParentNode'").collect()}
+    assert nodes.filter("node_type = 'ChildNode'").count() == pages
+    assert {p for p in parents if p.startswith("empty.")} == {f"empty.{p}" for p in parents if not p.startswith("empty.")}

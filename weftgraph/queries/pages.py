@@ -284,3 +284,34 @@ def tmpl_parent_child(spark: SparkSession, sf_dir: str) -> DataFrame:
         sources=pages(spark, sf_dir),
     )
     return flat_nodes(nodes)
+
+
+@query(
+    "tmpl_parent_child_whole",
+    f"""WITH {PAGES_SQL},
+    held AS (SELECT host, rel_path FROM art UNION ALL SELECT 'empty.' || host, 'empty/' || rel_path FROM art)
+    SELECT 'Web' AS integration, host AS name, 'ParentNode' AS node_type,
+           'Auto-generated parent node for ' || host || '.' AS description, min(rel_path) AS url,
+           '' AS upstream, CAST(NULL AS VARCHAR) AS downstream FROM held GROUP BY host
+    UNION ALL
+    SELECT 'Web', host || '.page ' || page_id, 'ChildNode', 'Child node: page ' || page_id || '.', rel_path,
+           'ParentNode:' || host, CASE WHEN page_id % 4 > 0 THEN 't_' || (page_id % 50) ELSE '' END
+    FROM art""",
+)
+def tmpl_parent_child_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page is a record; beside each host stands a source that holds none and is a parent all the same."""
+    k = F.col("page_id")
+    held = pages(spark, sf_dir)
+    empty = held.select(
+        F.concat(F.lit("empty."), "host").alias("host"), F.concat(F.lit("empty/"), "rel_path").alias("rel_path")
+    )
+    nodes = parent_child_nodes(
+        held,
+        "Web",
+        F.col("host"),
+        F.concat(F.lit("page "), k),
+        F.when(k % 4 > 0, F.concat(F.lit("T_"), k % 50)),
+        F.col("rel_path"),
+        sources=held.select("host", "rel_path").unionByName(empty),
+    )
+    return flat_nodes(nodes)
