@@ -207,6 +207,18 @@ def test_names_remove_furniture():
     assert maintext.main_text(deep) == "x y"
 
 
+def test_several_articles():
+    text = "Long text of the article one two three four five six seven eight nine ten."
+    other = "Another text of a sibling eleven twelve thirteen fourteen fifteen sixteen seventeen."
+    links = "".join(f'<p><a href="{i}">link {i}</a></p>' for i in range(20))
+    both, nested = f"<p>{text}</p>" * 6, f"<p>{other}</p><article>{f'<p>{text}</p>' * 6}</article><p>End</p>"
+    siblings = f"<article>{both}</article><article><p>{other}</p></article><article>{links}</article>"
+    for page in (siblings, f"<main>{siblings}</main>", f"<div><div>{siblings}</div></div>"):
+        assert maintext.main_text(f"<body><div>{links}</div>{page}</body>") == "\n\n".join([text] * 6 + [other])
+    page = f"<body><div>{links}</div><article>{nested}</article></body>"
+    assert maintext.main_text(page) == "\n\n".join([other] + [text] * 6 + ["End"])
+
+
 def test_given_pages(spark):
     import html
 

@@ -6,9 +6,10 @@ it. A class or id alone removes no element around the page's largest article (or
 and not so much of it, or of a page without one, that less than ``LEAST`` of the characters outside links are
 left: then the largest such elements stay, with others of the same words. For every node, the density is its characters per tag, lowered by the share of characters and tags in
 links. A node's density sum is that of its children. The node with the greatest sum is the core of the
-page. If it lies in an ``article`` or ``main`` element, that element is the text. If not, the smallest
-density between core and body is the threshold: beside the core, every node around it that reaches the
-threshold gives the subtree with its own greatest sum.
+page, and the smallest density between core and body is the threshold. If the core lies in an ``article``
+element, the outermost one is the text, with the outermost articles beside it that reach the threshold; if
+not, the outermost ``main`` around the core is. Without either, beside the core, every node around it that
+reaches the threshold gives the subtree with its own greatest sum.
 
 Text is joined per block, in page order; white space inside a block is one space. Null and empty pages give
 an empty text, plain text without tags is one block, unclosed elements end with their parent, unknown
@@ -333,8 +334,18 @@ def content(root: Node) -> set[int]:
     while node is not body:
         node = node.parent
         threshold = min(threshold, node.density)
-    # Pages that mark their article say where its less dense parts end.
-    marked = [n for n in _upwards(core) if n.tag == "article"] or [n for n in _upwards(core) if n.tag == "main"]
+    # Pages that mark their articles say where the less dense parts of each end.
+    marked = [n for n in _upwards(core) if n.tag == "article"]
+    if marked:
+        chosen, stack = {id(marked[-1])}, [body]
+        while stack:
+            node = stack.pop()
+            if node.tag != "article":
+                stack.extend(k for k in node.kids if isinstance(k, Node) and not k.out)
+            elif node.density >= threshold and node.chars:
+                chosen.add(id(node))
+        return chosen
+    marked = [n for n in _upwards(core) if n.tag == "main"]
     if marked:
         return {id(marked[-1])}
     chosen = {id(core)}
