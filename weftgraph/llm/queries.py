@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.llm import bpe, hmm, langid, maintext, mixing, neighbours, partenum, repetition, sharding, warc
+from weftgraph.llm import bpe, hmm, langid, maintext, mixing, neighbours, partenum, repetition, sharding, simhash, warc
 from weftgraph.llm.words import fold
 from weftgraph.session import fresh_path
 
@@ -114,6 +114,14 @@ def op10_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.withColumn("held_out", held)
 
 
+@query
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    print_ = simhash.as_hex(F.col("fingerprint")).alias("fingerprint")
+    return found.select("doc_id", print_, F.col("component").alias("component_id"))
+
+
 WARC_SQL = """
 WITH captured AS (
   SELECT page_id, url, coalesce(html, '') AS payload, octet_length(encode(coalesce(html, ''))) AS bytes,
