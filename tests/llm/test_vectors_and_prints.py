@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from weftgraph.llm import simhash
+from weftgraph.llm import anchors, simhash
 from weftgraph.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -73,7 +73,7 @@ def prints():
     return out
 
 
-@pytest.mark.parametrize(("bits", "crowded"), [(4, 64), (4, 4), (3, 8), (1, 64)])
+@pytest.mark.parametrize(("bits", "crowded"), [(4, 4), (3, 64)])
 def test_components_against_brute_force(spark, prints, bits, crowded, monkeypatch):
     monkeypatch.setattr(simhash, "CROWDED", crowded)
     distinct = sorted(set(prints), key=lambda x: x - (1 << 64) if x >> 63 else x)
@@ -110,3 +110,83 @@ def test_simhash_rows(spark, prose):
     want = [(None, 3), (4, 3), (3, 3), (None, None), (None, None), (7, 7), (7, 7), (9, 7), (8, 3), (8, 8)]
     assert got == sorted(want, key=str)
     assert simhash.near_duplicates(df.limit(0)).count() == 0
+
+
+# Vector codes.
+
+
+def plain_codes(vectors, parts=8, entries=16, rounds=6):
+    """Codebooks, codes and errors of whole-number vectors in the order of their keys, all against all."""
+    points = np.stack(np.split(vectors, parts, axis=1)).astype(object)
+    books = [[list(v) for v in p[:entries]] for p in points]
+
+    def nearest(point, book):
+        return min((sum((a - b) ** 2 for a, b in zip(point, entry)), i) for i, entry in enumerate(book))
+
+    for _ in range(rounds):
+        for part, book in zip(points, books):
+            own = [nearest(x, book)[1] for x in part]
+            for j in range(len(book)):
+                mine = [x for x, o in zip(part, own) if o == j]
+                if mine:
+                    book[j] = [sum(c) // len(mine) for c in zip(*mine)]
+    found = [[nearest(x, book) for x in part] for part, book in zip(points, books)]
+    codes = [[f[i][1] for f in found] for i in range(len(vectors))]
+    return books, codes, [sum(f[i][0] for f in found) for i in range(len(vectors))]
+
+
+def clouds(rnd, rows, length, spread):
+    centres = rnd.normal(size=(5, length))
+    return centres[rnd.integers(0, 5, rows)] + spread * rnd.normal(size=(rows, length))
+
+
+@pytest.mark.parametrize("spread", [0.0, 0.01, 1.0])
+def test_trees(spread):
+    rnd = np.random.default_rng(3)
+    points = anchors.whole_numbers(np.concatenate((clouds(rnd, 700, 5, spread), np.zeros((90, 5)))), 5)
+    tree = anchors.build(points)
+    assert sorted(tree.order.tolist()) == list(range(len(points))) and (tree.points == points[tree.order]).all()
+    for b, e, l, r, s, radius in zip(tree.begin, tree.end, tree.left, tree.right, tree.sums, tree.radius):
+        assert e > b and (tree.points[b:e].sum(axis=0, dtype=np.int64) == s).all()
+        assert np.sqrt(((tree.points[b:e] - s / (e - b)) ** 2).sum(axis=1)).max() <= radius * (1 + 1e-6) + 1e-6
+        if l >= 0:
+            assert tree.begin[l] == b and tree.end[l] == tree.begin[r] and tree.end[r] == e
+    for entries in (points[:16], points[[3, 3, 9, 3, 5, 9]], points[:1], points[100:116] + 7):
+        away = ((points[:, None, :] - entries[None]) ** 2).sum(axis=2)
+        entry, error = anchors.assign(tree, entries)
+        assert (entry == away.argmin(axis=1)).all() and (error == away.min(axis=1)).all()
+        sums, counts = anchors.totals(tree, entries)
+        assert (counts == np.bincount(entry, minlength=len(entries))).all()
+        for j in range(len(entries)):
+            assert (sums[j] == points[entry == j].sum(axis=0)).all()
+    if spread == 0.01:
+        assert len(anchors.walk(tree, points[:4]).points) < len(points) / 2
+
+
+def test_codes_against_brute_force(spark):
+    rnd = np.random.default_rng(7)
+    vectors = np.concatenate((clouds(rnd, 260, 16, 0.3), np.tile(rnd.normal(size=16), (130, 1)), rnd.normal(size=(20, 16)) * 50))
+    vectors = vectors[rnd.permutation(len(vectors))].astype(np.float32)
+    labels = [None if i % 3 == 0 else int(i % 4) for i in range(len(vectors))]
+    items = [(i * 2, v.tolist(), x, "own") for i, (v, x) in enumerate(zip(vectors, labels))]
+    bad = [(-1, None, 1, "x"), (-2, [1.0] * 15 + [None], 1, "x"), (-3, [float("nan")] * 16, 1, "x"), (-4, [1.0, float("-inf")] * 8, 1, "x")]
+    df = spark.createDataFrame(items + bad, "vec_id bigint, embedding array<float>, label int, codes string").repartition(5)
+    coded, books = anchors.compress(df)
+    want_books, want_codes, want_errors = plain_codes(np.floor(4096 * vectors.astype(float)).astype(np.int64))
+    assert books.tolist() == want_books
+    of = {}
+    for x, e in zip(labels, want_errors):
+        of[x] = of.get(x, 0) + e
+    got = {r.vec_id: (r.codes, r.error, r.label, r.label_error) for r in anchors.with_label_errors(coded).collect()}
+    assert got == {2 * i: (c, e, x, of[x]) for i, (c, e, x) in enumerate(zip(want_codes, want_errors, labels))}
+
+
+def test_code_rows(spark):
+    schema = "vec_id int, embedding array<double>, label string"
+    rows = [(1, [1.0] * 10, "a"), (1, [0.5] * 10, "a"), (None, [2.0] * 9, None), (3, [], ""), (4, [-1e30] * 10, None)]
+    coded, books = anchors.compress(spark.createDataFrame(rows, schema))
+    assert books.shape == (8, 5, 2) and books[0, :, 0].tolist()[:3] == [2048, 4096, 0]
+    assert {(r.vec_id, r.label, r.error) for r in coded.collect()} == {(1, "a", 0), (None, None, 0), (3, "", 0), (4, None, 0)}
+    empty, none = anchors.compress(spark.createDataFrame([(1, None, "a")], schema))
+    assert empty.columns == ["vec_id", "label", "codes", "error"] and empty.count() == 0 and none.shape == (8, 0, 0)
+    assert anchors.with_label_errors(empty).count() == 0

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.llm import bpe, hmm, langid, maintext, mixing, neighbours, partenum, repetition, sharding, simhash, warc
+from weftgraph.llm import anchors, bpe, hmm, langid, maintext, mixing, neighbours, partenum, repetition, sharding, simhash, warc
 from weftgraph.llm.words import fold
 from weftgraph.session import fresh_path
 
@@ -114,6 +114,20 @@ def op10_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.withColumn("held_out", held)
 
 
+@query
+def op11_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every vector, by codebooks trained over all of them."""
+    coded, codebooks = anchors.compress(table(spark, sf_dir, "embeddings"))
+    digits = F.transform("codes", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0"))
+    return anchors.with_label_errors(coded).select(
+        "vec_id",
+        F.concat_ws("", digits).alias("code"),
+        "error",
+        "label_error",
+        F.lit(anchors.codebooks_sha256(codebooks)).alias("codebooks_sha256"),
+    )
+
+
 @query
 def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
@@ -136,4 +150,9 @@ SELECT c.page_id, c.bytes AS payload_bytes, c.digest AS payload_digest,
 FROM captured c LEFT JOIN firsts f ON c.digest = f.digest AND c.bytes >= 100
 """
 
-ORACLES |= {"op5_mixing": mixing.SQL, "op6_warc": WARC_SQL, "op8_sharding": sharding.sql()}
+ORACLES |= {
+    "op5_mixing": mixing.SQL,
+    "op6_warc": WARC_SQL,
+    "op8_sharding": sharding.sql(),
+    "op11_anchors": anchors.sql(),
+}
