@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from weftgraph.llm import anchors, simhash
+from weftgraph.llm import anchors, bidiagonal, simhash, whitening
 from weftgraph.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -190,3 +190,79 @@ def test_code_rows(spark):
     empty, none = anchors.compress(spark.createDataFrame([(1, None, "a")], schema))
     assert empty.columns == ["vec_id", "label", "codes", "error"] and empty.count() == 0 and none.shape == (8, 0, 0)
     assert anchors.with_label_errors(empty).count() == 0
+
+
+# Whitening.
+
+
+def matrices():
+    rnd = np.random.default_rng(1)
+    rotated = np.linalg.qr(rnd.normal(size=(40, 40)))[0]
+    gaps = rnd.normal(size=(300, 20))
+    gaps[:, 5], gaps[:, 7] = gaps[:, 4], 0
+    wide = np.concatenate((rnd.normal(size=(5, 20)), np.zeros((15, 20))))
+    yield from (rnd.normal(size=(d, d)) for d in (1, 2, 3, 8, 64))
+    yield from (np.triu(rnd.normal(size=(40, 40))) * np.logspace(0, -9, 40), np.linalg.qr(gaps, mode="r"), wide, np.eye(6))
+    yield from (np.diag([3.0] * 10 + [2.0] * 20 + [1.0] * 10) @ rotated, np.diag(3 + 1e-9 * np.arange(40)) @ rotated)
+    yield from (np.diag([1] + [1e-3] * 39) @ rotated, np.zeros((4, 4)), 2 * np.eye(10) + np.eye(10, k=1))
+
+
+def test_singular_pairs():
+    for matrix in matrices():
+        pairs = bidiagonal.singular_pairs(matrix, 100)
+        want = np.linalg.svd(matrix, compute_uv=False)
+        assert len(pairs) == (want > 1e-13 * want[0]).sum()
+        if pairs:
+            assert np.allclose([v**0.5 for v, _ in pairs], want[: len(pairs)], rtol=1e-12, atol=1e-15 * want[0])
+            z = np.array([x for _, x in pairs])
+            assert np.abs(z @ z.T - np.eye(len(z))).max() < 1e-9
+            assert np.abs(matrix.T @ (matrix @ z.T) - z.T * [v for v, _ in pairs]).max() < 1e-12 * max(want[0] ** 2, 1e-300)
+        assert [v for v, _ in bidiagonal.singular_pairs(matrix, 3)] == [v for v, _ in pairs[:3]]
+
+
+def plain_whitening(vectors, components=16):
+    x = np.floor(64 * np.asarray(vectors, dtype=float)).astype(np.int64) + 1_000_000
+    fit = np.unique(x, axis=0)
+    n, sums = len(fit), fit.sum(axis=0)
+    middle = sums / n
+    values, z = np.linalg.eigh(np.cov(fit.T, bias=True))
+    values, z = values[::-1][:components], z.T[::-1][:components]
+    share = values / np.cov(fit.T, bias=True).trace()
+    deviation = ((n * x.astype(object) - sums.astype(object)) ** 2).sum(axis=1)
+    return n, deviation.tolist(), (x - middle) @ z.T / np.sqrt(values), share
+
+
+def check_whitening(got, ids, vectors, k):
+    n, deviation, z, share = plain_whitening(vectors)
+    rows = {(r.vec_id, r.component): r for r in got}
+    assert len(rows) == len(got) == len(ids) * k
+    signs = [1 if rows[ids[0], c + 1].whitened * z[0, c] > 0 else -1 for c in range(k)]
+    for i, key in enumerate(ids):
+        for c in range(k):
+            r = rows[key, c + 1]
+            assert (r.n, r.deviation) == (n, deviation[i]) and 0 <= r.identity_error < 1e-9
+            assert abs(r.whitened * signs[c] - z[i, c]) < 1e-6 and abs(r.explained - share[c]) < 1e-10
+
+
+def test_whitening_query(spark):
+    rows = spark.read.parquet(f"{SF}/embeddings.parquet").collect()
+    check_whitening(QUERIES["op12_whitening"](spark, SF).collect(), [r.vec_id for r in rows], [r.embedding for r in rows], 16)
+
+
+def test_whitening_rows(spark, monkeypatch):
+    monkeypatch.setattr(whitening, "STACKED", 2)
+    rnd = np.random.default_rng(2)
+    vectors = (rnd.normal(size=(90, 6)) * [9, 7, 5, 3, 2, 1]).tolist()
+    items = list(enumerate(vectors)) + [(100 + i, vectors[4]) for i in range(60)]
+    bad = [(-1, None), (-2, [1.0, None, 1.0]), (-3, [float("nan")] * 6), (-4, [float("inf")] * 6)]
+    schema = "vec_id int, embedding array<double>"
+    df = spark.createDataFrame(items + bad, schema).withColumn("component", F.lit("x")).repartition(7)
+    check_whitening(whitening.whiten(df).collect(), [i for i, _ in items], [v for _, v in items], 6)
+    # Two distinct vectors have one component, one or none has none; keys may repeat or be null.
+    two = whitening.whiten(spark.createDataFrame([(1, [1.0, 2.0]), (1, [1.0]), (None, [1.0, 2.0])], schema)).collect()
+    assert [(r.vec_id, r.component, r.n, abs(r.whitened)) for r in two] == [(1, 1, 2, 1.0), (1, 1, 2, 1.0), (None, 1, 2, 1.0)]
+    for rows in ([(1, [1.0, 2.0]), (2, [1.0, 2.0])], [(1, [])], [(1, None)], []):
+        made = whitening.whiten(spark.createDataFrame(rows, schema))
+        assert made.count() == 0 and made.columns[:3] == ["vec_id", "component", "n"]
+    far = whitening.whiten(spark.createDataFrame([(1, [1e30, 0.0]), (2, [-1e30, 5.0]), (3, [0.0, 1.0])], schema)).collect()
+    assert len(far) >= 3 and {r.deviation for r in far} >= {None}

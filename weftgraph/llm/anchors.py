@@ -384,21 +384,21 @@ def sql(parts: int = PARTS, entries: int = ENTRIES, rounds: int = ROUNDS) -> str
     """The same for vectors of one length that the parts divide, with distinct keys, comparing all with all."""
     steps = [
         f"""kept AS MATERIALIZED (
-  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) - 1 AS at, len(embedding) // {parts} AS w,
-         list_transform(embedding, c -> CAST(floor({SCALE} * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) - 1 AS nth, len(embedding) // {parts} AS w,
+         list_transform(embedding, lambda c: CAST(floor({SCALE} * CAST(c AS DOUBLE)) AS BIGINT)) AS x
   FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, c -> c IS NULL OR NOT isfinite(c))) = 0
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
 ), parts AS MATERIALIZED (
-  SELECT vec_id, label, at, p, x[p * w + 1 : (p + 1) * w] AS v FROM kept, range({parts}) AS r(p)
+  SELECT vec_id, label, nth, p, x[p * w + 1 : (p + 1) * w] AS v FROM kept, range({parts}) AS r(p)
 ), book0 AS MATERIALIZED (
-  SELECT p, at AS e, v FROM parts WHERE at < {entries}
+  SELECT p, nth AS e, v FROM parts WHERE nth < {entries}
 )"""
     ]
     for r in range(rounds + 1):
         steps.append(
             f"""own{r} AS MATERIALIZED (
   SELECT vec_id, label, parts.p, any_value(parts.v) AS v,
-         min({entries} * list_sum(list_transform(list_zip(parts.v, b.v), z -> (z[1] - z[2]) * (z[1] - z[2]))) + e) AS best
+         min({entries} * list_sum(list_transform(list_zip(parts.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) + e) AS best
   FROM parts JOIN book{r} b ON parts.p = b.p GROUP BY vec_id, label, parts.p
 )"""
         )

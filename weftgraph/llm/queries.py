@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.llm import anchors, bpe, hmm, langid, maintext, mixing, neighbours, partenum, repetition, sharding, simhash, warc
+from weftgraph.llm import anchors, bpe, hmm, langid, maintext, mixing, neighbours, partenum, repetition, sharding, simhash, warc, whitening
 from weftgraph.llm.words import fold
 from weftgraph.session import fresh_path
 
@@ -128,6 +128,12 @@ def op11_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first sixteen whitened components of every vector."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
