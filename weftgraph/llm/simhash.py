@@ -6,12 +6,13 @@ segments: of two linked fingerprints at least one segment differs by one bit at
 by its variants with one bit wiped out, one signature per bit. Segments that differ by that bit alone, or not
 at all, agree there, so every link meets at an equal signature, and a fingerprint has 64 of them.
 
-Equal fingerprints are one node from the start. Fingerprints that share a signature are first compared with
-the least of their group, which settles groups of near copies without their pairs. A group above ``CROWDED``
-members that still lies in several components is cut again: the bits outside its segment fall into one piece
-more than may differ, linked fingerprints agree on a piece, and signature and piece make finer groups. Last,
-in groups across several components, members outside the commonest one are compared with all that are in
-another component. Only verified links are ever emitted, and no link is lost.
+Equal fingerprints are one node from the start. Fingerprints that agree in a whole segment are first compared
+with the least of these, which settles most of a group of near copies without its pairs. Then only the
+signatures whose fingerprints lie in several components matter: there, members outside the commonest component
+are compared with all that are in another one. A group above ``CROWDED`` members is cut before that: the bits
+outside its segment fall into one piece more than may differ, linked fingerprints agree on a piece, and signature
+and piece make finer groups, which are treated like the others. Only verified links are ever emitted, and no link
+is lost.
 
 Null texts and texts without words have the fingerprint zero, which is linked like any other. Texts with fewer
 words than a shingle has are one shingle. Texts of any length are read whole, in slices. A null key takes part;
@@ -129,15 +130,29 @@ def _mask(positions) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def _near(a: str, b: str, bits: int) -> Column:
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= bits
+
+
+def whole_segments(prints: DataFrame, bits: int) -> DataFrame:
+    """(signature, fingerprint, part): one row per segment, uncut."""
+    values = [
+        F.struct(F.lit(low).alias("low"), F.col("fingerprint").bitwiseAND(F.lit(_mask(range(low, high)))).alias("value"))
+        for low, high in segments(bits)
+    ]
+    rows = prints.select("fingerprint", "part", F.explode(F.array(*values)).alias("signature"))
+    return rows.select(F.xxhash64("signature").alias("signature"), "fingerprint", "part")
+
+
 def signed(prints: DataFrame, bits: int) -> DataFrame:
-    """(place, signature, fingerprint): one row per bit of the fingerprint, its segment without that bit."""
+    """(signature, fingerprint, part): one row per bit of the fingerprint, the bit's number in the upper half and
+    its segment without that bit in the lower."""
     variants = [
-        F.struct(F.lit(low << 8 | p).alias("place"), F.col("fingerprint").bitwiseAND(F.lit(_mask(set(range(low, high)) - {p}))).alias("bits"))
+        F.shiftrightunsigned(F.col("fingerprint").bitwiseAND(F.lit(_mask(set(range(low, high)) - {p}))), low).bitwiseOR(F.lit(p << 32))
         for low, high in segments(bits)
         for p in range(low, high)
     ]
-    rows = prints.select("fingerprint", F.explode(F.array(*variants)).alias("v"))
-    return rows.select(F.col("v.place").alias("place"), F.xxhash64("v.place", "v.bits").alias("signature"), "fingerprint")
+    return prints.select(F.explode(F.array(*variants)).alias("signature"), "fingerprint", "part")
 
 
 def _cut(groups: DataFrame, bits: int) -> DataFrame:
@@ -150,61 +165,76 @@ def _cut(groups: DataFrame, bits: int) -> DataFrame:
         masks = [_mask(rest[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
         return F.array(*[F.xxhash64("signature", F.lit(j), F.col("fingerprint").bitwiseAND(F.lit(m))) for j, m in enumerate(masks)])
 
-    segment = F.shiftright("place", 8)
-    by_segment = F.coalesce(*[F.when(segment == low, pieces(low, high)) for low, high in segments(bits)])
-    return groups.select("place", F.explode(by_segment).alias("signature"), "fingerprint")
-
-
-def _shared(rows: DataFrame) -> DataFrame:
-    """(place, signature, fingerprint, least) of signatures that several fingerprints share."""
-    heads = rows.groupBy("signature").agg(F.min("fingerprint").alias("least"), F.max("fingerprint").alias("most"))
-    heads = heads.where("least <> most").select(F.col("signature").alias("s"), "least")
-    return stage_table(rows.join(heads, F.col("signature") == F.col("s")).drop("s"), "signatures")
-
-
-def _near(a: str, b: str, bits: int) -> Column:
-    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= bits
+    bit = F.shiftright("signature", 32)
+    by_segment = F.coalesce(*[F.when((bit >= low) & (bit < high), pieces(low, high)) for low, high in segments(bits)])
+    return groups.select(F.explode(by_segment).alias("signature"), "fingerprint", "part")
 
 
-def _stars(groups: DataFrame, bits: int) -> DataFrame:
-    """Links (a, b) of every group's least fingerprint."""
-    near = groups.where((F.col("fingerprint") != F.col("least")) & _near("least", "fingerprint", bits))
-    return near.select(F.col("least").alias("a"), F.col("fingerprint").alias("b")).distinct()
-
-
-def _apart(groups: DataFrame, parts: DataFrame) -> DataFrame:
-    """(place, signature, fingerprint, part, main, members) of groups in several components; ``main`` is the
-    one with most members."""
-    named = groups.join(parts, F.col("fingerprint") == F.col("node"), "left")
-    named = named.select("place", "signature", "fingerprint", F.coalesce("component", "fingerprint").alias("part"))
-    named = stage_table(named, "named")
-    shares = named.groupBy("signature", "part").agg(F.count("*").alias("n"))
-    most = F.max(F.struct("n", "part")).getField("part").alias("main")
-    mixed = shares.groupBy(F.col("signature").alias("s")).agg(most, F.sum("n").alias("members"), F.count("*").alias("parts"))
-    mixed = mixed.where("parts > 1").drop("parts")
-    return stage_table(named.join(mixed, F.col("signature") == F.col("s")).drop("s"), "apart")
+def _stars(rows: DataFrame, bits: int) -> DataFrame:
+    """Links (a, b) of the least fingerprint of every group."""
+    heads = rows.groupBy("signature").agg(F.min("fingerprint").alias("a"), F.max("fingerprint").alias("most"))
+    heads = heads.where("a <> most").select(F.col("signature").alias("s"), "a")
+    met = rows.select("signature", F.col("fingerprint").alias("b")).join(
+        heads, (F.col("signature") == F.col("s")) & (F.col("a") != F.col("b")) & _near("a", "b", bits)
+    )
+    return met.select("a", "b").distinct()
 
 
-def _across(apart: DataFrame, bits: int) -> DataFrame:
-    """Links (a, b) between members of different components of a group."""
-    few = apart.where("part <> main").select(F.col("signature").alias("s"), F.col("fingerprint").alias("a"), F.col("part").alias("a_part"))
-    all_ = apart.select("signature", F.col("fingerprint").alias("b"), F.col("part").alias("b_part"), "main")
+def _mixed(rows: DataFrame, bits: int) -> DataFrame:
+    """(signature, fingerprint, part, members) of the groups that lie in several components. Of a group of two
+    the count tells already whether they are linked; most groups that chance makes are no more than that.
+
+    Rows are dealt out by signature once, for the counts and for the groups. A fingerprint has a row in each of
+    its many signatures, so no group has more than that share of the rows.
+    """
+    rows = rows.repartition("signature")
+    met = rows.groupBy("signature").agg(
+        F.min("fingerprint").alias("least"),
+        F.max("fingerprint").alias("most"),
+        F.min("part").alias("low"),
+        F.max("part").alias("high"),
+        F.count("*").alias("members"),
+    )
+    met = met.where((F.col("low") != F.col("high")) & ((F.col("members") > 2) | _near("least", "most", bits)))
+    met = met.select(F.col("signature").alias("s"), "members")
+    return stage_table(rows.join(met, F.col("signature") == F.col("s")).drop("s"), "mixed")
+
+
+def _across(groups: DataFrame, bits: int) -> DataFrame:
+    """Links (a, b) between members of different components of a group: members outside the commonest component
+    meet all others."""
+    shares = groups.groupBy("signature", "part").agg(F.count("*").alias("n"))
+    main = shares.groupBy(F.col("signature").alias("s")).agg(F.max(F.struct("n", "part")).getField("part").alias("main"))
+    told = stage_table(groups.join(main, F.col("signature") == F.col("s")).drop("s"), "across")
+    few = told.where("part <> main").select(
+        F.col("signature").alias("s"), F.col("fingerprint").alias("a"), F.col("part").alias("a_part")
+    )
+    all_ = told.select("signature", F.col("fingerprint").alias("b"), F.col("part").alias("b_part"), "main")
     once = (F.col("b_part") == F.col("main")) | (F.col("a") < F.col("b"))
     met = few.join(all_, (F.col("s") == F.col("signature")) & (F.col("a_part") != F.col("b_part")) & once & _near("a", "b", bits))
     return met.select("a", "b").distinct()
 
 
+def _parts(prints: DataFrame, parts: DataFrame) -> DataFrame:
+    """(fingerprint, part) of all fingerprints."""
+    named = prints.select("fingerprint").join(parts, F.col("fingerprint") == F.col("node"), "left")
+    return stage_table(named.select("fingerprint", F.coalesce("component", "fingerprint").alias("part")), "parts")
+
+
 def near_components(prints: DataFrame, bits: int = BITS) -> DataFrame:
     """(node, component): the least fingerprint that links reach, for every one but that itself, of distinct
     fingerprints."""
-    groups = _shared(signed(prints, bits))
-    links = stage_table(_stars(groups, bits), "links")
-    apart = _apart(groups, components(links))
-    fine = _shared(_cut(apart.where(F.col("members") > CROWDED), bits))
-    links = stage_table(links.union(_stars(fine, bits)), "links")
-    finer = _apart(fine, components(links))
-    more = _across(apart.where(F.col("members") <= CROWDED), bits).union(_across(finer, bits))
-    return components(links.union(more))
+    alone = prints.select("fingerprint", F.col("fingerprint").alias("part"))
+    links = stage_table(_stars(whole_segments(alone, bits), bits), "links")
+    groups = _mixed(signed(_parts(prints, components(links)), bits), bits)
+    links = stage_table(links.union(_across(groups.where(F.col("members") <= CROWDED), bits)), "links")
+    fine = _cut(groups.where(F.col("members") > CROWDED), bits)
+    if not fine.isEmpty():
+        links = stage_table(links.union(_stars(fine, bits)), "links")
+        known = _parts(prints, components(links)).select(F.col("fingerprint").alias("f"), F.col("part").alias("now"))
+        fine = fine.join(known, F.col("fingerprint") == F.col("f")).select("signature", "fingerprint", F.col("now").alias("part"))
+        links = links.union(_across(_mixed(fine, bits), bits))
+    return components(links)
 
 
 def near_duplicates(
