@@ -1,7 +1,7 @@
 """Table references of SQL text, as column expressions.
 
 The text is never parsed by a grammar. Literals and comments are blanked, quoted identifiers are
-turned into plain words, brackets are peeled from the inside out so that every SELECT ends up as its
+turned into plain words, brackets are opened so that every SELECT ends up as its
 own bracket-free fragment, and table names are what stands between FROM and the next clause. Text that
 cannot be a statement (odd quotes, unbalanced brackets, a dangling operator at the end) has no tables.
 """
@@ -22,6 +22,8 @@ from weftgraph.functions.text import (
 
 #: Stands where a bracket was peeled off; cannot occur in SQL text.
 HOLE = "\x01"
+#: Stands where a fragment ends while fragments are put together.
+END = "\x02"
 
 BLANK = (
     r"(?s)(')[^'\\]*+(?:(?:\\.|'')[^'\\]*+)*+(')"  # literal -> ''
@@ -112,21 +114,12 @@ def well_formed(blanked: Column) -> Column:
     )
 
 
-def nesting(c: Column) -> Column:
-    """How deep the brackets of a text are nested, by a running count over its brackets."""
-    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
-
-    def step(acc: Column, bracket: Column) -> Column:
-        now = acc["now"] + F.when(bracket == "(", 1).otherwise(-1)
-        return F.struct(now.alias("now"), F.greatest(acc["most"], now).alias("most"))
-
-    return F.aggregate(F.regexp_extract_all(c, F.lit(r"([()])"), F.lit(1)), start, step, lambda acc: acc["most"])
-
-
 def unwrap(c: Column) -> Column:
-    """``FROM ((t))`` and the like without the brackets around the single table."""
+    """``FROM ((t))`` and the like without the brackets around the single table, as often as the longest such
+    chain of brackets asks for."""
+    chains = F.transform(F.regexp_extract_all(c, F.lit(LONE_CHAIN), F.lit(0)), lambda x: _count(x, "("))
     steps = F.aggregate(
-        F.sequence(F.lit(1), nesting(c)),
+        F.sequence(F.lit(1), F.array_max(chains)),
         c,
         lambda acc, _: F.regexp_replace(F.regexp_replace(acc, LONE_INSIDE, "$1"), LONE_TABLE, "$1 $2 "),
     )
@@ -134,21 +127,35 @@ def unwrap(c: Column) -> Column:
 
 
 def peel(c: Column) -> Column:
-    """Bracket-free fragments: bracket contents from the inside out until no bracket is left, then the rest."""
-    empty = F.array().cast("array<string>")
-    inner = r"\(([^()]*+)\)"
-    state = F.aggregate(
-        F.sequence(F.lit(1), nesting(c)),
-        F.struct(c.alias("rest"), empty.alias("done")),
-        lambda acc, _: F.struct(
-            F.regexp_replace(acc["rest"], inner, f" {HOLE} ").alias("rest"),
-            F.concat(
-                acc["done"], F.regexp_extract_all(acc["rest"], F.lit(inner), F.lit(1))
-            ).alias("done"),
-        ),
-        lambda acc: F.concat(acc["done"], F.array(acc["rest"])),
-    )
-    return F.when(c.contains("("), state).otherwise(F.array(c))
+    """Bracket-free fragments: what stands in each pair of brackets, with a hole for every bracket inside it,
+    and the text around them all.
+
+    The text is cut after every bracket and each piece gets the depth it stands at, a running count. Pieces in
+    the order of their depths are the fragments one after the other, ended by the piece that closes them. So
+    each piece of text is taken up once, however deep it lies.
+    """
+    start = F.struct(F.lit(0).alias("now"), F.lit("").alias("trail"))
+
+    def count(acc: Column, piece: Column) -> Column:
+        return F.struct(
+            (acc["now"] + piece.endswith("(").cast("int") - piece.endswith(")").cast("int")).alias("now"),
+            F.concat(acc["trail"], acc["now"].cast("string"), F.lit(" ")).alias("trail"),
+        )
+
+    def placed(piece: Column, i: Column) -> Column:
+        told = F.when(piece["text"].endswith("("), F.concat(piece["text"], F.lit(f" {HOLE} "))).when(
+            piece["text"].endswith(")"), F.concat(piece["text"], F.lit(END))
+        )
+        return F.struct(
+            piece["depth"].cast("int").alias("depth"), i.alias("nth"), told.otherwise(piece["text"]).alias("text")
+        )
+
+    pieces = F.split(F.concat(c, F.lit(END)), r"(?<=[()])", -1)
+    depths = F.split(F.rtrim(F.aggregate(pieces, start, count, lambda acc: acc["trail"])), " ")
+    sorted_ = F.sort_array(F.transform(F.arrays_zip(pieces.alias("text"), depths.alias("depth")), placed))
+    joined = F.translate(F.array_join(sorted_["text"], ""), "()", "")
+    fragments = F.split(joined, END)
+    return F.when(c.contains("("), fragments).otherwise(F.array(c))
 
 
 # -- references --------------------------------------------------------------------------------
