@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from weftgraph.jobs import run
 from weftgraph.operators import graph, usage
 from weftgraph.plans import registry
-from weftgraph.schemas import APP_METADATA, NODE
+from weftgraph.schemas import NODE, PARSE_FAILURE, TABLE_USAGE
 from weftgraph.sinks import tables as sinks
 from weftgraph.sources import artifacts as src
 from weftgraph.sources import catalog
@@ -80,39 +80,84 @@ def test_run(spark, tmp_path, name, folder, parents):
         assert ("downstream_dependencies" in node["lineage"]) == (node["node_type"] == kinds[1])
         for dep in sum(node["lineage"].values(), []):
             assert set(dep) in ({"table_name"}, {"integration_name", "node_type", "node_name"})
-    back = sinks.read_nodes(spark, f"{tmp_path}/nodes")
+    back = sinks.read_nodes(spark, str(tmp_path))
     assert by_name(back).keys() == by_name(out.nodes).keys()
     assert catalog.invalid(back).isEmpty()
-    assert os.path.exists(tmp_path / "failures")
+    assert sinks.read_table(spark, str(tmp_path), "failures").count() == out.failures.count()
+    counted = {r["node_type"]: r["nodes"] for r in out.summary.collect()}
+    assert counted["total"] == len(lines) and counted["failures"] == out.failures.count()
     # A second run replaces the first.
     run(spark, name, f"{FIXTURES}/{folder}", str(tmp_path), "https://g/r")
-    assert sinks.read_nodes(spark, f"{tmp_path}/nodes").count() == len(lines)
+    assert sinks.read_nodes(spark, str(tmp_path)).count() == len(lines)
     if name == "Streamlit":
-        metadata = spark.read.schema(APP_METADATA).parquet(f"{tmp_path}/app_metadata")
+        metadata = sinks.read_table(spark, str(tmp_path), "app_metadata")
         assert metadata.count() == 2
         assert usage.first_metadata(metadata).count() == 2
-        log = spark.read.parquet(f"{tmp_path}/table_usage").withColumnRenamed("file_path", "f")
+        log = sinks.read_table(spark, str(tmp_path), "table_usage").withColumnRenamed("file_path", "f")
         top = usage.usage_summary(log).first()
         assert top["usage_count"] >= 2
 
 
 def test_smaller_second_run(spark, tmp_path):
     """What a second run writes is all that is there, but for other integrations."""
-    args = (spark, "Streamlit", f"{FIXTURES}/dashboard", str(tmp_path), "https://g/r")
+    root = str(tmp_path)
+    args = (spark, "Streamlit", f"{FIXTURES}/dashboard", root, "https://g/r")
     run(*args)
-    first = spark.read.parquet(f"{tmp_path}/table_usage").count()
-    run(spark, "Matillion", f"{FIXTURES}/orchestration", str(tmp_path), "https://g/r")
+    first = sinks.read_table(spark, root, "table_usage").count()
+    out = run(spark, "Matillion", f"{FIXTURES}/orchestration", root, "https://g/r")
+    failed = out.failures.count()
     run(*args)
-    assert spark.read.parquet(f"{tmp_path}/table_usage").count() == first
-    others = sinks.read_nodes(spark, f"{tmp_path}/nodes").filter("integration = 'Matillion'").count()
+    assert sinks.read_table(spark, root, "table_usage").count() == first
+    failures = sinks.read_table(spark, root, "failures")
+    assert failures.filter("integration = 'Matillion'").count() == failed > 0
+    others = sinks.read_nodes(spark, root).filter("integration = 'Matillion'").count()
     out = run(*args, files="plain.py")
-    back = sinks.read_nodes(spark, f"{tmp_path}/nodes")
+    back = sinks.read_nodes(spark, root)
     assert by_name(back.filter("integration = 'Streamlit'")) == by_name(out.nodes)
     assert back.filter("integration = 'Matillion'").count() == others > 0
-    log = spark.read.parquet(f"{tmp_path}/table_usage")
+    log = sinks.read_table(spark, root, "table_usage")
     assert {r["file_path"] for r in log.select("file_path").distinct().collect()} <= {"plain.py"}
 
 
+def usage_of(spark, *files):
+    return spark.createDataFrame([(1, f) for f in files], "id bigint, file_path string").select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) if f.name in ("id", "file_path") else F.lit(None).cast(f.dataType).alias(f.name) for f in TABLE_USAGE.fields]
+    )
+
+
+def test_committed_runs(spark, tmp_path):
+    """A larger, a smaller and an empty run, a run that is never committed, and a second integration."""
+    root = f"{tmp_path}/out"
+    failure = lambda *paths: spark.createDataFrame([("x", p, "parse", "no") for p in paths], PARSE_FAILURE)
+
+    def go(integration, *paths, commit=True):
+        one = sinks.Run(spark, root, integration)
+        one.write("failures", failure(*paths))
+        one.write("table_usage", usage_of(spark, *paths))
+        if commit:
+            one.commit()
+
+    def there():
+        return [
+            sorted((r["integration"], r[c]) for r in sinks.read_table(spark, root, t).collect())
+            for t, c in (("failures", "rel_path"), ("table_usage", "file_path"))
+        ]
+
+    assert there() == [[], []]
+    go("A", "a", "b", "c")
+    go("B b", "a")
+    assert there() == [[("A", "a"), ("A", "b"), ("A", "c"), ("B b", "a")]] * 2
+    go("A", "d")
+    go("A", "never", commit=False)
+    assert there() == [[("A", "d"), ("B b", "a")]] * 2
+    go("A")
+    assert there() == [[("B b", "a")]] * 2
+    assert sinks.drop_old_runs(spark, root) == 6 and there() == [[("B b", "a")]] * 2
+    # Tables that a run does not write are gone with the run before.
+    sinks.Run(spark, root, "B b").commit()
+    assert there() == [[], []]
+
+
 def test_run_of_listed_file(spark, tmp_path):
     out = run(
         spark, "Streamlit", f"{FIXTURES}/dashboard", str(tmp_path), "https://g/r",
@@ -271,6 +316,10 @@ def test_streamed_usage(spark, tmp_path):
     want = usage.usage_summary(log)
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
     assert len(os.listdir(f"{tmp_path}/out")) >= 3
+    usage_stream.fold_usage(spark, f"{tmp_path}/out")
+    assert len(os.listdir(f"{tmp_path}/out")) == 1
+    again = usage_stream.current_summary(spark, f"{tmp_path}/out")
+    assert again.exceptAll(want).isEmpty() and want.exceptAll(again).isEmpty()
 
 
 def test_replays(spark, tmp_path):

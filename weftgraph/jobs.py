@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.operators import graph
 from weftgraph.plans import dashboard, registry
 from weftgraph.sinks import tables as sinks
 from weftgraph.sources import artifacts as src
@@ -34,8 +33,9 @@ def run(
     app_name: str | None = None,
     local: bool = False,
 ) -> Outcome:
-    """Writes ``nodes``, ``failures`` (if any) and, for dashboards, the usage tables below
-    ``output_path``. ``files`` is a comma-separated allow-list of paths relative to the input."""
+    """Writes ``nodes``, ``failures`` (if any) and, for dashboards, the usage tables below ``output_path``, and commits
+    them together. ``files`` is a comma-separated allow-list of paths relative to the input. The summary has the
+    nodes of each type, their total and the failures, counted while they are written."""
     job = registry.get(name)
     corpus = src.read_artifacts(spark, input_path, job.suffix, name)
     absent = src.missing(corpus, src.allow_list(spark, files)) if src.strip_text(files) else None
@@ -48,9 +48,20 @@ def run(
         [(name, t) for t in job.node_types], "integration string, node_type string"
     )
     catalog.checked(nodes, F.broadcast(declared))
-    sinks.write_nodes(nodes, f"{output_path}/nodes")
-    sinks.write_failures(parsed.failures, f"{output_path}/failures")
+    written = sinks.Run(spark, output_path, name)
+    counts = Observation("nodes")
+    of_types = [F.count_if(F.col("node_type") == t).alias(t) for t in job.node_types]
+    written.write("nodes", nodes.observe(counts, F.count(F.lit(1)).alias("total"), *of_types))
+    total = {"failures": 0}
+    if not parsed.failures.isEmpty():
+        failed = Observation("failures")
+        written.write("failures", parsed.failures.observe(failed, F.count(F.lit(1)).alias("failures")))
+        total |= failed.get
     if isinstance(parsed, dashboard.Parsed):
-        sinks.write_usage(parsed.usage, f"{output_path}/table_usage", name)
-        sinks.write_app_metadata(parsed.apps, f"{output_path}/app_metadata", name)
-    return Outcome(nodes, parsed.failures, graph.run_summary(nodes), absent)
+        written.write("table_usage", parsed.usage)
+        sinks.write_app_metadata(written, parsed.apps)
+    written.commit()
+    total |= counts.get
+    lines = [(name, t, total[t]) for t in (*job.node_types, "total", "failures")]
+    summary = spark.createDataFrame(lines, "integration string, node_type string, nodes bigint")
+    return Outcome(nodes, parsed.failures, summary, absent)

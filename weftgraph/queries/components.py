@@ -345,22 +345,25 @@ def yaml_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    "yaml_components",
-    f"""WITH {COMPONENTS_SQL}
+YAML_SQL = f"""WITH {COMPONENTS_SQL}
     SELECT rel_path, CAST(row_number() OVER (PARTITION BY rel_path ORDER BY ordinal) - 1 AS INTEGER) AS ordinal,
            name, type, role, skipped, output_table, source_table,
            CASE WHEN type = 'run-orchestration' THEN 'f_' || (k % 10) END AS called_pipeline,
            'next_' || k AS transitions,
            CASE WHEN moves THEN 'r_' || (k + 2) ELSE '' END AS sql_sources,
            CASE WHEN moves THEN 't_' || (k + 1) ELSE '' END AS sql_targets
-    FROM typed""",
-)
-def yaml_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = orchestration.parse(yaml_files(spark, sf_dir))
-    return parsed.components.select(
+    FROM typed"""
+
+
+def flat_components(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "rel_path", "ordinal", "name", "type", "role", "skipped", "output_table", "source_table",
         "called_pipeline", F.array_join("transitions", ",").alias("transitions"),
         F.array_join("sql_sources", ",").alias("sql_sources"),
         F.array_join("sql_targets", ",").alias("sql_targets"),
     )
+
+
+@query("yaml_components", YAML_SQL)
+def yaml_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flat_components(orchestration.parse(yaml_files(spark, sf_dir)).components)

@@ -1,20 +1,33 @@
-"""The lake and the usage log as file streams, run to the end of what is there."""
+"""The lake, the usage log and orchestration files as streams that come in parts, each run to its end."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftgraph.operators.parent_child import parent_child_nodes
+from weftgraph.queries import components
 from weftgraph.queries import usage as usage_queries
 from weftgraph.queries.lineage import jobs
 from weftgraph.queries.pages import flat_nodes
-from weftgraph.queries.registry import SCHEMAS, query
-from weftgraph.session import fresh_path
+from weftgraph.queries.registry import SCHEMAS, query, table
+from weftgraph.session import fresh_path, stage_table
 from weftgraph.streaming import ingest
 from weftgraph.streaming import usage as usage_stream
 
 
+def arrivals(rows: DataFrame, part: Column, parts: int = 3) -> Iterator[str]:
+    """A folder of the shared store to which one part of the rows after the other is added, all of them in the end."""
+    spark = rows.sparkSession
+    folder = fresh_path(spark, "arrivals")
+    dealt = stage_table(rows.withColumn("_part", part.cast("int")), "parts")
+    for nr in range(parts):
+        dealt.where(F.col("_part") == nr).drop("_part").write.mode("append").parquet(folder)
+        yield folder
+
+
 @query(
     "stream_nodes",
     """
@@ -29,7 +42,7 @@ from weftgraph.streaming import usage as usage_stream
            'ParentNode:' || flow, t FROM w""",
 )
 def stream_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items arrive as files; each batch's suppliers become nodes of their nation."""
+    """Line items arrive in three parts; each part's suppliers become nodes of their nation."""
     root, checkpoint = fresh_path(spark, "nodes"), fresh_path(spark, "nodes-state")
     job_rows = jobs(spark, sf_dir)
 
@@ -45,14 +58,46 @@ def stream_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         return nodes.withColumn("modified_at", F.current_timestamp())
 
-    lines = ingest.stream_table(spark, sf_dir, "lineitem.parquet", SCHEMAS["lineitem"])
-    ingest.ingest_nodes(lines, convert, root, checkpoint)
+    rows = table(spark, sf_dir, "lineitem")
+    for nr, folder in enumerate(arrivals(rows, F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(3)))):
+        lines = ingest.stream_table(spark, folder, "*.parquet", SCHEMAS["lineitem"])
+        ingest.ingest_nodes(lines, convert, root, checkpoint)
+        if nr == 1:
+            ingest.fold_nodes(spark, root)
     return flat_nodes(ingest.current_nodes(spark, root))
 
 
 @query("stream_usage", usage_queries.SUMMARY_SQL)
 def stream_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events arrive in three parts; the stream is stopped after each and goes on from its checkpoint."""
     root, checkpoint = fresh_path(spark, "usage"), fresh_path(spark, "usage-state")
-    events = ingest.stream_table(spark, sf_dir, "events.parquet", SCHEMAS["events"])
-    usage_stream.count_usage(usage_queries.of_events(events), root, checkpoint)
+    rows = table(spark, sf_dir, "events")
+    for nr, folder in enumerate(arrivals(rows, F.pmod(F.xxhash64("event_id"), F.lit(3)))):
+        events = ingest.stream_table(spark, folder, "*.parquet", SCHEMAS["events"])
+        usage_stream.count_usage(usage_queries.of_events(events), root, checkpoint)
+        if nr == 1:
+            usage_stream.fold_usage(spark, root)
     return usage_queries.flat_summary(usage_stream.current_summary(spark, root))
+
+
+@query(
+    "stream_flows",
+    components.YAML_SQL + " WHERE NOT rel_path LIKE '%0.orch.yaml'",
+)
+def stream_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All files come with an older text, then with their own, and a tenth of them is emptied at last; the log is
+    folded in between."""
+    root, checkpoint = fresh_path(spark, "flows"), fresh_path(spark, "flows-state")
+    files = stage_table(components.yaml_files(spark, sf_dir), "files")
+    older = F.lit("pipeline:\n  components:\n    old:\n      type: start\n")
+    versions = (
+        files.select("rel_path", older.alias("content"), F.lit(0).alias("nr"))
+        .union(files.select("rel_path", "content", F.lit(1)))
+        .union(files.where(F.col("rel_path").like("%0.orch.yaml")).select("rel_path", F.lit("pipeline: {}\n"), F.lit(2)))
+    )
+    for nr, folder in enumerate(arrivals(versions, F.col("nr"))):
+        records = ingest.stream_table(spark, folder, "*.parquet", "rel_path string, content string")
+        ingest.ingest_flows(records, root, checkpoint)
+        if nr == 1:
+            ingest.fold_flows(spark, root)
+    return components.flat_components(ingest.current_flows(spark, root).components)

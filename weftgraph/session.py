@@ -61,6 +61,29 @@ def stage_table(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _path(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at, files = _path(spark, path)
+    return files.exists(at)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders in a folder, none if it is not there."""
+    at, files = _path(spark, path)
+    found = files.listStatus(at) if files.exists(at) else []
+    return [f.getPath().toString() for f in found if f.isDirectory()]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a file or folder of the job's own in whatever store it lies."""
+    at, files = _path(spark, path)
+    files.delete(at, True)
+
+
 def widen(df: DataFrame) -> DataFrame:
     """Spread the few splits of a small input over the cores before heavy per-row work.
 

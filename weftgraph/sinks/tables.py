@@ -1,56 +1,88 @@
-"""Writers: node documents, failures, usage tables, and the upserted node catalogue."""
+"""Writers: node documents, failures and usage tables as committed runs, and the upserted node catalogue."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weftgraph.operators import graph
-from weftgraph.schemas import NODE
-
-
-def write_nodes(nodes: DataFrame, path: str) -> None:
-    """Replace the node set of every integration in ``nodes``, as JSON lines below
-    ``integration=<name>``. Null fields are left out, so a dependency shows either shape. The
-    node sets of other integrations under ``path`` stay."""
-    (
-        nodes.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("ignoreNullFields", True)
-        .partitionBy("integration")
-        .json(path)
-    )
-
-
-def read_nodes(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(NODE).json(path)
-
-
-def write_failures(failures: DataFrame, path: str) -> bool:
-    """Writes failed paths only if there are any; tells whether it did."""
-    if failures.isEmpty():
-        return False
-    failures.write.mode("overwrite").json(path)
-    return True
-
-
-def _replace(rows: DataFrame, path: str, integration: str) -> None:
-    """Replace what an integration's last run wrote; those of other integrations stay."""
-    (
-        rows.withColumn("integration", F.lit(integration))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("integration")
-        .parquet(path)
-    )
-
-
-def write_usage(usage: DataFrame, path: str, integration: str) -> None:
-    """The usage table of the integration's newest run."""
-    _replace(usage, path, integration)
-
-
-def write_app_metadata(apps: DataFrame, path: str, integration: str) -> None:
+from weftgraph.schemas import APP_METADATA, NODE, PARSE_FAILURE, TABLE_USAGE
+from weftgraph.session import exists, folders, remove
+
+
+#: Tables of a run, by folder, with the form they are written in and their columns.
+TABLES = {
+    "nodes": ("json", NODE),
+    "failures": ("json", PARSE_FAILURE),
+    "table_usage": ("parquet", TABLE_USAGE),
+    "app_metadata": ("parquet", APP_METADATA),
+}
+MANIFEST = "integration string, run string, tables array<string>, nr bigint"
+
+
+class Run:
+    """One run of an integration: its tables go to folders of their own, and count only once the run is
+    committed. Then they take the place of what the integration's last run wrote, tables without rows and
+    tables that this run has not written too; those of other integrations stay. A run that breaks off changes
+    nothing for readers."""
+
+    def __init__(self, spark: SparkSession, root: str, integration: str):
+        self.spark, self.root, self.integration = spark, root.rstrip("/"), integration
+        self.name = uuid.uuid4().hex
+        self.tables: list[str] = []
+
+    def write(self, table: str, rows: DataFrame) -> None:
+        """Nodes and failures are JSON lines without null fields, so a dependency shows either shape."""
+        kind = TABLES[table][0]
+        # The folder tells the integration.
+        rows = rows.drop("integration")
+        options = {"ignoreNullFields": "true"} if kind == "json" else {}
+        rows.write.mode("overwrite").options(**options).format(kind).save(_folder(self.root, table, self.integration, self.name))
+        self.tables.append(table)
+
+    def commit(self) -> None:
+        """One row of the manifest, in a file of its own, which is there whole or not at all."""
+        last = max([r["nr"] for r in _manifest(self.spark, self.root)], default=0)
+        row = [(self.integration, self.name, self.tables, last + 1)]
+        self.spark.createDataFrame(row, MANIFEST).coalesce(1).write.mode("append").json(f"{self.root}/runs")
+
+
+def _folder(root: str, table: str, integration: str, run: str) -> str:
+    return f"{root.rstrip('/')}/{table}/integration={integration}/run={run}"
+
+
+def _manifest(spark: SparkSession, root: str) -> list[Row]:
+    """The newest committed run of every integration: as many rows as there are integrations."""
+    path = f"{root.rstrip('/')}/runs"
+    if not exists(spark, path):
+        return []
+    rows = spark.read.schema(MANIFEST).json(path)
+    newest = F.max_by(F.struct("run", "tables", "nr"), F.struct("nr", "run")).alias("r")
+    return rows.groupBy("integration").agg(newest).select("integration", "r.*").collect()
+
+
+def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """What the newest committed runs of all integrations wrote to a table; empty if there is none."""
+    kind, schema = TABLES[table]
+    runs = [r for r in _manifest(spark, root) if table in r["tables"]]
+    columns = [T.StructField("integration", T.StringType()), *(f for f in schema.fields if f.name != "integration")]
+    schema = T.StructType(columns)
+    if not runs:
+        return spark.createDataFrame([], schema)
+    paths = [_folder(root, table, r["integration"], r["run"]) for r in runs]
+    base = f"{root.rstrip('/')}/{table}"
+    rows = spark.read.schema(schema).option("basePath", base).format(kind).load(paths)
+    return rows.select(schema.names)
+
+
+def read_nodes(spark: SparkSession, root: str) -> DataFrame:
+    return read_table(spark, root, "nodes")
+
+
+def write_app_metadata(run: Run, apps: DataFrame) -> None:
     """Apps with a title or a description; others leave no row."""
     rows = apps.filter(F.col("app_title").isNotNull() | F.col("app_description").isNotNull()).select(
         F.lit(1).cast("long").alias("id"),
@@ -59,7 +91,22 @@ def write_app_metadata(apps: DataFrame, path: str, integration: str) -> None:
         "app_description",
         F.current_timestamp().alias("created_at"),
     )
-    _replace(rows, path, integration)
+    run.write("app_metadata", rows)
+
+
+def drop_old_runs(spark: SparkSession, root: str) -> int:
+    """Deletes the folders of runs that are not the newest of their integration, and tells how many. To be
+    called when no reader of an older run and no open run is left."""
+    kept = {(r["integration"], r["run"]) for r in _manifest(spark, root)}
+    gone = 0
+    for table in TABLES:
+        for of in folders(spark, f"{root.rstrip('/')}/{table}"):
+            for run in folders(spark, of):
+                names = of.rsplit("integration=", 1)[-1], run.rsplit("run=", 1)[-1]
+                if names not in kept:
+                    remove(spark, run)
+                    gone += 1
+    return gone
 
 
 def upsert(existing: DataFrame | None, incoming: DataFrame) -> DataFrame:

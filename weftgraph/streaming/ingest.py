@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from weftgraph.operators import graph
 from weftgraph.plans import orchestration
+from weftgraph.schemas import NODE
 from weftgraph.session import stage_table
 from weftgraph.sinks.tables import upsert
+from weftgraph.streaming.log import fold, read_log, write_batch
 
 TABLES = ("docs", "components", "failures")
 
@@ -33,12 +37,11 @@ def ingest_nodes(
 ) -> None:
     """Run until the input is used up (or as ``trigger`` says).
 
-    Each batch adds the nodes it met as ``batch=<id>``; it never rewrites what was there. A batch that
-    runs again overwrites its own folder, so the outcome is the same.
+    Each batch adds the nodes it met to the log and never rewrites what was there.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        convert(batch).write.mode("overwrite").parquet(f"{root}/batch={batch_id:09d}")
+        write_batch(convert(batch), root, batch_id)
 
     (
         records.writeStream.foreachBatch(write)
@@ -49,12 +52,21 @@ def ingest_nodes(
     )
 
 
+VERSIONED = T.StructType([*NODE.fields, T.StructField("modified_at", T.TimestampType())])
+
+
 def current_nodes(spark: SparkSession, root: str, published: DataFrame | None = None) -> DataFrame:
     """The node set after all batches, on top of an already ``published`` one.
 
     ``sinks.tables.write_version`` publishes the outcome; the batches below ``root`` can then go.
     """
-    return upsert(published, spark.read.parquet(root).drop("batch"))
+    return upsert(published, read_log(spark, root, VERSIONED).drop("batch"))
+
+
+def fold_nodes(spark: SparkSession, root: str) -> None:
+    """The newest version of every node in place of all batches so far."""
+    order = [F.col("modified_at"), F.col("node_type")]
+    fold(spark, root, VERSIONED, lambda rows: graph.latest(rows, ["integration", "name"], order).select(*VERSIONED.names, "batch"))
 
 
 def ingest_flows(artifacts: DataFrame, root: str, checkpoint: str, **trigger: object) -> None:
@@ -66,9 +78,7 @@ def ingest_flows(artifacts: DataFrame, root: str, checkpoint: str, **trigger: ob
     def write(batch: DataFrame, batch_id: int) -> None:
         parsed = orchestration.parse(batch, stage_table)
         for table in TABLES:
-            getattr(parsed, table).write.mode("overwrite").parquet(
-                f"{root}/{table}/batch={batch_id:09d}"
-            )
+            write_batch(getattr(parsed, table), f"{root}/{table}", batch_id)
 
     (
         artifacts.writeStream.foreachBatch(write)
@@ -79,17 +89,32 @@ def ingest_flows(artifacts: DataFrame, root: str, checkpoint: str, **trigger: ob
     )
 
 
-def current_flows(spark: SparkSession, root: str) -> orchestration.Parsed:
-    """What the last batch said about each file, ready for ``orchestration.convert``."""
-    logs = {t: spark.read.parquet(f"{root}/{t}") for t in TABLES}
+def _flow_logs(spark: SparkSession, root: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The logs of all tables, and for every file the last batch that had it."""
+    none = orchestration.parse(spark.createDataFrame([], "rel_path string, content string"))
+    logs = {t: read_log(spark, f"{root}/{t}", getattr(none, t).schema) for t in TABLES}
     seen = [logs[t].select("rel_path", "batch") for t in ("docs", "failures")]
     newest = seen[0].unionByName(seen[1]).groupBy("rel_path").agg(F.max("batch").alias("batch"))
-    newest = stage_table(newest, "newest")
+    return logs, stage_table(newest, "newest")
+
+
+def current_flows(spark: SparkSession, root: str) -> orchestration.Parsed:
+    """What the last batch said about each file, ready for ``orchestration.convert``."""
+    logs, newest = _flow_logs(spark, root)
     return orchestration.Parsed(
         **{t: log.join(newest, ["rel_path", "batch"], "left_semi").drop("batch") for t, log in logs.items()}
     )
 
 
+def fold_flows(spark: SparkSession, root: str) -> None:
+    """The newest version of every file in place of all batches so far. Each table's snapshot is whole for
+    itself, so breaking off between two of them loses nothing."""
+    logs, newest = _flow_logs(spark, root)
+    for table, log in logs.items():
+        kept = lambda rows: rows.join(newest, ["rel_path", "batch"], "left_semi").select(*rows.columns)
+        fold(spark, f"{root}/{table}", log.schema, kept)
+
+
 def distinct_arrivals(records: DataFrame, time: str, keys: list[str], delay: str) -> DataFrame:
     """Drop replays of a record that arrive within ``delay``; state is bounded by the watermark."""
     return records.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
