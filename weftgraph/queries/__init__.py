@@ -6,6 +6,7 @@ from weftgraph.queries import (  # noqa: F401
     lineage,
     notebooks,
     pages,
+    sinks,
     sqltext,
     streams,
     usage,

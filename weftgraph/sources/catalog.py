@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.schemas import INTEGRATION, NODE_TYPE
+from weftgraph.schemas import INTEGRATION, NODE, NODE_TYPE
 
 # The node types of the integrations.
 NODE_TYPES = {
@@ -46,23 +46,41 @@ def _bad_dep(dep: Column) -> Column:
     return dep.isNull() | ~((node & ~table) | (no_node & table))
 
 
-def invalid(nodes: DataFrame) -> DataFrame:
-    """Nodes that miss a field or have a dependency of neither shape. A parent may leave its downstream
-    list out; the upstream list must be there."""
+def problem() -> Column:
+    """What is wrong with a node: it misses a field, or has a dependency of neither shape; null if nothing is. A
+    parent may leave its downstream list out; the upstream list must be there."""
     lineage = F.col("lineage")
     up, down = lineage["upstream_dependencies"], lineage["downstream_dependencies"]
-    bad = (
-        F.coalesce(F.col("name"), F.lit("")).eqNullSafe("")
-        | F.col("node_type").isNull()
-        | F.col("attributes").isNull()
-        | F.col("attributes.description").isNull()
-        | F.col("attributes.url").isNull()
-        | lineage.isNull()
-        | up.isNull()
-        | F.exists(F.coalesce(up, F.array().cast(up_type())), _bad_dep)
-        | F.exists(F.coalesce(down, F.array().cast(up_type())), _bad_dep)
+    none = F.array().cast(up_type())
+    return (
+        F.when(F.coalesce(F.col("name"), F.lit("")) == "", "no name")
+        .when(F.col("node_type").isNull(), "no type")
+        .when(F.col("attributes").isNull(), "no attributes")
+        .when(F.col("attributes.description").isNull(), "no description")
+        .when(F.col("attributes.url").isNull(), "no url")
+        .when(lineage.isNull(), "no lineage")
+        .when(up.isNull(), "no upstream list")
+        .when(F.exists(up, _bad_dep), "bad upstream dependency")
+        .when(F.exists(F.coalesce(down, none), _bad_dep), "bad downstream dependency")
     )
-    return nodes.filter(F.coalesce(bad, F.lit(True)))
+
+
+def invalid(nodes: DataFrame) -> DataFrame:
+    """Nodes with a problem."""
+    return nodes.filter(problem().isNotNull())
+
+
+def reread(spark: SparkSession, path: str) -> DataFrame:
+    """Every line of written nodes as a node, with the ``line`` itself and its ``problem``: a line that is no such
+    document is one, with all other columns null. Lines without a problem are the nodes that are fit to read."""
+    lines = spark.read.text(path)
+    schema = f"{NODE.simpleString()[7:-1]},_line:string"
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_line"}
+    rows = lines.select(F.col("value").alias("line"), F.from_json("value", f"struct<{schema}>", options).alias("node"))
+    rows = rows.select("line", "node.*")
+    unreadable = F.col("_line").isNotNull()
+    kept = [F.when(~unreadable, F.col(c)).alias(c) for c in NODE.names]
+    return rows.select("line", *kept, F.when(unreadable, "unreadable").otherwise(problem()).alias("problem"))
 
 
 def up_type() -> str:
