@@ -61,7 +61,8 @@ def _manifest(spark: SparkSession, root: str) -> list[Row]:
         return []
     rows = spark.read.schema(MANIFEST).json(path)
     newest = F.max_by(F.struct("run", "tables", "nr"), F.struct("nr", "run")).alias("r")
-    return rows.groupBy("integration").agg(newest).select("integration", "r.*").collect()
+    runs = rows.groupBy("integration").agg(newest).select(F.struct("integration", "r.*").alias("run"))
+    return runs.agg(F.collect_list("run").alias("runs")).first()["runs"]
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
