@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftgraph.llm.components import components
@@ -181,35 +181,35 @@ def _stars(rows: DataFrame, bits: int) -> DataFrame:
 
 
 def _mixed(rows: DataFrame, bits: int) -> DataFrame:
-    """(signature, fingerprint, part, members) of the groups that lie in several components. Of a group of two
-    the count tells already whether they are linked; most groups that chance makes are no more than that.
+    """(signature, fingerprint, part, main, members) of the groups that lie in several components, ``main`` being
+    the one with most members. Of a group of two the count tells already whether they are linked; most groups that
+    chance makes are no more than that.
 
-    Rows are dealt out by signature once, for the counts and for the groups. A fingerprint has a row in each of
-    its many signatures, so no group has more than that share of the rows.
+    Rows are dealt out by signature once. A fingerprint has one row in each of its many signatures, so no group
+    holds more than that share of the rows, and a group is never collected.
     """
-    rows = rows.repartition("signature")
-    met = rows.groupBy("signature").agg(
-        F.min("fingerprint").alias("least"),
-        F.max("fingerprint").alias("most"),
-        F.min("part").alias("low"),
-        F.max("part").alias("high"),
-        F.count("*").alias("members"),
+    one = Window.partitionBy("signature")
+    rows = (
+        rows.withColumn("least", F.min("fingerprint").over(one))
+        .withColumn("most", F.max("fingerprint").over(one))
+        .withColumn("low", F.min("part").over(one))
+        .withColumn("high", F.max("part").over(one))
+        .withColumn("members", F.count("*").over(one))
+        .where((F.col("low") != F.col("high")) & ((F.col("members") > 2) | _near("least", "most", bits)))
+        .select("signature", "fingerprint", "part", "members")
+        .withColumn("n", F.count("*").over(Window.partitionBy("signature", "part")))
+        .withColumn("main", F.max(F.struct("n", "part")).over(one).getField("part"))
     )
-    met = met.where((F.col("low") != F.col("high")) & ((F.col("members") > 2) | _near("least", "most", bits)))
-    met = met.select(F.col("signature").alias("s"), "members")
-    return stage_table(rows.join(met, F.col("signature") == F.col("s")).drop("s"), "mixed")
+    return stage_table(rows.select("signature", "fingerprint", "part", "main", "members"), "mixed")
 
 
 def _across(groups: DataFrame, bits: int) -> DataFrame:
     """Links (a, b) between members of different components of a group: members outside the commonest component
     meet all others."""
-    shares = groups.groupBy("signature", "part").agg(F.count("*").alias("n"))
-    main = shares.groupBy(F.col("signature").alias("s")).agg(F.max(F.struct("n", "part")).getField("part").alias("main"))
-    told = stage_table(groups.join(main, F.col("signature") == F.col("s")).drop("s"), "across")
-    few = told.where("part <> main").select(
+    few = groups.where("part <> main").select(
         F.col("signature").alias("s"), F.col("fingerprint").alias("a"), F.col("part").alias("a_part")
     )
-    all_ = told.select("signature", F.col("fingerprint").alias("b"), F.col("part").alias("b_part"), "main")
+    all_ = groups.select("signature", F.col("fingerprint").alias("b"), F.col("part").alias("b_part"), "main")
     once = (F.col("b_part") == F.col("main")) | (F.col("a") < F.col("b"))
     met = few.join(all_, (F.col("s") == F.col("signature")) & (F.col("a_part") != F.col("b_part")) & once & _near("a", "b", bits))
     return met.select("a", "b").distinct()
