@@ -1,16 +1,19 @@
 """Join of near-duplicate texts by PartEnum signatures: exact Jaccard similarity of word shingles.
 
 Texts with the same set of shingles are one class. Sizes fall into bands wide enough that linked sets lie
-in one band or in neighbouring ones, and the sizes of a band bound how many shingles two linked sets can
-differ in. For a band the domain of shingles is cut into more parts than half of these, and each part into
-``PIECES`` pieces. So one part has at most one of the differences, and the subset of all its pieces but one
-has none: linked sets agree there, and the shingles in the subset are their common signature. A set signs
+in one band or in neighbouring ones. For a band the domain of shingles is cut into parts, and each part into
+``PIECES`` pieces. The subset of all pieces of a part but one is a signature: the shingles in it. A set signs
 for its own band, and for the next one if a set of that band can be linked with it.
 
-A subset that holds no shingle of a set says nothing, so parts are a ``SPARE`` more than needed and such
-subsets are left out if the parts without one still are enough; if not, the set signs with them too. The
-rule reads the set alone, and of two linked sets either one has enough full parts, one of which they must
-share, or both sign with all subsets; no link is lost.
+Its size bounds how many shingles a set and a linked one that is no smaller can differ in. Of more parts than
+half of these, one has at most one difference, so a subset of it has none: linked sets agree there. A subset
+that holds no shingle says nothing. So a set takes parts in their order until so many of them are *full*, that
+is, have no empty subset, and signs with what is not empty in them. Of two linked sets let the one that takes
+fewer parts (the smaller one, if both take as many) be looked at: one of its full parts has a subset on which
+both agree; it is not empty and the other one takes that part too, so no link is lost. A set with too few full
+parts signs with all it has and goes on to another scheme, a new cut of the domain; of two linked sets, both
+reach the first scheme in which one of them has full parts enough. Only a set that is short in all
+``SCHEMES`` signs with empty subsets in the last: one with very few shingles, or at a low similarity.
 
 Signatures that several classes share are written out. First every class is compared with the least one of
 each of its groups, which settles large groups of near copies without their pairs. Then, of what lies in
@@ -41,6 +44,9 @@ from weftgraph.session import stage_table
 
 PIECES = 2
 SPARE = 1.2
+#: Ways to cut the domain that a set tries before it signs with empty subsets; at a similarity so low that
+#: differences fill half of a set, none gives full parts enough, so there is one.
+SCHEMES = 12
 #: Slices of the domain whose counts bound the difference of two sets from below.
 SLICES = 256
 COARSE = 32
@@ -129,9 +135,10 @@ class Bands:
             self.top(len(self.tops))
         return np.searchsorted(self.tops, sizes)
 
-    def differences(self, sizes: int) -> int:
-        """Most shingles in one of two linked sets but not the other, by the sum of their sizes."""
-        return sizes * (100 - self.percent) // (100 + self.percent)
+
+def most_differences(sizes, percent: int):
+    """Most shingles in one of two linked sets but not the other, by the size of the smaller one."""
+    return sizes * (100 - percent) // percent
 
 
 def signatures(bounds: np.ndarray, shingles: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -139,52 +146,55 @@ def signatures(bounds: np.ndarray, shingles: np.ndarray, percent: int) -> tuple[
     bands = Bands(percent)
     sizes = np.diff(bounds)
     own = bands.of(sizes)
-    texts, signed = [], []
-    for band in np.unique(own[sizes > 0]):
-        here = np.flatnonzero((own == band) & (sizes > 0))
-        texts_, signed_ = _sign(here, bounds, shingles, int(band), bands)
-        texts.append(texts_)
-        signed.append(signed_)
+    # Sets so small that no other one is linked with them have themselves as their signature.
+    alone = np.flatnonzero((sizes > 0) & (most_differences(sizes, percent) == 0))
+    texts, signed = [alone], [set_digests(*_some_sets(bounds, shingles, alone))]
+    many = most_differences(sizes, percent) > 0
+    for band in np.unique(own[many]).tolist():
+        here = np.flatnonzero((own == band) & many)
         # What a set can at most be linked with reaches into the next band.
-        up = here[sizes[here] * 100 >= percent * (bands.top(int(band)) + 1)]
-        if len(up):
-            texts_, signed_ = _sign(up, bounds, shingles, int(band) + 1, bands)
-            texts.append(texts_)
-            signed.append(signed_)
-    if not texts:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        up = here[sizes[here] * 100 >= percent * (bands.top(band) + 1)]
+        for which, of in ((here, band), (up, band + 1)):
+            for texts_, signed_ in _sign(which, bounds, shingles, of, bands):
+                texts.append(texts_)
+                signed.append(signed_)
     return np.concatenate(texts), np.concatenate(signed)
 
 
 def _sign(which: np.ndarray, bounds: np.ndarray, shingles: np.ndarray, band: int, bands: Bands):
-    differ = bands.differences(2 * bands.top(band))
-    with np.errstate(over="ignore"):
-        salt = mix(np.full(1, band + 1, np.uint64) * GOLDEN)[0]
+    """Per scheme of a band (numbers of sets, signatures), until every set has had full parts enough."""
+    most = most_differences(bands.top(band), bands.percent) // 2 + 1
+    parts = int(np.ceil(most * SPARE))
+    cells = parts * PIECES
+    number = (np.arange(cells, dtype=np.uint64) + np.uint64(1)).reshape(1, parts, PIECES)
+    schemes = SCHEMES if 2 * (100 - bands.percent) < bands.percent else 1
+    for scheme in range(schemes):
+        if not len(which):
+            return
         lengths = np.diff(bounds)[which]
-        take = np.repeat(bounds[which] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
-        values = shingles[take]
-        owner = np.repeat(np.arange(len(which)), lengths)
-        if differ == 0:
-            ends = np.concatenate(([0], np.cumsum(lengths)))
-            return which, mix(segment_sums(mix(values ^ salt), ends) + salt)
-        needed = differ // 2 + 1
-        parts = max(needed, int(np.ceil(needed * SPARE))) if needed > 1 else 1
-        cells = parts * PIECES
-        cell = (mix(values ^ salt) >> np.uint64(32)) * np.uint64(cells) >> np.uint64(32)
-        place = owner * cells + cell.astype(np.int64)
-        order = np.argsort(place, kind="stable")
-        ends = np.searchsorted(place[order], np.arange(len(which) * cells + 1))
-        sums = segment_sums(mix(values + salt)[order], ends).reshape(len(which), parts, PIECES)
-        counts = np.diff(ends).reshape(len(which), parts, PIECES)
-        # A subset of all pieces but one; its number and its part are in the signature.
-        total, filled = sums.sum(axis=2, dtype=np.uint64), counts.sum(axis=2)
-        kept_sums, kept_counts = total[:, :, None] - sums, filled[:, :, None] - counts
-        number = (np.arange(cells, dtype=np.uint64) + np.uint64(1)).reshape(1, parts, PIECES)
-        signed = mix(kept_sums ^ mix(number * GOLDEN + salt))
-        full = kept_counts > 0
-        enough = full.all(axis=2).sum(axis=1) >= needed
-        emit = full | ~enough[:, None, None]
-        return np.broadcast_to(which[:, None, None], emit.shape)[emit], signed[emit]
+        needed = most_differences(lengths, bands.percent) // 2 + 1
+        with np.errstate(over="ignore"):
+            salt = mix(np.full(1, (band + 1) * SCHEMES + scheme, np.uint64) * GOLDEN)[0]
+            ends, values = _some_sets(bounds, shingles, which)
+            owner = np.repeat(np.arange(len(which)), lengths)
+            cell = (mix(values ^ salt) >> np.uint64(32)) * np.uint64(cells) >> np.uint64(32)
+            place = owner * cells + cell.astype(np.int64)
+            order = np.argsort(place, kind="stable")
+            at = np.searchsorted(place[order], np.arange(len(which) * cells + 1))
+            sums = segment_sums(mix(values + salt)[order], at).reshape(len(which), parts, PIECES)
+            counts = np.diff(at).reshape(len(which), parts, PIECES)
+            # A subset of all pieces but one; its number, its part and its scheme are in the signature.
+            kept_sums = sums.sum(axis=2, dtype=np.uint64)[:, :, None] - sums
+            holds = counts.sum(axis=2)[:, :, None] > counts
+            signed = mix(kept_sums ^ mix(number * GOLDEN + salt))
+        full = holds.all(axis=2)
+        through = np.cumsum(full, axis=1)
+        emit = holds & (through - full < needed[:, None])[:, :, None]
+        short = through[:, -1] < needed
+        if scheme == schemes - 1:
+            emit |= (short[:, None] & (np.arange(parts) < needed[:, None]))[:, :, None]
+        yield np.broadcast_to(which[:, None, None], emit.shape)[emit], signed[emit]
+        which = which[short]
 
 
 def _long(values: np.ndarray) -> pa.Array:
