@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from weftgraph.operators.parent_child import parent_child_nodes
 from weftgraph.queries import components
 from weftgraph.queries import usage as usage_queries
-from weftgraph.queries.lineage import jobs
+from weftgraph.queries.lineage import EDGES_SQL, jobs, staged_access
 from weftgraph.queries.pages import flat_nodes
 from weftgraph.queries.registry import SCHEMAS, query, table
 from weftgraph.session import fresh_path, stage_table
-from weftgraph.streaming import ingest
+from weftgraph.streaming import edges, ingest
 from weftgraph.streaming import usage as usage_stream
+from weftgraph.streaming.log import read_log
 
 
 def arrivals(rows: DataFrame, part: Column, parts: int = 3) -> Iterator[str]:
@@ -101,3 +102,43 @@ def stream_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
         if nr == 1:
             ingest.fold_flows(spark, root)
     return components.flat_components(ingest.current_flows(spark, root).components)
+
+
+@query("delta_edges", EDGES_SQL + "SELECT src_kind, src, dst_kind, dst, table_name FROM edges")
+def delta_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accesses come in three parts, the first with a second job beside every reader, which the last takes back;
+    the logs are folded in between."""
+    root, checkpoint = fresh_path(spark, "edges"), fresh_path(spark, "edges-state")
+    rows = staged_access(spark, sf_dir)
+    retired = rows.where("mode = 'R'").withColumn("job", F.concat("job", F.lit(" retired")))
+    there, part = F.lit(True), F.pmod(F.xxhash64("job", "table_name"), F.lit(3))
+    changes = (
+        rows.select("*", there.alias("present"), part.alias("nr"))
+        .union(retired.select("*", there, F.lit(0)))
+        .union(retired.select("*", F.lit(False), F.lit(2)))
+    )
+    for nr, folder in enumerate(arrivals(changes, F.col("nr"))):
+        edges.ingest_accesses(ingest.stream_table(spark, folder, "*.parquet", edges.CHANGES), root, checkpoint)
+        if nr == 1:
+            edges.fold_edges(spark, root)
+    return edges.current_edges(spark, root)
+
+
+@query("stream_replays", "SELECT event_id, user_id, ts, event_type FROM events")
+def stream_replays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events come in three stretches of time, a fifth of them one stretch late and all of them once more in the
+    stretch after that: late ones within the delay are kept, replays are dropped."""
+    root, checkpoint = fresh_path(spark, "replays"), fresh_path(spark, "replays-state")
+    rows = table(spark, sf_dir, "events")
+    seconds = F.col("ts").cast("timestamp").cast("double")
+    first, last = rows.agg(F.min(seconds), F.max(seconds)).first()
+    third = ((last or 0.0) - (first or 0.0)) / 3 + 1
+    stretch = F.floor((seconds - F.lit(first or 0.0)) / third)
+    arrives = F.least(stretch + (F.pmod("event_id", F.lit(5)) == 0).cast("int"), F.lit(2))
+    again = F.least(arrives + 1, F.lit(2))
+    sent = rows.select("*", arrives.alias("nr")).union(rows.select("*", again))
+    for folder in arrivals(sent, F.col("nr")):
+        events = ingest.stream_table(spark, folder, "*.parquet", SCHEMAS["events"])
+        events = events.withColumn("at", F.col("ts").cast("timestamp"))
+        ingest.ingest_distinct(events, "at", ["event_id"], f"{int(2 * third) + 2} seconds", root, checkpoint)
+    return read_log(spark, root, SCHEMAS["events"]).select("event_id", "user_id", "ts", "event_type")

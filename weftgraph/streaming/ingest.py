@@ -116,5 +116,28 @@ def fold_flows(spark: SparkSession, root: str) -> None:
 
 
 def distinct_arrivals(records: DataFrame, time: str, keys: list[str], delay: str) -> DataFrame:
-    """Drop replays of a record that arrive within ``delay``; state is bounded by the watermark."""
+    """Drop replays of a record that arrive within ``delay``; state is bounded by the watermark.
+
+    A record counts as long as it is no further behind the newest of earlier batches than ``delay``; what comes
+    later than that is dropped, replays too, so none is ever let through once its key is forgotten.
+    """
     return records.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
+
+
+def ingest_distinct(
+    records: DataFrame, time: str, keys: list[str], delay: str, root: str, checkpoint: str, **trigger: object
+) -> None:
+    """Log every record once, however often it arrives. The keys seen are state, so a stream that is stopped and
+    started again with the same folders still knows them."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, root, batch_id)
+
+    (
+        distinct_arrivals(records, time, keys, delay)
+        .writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+        .awaitTermination()
+    )
