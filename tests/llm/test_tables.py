@@ -112,11 +112,15 @@ def test_placed_rows(spark, tmp_path):
 # WARC.
 
 
-def test_archives(spark):
+@pytest.mark.parametrize("limit", ["1000000", "2"])
+def test_archives(spark, limit):
+    """With a limit of two rows a key every join is spread."""
+    spark.conf.set("spark.weftgraph.rowsPerSplit", limit)
     same, pages = "<p>" + "é" * 60, []
     pages += [(5, "http://b.example/ x\r\n<>", same), (3, "http://a.example/", same), (None, None, same)]
     pages += [(9, "u", None), (10, "u", None), (11, "", "short"), (12, "v", "short")]
-    pages += [(20, "w", same + "\r\n\r\nWARC/1.1\r\n\r\n")] * 2 + [(21, "w", same + "\r\n\r\nWARC/1.1\r\n\r\n")]
+    pages += [(20, "w", same + "\r\n\r\nWARC/1.1\r\n\r\n")] * 4
+    pages += [(20, "x", pages[-1][2])] * 2 + [(21, "w", pages[-1][2])] * 3
     df = spark.createDataFrame([(*p, "x") for p in pages], "page_id bigint, url string, html string, digest string")
     path = fresh_path(spark, "test-archives")
     warc.write_archives(df, path)
@@ -125,19 +129,22 @@ def test_archives(spark):
     rows = captures.collect()
     assert all(r.request.block.startswith("GET ") and "\n" not in r.target.strip("\n") if r.target else True for r in rows)
     stored = Counter(bytes(r.response.payload).decode() for r in rows if r.response.type == "response")
-    assert stored == Counter({same: 1, "": 2, "short": 2, pages[-1][2]: 2})
+    assert stored == Counter({same: 1, "": 2, "short": 2, pages[-1][2]: 1})
     got = Counter((r.key, r.url, r.record_type, r.payload_bytes, r.refers_to) for r in warc.resolve(captures).collect())
     size = len(same.encode())
     assert got == Counter(
         [(3, pages[1][1], "response", size, None), (5, pages[0][1], "revisit", size, 3), (None, None, "revisit", size, 3)]
         + [(9, "u", "response", 0, None), (10, "u", "response", 0, None)]
         + [(11, "", "response", 5, None), (12, "v", "response", 5, None)]
-        + [(20, "w", "response", size + 16, None)] * 2
-        + [(21, "w", "revisit", size + 16, 20)]
+        + [(20, "w", "response", size + 16, None)]
+        + [(20, "w", "revisit", size + 16, 20)] * 3
+        + [(20, "x", "revisit", size + 16, 20)] * 2
+        + [(21, "w", "revisit", size + 16, 20)] * 3
     )
     empty = fresh_path(spark, "test-archives")
     warc.write_archives(df.limit(0), empty)
     assert warc.assemble(spark, empty).count() == 0
+    spark.conf.unset("spark.weftgraph.rowsPerSplit")
 
 
 def test_broken_archive():

@@ -144,16 +144,18 @@ def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 WARC_SQL = """
 WITH captured AS (
-  SELECT page_id, url, coalesce(html, '') AS payload, octet_length(encode(coalesce(html, ''))) AS bytes,
+  SELECT page_id, coalesce(html, '') AS payload, octet_length(encode(coalesce(html, ''))) AS bytes,
          sha256(coalesce(html, '')) AS digest
   FROM pages
-), firsts AS (
-  SELECT digest, min(page_id) AS first_id FROM captured WHERE bytes >= 100 GROUP BY digest
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY digest ORDER BY page_id NULLS LAST) AS nth,
+         min(page_id) OVER (PARTITION BY digest) AS first_id
+  FROM captured
 )
-SELECT c.page_id, c.bytes AS payload_bytes, c.digest AS payload_digest,
-       CASE WHEN f.first_id IS NULL OR f.first_id = c.page_id THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN f.first_id <> c.page_id THEN f.first_id END AS refers_to
-FROM captured c LEFT JOIN firsts f ON c.digest = f.digest AND c.bytes >= 100
+SELECT page_id, bytes AS payload_bytes, digest AS payload_digest,
+       CASE WHEN bytes < 100 OR nth = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN bytes >= 100 AND nth > 1 THEN first_id END AS refers_to
+FROM placed
 """
 
 ORACLES |= {

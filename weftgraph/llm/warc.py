@@ -6,7 +6,8 @@ is a sequence of plain WARC records. Of captures with equal payloads of at least
 one with the smallest key (then address) is stored as a response, the others are revisits that refer to it.
 
 A null payload is empty; a null key comes after all others; rows with equal key, address and payload are
-captures of their own with equal records; an empty table leaves archives without records, which read as no
+captures of their own with equal records, but if they are the first of their payload, one of them is the response
+and the others refer to it; an empty table leaves archives without records, which read as no
 captures. The key and the address are kept exactly in the metadata record, so any value survives; the
 headers hold the address with white space and control characters encoded. Other columns are not archived.
 """
@@ -21,11 +22,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weftgraph.plans import skew
 from weftgraph.session import stage_table
 
 LEAST_BYTES = 100
 #: Bytes of records in one archive file, about.
 ARCHIVE_BYTES = 32 << 20
+#: So many equal captures are dealt out together.
+STRETCH = 10_000
 DATE = "1970-01-01T00:00:00Z"
 RECORD = (
     "record_id string, type string, concurrent_to string, refers_to string, target string, "
@@ -63,26 +67,49 @@ def write_archives(
     """Write the records of every capture to ``path``.
 
     Digests alone are grouped, with partial sums, to find the response of every payload; the join that
-    brings it back is a plain one, whose skewed keys adaptive execution splits.
+    brings it back spreads payloads with very many captures.
     """
     captures = pages.select(
         pages[f"`{key}`"].alias("key"),
         pages[f"`{url}`"].cast("string").alias("url"),
         F.coalesce(pages[f"`{payload}`"], F.lit("")).alias("payload"),
     )
-    captures = captures.withColumn("digest", F.sha2(F.col("payload").cast("binary"), 256))
-    size = F.octet_length("payload")
+    captures = captures.withColumn("digest", F.sha2(F.col("payload").cast("binary"), 256)).withColumn(
+        "size", F.octet_length("payload")
+    )
     rank = F.struct(F.col("key").isNull().alias("no_key"), "key", F.col("url").isNull().alias("no_url"), "url")
-    firsts = (
-        captures.where(size >= LEAST_BYTES)
-        .groupBy(F.col("digest").alias("of"))
-        .agg(F.min(rank).alias("first"), F.count("*").alias("captures"))
-        .where("captures > 1")
+    firsts = stage_table(
+        captures.where(F.col("size") >= LEAST_BYTES)
+        .groupBy(F.col("digest").alias("of"), "key", "url")
+        .agg(F.count("*").alias("n"))
+        .groupBy("of")
+        .agg(F.min(rank).alias("first"), F.min_by("n", rank).alias("equal_firsts"), F.sum("n").alias("captures"))
+        .where("captures > 1"),
+        "first-captures",
+    )
+    # Small payloads meet nothing, so they stay together by the partition they are read in.
+    alone = F.concat(F.lit("small "), F.spark_partition_id())
+    captures = captures.withColumn("part", F.spark_partition_id()).withColumn(
+        "of", F.when(F.col("size") >= LEAST_BYTES, F.col("digest")).otherwise(alone)
     )
-    captures = captures.join(firsts, (F.col("digest") == F.col("of")) & (size >= LEAST_BYTES), "left")
-    own, first = F.col("record_id"), F.col("first")
-    revisit = F.col("of").isNotNull() & ~F.col("key").eqNullSafe(first.key)
-    captures = captures.withColumn("record_id", _uuid(F.col("key"), F.col("url"), F.col("digest"), F.lit("capture")))
+    hot = skew.hot_of(firsts, ("of",), n="captures")
+    captures = skew.salted_join(captures, firsts, ("of",), "left", hot, ["key", "url", "part"])
+    first = F.col("first")
+    is_first = F.col("key").eqNullSafe(first.key) & F.col("url").eqNullSafe(first.url)
+    of_many = F.col("captures").isNotNull()
+    columns = ["key", "url", "payload", "digest", "size", "first"]
+    if firsts.where("equal_firsts > 1").first() is None:
+        captures = captures.select(*columns, (of_many & ~is_first).alias("revisit"), F.lit("capture").alias("kind"))
+    else:
+        several = of_many & is_first & (F.col("equal_firsts") > 1)
+        kind = F.when(F.col("nr") > 0, F.lit("again")).otherwise(F.lit("capture")).alias("kind")
+        captures = (
+            captures.where(~several)
+            .select(*columns, (of_many & ~is_first).alias("revisit"), F.lit("capture").alias("kind"))
+            .unionByName(_numbered(captures.where(several)).select(*columns, (F.col("nr") > 0).alias("revisit"), kind))
+        )
+    size, revisit, own = F.col("size"), F.col("revisit"), F.col("record_id")
+    captures = captures.withColumn("record_id", _uuid(F.col("key"), F.col("url"), F.col("digest"), F.col("kind")))
     target = _header(F.col("url"))
     common = {"WARC-Date": F.lit(date), "WARC-Target-URI": target}
     digest = {"WARC-Payload-Digest": F.concat(F.lit("sha256:"), F.col("digest"))}
@@ -137,6 +164,21 @@ def write_archives(
     )
 
 
+def _numbered(equal: DataFrame) -> DataFrame:
+    """Captures that are equal to the response of their payload, numbered from 0. They meet as one row with their
+    count, which partial sums make small, and are dealt out again in stretches; the payload goes with number 0 alone."""
+    last = F.col("equal_firsts") - 1
+    stretches = (
+        equal.groupBy("of", "key", "url")
+        .agg(*[F.first(c).alias(c) for c in ("payload", "digest", "size", "first", "equal_firsts")])
+        .withColumn("start", F.explode(F.sequence(F.lit(0).cast("bigint"), last, F.lit(STRETCH).cast("bigint"))))
+        .withColumn("payload", F.when(F.col("start") == 0, F.col("payload")).otherwise(""))
+    )
+    end = F.least(F.col("start") + (STRETCH - 1), last)
+    dealt = stretches.repartition("of", "start").withColumn("nr", F.explode(F.sequence("start", end)))
+    return dealt.withColumn("payload", F.when(F.col("nr") == 0, F.col("payload")).otherwise(""))
+
+
 def parse_archive(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers (names in lower case) and block of every record of a file; broken files are an error."""
     file = gzip.GzipFile(fileobj=io.BytesIO(data)) if data[:2] == b"\x1f\x8b" else io.BytesIO(data)
@@ -193,7 +235,8 @@ def assemble(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
 
     ``payload_bytes`` and ``payload_sha256`` are measured on the stored payload (null for a revisit, which has
     none) before anything is joined; without ``payload`` only they go on. Requests and metadata are first
-    reduced to one row per transaction, so equal records don't multiply.
+    reduced to one row per transaction, so equal records don't multiply; transactions of very many equal records
+    are spread.
     """
     stored = F.when(F.col("type") == "response", F.substring("block", F.expr(f"position({HEAD_END} in block) + 4"), F.length("block")))
     response = {
@@ -211,17 +254,15 @@ def assemble(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
     )
 
     def beside(kind: str) -> DataFrame:
-        return (
-            read_records(spark, path, (kind,))
-            .groupBy(F.col("concurrent_to").alias(f"{kind}_of"))
-            .agg(F.min(F.struct("record_id", F.col("block").cast("string").alias("block"))).alias(kind))
-        )
+        found = F.min(F.struct("record_id", F.col("block").cast("string").alias("block"))).alias(kind)
+        rows = read_records(spark, path, (kind,)).groupBy("concurrent_to").agg(found, F.count("*").alias("n"))
+        return stage_table(rows.withColumnRenamed("concurrent_to", "record_id"), f"warc-{kind}")
 
-    return (
-        main.join(beside("request"), F.col("record_id") == F.col("request_of"), "left")
-        .join(beside("metadata"), F.col("record_id") == F.col("metadata_of"), "left")
-        .select("record_id", "target", "request", "response", "metadata")
-    )
+    requests, about = beside("request"), beside("metadata")
+    hot, whole = skew.hot_of(requests, ("record_id",)), main.withColumn("part", F.spark_partition_id())
+    whole = skew.salted_join(whole, requests.drop("n"), ("record_id",), "left", hot, ["part"])
+    whole = skew.salted_join(whole, about.drop("n"), ("record_id",), "left", hot, ["part"])
+    return whole.select("record_id", "target", "request", "response", "metadata")
 
 
 def resolve(captures: DataFrame, key_type: str = "bigint") -> DataFrame:
@@ -232,23 +273,27 @@ def resolve(captures: DataFrame, key_type: str = "bigint") -> DataFrame:
             "record_id",
             F.from_json("metadata.block", f"key {key_type}, url string").alias("of"),
             F.col("response.type").alias("record_type"),
-            F.col("response.refers_to").alias("to"),
+            # A response stands for itself, so that responses are spread as well.
+            F.coalesce("response.refers_to", "record_id").alias("to"),
             F.col("response.payload_digest").alias("said"),
             F.col("response.payload_bytes").alias("bytes"),
             F.col("response.payload_sha256").alias("digest"),
         ),
         "captures",
     )
-    stored = (
+    stored = stage_table(
         rows.where("record_type = 'response'")
-        .groupBy(F.col("record_id").alias("stored"))
-        .agg(F.min(F.struct("of.key", "bytes", "digest")).alias("at"))
+        .groupBy(F.col("record_id").alias("to"))
+        .agg(F.min(F.struct("of.key", "bytes", "digest")).alias("at")),
+        "warc-stored",
     )
-    return rows.join(stored, F.col("to") == F.col("stored"), "left").select(
+    rows = rows.withColumn("part", F.spark_partition_id())
+    hot = skew.find_hot(rows, ("to",))
+    return skew.salted_join(rows, stored, ("to",), "left", hot, ["record_id", "part"]).select(
         F.col("of.key").alias("key"),
         F.col("of.url").alias("url"),
         "record_type",
         F.coalesce("bytes", F.col("at.bytes")).alias("payload_bytes"),
         F.coalesce("digest", "said").alias("payload_digest"),
-        F.col("at.key").alias("refers_to"),
+        F.when(F.col("record_type") == "revisit", F.col("at.key")).alias("refers_to"),
     )
