@@ -81,15 +81,18 @@ def test_encode_rows(spark, library):
 # Repetition.
 
 
-def longest_elsewhere(words):
+def longest_elsewhere(words, places=2):
+    """Per position, the longest string that begins there and, in all, in so many places."""
     n = len(words)
     out = [0] * n
     for i in range(n):
+        shared = []
         for j in range(n):
             k = 0
             while i != j and max(i, j) + k < n and words[i + k] == words[j + k]:
                 k += 1
-            out[i] = max(out[i], k)
+            shared.append(k)
+        out[i] = sorted(shared, reverse=True)[places - 2] if len(shared) >= places else 0
     return out
 
 
@@ -97,8 +100,9 @@ def test_suffix_array():
     rnd = random.Random(3)
     docs = [[rnd.randrange(3) for _ in range(rnd.randrange(30))] for _ in range(200)] + [[1] * 70, [], [2, 2], [5]]
     bounds = np.cumsum([0, *map(len, docs)])
-    got = repetition.longest_repeats(bounds, np.array([x for d in docs for x in d]))
-    assert list(got) == [x for d in docs for x in longest_elsewhere(d)]
+    twice, often = repetition.longest_repeats(bounds, np.array([x for d in docs for x in d]))
+    assert list(twice) == [x for d in docs for x in longest_elsewhere(d)]
+    assert list(often) == [x for d in docs for x in longest_elsewhere(d, 3)]
 
 
 def base(text):
@@ -114,9 +118,10 @@ def base(text):
     return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), again, len(inside), failed
 
 
-def spans(words, least):
-    repeats = longest_elsewhere(words)
-    inside = {j for i, n in enumerate(repeats) if n >= least for j in range(i, i + n)}
+def spans(words):
+    repeats, often = longest_elsewhere(words), longest_elsewhere(words, 3)
+    inside = {j for i, n in enumerate(repeats) if n >= repetition.SHORTEST for j in range(i, i + n)}
+    inside |= {j for i, n in enumerate(often) if n >= repetition.OFTEN_SHORTEST for j in range(i, i + n)}
     return len(inside), max(repeats, default=0)
 
 
@@ -128,7 +133,7 @@ def test_judged_texts(spark, prose):
     got = {r.n: r for r in repetition.judge(df).collect()}
     for i, text in enumerate(texts):
         words = WORD.findall(text or "")
-        covered, longest = spans(words, repetition.SHORTEST)
+        covered, longest = spans(words)
         want = base(text)
         assert tuple(got[i])[2:8] == want
         assert got[i].longest_repeat == longest
@@ -139,6 +144,15 @@ def test_judged_texts(spark, prose):
     assert repetition.judge(df.limit(0)).count() == 0
 
 
+def test_short_repeats(spark, prose):
+    """A line of twelve words twenty times is no text, whatever stands between; twice it is a title."""
+    line = " ".join(f"l{i}" for i in range(12))
+    runs = [" ".join(f"w{i}x{j}" for j in range(13)) for i in range(20)]
+    texts = [" ".join(f"{line} {r}" for r in runs), f"{line} {' '.join(runs)} {line}", prose("en", 400, 5), prose("de", 400, 6)]
+    got = repetition.judge(spark.createDataFrame(list(enumerate(texts)), "n int, text string")).orderBy("n").collect()
+    assert [r.kept for r in got] == [False, True, True, True] and not got[0].base_failed and got[0].covered == 0.48
+
+
 def test_repetition_query(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     for r in QUERIES["op4_repetition"](spark, SF).collect():

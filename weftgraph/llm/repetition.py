@@ -1,9 +1,10 @@
 """Quality rules: repetition inside a text, from a suffix array of its words.
 
 Neighbours in the suffix array with their longest common prefixes give, for every position, the longest
-string of words that begins there and also elsewhere in the text. Such strings of at least ``shortest``
-words are its maximal repeats; the union of their spans, as a fraction of the text, and the longest of them
-are limited. With a length of 3 the same union gives the words of repeated three-word windows.
+string of words that begins there and also elsewhere in the text, and the longest that stands there and in two
+other places. Strings of at least ``shortest`` words, or of ``often_shortest`` words that stand three times or
+more, are its maximal repeats; the union of their spans, as a fraction of the text, and the longest string that
+occurs twice are limited. With a length of 3 the same union gives the words of repeated three-word windows.
 
 Many texts share one array: a suffix begins with the number of its text, so texts never mix and each sorts
 by itself. Ranks double in length from round to round, only for suffixes that are not yet told apart.
@@ -25,8 +26,10 @@ from weftgraph.llm.words import attach, coded, split_words
 FEWEST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
 WINDOW = 3
-#: A repeat counts from this many words; shorter ones are phrases, or a line that opens and closes a text.
+#: A repeat counts from this many words: two places may share a phrase, a title or a quotation of a sentence.
 SHORTEST = 15
+#: One that stands three times or more counts from so many words: shorter ones are set phrases of a language.
+OFTEN_SHORTEST = 5
 #: Above this share of words in repeats, or a repeat longer than this, a text is rejected.
 MOST_COVERED = 0.3
 LONGEST = 100
@@ -41,12 +44,13 @@ RESULTS = T.StructType(
 )
 
 
-def longest_repeats(bounds: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    """Per word position, the length of the longest string that begins there and elsewhere in its text."""
+def longest_repeats(bounds: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per word position, the length of the longest string that begins there and elsewhere in its text, and of the
+    longest that begins there and in two other places."""
     n = len(codes)
-    out = np.zeros(n, dtype=np.int64)
+    out, often = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
     if not n:
-        return out
+        return out, often
     owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     end = np.repeat(bounds[1:], np.diff(bounds))
     # Rank of the first word within its text. A rank is the place of a group's first member, so ranks of
@@ -89,7 +93,12 @@ def longest_repeats(bounds: np.ndarray, codes: np.ndarray) -> np.ndarray:
         left, right, common = left + step, right + step, common + step
     np.maximum.at(out, suffixes[pair], common)
     np.maximum.at(out, suffixes[pair + 1], common)
-    return out
+    # Three places share what both pairs of three neighbours share.
+    after = np.flatnonzero(pair[1:] == pair[:-1] + 1)
+    shared = np.minimum(common[after], common[after + 1])
+    for k in range(3):
+        np.maximum.at(often, suffixes[pair[after] + k], shared)
+    return out, often
 
 
 def _heads(keys: np.ndarray) -> np.ndarray:
@@ -109,10 +118,10 @@ def _shared(ranks: np.ndarray) -> np.ndarray:
     return same
 
 
-def covered_words(bounds: np.ndarray, repeats: np.ndarray, length: int, whole: bool) -> np.ndarray:
-    """Words per text in repeats of at least ``length`` words: their whole spans, or windows of ``length``."""
-    at = np.arange(len(repeats))
-    reach = np.where(repeats >= length, at + (repeats if whole else length), 0)
+def covered_words(bounds: np.ndarray, spans: np.ndarray) -> np.ndarray:
+    """Words per text in spans, given as the number of words from each position on, 0 for none."""
+    at = np.arange(len(spans))
+    reach = at + spans
     # A span never leaves its text, so one running maximum serves all texts.
     inside = np.maximum.accumulate(reach) > at if len(at) else np.zeros(0, dtype=bool)
     total = np.concatenate(([0], np.cumsum(inside)))
@@ -134,6 +143,7 @@ def judge_texts(
     fewest: int = FEWEST_WORDS,
     most_percent: int = MOST_REPEATED_PERCENT,
     shortest: int = SHORTEST,
+    often_shortest: int = OFTEN_SHORTEST,
     most_covered: float = MOST_COVERED,
     longest: int = LONGEST,
 ) -> pa.StructArray:
@@ -142,9 +152,10 @@ def judge_texts(
     bounds, words = split_words(texts)
     n_words = np.diff(bounds)
     codes, _ = coded(words)
-    repeats = longest_repeats(bounds, codes.astype(np.int64))
-    n_repeat = covered_words(bounds, repeats, WINDOW, whole=False)
-    covered = covered_words(bounds, repeats, shortest, whole=True) / np.maximum(n_words, 1)
+    repeats, often = longest_repeats(bounds, codes.astype(np.int64))
+    n_repeat = covered_words(bounds, np.where(repeats >= WINDOW, WINDOW, 0))
+    spans = np.maximum(np.where(repeats >= shortest, repeats, 0), np.where(often >= often_shortest, often, 0))
+    covered = covered_words(bounds, spans) / np.maximum(n_words, 1)
     most = np.zeros(len(n_words), dtype=np.int64)
     full = np.flatnonzero(n_words)
     if len(full):
