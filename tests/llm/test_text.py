@@ -1,5 +1,6 @@
 """Operators on single texts, against brute force and the tokenizers library."""
 
+import math
 import random
 import re
 from collections import Counter
@@ -186,11 +187,14 @@ def test_languages(spark, rows, prose):
 
 def test_back_off():
     known = {0: {"abc": np.array([1.0, 7.0])}, 1: {"z": np.array([2.0, 1.0])}, 2: {"zq": np.array([7.0, 3.0])}, 3: {}, 4: {}, 5: {}}
-    judge = langid.Judge({"langs": ["a", "b"], "grams": known})
-    assert list(judge.word("abc")) == [1.0, 7.0]
-    assert list(judge.word("zq")) == [7.0, 3.0]
-    assert list(judge.word("zz")) == [2.0, 1.0]
-    assert list(judge.word("qq")) == [langid.PENALTY] * 2
+    none = (pa.array([], pa.string()), np.zeros((0, 2)))
+    table = {n: (pa.array(list(of)), np.array(list(of.values()))) if of else none for n, of in known.items()}
+    judge = langid.Judge({"langs": ["a", "b"], "grams": table})
+    one = lambda w: judge.words(pa.array([w]))[0]
+    assert list(one("abc")) == [1.0, 7.0]
+    assert list(one("zq")) == [7.0, 3.0]
+    assert list(one("zz")) == [2.0, 1.0]
+    assert list(one("qq")) == [langid.PENALTY] * 2
 
 
 def test_nothing_labelled(spark, rows, prose):
@@ -198,3 +202,55 @@ def test_nothing_labelled(spark, rows, prose):
     model = langid.fit(docs)
     assert [(r.lang_pred, r.score) for r in langid.predict(docs, model).collect()] == [("und", 0.0)]
     assert langid.predict(docs.limit(0), model).count() == 0
+
+
+def plain_prediction(model_texts, text):
+    """The whole prediction from plain counts: words first, then the longest n-grams of which any is known."""
+
+    def words_of(t):
+        # Letter by letter, each into one.
+        return re.findall(r"[^\W\d_]+", "".join(c.lower()[0] for c in t))
+
+    langs, counts = sorted({k for _, k in model_texts}), {}
+    for t, k in set(model_texts):
+        for w in words_of(t):
+            for n in range(6):
+                p = f" {w} " if n > 1 else w
+                for g in [w] if n == 0 else [p[i : i + n] for i in range(len(p) - n + 1)]:
+                    counts.setdefault((n, k), Counter())[g] += 1
+
+    def score(n, g):
+        of = [counts.get((n, k), Counter()) for k in langs]
+        if not any(g in c for c in of):
+            return None
+        return [-math.log10(c[g] / sum(c.values())) if g in c else langid.PENALTY for c in of]
+
+    def word(w):
+        if score(0, w):
+            return score(0, w)
+        for n in range(5, 0, -1):
+            p = f" {w} " if n > 1 else w
+            known = [s for i in range(len(p) - n + 1) if (s := score(n, p[i : i + n]))]
+            if known:
+                return [sum(x) / len(known) for x in zip(*known)]
+        return [langid.PENALTY] * len(langs)
+
+    found = [word(w) for w in words_of(text)]
+    if not found:
+        return "und", 0.0
+    means = [sum(x) / len(found) for x in zip(*found)]
+    best = min(means)
+    return langs[means.index(best)], 1 / sum(10 ** (best - m) for m in means)
+
+
+def test_whole_prediction(rows, prose):
+    """Against plain counts, with letters that languages lower in their own ways, and a repeated labelled row."""
+    taught = [(prose(k, 40, i) + extra, k) for i in range(3) for k, extra in (("de", " Straße ΛΟΓΟΣ"), ("es", " İZMİR ñu"), ("fr", " Çé"))]
+    taught += taught[:1]
+    model = langid.fit(rows([(i, t, k, None) for i, (t, k) in enumerate(taught)]))
+    asked = [prose(k, 30, 77) for k in ("de", "es", "fr", "en")] + ["ΛΟΓΟΣ", "İZMİR Ñu", "straßen", "1 2", "zzzq ΛΟΓ"]
+    asked += asked[:1]
+    got = langid.predict(rows([(i, t, None, None) for i, t in enumerate(asked)]), model).orderBy("doc_id").collect()
+    for r, text in zip(got, asked):
+        lang, score = plain_prediction(taught, text)
+        assert r.lang_pred == lang and r.score == pytest.approx(score, abs=1e-9), text

@@ -6,8 +6,8 @@ scores their mean; if none of a length is known, the next shorter one is tried.
 its words, and the language with the lowest score wins.
 
 The model is fitted on a bounded sample of labelled rows: about ``TRAIN_ROWS`` rows per language, chosen by
-a hash of the text, and keeps at most ``MOST_WORDS`` words and ``MOST_GRAMS`` n-grams of each length per
-language, so that it can be broadcast whatever the size of the corpus. Every text is judged whole.
+a hash of the text, and keeps every word and n-gram of theirs, so that its size depends on that bound alone and it
+can be broadcast whatever the size of the corpus. Every text is judged whole.
 
 Null texts and texts without a letter are ``und`` with score 0, as is every text if no row is labelled. A
 tie goes to the language first in code point order. Rows with a null language are predicted but never
@@ -17,19 +17,19 @@ like a result gives way to it.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftgraph.llm.words import attach, coded, split_words
+from weftgraph.llm.words import attach, blocks, coded, split_words
 from weftgraph.session import stage_table
 
 TRAIN_ROWS = 4000
-MOST_WORDS = 20_000
-MOST_GRAMS = 8_000
 LONGEST = 5
 #: Score of what a language does not have: less frequent than anything it has.
 PENALTY = 7.0
@@ -38,8 +38,24 @@ REMEMBERED = 500_000
 UNKNOWN = "und"
 
 
+def _words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """All words of the texts in lower case, runs of letters, and where each text's begin."""
+    lowered = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
+    return split_words(pc.replace_substring_regex(lowered, r"\PL+", " "))
+
+
+def _sample_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, gram, count) of the words of labelled texts, by block of texts."""
+    for batch in batches:
+        for part in blocks(batch, "text"):
+            bounds, words = _words(part.column("text"))
+            langs = part.column("lang").take(pa.array(np.repeat(np.arange(part.num_rows), np.diff(bounds))))
+            counts = pa.table({"lang": langs, "gram": words.cast(pa.string())}).group_by(["lang", "gram"])
+            yield from counts.aggregate([([], "count_all")]).rename_columns(["lang", "gram", "count"]).to_batches()
+
+
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", rows: int = TRAIN_ROWS) -> dict:
-    """The model: languages, and per length n (0: whole words) the strings with their scores."""
+    """The model: languages, and per length n (0: whole words) the strings with a row of scores each."""
     labelled = docs.select(docs[text].alias("text"), docs[lang].alias("lang")).where(
         "text is not null and lang is not null"
     )
@@ -53,9 +69,9 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", rows: int = TRA
     # Copies are chosen together and count once, so a text with many copies doesn't swell the sample.
     sample = labelled.where(F.pmod(F.xxhash64("text"), F.lit(limit)) < rate[F.col("lang")]).dropDuplicates()
     words = stage_table(
-        sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"))).alias("gram"))
+        sample.mapInArrow(_sample_words, "lang string, gram string, count bigint")
         .groupBy("lang", "gram")
-        .count(),
+        .agg(F.sum("count").alias("count")),
         "language-words",
     )
     padded = F.concat(F.lit(" "), F.col("gram"), F.lit(" "))
@@ -71,21 +87,21 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", rows: int = TRA
     every = pieces[0]
     for piece in pieces[1:]:
         every = every.unionByName(piece)
-    order = Window.partitionBy("lang", "n").orderBy(F.desc("count"), "gram")
-    kept = (
-        every.withColumn("total", F.sum("count").over(Window.partitionBy("lang", "n")))
-        .withColumn("nth", F.row_number().over(order))
-        .where(F.col("nth") <= F.when(F.col("n") == 0, MOST_WORDS).otherwise(MOST_GRAMS))
-        .groupBy("n", "gram")
-        .agg(F.collect_list(F.struct("lang", (-F.log10(F.col("count") / F.col("total"))).alias("score"))).alias("of"))
+    every = stage_table(every, "language-grams")
+    totals = {(r.lang, r.n): r.total for r in every.groupBy("lang", "n").agg(F.sum("count").alias("total")).collect()}
+    place = F.create_map(*[F.lit(x) for i, k in enumerate(langs) for x in (k, i)])
+    found = every.select(
+        "n", "gram", F.struct(place[F.col("lang")].alias("at"), F.col("count").cast("double").alias("count")).alias("of")
     )
-    place = {name: i for i, name in enumerate(langs)}
-    grams: dict[int, dict[str, np.ndarray]] = {n: {} for n in range(LONGEST + 1)}
-    for row in kept.toLocalIterator():
-        scores = np.full(len(langs), PENALTY)
-        for of in row.of:
-            scores[place[of.lang]] = of.score
-        grams[row.n][row.gram] = scores
+    table = found.groupBy("n", "gram").agg(F.collect_list("of").alias("of")).toArrow().combine_chunks()
+    length, of = table.column("n").to_numpy(), table.column("of").combine_chunks()
+    row = np.repeat(np.arange(len(length)), pc.list_value_length(of).to_numpy())
+    at, count = of.flatten().field("at").to_numpy(), of.flatten().field("count").to_numpy()
+    total = np.array([[totals.get((k, n), 1) for k in langs] for n in range(LONGEST + 1)], dtype=float)
+    scores = np.full((len(length), len(langs)), PENALTY)
+    scores[row, at] = -np.log10(count / total[length[row], at])
+    names = table.column("gram").combine_chunks()
+    grams = {n: (names.filter(pa.array(length == n)), scores[length == n]) for n in range(LONGEST + 1)}
     return {"langs": langs, "grams": grams}
 
 
@@ -93,40 +109,49 @@ class Judge:
     """Scores of words under one model, with a memory of unseen words."""
 
     def __init__(self, model: dict):
-        self.langs, self.grams = model["langs"], model["grams"]
-        self.known = self.grams.get(0, {})
+        self.langs = model["langs"]
+        if not self.langs:
+            return
+        self.known, self.scores = model["grams"][0]
+        self.grams = {n: model["grams"][n][1] for n in range(1, LONGEST + 1)}
+        self.rows = {n: {g: i for i, g in enumerate(model["grams"][n][0].to_pylist())} for n in self.grams}
         self.unseen: dict[str, np.ndarray] = {}
         self.nothing = np.full(len(self.langs), PENALTY)
 
-    def word(self, word: str) -> np.ndarray:
-        found = self.known.get(word)
-        if found is None:
+    def words(self, words: pa.Array) -> np.ndarray:
+        """A row of scores per word."""
+        row = pc.index_in(words.cast(self.known.type), value_set=self.known)
+        new = np.flatnonzero(row.is_null().to_numpy(zero_copy_only=False))
+        scores = np.empty((len(words), len(self.langs)))
+        row = pc.fill_null(row, -1).to_numpy()
+        scores[row >= 0] = self.scores[row[row >= 0]]
+        for i, word in zip(new, words.take(pa.array(new)).to_pylist()):
             found = self.unseen.get(word)
             if found is None:
                 if len(self.unseen) >= REMEMBERED:
                     self.unseen.clear()
                 found = self.unseen[word] = self._back_off(word)
-        return found
+            scores[i] = found
+        return scores
 
     def _back_off(self, word: str) -> np.ndarray:
         for n in range(LONGEST, 0, -1):
             # Blanks mark where a word begins and ends; alone they say nothing.
-            table, padded = self.grams[n], f" {word} " if n > 1 else word
-            found = [g for i in range(len(padded) - n + 1) if (g := table.get(padded[i : i + n])) is not None]
+            rows, padded = self.rows[n], f" {word} " if n > 1 else word
+            found = [r for i in range(len(padded) - n + 1) if (r := rows.get(padded[i : i + n])) is not None]
             if found:
-                return sum(found) / len(found)
+                return self.grams[n][found].sum(axis=0) / len(found)
         return self.nothing
 
     def texts(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
-        lowered = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
-        bounds, words = split_words(pc.replace_substring_regex(lowered, r"\PL+", " "))
+        bounds, words = _words(texts)
         counts = np.diff(bounds)
         names, scores = np.full(len(counts), UNKNOWN, dtype=object), np.zeros(len(counts))
         full = np.flatnonzero(counts)
         if not self.langs or not len(full):
             return names.tolist(), scores
         codes, distinct = coded(words)
-        table = np.array([self.word(w) for w in distinct.to_pylist()])
+        table = self.words(distinct)
         means = np.add.reduceat(table[codes], bounds[full], axis=0) / counts[full, None]
         best = means.argmin(axis=1)
         odds = np.power(10.0, means.min(axis=1)[:, None] - means)
