@@ -101,3 +101,16 @@ def test_library_rules():
         assert "toPandas" not in text and "localCheckpoint" not in text and "crossJoin" not in text
         assert not re.search(r"F\.udf\(|@udf|mapPartitions|sparkContext\.parallelize", text), path
         assert ".collect()" not in text, path
+
+
+def test_heavy_rows_are_dealt_by_their_number(spark, monkeypatch):
+    """SQL text is searched in tasks of a bounded number of rows, however few bytes the keys are."""
+    from weftgraph import session
+    from weftgraph.queries import sqltext
+
+    rows = sqltext.table(spark, SF, "orders").count()
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 100)
+    for name in ("sql_script_io", "sql_read_refs", "sql_qualified_refs"):
+        df = QUERIES[name](spark, SF)
+        sizes = [n for n in df.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect() if n]
+        assert len(sizes) >= rows // 100 and max(sizes) < 200, name

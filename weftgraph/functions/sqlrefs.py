@@ -8,6 +8,8 @@ cannot be a statement (odd quotes, unbalanced brackets, a dangling operator at t
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -101,6 +103,11 @@ def blank(c: Column) -> Column:
     return F.regexp_replace(text, r"(?i)\bIS\s+(?:NOT\s+)?DISTINCT\s+FROM\b", "=")
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often it is mentioned."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _count(c: Column, char: str) -> Column:
     return F.length(c) - F.length(F.replace(c, F.lit(char), F.lit("")))
 
@@ -150,11 +157,13 @@ def peel(c: Column) -> Column:
             piece["depth"].cast("int").alias("depth"), i.alias("nth"), told.otherwise(piece["text"]).alias("text")
         )
 
-    pieces = F.split(F.concat(c, F.lit(END)), r"(?<=[()])", -1)
-    depths = F.split(F.rtrim(F.aggregate(pieces, start, count, lambda acc: acc["trail"])), " ")
-    sorted_ = F.sort_array(F.transform(F.arrays_zip(pieces.alias("text"), depths.alias("depth")), placed))
-    joined = F.translate(F.array_join(sorted_["text"], ""), "()", "")
-    fragments = F.split(joined, END)
+    def sorted_text(pieces: Column) -> Column:
+        depths = F.split(F.rtrim(F.aggregate(pieces, start, count, lambda acc: acc["trail"])), " ")
+        sorted_ = F.sort_array(F.transform(F.arrays_zip(pieces.alias("text"), depths.alias("depth")), placed))
+        return F.array_join(sorted_["text"], "")
+
+    joined = let(F.split(F.concat(c, F.lit(END)), r"(?<=[()])", -1), sorted_text)
+    fragments = F.split(F.translate(joined, "()", ""), END)
     return F.when(c.contains("("), fragments).otherwise(F.array(c))
 
 
@@ -269,8 +278,9 @@ def statement_io(statement: Column) -> Column:
     body = F.when(
         merge, F.regexp_replace(statement, r"(?is)(?<![.\w])WHEN\s+(?:NOT\s+)?MATCHED\b.*\z", "")
     ).otherwise(statement)
+    fragments = let(body, lambda b: let(unwrap(b), peel))
     target = bare_name(F.nullif(_squeeze(F.regexp_extract(statement, TARGET, 1)), F.lit("")))
-    return F.struct(target.alias("target"), peel(unwrap(body)).alias("fragments"), merge.alias("merge"))
+    return F.struct(target.alias("target"), fragments.alias("fragments"), merge.alias("merge"))
 
 
 def unreadable(statement: Column) -> Column:

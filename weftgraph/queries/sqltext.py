@@ -9,7 +9,7 @@ from weftgraph.functions import sqlrefs, text
 from weftgraph.functions.pyliterals import python_literals
 from weftgraph.plans import dashboard
 from weftgraph.queries.registry import query, table
-from weftgraph.session import stage_table, widen
+from weftgraph.session import spread_rows, stage_table
 
 # One template per remainder of the order key; {o} {c} {n} are the order's, customer's and nation's table.
 TEMPLATES = (
@@ -72,17 +72,18 @@ def names(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return (
-        widen(orders)
-        .join(customer, F.col("c_custkey") == F.col("o_custkey"))
+    joined = (
+        orders.join(customer, F.col("c_custkey") == F.col("o_custkey"))
         .join(nation, F.col("n_nationkey") == F.col("c_nationkey"))
-        .select(
-            F.col("o_orderkey").alias("k"),
-            F.col("o_custkey").alias("cust"),
-            F.concat(F.lit("O_"), "o_orderkey").alias("o"),
-            F.concat(F.lit("C_"), "o_custkey").alias("c"),
-            F.col("n_name").alias("n"),
-        )
+        .select("o_orderkey", "o_custkey", "n_name")
+    )
+    # Text is made and searched after this: the joins leave few, large partitions.
+    return spread_rows(joined, orders.count()).select(
+        F.col("o_orderkey").alias("k"),
+        F.col("o_custkey").alias("cust"),
+        F.concat(F.lit("O_"), "o_orderkey").alias("o"),
+        F.concat(F.lit("C_"), "o_custkey").alias("c"),
+        F.col("n_name").alias("n"),
     )
 
 
