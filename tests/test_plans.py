@@ -114,3 +114,24 @@ def test_heavy_rows_are_dealt_by_their_number(spark, monkeypatch):
         df = QUERIES[name](spark, SF)
         sizes = [n for n in df.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect() if n]
         assert len(sizes) >= rows // 100 and max(sizes) < 200, name
+
+
+def test_lists_of_a_node_come_from_sorted_rows(spark):
+    """Rows are in order before they are collected; lists are those of a plain sort, repeats and ties kept."""
+    names = [f"t{i % 7}" for i in range(40)]
+    deps = spark.createDataFrame(
+        [(f"n{i % 3}" if i % 3 < 2 else None, ("up", "down")[i % 5 == 0], i % 4, t) for i, t in enumerate(names)],
+        "k string, direction string, slot int, t string",
+    ).select("k", "direction", F.struct("slot").alias("rank"), graph.table_ref(F.col("t")).alias("dep"))
+    heads = spark.createDataFrame(
+        [(k, "I", k or "none", "Job", "d", "u", True) for k in ("n0", "n1", None, "bare")],
+        "k string, integration string, name string, node_type string, description string, url string, "
+        "has_downstream boolean",
+    )
+    nodes = graph.assemble_nodes(heads, deps, ["k"])
+    assert re.search(r"collect_list.*\n(?:.*\n)*?.*Sort \[k#\d+ ASC", plan(nodes))
+    rows = deps.select("k", "direction", "rank.slot", "dep.table_name").collect()
+    for n in nodes.collect():
+        for direction, side in (("up", "upstream"), ("down", "downstream")):
+            want = sorted((r.slot, r.table_name) for r in rows if r.k == n.name and r.direction == direction)
+            assert [d.table_name for d in n.lineage[f"{side}_dependencies"]] == [t for _, t in want]

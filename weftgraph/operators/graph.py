@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from weftgraph.plans import skew
 from weftgraph.schemas import DEP
-from weftgraph.session import stage_table
+from weftgraph.session import spread_by, stage_table
 
 TABLE = ("table_name",)
 #: Into how many pieces the writes and the reads of a table are cut.
@@ -222,8 +222,10 @@ def assemble_nodes(heads: DataFrame, deps: DataFrame, keys: Sequence[str]) -> Da
 
     ``heads``: keys, integration, name, node_type, description, url, has_downstream.
     ``deps``: keys, direction ``up``/``down``, ``rank`` (sort struct) and ``dep``. Lists are built here,
-    for output, and nowhere before.
+    for output, and nowhere before: from rows that are already in order, so that sorting a list only has to
+    look it through. Rows are sorted by generated code that can spill, elements of a list one call each.
     """
+    deps = spread_by(deps, *keys).sortWithinPartitions(*keys, "direction", "rank", "dep")
     ranked = F.struct("rank", "dep")
 
     def side(direction: str) -> Column:
