@@ -49,7 +49,7 @@ def coded(words: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return encoded.indices.to_numpy(), encoded.dictionary
 
 
-def blocks(batch: pa.RecordBatch, column: str, most: int = 4 << 20):
+def blocks(batch: pa.RecordBatch, column: str, most: int = 1 << 20):
     """Parts of a batch with about ``most`` bytes of text (or items of lists) each; a longer one stands alone.
 
     They are copies, no slices: Arrow's functions on text can misread where a slice begins."""
