@@ -68,6 +68,56 @@ def test_only_touched_tables_are_renewed(spark):
     assert [r.table_name for r in edges.current_edges(spark, root).collect()] == ["u"]
 
 
+def test_batch_on_most_tables_renews_all(spark, monkeypatch):
+    """No join finds touched tables or the edges that count, rows are shuffled once, and removed accesses are gone."""
+    joins = []
+    monkeypatch.setattr(edges.skew, "salted_join", lambda *a: joins.append(a))
+    root, there = fresh_path(spark, "edges"), []
+    for nr, present in enumerate((True, True, False)):
+        rows = [(f"j{(i * 7 + nr) % 5}", f"t{i % 4}", "RW"[(i + nr) % 2], present or i % 3 == 0) for i in range(30)]
+        there.append(sorted(rows))
+        edges.renew(changes(spark, rows + rows), root, nr)
+        if nr == 1:
+            edges.fold_edges(spark, root)
+    touched = read_log(spark, f"{root}/tables", edges.TABLES).collect()
+    assert {r.table_name for r in touched} == {None}
+    found = edges.current_edges(spark, root)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    last = {}
+    for nr, rows in enumerate(there):
+        for job, table, mode, present in rows:
+            last[job, table, mode] = max(last.get((job, table, mode), (0, False)), (nr, present))
+    want = [key for key, (_, present) in last.items() if present]
+    assert joins == []
+    monkeypatch.undo()
+    assert rows_of(found) == rows_of(graph.job_edges(spark.createDataFrame(want, "job string, table_name string, mode string")))
+
+
+def test_touched_tables_after_a_whole_batch(spark):
+    """A batch on few tables after one on most: both kinds of edges count, folded or not."""
+    root = fresh_path(spark, "edges")
+    first = [(f"j{i}", f"t{i % 8}", m, True) for i in range(24) for m in "RW"]
+    later = [("j0", "t0", "W", False), ("new", "t0", "R", True)]
+    edges.renew(changes(spark, first), root, 0)
+    edges.renew(changes(spark, later), root, 1)
+    want = rows_of(expected(spark, [first, later]))
+    assert rows_of(edges.current_edges(spark, root)) == want
+    edges.fold_edges(spark, root)
+    assert rows_of(edges.current_edges(spark, root)) == want
+
+
+def test_profiled_accesses_are_not_shuffled_again(spark):
+    rows = [(f"j{i % 7}", f"t{i % 5}", "RW"[i % 2]) for i in range(60)]
+    access = spark.createDataFrame(rows, "job string, table_name string, mode string").distinct()
+    kept = graph.profile_placed(access.repartition(3, "table_name")).persist()
+    made = graph.edges_of(graph.tag_profiled(kept))
+    text = made._jdf.queryExecution().optimizedPlan().toString()
+    assert rows_of(made) == rows_of(graph.job_edges(access))
+    above = made._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]
+    assert "Exchange" not in above and "InMemoryRelation" in text
+    kept.unpersist()
+
+
 def test_untouched_tables_are_not_shuffled(spark):
     root = fresh_path(spark, "edges")
     edges.renew(changes(spark, [("a", "t", "W", True), ("b", "u", "R", True)]), root, 0)

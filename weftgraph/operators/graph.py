@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftgraph.plans import skew
@@ -104,23 +104,51 @@ def tag_accesses(access: DataFrame, hubs: bool = False) -> DataFrame:
         return access.withColumn("kept", F.lit(True))
     profile = stage_table(table_profile(access), "profile")
     hot = skew.hot_of(profile, TABLE)
-    limit = skew.rows_per_split(access.sparkSession)
+    pieces = _pieces(profile)
+    return skew.salted_join(access, profile, TABLE, "inner", hot, _others(access)).select(
+        *access.columns, _kept().alias("kept"), *pieces
+    )
+
+
+def _pieces(profile: DataFrame) -> list[Column]:
+    """Columns of the pieces that writes and reads are cut into, none if no table is crowded."""
+    limit = skew.rows_per_split(profile.sparkSession)
     side = max(1, int(limit**0.5))
+    crowded = F.col("n_writes").cast("double") * F.col("n_reads") > limit
+    if profile.filter(crowded).first() is None:
+        return []
+    return [
+        F.when(crowded, F.ceil(F.col(n) / side)).otherwise(1).cast("int").alias(name)
+        for n, name in zip(("n_writes", "n_reads"), PIECES)
+    ]
+
+
+def _kept() -> Column:
+    """Of an access beside its table's profile."""
     c = F.col
-    crowded = c("n_writes").cast("double") * c("n_reads") > limit
-    pieces = []
-    if profile.filter(crowded).first() is not None:
-        pieces = [
-            F.when(crowded, F.ceil(c(n) / side)).otherwise(1).cast("int").alias(name)
-            for n, name in zip(("n_writes", "n_reads"), PIECES)
-        ]
     alone = (c("n_reads") == 0) | (
         (c("first_reader") == c("job")) & (c("last_reader") == c("job"))
     )
-    kept = F.when(c("mode") == "W", alone).otherwise(c("n_writes") == 0)
-    return skew.salted_join(access, profile, TABLE, "inner", hot, _others(access)).select(
-        *access.columns, kept.alias("kept"), *pieces
-    )
+    return F.when(c("mode") == "W", alone).otherwise(c("n_writes") == 0)
+
+
+def profile_placed(access: DataFrame) -> DataFrame:
+    """Accesses with their table's profile, for rows that lie partitioned by table, none of them heavy: neither
+    this nor what ``tag_profiled`` and ``edges_of`` make of it shuffles rows, if it is kept as it lies."""
+    w, r, table = F.col("mode") == "W", F.col("mode") == "R", Window.partitionBy(*TABLE)
+    return access.withColumns(
+        {
+            "n_writes": F.count_if(w).over(table),
+            "n_reads": F.count_if(r).over(table),
+            "first_reader": F.min(F.when(r, F.col("job"))).over(table),
+            "last_reader": F.max(F.when(r, F.col("job"))).over(table),
+        }
+    ).select(*access.columns, "n_writes", "n_reads", _kept().alias("kept"))
+
+
+def tag_profiled(profiled: DataFrame) -> DataFrame:
+    """``tag_accesses`` of accesses with their profile."""
+    return profiled.select("*", *_pieces(profiled)).drop("n_writes", "n_reads")
 
 
 def kept_writes(tagged: DataFrame) -> DataFrame:
@@ -163,7 +191,11 @@ def handoffs(tagged: DataFrame, producers: DataFrame | None = None) -> DataFrame
 
 def job_edges(access: DataFrame, hubs: bool = False) -> DataFrame:
     """The collapsed job graph of (job, table_name, mode): hand-offs, external inputs and outputs."""
-    tagged = tag_accesses(access, hubs)
+    return edges_of(tag_accesses(access, hubs))
+
+
+def edges_of(tagged: DataFrame) -> DataFrame:
+    """The same of tagged accesses."""
 
     def edges(rows: DataFrame, src_kind: str, src: str, dst_kind: str, dst: str) -> DataFrame:
         return rows.select(

@@ -69,24 +69,18 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def access(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct (job, table_name, mode); repeats vanish before names are looked up."""
     flag = F.col("l_returnflag")
+    writes = F.coalesce(flag != "R", F.lit(True))
+    reads = F.coalesce(flag != "A", F.lit(True))
     touched = (
         table(spark, sf_dir, "lineitem")
-        .select(
-            "l_suppkey",
-            "l_partkey",
-            "l_linenumber",
-            F.explode(
-                F.when(flag == "A", F.array(F.lit("W")))
-                .when(flag == "R", F.array(F.lit("R")))
-                .otherwise(F.array(F.lit("W"), F.lit("R")))
-            ).alias("mode"),
-        )
-        .distinct()
+        .groupBy("l_suppkey", "l_partkey", "l_linenumber")
+        .agg(F.max(writes).alias("writes"), F.max(reads).alias("reads"))
     )
+    modes = F.array_compact(F.array(F.when(F.col("writes"), F.lit("W")), F.when(F.col("reads"), F.lit("R"))))
     return touched.join(jobs(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey")).select(
         "job",
         F.concat_ws("_", F.lit("t"), "l_partkey", "l_linenumber").alias("table_name"),
-        "mode",
+        F.explode(modes).alias("mode"),
     )
 
 

@@ -21,9 +21,8 @@ from weftgraph.streaming.log import read_log
 
 def arrivals(rows: DataFrame, part: Column, parts: int = 3) -> Iterator[str]:
     """A folder of the shared store to which one part of the rows after the other is added, all of them in the end."""
-    spark = rows.sparkSession
-    folder = fresh_path(spark, "arrivals")
-    dealt = stage_table(rows.withColumn("_part", part.cast("int")), "parts")
+    folder = fresh_path(rows.sparkSession, "arrivals")
+    dealt = rows.withColumn("_part", part.cast("int"))
     for nr in range(parts):
         dealt.where(F.col("_part") == nr).drop("_part").write.mode("append").parquet(folder)
         yield folder

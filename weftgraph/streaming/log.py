@@ -59,3 +59,11 @@ def fold(spark: SparkSession, root: str, schema: T.StructType | str, reduce: Red
     rows.write.mode("overwrite").parquet(f"{root}/snapshot={_number(later[-1]):012d}")
     for folder in [*([newest] if newest else []), *later]:
         remove(spark, folder)
+
+
+def drop_before(spark: SparkSession, root: str, batch: int) -> None:
+    """Deletes the batches and snapshots before a batch, none of whose rows counts any more. What a fold says of
+    readers holds here too."""
+    for folder in folders(spark, root):
+        if _number(folder) < batch:
+            remove(spark, folder)
