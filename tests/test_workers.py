@@ -30,3 +30,30 @@ def test_without_the_package_on_workers(tmp_path):
         [sys.executable, "-c", SCRIPT], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120
     )
     assert done.stdout.strip().endswith("fine"), done.stderr[-2000:]
+
+
+def test_statements_without_quotes_are_not_looked_into(monkeypatch):
+    """What is found stays the same, whatever ends the lines and wherever a string stands."""
+    import ast
+
+    from weftgraph.functions import pyliterals
+
+    looked = []
+    children = pyliterals._children
+    monkeypatch.setattr(pyliterals, "_children", lambda node: looked.append(node) or children(node))
+    assert list(pyliterals.literals("x = 'a'\n" + "y = 1\n" * 500 + "z = f(b, 'c')\n")) == [(1, "a"), (502, "c")]
+    assert len(looked) < 10
+    sources = [
+        "x = 1\r'a'\ry = 'b'\r\nz = '''q\r\n w'''\n",
+        "@d('x')\ndef f():\n  'doc'\n  @e(\n 'y')\n  class A: pass\n",
+        "a = (1,\n2,\n'''x\n y'''\n)\nif a:\n  pass\nelse:\n  b = f'{a!r}' 'c'\n",
+        "match x:\n  case 'a': pass\n  case 1: y = 2\n",
+        "\x0cx = '\u2028a'\ny = 1\nz = '\x85'\n",
+        "try:\n  pass\nexcept E:\n  t = 1; u = '2'\n",
+    ]
+    for source in sources:
+        found = sorted(pyliterals.literals(source))
+        monkeypatch.setattr(pyliterals, "_quotes_before", lambda text: range(len(text) + 2))
+        assert found == sorted(pyliterals.literals(source)) and found
+        monkeypatch.undo()
+    assert ast.parse(sources[0]).body[1].lineno == 2
