@@ -6,7 +6,7 @@ one's documents. All but the last give the columns of documents, whatever these
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftgraph.llm import bpe, langid, mixing, partenum, repetition
@@ -18,10 +18,17 @@ SURE_LANGUAGE = 0.5
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def _own_names(docs: DataFrame) -> tuple[DataFrame, str, list[Column]]:
+    """The documents under names that no result has, which of them is the text, and the way back. Each column is
+    sent to Python once."""
+    own = [f"_{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*own), own[docs.columns.index("text")], [F.col(o).alias(c) for o, c in zip(own, docs.columns)]
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the limits on repetition."""
-    judged = repetition.judge(docs.select(F.struct("*").alias("row"), F.col("text").alias("_text")), text="_text")
-    return judged.where("kept").select("row.*")
+    rows, text, back = _own_names(docs)
+    return repetition.judge(rows, text=text).where("kept").select(*back)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +39,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.fit(docs)
     if not model["langs"]:
         return docs
-    told = langid.predict(docs.select(F.struct("*").alias("row"), F.col("text").alias("_text")), model, text="_text")
-    return told.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= SURE_LANGUAGE)).select("row.*")
+    rows, text, back = _own_names(docs)
+    told = langid.predict(rows, model, text=text)
+    return told.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= SURE_LANGUAGE)).select(*back)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from weftgraph.llm import bpe, langid, repetition
 from weftgraph.llm.queries import QUERIES, tokenizer
-from weftgraph.llm.words import blocks, split_words
+from weftgraph.llm.words import BATCH_BYTES, blocks, map_texts, split_words
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -32,6 +32,22 @@ def test_words_of_slices():
         assert got == [WORD.findall((t or "").translate(lower)) for t in texts]
 
 
+def test_batches_go_by_bytes(spark):
+    """Rows of whole texts come to Python in batches of a bounded size, all of them, and a row beyond it too."""
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows], "size": [batch.nbytes]})
+
+    lengths = [20_000] * 900 + [2 * BATCH_BYTES] + [0] * 20
+    docs = spark.createDataFrame(list(enumerate(lengths)), "doc_id bigint, n int").coalesce(1)
+    docs = docs.select("doc_id", F.expr("repeat('x', n)").alias("text"))
+    got = map_texts(docs, run, "n bigint, size bigint").collect()
+    assert sum(r.n for r in got) == len(lengths) and sum(r.size for r in got) > sum(lengths)
+    assert all(r.size < 1.1 * BATCH_BYTES for r in got if r.size < 2 * BATCH_BYTES)
+    assert all(r.size < 3.1 * BATCH_BYTES for r in got) and len(got) >= 5
+
+
 # Byte-pair encoding.
 
 

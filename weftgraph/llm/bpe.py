@@ -32,7 +32,7 @@ from weftgraph.llm.words import attach
 #: The pattern of byte-level pre-tokenization.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Pieces and pairs a worker remembers; beyond it starts anew. No result depends on it.
-REMEMBERED = 400_000
+REMEMBERED = 100_000
 
 
 def byte_letters() -> dict[str, int]:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftgraph.llm.words import blocks, coded, split_words
+from weftgraph.llm.words import blocks, coded, map_texts, split_words
 from weftgraph.session import stage_table
 
 STATES = 6
@@ -106,7 +106,7 @@ def pack(docs: DataFrame, key: str, text: str, learn: str) -> DataFrame:
                 number += 1
                 yield pa.RecordBatch.from_arrays(row, names=schema.names)
 
-    return stage_table(docs.select(key, text, learn).mapInArrow(run, schema), "model-chunks", compression="zstd")
+    return stage_table(map_texts(docs.select(key, text, learn), run, schema, 64 << 20), "model-chunks", compression="zstd")
 
 
 def _bytes(values: np.ndarray) -> pa.Array:

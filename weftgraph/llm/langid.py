@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftgraph.llm.words import attach, blocks, coded, split_words
+from weftgraph.llm.words import attach, blocks, coded, map_texts, split_words
 from weftgraph.session import stage_table
 
 TRAIN_ROWS = 4000
@@ -34,7 +34,7 @@ LONGEST = 5
 #: Score of what a language does not have: less frequent than anything it has.
 PENALTY = 7.0
 #: Unseen words a worker remembers; beyond it starts anew. No result depends on it.
-REMEMBERED = 500_000
+REMEMBERED = 100_000
 UNKNOWN = "und"
 
 
@@ -69,7 +69,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", rows: int = TRA
     # Copies are chosen together and count once, so a text with many copies doesn't swell the sample.
     sample = labelled.where(F.pmod(F.xxhash64("text"), F.lit(limit)) < rate[F.col("lang")]).dropDuplicates()
     words = stage_table(
-        sample.mapInArrow(_sample_words, "lang string, gram string, count bigint")
+        map_texts(sample, _sample_words, "lang string, gram string, count bigint")
         .groupBy("lang", "gram")
         .agg(F.sum("count").alias("count")),
         "language-words",

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftgraph.llm.components import components
-from weftgraph.llm.words import blocks, coded, split_words
+from weftgraph.llm.words import blocks, coded, map_texts, split_words
 from weftgraph.session import stage_table
 
 PIECES = 2
@@ -215,7 +215,7 @@ def _classes(docs: DataFrame, width: int, key: str, text: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=["key", "size", "class", "slices"])
 
     rows = docs.select(docs[f"`{key}`"].alias("key"), docs[f"`{text}`"].alias("text"))
-    return rows.mapInArrow(run, f"key {kind}, size bigint, class bigint, slices binary")
+    return map_texts(rows, run, f"key {kind}, size bigint, class bigint, slices binary")
 
 
 def _signed(docs: DataFrame, width: int, percent: int, text: str) -> DataFrame:
@@ -234,7 +234,7 @@ def _signed(docs: DataFrame, width: int, percent: int, text: str) -> DataFrame:
                     columns = [_long(digests[new][owner[cut]]), _long(signed[cut])]
                     yield pa.RecordBatch.from_arrays(columns, names=["class", "signature"])
 
-    return docs.select(docs[f"`{text}`"].alias("text")).mapInArrow(run, "class bigint, signature bigint")
+    return map_texts(docs.select(docs[f"`{text}`"].alias("text")), run, "class bigint, signature bigint")
 
 
 def _first_met(digests: np.ndarray, met: set[int]) -> np.ndarray:
@@ -305,7 +305,7 @@ class Corpus:
 
         key, text = self.docs[f"`{self.key}`"], self.docs[f"`{self.text}`"]
         rows = self.docs.select(F.xxhash64(key).alias("mark"), text.alias("text"))
-        rows = rows.mapInArrow(run, "class bigint, shingles array<bigint>")
+        rows = map_texts(rows, run, "class bigint, shingles array<bigint>")
         return rows.groupBy("class").agg(F.any_value("shingles").alias("shingles"))
 
 
@@ -533,18 +533,20 @@ def one_per_group(
     rank = F.struct(F.col("label").isNull(), "label", "class")
     keepers = named.groupBy("part").agg(F.min_by(F.struct("class", "label"), rank).alias("k"))
     keepers = stage_table(keepers.select("k.class", F.col("k.label").alias("label")), "keepers")
-    rows = docs.select(F.struct("*").alias("row"), docs[f"`{key}`"].alias("key"), docs[f"`{text}`"].alias("text"))
+    # Each column goes along once, under a name of its own.
+    own = [f"c{i}" for i in range(len(docs.columns))]
+    rows, at_key, at_text = docs.toDF(*own), own[docs.columns.index(key)], own[docs.columns.index(text)]
     fields = [*rows.schema.fields, T.StructField("size", T.LongType()), T.StructField("digest", T.LongType())]
     names = [f.name for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least: dict[int, object] = {}
         for batch in batches:
-            for part in blocks(batch, "text"):
-                bounds, shingles = shingle_sets(part.column("text"), width)
+            for part in blocks(batch, at_text):
+                bounds, shingles = shingle_sets(part.column(at_text), width)
                 sizes, digests = np.diff(bounds), set_digests(bounds, shingles)
                 kept = []
-                for i, (n, d, k) in enumerate(zip(sizes.tolist(), digests.tolist(), part.column("key").to_pylist())):
+                for i, (n, d, k) in enumerate(zip(sizes.tolist(), digests.tolist(), part.column(at_key).to_pylist())):
                     if n and d in least and (k is None or (least[d] is not None and k >= least[d])):
                         continue
                     least[d] = k
@@ -553,10 +555,11 @@ def one_per_group(
                 columns = [*part.take(take).columns, pa.array(sizes).take(take), _long(digests).take(take)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    made = rows.mapInArrow(run, T.StructType(fields))
+    made = map_texts(rows, run, T.StructType(fields))
     # Rows without words share a digest but are no group: they are spread by their key.
-    made = made.withColumn("at", F.when(F.col("size") > 0, F.col("digest")).otherwise(F.xxhash64("key")))
+    made = made.withColumn("at", F.when(F.col("size") > 0, F.col("digest")).otherwise(F.xxhash64(at_key)))
     both = made.join(keepers, (F.col("at") == F.col("class")) & (F.col("size") > 0), "left")
-    kept = both.where((F.col("size") == 0) | (F.col("class").isNotNull() & F.col("key").eqNullSafe(F.col("label"))))
-    nth = F.row_number().over(Window.partitionBy("at", "key").orderBy("text"))
-    return kept.withColumn("nth", nth).where("size = 0 or nth = 1").select("row.*")
+    kept = both.where((F.col("size") == 0) | (F.col("class").isNotNull() & F.col(at_key).eqNullSafe(F.col("label"))))
+    nth = F.row_number().over(Window.partitionBy("at", at_key).orderBy(at_text))
+    kept = kept.withColumn("nth", nth).where("size = 0 or nth = 1")
+    return kept.select(*[F.col(o).alias(c) for o, c in zip(own, docs.columns)])

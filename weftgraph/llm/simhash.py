@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftgraph.llm.components import components
-from weftgraph.llm.words import blocks, split_words
+from weftgraph.llm.words import blocks, map_texts, split_words
 from weftgraph.session import stage_table
 
 WIDTH = 4
@@ -115,7 +115,7 @@ def with_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(docs[f"`{key}`"].alias("key"), docs[f"`{text}`"].alias("text"))
-    return rows.mapInArrow(run, f"key {kind}, fingerprint bigint")
+    return map_texts(rows, run, f"key {kind}, fingerprint bigint")
 
 
 def segments(bits: int) -> list[tuple[int, int]]:

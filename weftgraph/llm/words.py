@@ -11,6 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Bytes of rows that a Python worker gets at once. Both sides of the hand-over hold a whole batch, and by default
+#: one has 10,000 rows however long these are.
+BATCH_BYTES = 4 << 20
 #: A word: code points other than space and the five ASCII controls from tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -49,7 +52,7 @@ def coded(words: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return encoded.indices.to_numpy(), encoded.dictionary
 
 
-def blocks(batch: pa.RecordBatch, column: str, most: int = 4 << 20):
+def blocks(batch: pa.RecordBatch, column: str, most: int = 2 << 20):
     """Parts of a batch with about ``most`` bytes of text (or items of lists) each; a longer one stands alone.
 
     They are copies, no slices: Arrow's functions on text can misread where a slice begins."""
@@ -66,6 +69,13 @@ def blocks(batch: pa.RecordBatch, column: str, most: int = 4 << 20):
         yield batch.take(pa.array(np.arange(begin, batch.num_rows))) if begin else batch
 
 
+def map_texts(df: DataFrame, run: Callable, schema: T.StructType | str, most: int = BATCH_BYTES) -> DataFrame:
+    """``df.mapInArrow`` for rows with whole texts: batches go by bytes, from here on for all of the session. A row
+    beyond the limit is a batch of its own."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most)
+    return df.mapInArrow(run, schema)
+
+
 def attach(
     df: DataFrame, column: str, results: list[T.StructField], maker: Callable[[], Callable[[pa.Array], list[pa.Array]]]
 ) -> DataFrame:
@@ -86,4 +96,4 @@ def attach(
 
     kept = [F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns) if c.lower() not in taken]
     new = [F.col(f"r{i}").alias(f.name) for i, f in enumerate(results)]
-    return rows.mapInArrow(run, schema).select(*kept, *new)
+    return map_texts(rows, run, schema).select(*kept, *new)
