@@ -57,3 +57,29 @@ def test_statements_without_quotes_are_not_looked_into(monkeypatch):
         assert found == sorted(pyliterals.literals(source)) and found
         monkeypatch.undo()
     assert ast.parse(sources[0]).body[1].lineno == 2
+
+
+def test_yaml_is_what_the_loader_makes_of_it():
+    """Values and errors of plain and of unusual documents, aliases shared and not expanded."""
+    import json
+
+    import yaml
+
+    from weftgraph.functions import yamldoc
+
+    def told(load, text):
+        try:
+            return json.dumps(load(text), default=str)
+        except Exception as exc:  # noqa: BLE001
+            return f"{type(exc).__name__}: {exc}"
+
+    texts = ["", None, "a: 1\nb: 0x1f\nc: 2020-01-01\nd: yes\ne: ~\nf: 'yes'\ng: [1.5, x, {y: z}]", "{a: 1, a: 2, 1: x, true: y, null: z}"]
+    texts += ["x: &a {b: 1}\ny: {<<: *a, c: 2}\nz: *a", "&a [*a]", "&a {x: *a}", "? [a, b]\n: c", "? {a: 1}\n: c", "=: 5\na: ="]
+    texts += ["a: !!set {x, y}", "a: !!str 5\nb: !!int '7'", "a: !!int x", "a: !foo b", "a: [", "a: 1\n---\nb: 2", "a: !!str [x]"]
+    texts += ["a: !!map [x]", "a: !!omap [x: 1]", "a: !!binary aGk=", "a: 2020-13-45", "\x00", "a: 1:30", "- 1\n- 2"]
+    for text in texts:
+        assert told(yamldoc.load, text) == told(lambda t: yaml.load(t, Loader=yaml.CSafeLoader), text), text
+    names = "abcdefghijklmnopqrstuvwxyz"
+    nested = "a: &a [1, 2]\n" + "".join(f"{y}: &{y} [*{x}, *{x}, *{x}]\n" for x, y in zip(names, names[1:]))
+    made = yamldoc.load(nested)
+    assert made["z"][0] is made["z"][2] is made["y"]
