@@ -80,6 +80,36 @@ def test_against_brute_force(spark, near, width, percent, monkeypatch):
         assert got == {i: (of[i], sizes[i]) for i in range(len(near))}
 
 
+def test_rows_of_a_crowded_group(spark, monkeypatch):
+    """Sets that sizes and slices don't tell apart, though no two are linked, give no rows for their pairs."""
+    common = [f"w{i}" for i in range(80)]
+    sets = [" ".join([*common, *(f"own{n}x{i}" for i in range(11))]) for n in range(120)]
+    sets += [f"{sets[5]} more", f"{sets[60]} more"]  # these link 5 to 120 and 60 to 121, but nothing else
+    rows, stage = {}, partenum.stage_table
+
+    def staged(df, name, **options):
+        written = stage(df, name, **options)
+        rows[name] = max(rows.get(name, 0), written.count())
+        return written
+
+    monkeypatch.setattr(partenum, "stage_table", staged)
+    df = spark.createDataFrame(list(enumerate(sets)), "doc_id int, text string")
+    got = {r.doc_id: r.component for r in partenum.near_duplicates(df, width=1, percent=80).collect()}
+    assert got == {i: {120: 5, 121: 60}.get(i, i) for i in range(122)}
+    assert rows["apart"] > 48 * 10  # many groups beyond those whose pairs are listed
+    assert all(n <= rows["apart"] for n in rows.values()) or max(rows, key=rows.get) == "signatures"
+
+
+def test_pairs_meet_at_one_signature():
+    counts, own = np.zeros((3, partenum.SLICES), np.int16), np.zeros(3, int)
+    firsts, parts, sizes = [[3, 5], [5, 9], [9]], np.arange(3), np.full(3, 20)
+    for signature, met in ((3, []), (5, [0, 1]), (9, [0, 1, 2])):
+        here = [i for i in range(3) if signature in firsts[i]] if signature != 9 else [0, 1, 2]
+        got = partenum.meeting(signature, [firsts[i] for i in here], parts[here], sizes[here], counts[here], own[here], False, 80)
+        # 0 and 2 have no first signature in common: they meet wherever they are.
+        assert [here[i] for i in got] == met
+
+
 def test_linked_sets_share_a_signature(near):
     for width, percent in ((1, 50), (2, 80), (4, 85)):
         bounds, values = partenum.shingle_sets(pa.array(near, pa.string()), width)

@@ -19,7 +19,8 @@ Signatures that several classes share are written out. First every class is comp
 each of its groups, which settles large groups of near copies without their pairs. Then, of what lies in
 different components but shares a signature, pairs that size or the counts of shingles per slice of the
 domain rule out are skipped, and the others are compared too. Comparing reads the texts again and counts the
-common shingles of both sets.
+common shingles of both sets. Small groups list their pairs; in large ones the sets of members that may be linked
+meet in blocks, which give links that join components but no pairs.
 
 Null and empty texts have an empty set and no link. A null key takes part; its text's class is named by the
 least key that is not null. Rows that repeat a key are texts of their own. Sets and shingles are told apart
@@ -34,7 +35,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,8 +51,11 @@ SCHEMES = 12
 #: Slices of the domain whose counts bound the difference of two sets from below.
 SLICES = 256
 COARSE = 32
-#: Members of a block of a crowded group.
+#: Members of a block of a crowded group, shingles of a block of its sets, and of how many of its signatures a class
+#: brings the numbers along.
 BLOCK = 2048
+ITEMS = 1 << 20
+FIRST = 32
 #: Bits of the fixed-size filter that spares most texts that are not compared.
 FILTER_BITS = 1 << 26
 
@@ -388,7 +392,7 @@ def _apart(groups: DataFrame, parts: DataFrame) -> DataFrame:
     )
 
 
-#: Groups up to this size give their pairs by a list; larger ones go to blocks.
+#: Groups up to this size give their pairs by a list, which is in proportion; larger ones are compared in blocks.
 FEW = 48
 
 
@@ -406,74 +410,130 @@ def _few_pairs(apart: DataFrame) -> DataFrame:
     return lists.select(F.explode(across).alias("p")).select("p.a", "p.b").distinct()
 
 
-def _block_pairs(corpus: Corpus, many: DataFrame, sizes: DataFrame, all_: bool) -> DataFrame:
-    """(signature, a, b): pairs across components of the large groups that sizes and slices don't rule out.
-    Unless ``all_``, components that such a pair joins count as one from then on, so a block gives fewer
-    pairs than members.
+def _meeting(many: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """(signature, class, part, size): members of the large groups that may be linked with one of another component,
+    by sizes and slices. A pair that shares several of its classes' first signatures meets at the least of them alone.
 
     Every block of a group meets every other in a task of its own.
     """
-    percent = corpus.percent
-    known = sizes.select(F.col("class").alias("c"), "size", "slices")
+    firsts = many.groupBy(F.col("class").alias("c")).agg(F.slice(F.sort_array(F.collect_set("signature")), 1, FIRST).alias("firsts"))
+    known = sizes.select(F.col("class").alias("c"), "size", "slices").join(firsts, "c")
     blocks_ = F.ceil(F.col("members") / BLOCK).cast("int")
-    rows = (
-        many.join(known, F.col("class") == F.col("c"))
-        .withColumn("own", F.pmod(F.xxhash64("class"), blocks_).cast("int"))
+    columns = ["own", "class", "part", "size", "slices", "firsts"]
+    rows = _met(many.join(known, F.col("class") == F.col("c")), blocks_, columns)
+
+    def run(table: pa.Table) -> pa.Table:
+        get = lambda name: table.column(name).to_numpy()
+        two = table.column("low")[0].as_py() != table.column("high")[0].as_py()
+        met = meeting(
+            get("signature")[0], table.column("firsts").to_pylist(), get("part"), get("size"),
+            as_counts(table.column("slices")), get("own"), two, percent,
+        )
+        return table.select(["signature", "class", "part", "size"]).take(pa.array(met))
+
+    kind = "signature bigint, class bigint, part bigint, size bigint"
+    return stage_table(rows.groupBy("signature", "low", "high").applyInArrow(run, kind).distinct(), "meeting")
+
+
+def _met(members: DataFrame, blocks_: Column, columns: list[str]) -> DataFrame:
+    """Members of groups once for every two blocks of their group, ``low`` and ``high``, that they belong to."""
+    return (
+        members.withColumn("own", F.pmod(F.xxhash64("class"), blocks_).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks_ - 1)))
-        .select(
-            "signature",
-            F.least("own", "other").alias("low"),
-            F.greatest("own", "other").alias("high"),
-            "own",
-            "class",
-            "part",
-            "size",
-            "slices",
-        )
+        .select("signature", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), *columns)
     )
 
+
+def _block_links(corpus: Corpus, many: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(a, b): links across components of the large groups, fewer in a block than it has members; what they join is
+    what all links of the group join.
+
+    The sets themselves go to the blocks, of about ``ITEMS`` shingles each, and are compared there.
+    """
+    percent = corpus.percent
+    met = _meeting(many, sizes, percent)
+    total = met.groupBy(F.col("signature").alias("s")).agg(F.ceil(F.sum("size") / ITEMS).cast("int").alias("blocks"))
+    rows = _met(met.join(total, F.col("signature") == F.col("s")), F.col("blocks"), ["own", "class", "part"])
+    sets = corpus.sets(met, "class", sizes).select(F.col("class").alias("c"), "shingles")
+
     def run(table: pa.Table) -> pa.Table:
         get = lambda name: table.column(name).to_numpy()
-        counts = as_counts(table.column("slices"))
         two = table.column("low")[0].as_py() != table.column("high")[0].as_py()
-        a, b = likely(get("class"), get("part"), get("size"), counts, get("own"), two, percent, all_)
-        signature = pa.array(np.full(len(a), get("signature")[0]), pa.int64())
-        return pa.Table.from_arrays([signature, pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["signature", "a", "b"])
+        lists = table.column("shingles").combine_chunks()
+        ends = lists.offsets.to_numpy().astype(np.int64)
+        items = lists.values.to_numpy().view(np.uint64)
+        a, b = links_between(get("class"), get("part"), ends, items, get("own"), two, percent)
+        return pa.Table.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    found = rows.groupBy("signature", "low", "high").applyInArrow(run, "signature bigint, a bigint, b bigint")
-    return stage_table(found, "likely")
+    both = rows.join(sets, F.col("class") == F.col("c")).drop("c")
+    found = both.groupBy("signature", "low", "high").applyInArrow(run, "a bigint, b bigint")
+    return stage_table(found.distinct(), "linked")
 
 
 def as_counts(slices: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(slices.to_pylist()), np.uint8).reshape(-1, SLICES).astype(np.int16)
 
 
-def likely(classes, parts, sizes, slices, own, two: bool, percent: int, all_: bool):
-    """Pairs (a, b), a < b, of different parts that may be linked; with ``two``, only across the two blocks."""
-    order = np.argsort(classes)
-    classes, parts, sizes, slices, own = (x[order] for x in (classes, parts, sizes, slices, own))
+def coarse_counts(slices: np.ndarray) -> np.ndarray:
+    """Sums over neighbouring slices, which differ by no more than the slices do, and rule most pairs out already."""
+    return slices.reshape(len(slices), COARSE, -1).sum(axis=2, dtype=np.int16)
+
+
+def may_link(i: int, rest: np.ndarray, sizes: np.ndarray, counts: tuple[np.ndarray, ...], percent: int) -> np.ndarray:
+    """Those of ``rest`` that neither sizes nor counts per slice keep from being linked with ``i``."""
+    small, great = np.minimum(sizes[rest], sizes[i]), np.maximum(sizes[rest], sizes[i])
+    rest = rest[100 * small >= percent * great]
+    for count in counts:
+        apart = np.abs(count[rest] - count[i]).sum(axis=1)
+        rest = rest[apart * (100 + percent) <= (sizes[rest] + sizes[i]) * (100 - percent)]
+    return rest
+
+
+def meeting(signature, firsts, parts, sizes, slices, own, two: bool, percent: int) -> np.ndarray:
+    """Members of a block that meet one of another part there, which they may be linked with; with ``two``, one of the
+    other block. Two that both meet others already are not looked at."""
+    counts = (coarse_counts(slices), slices)
+    firsts = [set(f) for f in firsts]
+    met = np.zeros(len(parts), dtype=bool)
+    for i in range(len(parts) - 1):
+        after = slice(i + 1, None)
+        open_ = parts[after] != parts[i]
+        if two:
+            open_ &= own[after] != own[i]
+        if met[i]:
+            open_ &= ~met[after]
+        for j in may_link(i, np.flatnonzero(open_) + i + 1, sizes, counts, percent).tolist():
+            if min(firsts[i] & firsts[j], default=signature) == signature:
+                met[i] = met[j] = True
+    return np.flatnonzero(met)
+
+
+def links_between(classes, parts, ends, items, own, two: bool, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (a, b), a < b, across different parts; parts that one joins count as one from then on. With ``two``, only
+    across the two blocks."""
+    sizes = np.diff(ends)
+    slices = slice_counts(ends - ends[0], items[ends[0] : ends[-1]]).astype(np.int16)
+    counts = (coarse_counts(slices), slices)
     parts = parts.copy()
-    # Sums over neighbouring slices differ by no more than the slices do, and rule most pairs out already.
-    coarse = slices.reshape(len(slices), COARSE, -1).sum(axis=2, dtype=np.int16)
     out_a, out_b = [], []
     for i in range(len(classes) - 1):
-        rest = np.flatnonzero(parts[i + 1 :] != parts[i]) + i + 1
+        after = slice(i + 1, None)
+        open_ = parts[after] != parts[i]
         if two:
-            rest = rest[own[rest] != own[i]]
-        small, great = np.minimum(sizes[rest], sizes[i]), np.maximum(sizes[rest], sizes[i])
-        rest = rest[100 * small >= percent * great]
-        for counts in (coarse, slices):
-            apart = np.abs(counts[rest] - counts[i]).sum(axis=1)
-            rest = rest[apart * (100 + percent) <= (sizes[rest] + sizes[i]) * (100 - percent)]
+            open_ &= own[after] != own[i]
+        rest = may_link(i, np.flatnonzero(open_) + i + 1, sizes, counts, percent)
         if not len(rest):
             continue
-        if not all_:
-            _, first = np.unique(parts[rest], return_index=True)
-            rest = rest[first]
-            joined = np.isin(parts, parts[rest])
-            parts[joined] = parts[i]
-        out_a.append(np.full(len(rest), classes[i]))
-        out_b.append(classes[rest])
+        one = np.sort(items[ends[i] : ends[i + 1]])
+        bounds, others = _some_sets(ends, items, rest)
+        at = np.minimum(np.searchsorted(one, others), len(one) - 1)
+        common = np.diff(np.concatenate(([0], np.cumsum(one[at] == others)))[bounds])
+        rest = rest[100 * common >= percent * (sizes[rest] + sizes[i] - common)]
+        _, first = np.unique(parts[rest], return_index=True)
+        rest = rest[first]
+        parts[np.isin(parts, parts[rest])] = parts[i]
+        out_a.append(np.minimum(classes[rest], classes[i]))
+        out_b.append(np.maximum(classes[rest], classes[i]))
     if not out_a:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return np.concatenate(out_a), np.concatenate(out_b)
@@ -491,16 +551,9 @@ def _resolve(docs: DataFrame, key: str, text: str, width: int, percent: int) ->
     links = _linked(corpus, stars, sizes)
     parts = components(links)
     apart = _apart(groups, parts)
-    many = apart.where(F.col("members") > FEW)
-    likely_ = _block_pairs(corpus, many, sizes, all_=False)
-    more = _linked(corpus, _few_pairs(apart).union(likely_.select("a", "b")).distinct(), sizes)
-    links = links.union(more)
-    parts = components(links)
-    # Where a pair that stood for others isn't linked after all, all pairs of its group are compared.
-    failed = likely_.join(more, ["a", "b"], "left_anti").select(F.col("signature").alias("s")).distinct()
-    again = _apart(many.join(failed, F.col("signature") == F.col("s"), "left_semi"), parts)
-    rest = _block_pairs(corpus, again, sizes, all_=True).select("a", "b").distinct()
-    parts = components(links.union(_linked(corpus, rest, sizes)))
+    more = _linked(corpus, _few_pairs(apart), sizes)
+    rest = _block_links(corpus, apart.where(F.col("members") > FEW), sizes)
+    parts = components(links.union(more).union(rest))
     named = sizes.join(parts, F.col("class") == F.col("node"), "left").select(
         "class", "label", F.coalesce("component", "class").alias("part")
     )

@@ -55,7 +55,8 @@ def coded(words: pa.Array) -> tuple[np.ndarray, pa.Array]:
 def blocks(batch: pa.RecordBatch, column: str, most: int = 2 << 20):
     """Parts of a batch with about ``most`` bytes of text (or items of lists) each; a longer one stands alone.
 
-    They are copies, no slices: Arrow's functions on text can misread where a slice begins."""
+    They are copies, no slices: Arrow's functions on text can misread where a slice begins. After the last one Arrow's
+    pool gives back what it keeps of memory that is free; a worker would hold it in all later tasks."""
     values = batch.column(column)
     size = pc.list_value_length if pa.types.is_list(values.type) else pc.binary_length
     sizes = pc.fill_null(size(values), 0).to_numpy(zero_copy_only=False)
@@ -67,6 +68,7 @@ def blocks(batch: pa.RecordBatch, column: str, most: int = 2 << 20):
         total += int(n)
     if begin < batch.num_rows:
         yield batch.take(pa.array(np.arange(begin, batch.num_rows))) if begin else batch
+    pa.default_memory_pool().release_unused()
 
 
 def map_texts(df: DataFrame, run: Callable, schema: T.StructType | str, most: int = BATCH_BYTES) -> DataFrame:
