@@ -75,6 +75,21 @@ def test_ids_equal_the_library(codec, library, prose):
         assert codec.decode(np.array(ids, np.int64), np.array([0, len(ids)])) == [text]
 
 
+def test_pieces_are_encoded_together(library, prose, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 50)
+    codec, alone = bpe.Codec(bpe.load(tokenizer("byte_bpe_50k.json"))), []
+    one = codec.encode_piece
+    monkeypatch.setattr(codec, "encode_piece", lambda piece: alone.append(piece) or one(piece))
+    rnd = random.Random(8)
+    texts = [prose("fr", 300, n) for n in range(30)] + ["x" * 200, "é" * 70, "", "Ā Āb", "\u0100", "a<|endoftext|>"]
+    texts += [" ".join("".join(rnd.choice("thanedouiré日") for _ in range(rnd.randrange(1, 30))) for _ in range(99)) for _ in range(9)]
+    known = [found.ids for found in library.encode_batch(texts, add_special_tokens=False)]
+    for _ in range(3):
+        assert [codec.encode(t) for t in texts] == known
+    assert {len(p) for p in alone} == {200, 70}
+    assert len(codec.pieces) < 1000
+
+
 def test_tokens_cut_inside_characters(codec, library):
     ids = library.encode("🎉", add_special_tokens=False).ids[:-1] + [99_999_999]
     known = library.decode(ids[:-1], skip_special_tokens=False)

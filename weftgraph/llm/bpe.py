@@ -3,7 +3,8 @@
 The BPE encoding of every prefix of a piece of text ends in exactly one token. An automaton over all token
 strings lists the tokens that end at a position; a token is the last one of the prefix if it and the last
 token of what comes before it are compatible: encoding the two strings together gives these two tokens
-again. The last tokens of all prefixes are kept, and following them back from the end emits the ids.
+again. The last tokens of all prefixes are kept, and following them back from the end emits the ids. Pieces that a
+worker doesn't remember are encoded together, prefix length by prefix length, as arrays; long ones alone.
 
 Compatibility is read from the merges. Undo the later of the two merges at the seam, again and again: if
 two tokens that then meet there have a merge of their own that comes before the one just undone, BPE would
@@ -18,6 +19,7 @@ like a result gives way to it.
 from __future__ import annotations
 
 import json
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -31,7 +33,12 @@ from weftgraph.llm.words import attach
 
 #: The pattern of byte-level pre-tokenization.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Pieces and pairs a worker remembers; beyond it starts anew. No result depends on it.
+#: Characters of texts whose new pieces are encoded together, and of the longest of these. No result depends on it.
+TOGETHER, SHORT = 1 << 18, 64
+#: No byte, as bytes are written here.
+BETWEEN = "\u0100"
+#: Pieces and pairs a worker remembers; beyond it those not met since the last time are forgotten. No result depends
+#: on it.
 REMEMBERED = 100_000
 
 
@@ -61,6 +68,11 @@ def load(path: str) -> dict:
     return {"tokens": tokens, "merges": merges, "added": added}
 
 
+def _as_bytes(piece: str) -> str:
+    """A character per byte of UTF-8."""
+    return piece if piece.isascii() else piece.encode("utf-8", "surrogatepass").decode("latin-1")
+
+
 class Codec:
     """Encoder and decoder of one vocabulary, with a memory of pieces seen."""
 
@@ -69,24 +81,35 @@ class Codec:
         text = {i: t for t, i in tokens.items()} | {i: t.encode() for t, i in vocabulary["added"].items()}
         # Position 0 is for ids that are not in the vocabulary.
         self.texts = pa.array([b""] + [text.get(i, b"") for i in range(max(text, default=-1) + 1)], pa.large_binary())
-        self.rank = {(a, b): r for r, (a, b, _) in reversed([*enumerate(vocabulary["merges"])])}
-        self.parts: dict[int, tuple[int, int, int]] = {}  # token -> (rank of its merge, left, right)
+        # A pair of tokens is one number, and a token's merge (its rank, left and right) lies at the token's place.
+        self.count = len(self.texts)
+        self.rank = {a * self.count + b: r for r, (a, b, _) in reversed([*enumerate(vocabulary["merges"])])}
+        self.parts: list[tuple[int, int, int]] = [(-1, 0, 0)] * self.count
         for r, (a, b, whole) in enumerate(vocabulary["merges"]):
-            self.parts.setdefault(whole, (r, a, b))
+            if self.parts[whole][0] < 0:
+                self.parts[whole] = (r, a, b)
+        self.part_columns = np.array(self.parts, np.int64).T.copy()
+        # The last key stands for all pairs without a merge.
+        self.seams = np.array([*sorted(self.rank), np.iinfo(np.int64).max])
+        self.seam_ranks = np.array([*map(self.rank.get, self.seams[:-1].tolist()), len(self.rank) + 2], np.int64)
+        self.lengths = [len(text.get(i, b"")) for i in range(self.count)]
+        self.sizes = np.array(self.lengths, np.int64)
         self.automaton = ahocorasick.Automaton()
         for token, i in tokens.items():
-            if len(token) == 1 or i in self.parts:
-                self.automaton.add_word(token.decode("latin-1"), (len(token), i))
+            if len(token) == 1 or self.parts[i][0] >= 0:
+                self.automaton.add_word(token.decode("latin-1"), i)
         self.automaton.make_automaton()
         self.added = vocabulary["added"]
         self.split = regex.compile(PATTERN)
         longest = sorted(self.added, key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, longest))) if longest else None
-        self.pieces: dict[str, list[int]] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        # Ids of pieces, four bytes each; what has not been met for long is in the second one, until that goes.
+        self.pieces: dict[str, bytes] = {}
+        self.pieces_before: dict[str, bytes] = {}
+        self.pairs: dict[int, bool] = {}
 
     def compatible(self, left: int, right: int) -> bool:
-        key = (left, right)
+        key = left * self.count + right
         known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) >= REMEMBERED:
@@ -97,60 +120,144 @@ class Codec:
     def _compatible(self, left: int, right: int) -> bool:
         """Of merges of one rank, the one further left comes first: the seam's merge loses only to a left
         merge of its own rank."""
-        never = len(self.rank) + 1
-        undone, side = never, 0
+        parts, rank, count = self.parts, self.rank, self.count
+        undone, side = len(rank) + 1, 0
+        (a, a_left, a_right), (b, b_left, b_right) = parts[left], parts[right]
         while True:
-            seam = self.rank.get((left, right))
+            seam = rank.get(left * count + right)
             if seam is not None and (seam < undone or (seam == undone and side > 0)):
                 return False
-            a, b = self.parts.get(left, (-1, 0, 0)), self.parts.get(right, (-1, 0, 0))
-            if a[0] < 0 and b[0] < 0:
-                return True
             # The right part's merge is the later one when both have the same rank.
-            if a[0] > b[0]:
-                undone, side, left = a[0], -1, a[2]
+            if a > b:
+                undone, side, left = a, -1, a_right
+                a, a_left, a_right = parts[left]
+            elif b >= 0:
+                undone, side, right = b, 1, b_left
+                b, b_left, b_right = parts[right]
             else:
-                undone, side, right = b[0], 1, b[1]
+                return True
+
+    def all_compatible(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """``compatible`` for many pairs at once, each different one looked at once."""
+        ranks, lefts, rights = self.part_columns
+        keys, inverse = np.unique(left * self.count + right, return_inverse=True)
+        left, right = np.divmod(keys, self.count)
+        fits = np.ones(len(keys), dtype=bool)
+        at = np.arange(len(keys))
+        undone, side = np.full(len(keys), len(self.rank) + 1), np.zeros(len(keys), dtype=bool)
+        while len(at):
+            key = left * self.count + right
+            place = np.searchsorted(self.seams, key)
+            seam = np.where(self.seams[place] == key, self.seam_ranks[place], self.seam_ranks[-1])
+            joined = (seam < undone) | ((seam == undone) & side)
+            fits[at[joined]] = False
+            a, b = ranks[left], ranks[right]
+            go = ~joined & ((a >= 0) | (b >= 0))
+            at, left, right, a, b = at[go], left[go], right[go], a[go], b[go]
+            side = a <= b
+            undone = np.where(side, b, a)
+            left, right = np.where(side, left, rights[left]), np.where(side, lefts[right], right)
+        return fits[inverse]
+
+    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Exact ids of many pre-tokens, four bytes each: their prefixes of one length are looked at together."""
+        if not pieces:
+            return []
+        data = [_as_bytes(p) for p in pieces]
+        lengths = np.array([*map(len, data)])
+        begin = np.cumsum(lengths + 1) - lengths - 1
+        # No token holds what is between two pieces, so no match goes across.
+        found = np.fromiter(chain.from_iterable(self.automaton.iter(BETWEEN.join(data))), np.int64).reshape(-1, 2)
+        end, token = found.T
+        depth = end - np.repeat(begin, lengths + 1)[end]
+        order = np.argsort(depth, kind="stable")  # the matches at one end stay in their order, the longest first
+        end, token = end[order], token[order]
+        start = end - self.sizes[token]
+        # last[n]: last token of the prefix up to place n. The empty ones are before the pieces, the first at the end.
+        last = np.full(begin[-1] + lengths[-1] + 1, -1)
+        last[begin - 1] = first = self.count
+        cuts = np.searchsorted(depth[order], np.arange(lengths.max() + 1))
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            before, here = last[start[a:b]], token[a:b]
+            fits = before == first
+            test = np.flatnonzero((before >= 0) & ~fits)
+            fits[test] = self.all_compatible(before[test], here[test])
+            # Of several that fit the first one is written last.
+            last[end[a:b][fits][::-1]] = here[fits][::-1]
+        which, at, owners, ids = np.arange(len(pieces)), begin + lengths - 1, [], []
+        while len(which):
+            owners.append(which)
+            ids.append(last[at])
+            at = at - self.sizes[ids[-1]]
+            more = at >= begin[which]
+            which, at = which[more], at[more]
+        owner = np.concatenate(owners[::-1])
+        flat = np.concatenate(ids[::-1])[np.argsort(owner, kind="stable")].astype(np.int32).tobytes()
+        ends = np.cumsum(np.bincount(owner, minlength=len(pieces)) * 4).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
     def encode_piece(self, piece: str) -> list[int]:
         """Exact ids of one pre-token."""
-        data = piece.encode("utf-8", "surrogatepass")
-        last: list[int] = [-1] * (len(data) + 1)  # last[n]: last token of the first n bytes
-        size = [0] * (len(data) + 1)
-        for end, (length, token) in self.automaton.iter(data.decode("latin-1")):
-            stop = end + 1
-            if last[stop] >= 0:
-                continue
-            start = stop - length
-            if start == 0 or (last[start] >= 0 and self.compatible(last[start], token)):
-                last[stop], size[stop] = token, length
-        ids, at = [], len(data)
-        while at > 0:
+        data = _as_bytes(piece)
+        # last[n]: last token of the first n + 1 bytes. The place more, which is last[-1], is the empty prefix.
+        last = [-1] * (len(data) + 1)
+        last[-1] = first = self.count
+        for end, token in self.automaton.iter(data):
+            if last[end] < 0:
+                before = last[end - self.lengths[token]]
+                if before == first or (before >= 0 and self.compatible(before, token)):
+                    last[end] = token
+        ids, at = [], len(data) - 1
+        while at >= 0:
             ids.append(last[at])
-            at -= size[at]
+            at -= self.lengths[last[at]]
         return ids[::-1]
 
     def encode(self, text: str) -> list[int]:
-        out: list[int] = []
+        return np.frombuffer(self.encode_all([text])[0], np.int32).tolist()
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of every text, four bytes each."""
+        out, begin, total = [], 0, 0
+        for i, text in enumerate(texts):
+            total += len(text)
+            if total >= TOGETHER or i == len(texts) - 1:
+                out += self._encode_some(texts[begin : i + 1])
+                begin, total = i + 1, 0
+        return out
+
+    def _encode_some(self, texts: list[str]) -> list[bytes]:
+        """Texts as pieces, of which those that are not remembered are encoded together."""
+        if len(self.pieces) >= REMEMBERED:
+            self.pieces, self.pieces_before = {}, self.pieces
+        pieces, before = self.pieces, self.pieces_before
+        cut: list[list[str | bytes]] = [self._cut(text) for text in texts]
+        new = []
+        for piece in set(chain.from_iterable(cut)).difference(pieces):
+            if isinstance(piece, bytes):
+                pieces[piece] = piece
+            elif piece in before:
+                pieces[piece] = before[piece]
+            else:
+                new.append(piece)
+        short = [p for p in new if len(p) <= SHORT]
+        pieces.update(zip(short, self.encode_pieces(short)))
+        long = [p for p in new if len(p) > SHORT]
+        pieces.update((p, np.array(self.encode_piece(p), np.int32).tobytes()) for p in long)
+        out = [b"".join(map(pieces.__getitem__, c)) for c in cut]
+        for piece in long:
+            del pieces[piece]
+        return out
+
+    def _cut(self, text: str) -> list[str | bytes]:
+        """The pieces of a text; an added token is its id."""
+        out: list[str | bytes] = []
         at = 0
         for found in self.special.finditer(text) if self.special else ():
-            self._plain(text[at : found.start()], out)
-            out.append(self.added[found.group()])
+            out += self.split.findall(text[at : found.start()])
+            out.append(np.int32(self.added[found.group()]).tobytes())
             at = found.end()
-        self._plain(text[at:], out)
-        return out
-
-    def _plain(self, text: str, out: list[int]) -> None:
-        pieces = self.pieces
-        for piece in self.split.findall(text):
-            ids = pieces.get(piece)
-            if ids is None:
-                if len(pieces) >= REMEMBERED:
-                    pieces.clear()
-                ids = self.encode_piece(piece)
-                if len(piece) <= 64:
-                    pieces[piece] = ids
-            out += ids
+        return out + self.split.findall(text[at:]) if at else self.split.findall(text)
 
     def decode(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
         """Texts of lists of ids that lie one after the other: the tokens' bytes, joined."""
@@ -169,9 +276,10 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
         codec = Codec(shared.value)
 
         def make(texts: pa.Array) -> list[pa.Array]:
-            lists = [np.asarray(codec.encode(t or ""), dtype=np.int32) for t in texts.to_pylist()]
-            ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
-            return [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *lists])))]
+            lists = [*codec.encode_all([t or "" for t in texts.to_pylist()])]
+            ends = np.cumsum([0, *map(len, lists)]) // 4
+            items = np.frombuffer(b"".join(lists), np.int32)
+            return [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(items))]
 
         return make
 
