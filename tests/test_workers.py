@@ -59,6 +59,50 @@ def test_statements_without_quotes_are_not_looked_into(monkeypatch):
     assert ast.parse(sources[0]).body[1].lineno == 2
 
 
+def test_plain_statements_are_not_parsed(monkeypatch):
+    """Runs of them are one node each; where a line only looks like one, the whole source is parsed."""
+    import ast
+    import itertools
+
+    from weftgraph.functions import pyliterals
+
+    parse, sizes = ast.parse, []
+
+    def parsed(source, *rest):
+        tree = parse(source, *rest)
+        sizes.append(sum(1 for _ in ast.walk(tree)))
+        return tree
+
+    monkeypatch.setattr(ast, "parse", parsed)
+    plain = "import a.b as c\nx = f('p', k=[1, \"q\"])  # it's\ny = \"\"\"r\n 's'\n\"\"\"\ny.z = None\n"
+    source = plain * 100 + "if x:\n" + "    x = 't'\n" * 100 + "else:\n    x = 'u' 'v'\n"
+    one = [(2, "p"), (2, "q"), (3, "r\n 's'\n")]
+    expected = [(line + 6 * i, text) for i in range(100) for line, text in one]
+    expected += [(602 + i, "t") for i in range(100)] + [(703, "uv")]
+    assert list(pyliterals.literals(source)) == expected
+    assert sizes and max(sizes) < 20
+
+    def by_tree(text):
+        try:
+            nodes = [n for n in ast.walk(parse(text)) if isinstance(n, ast.Constant) and isinstance(n.value, str)]
+            return True, sorted((n.lineno, n.value) for n in nodes)
+        except Exception as exc:  # noqa: BLE001
+            return False, f"{type(exc).__name__}: {exc}"
+
+    run = "a = 'b'\nc = \"\"\"d\"\"\"\n"
+    before = ["", "x = '''\n", 'x = """\n', "f(\n", "x = 1 + \\\n", "if x:\n", "if x: \\\n", "@d\n", "try:\n", "\ufeff"]
+    before += ["y = [\r", "if = 1\n", "x = 01\n", "f(k=1, 2)\n", "x = '\\x41'\n", "x = 'a''b'\n", "u.if = ''\n"]
+    before += ["from . import f\n", "x = '\x00'\n", "from __future__ import barry_as_FLUFL\nx <> y\n"]
+    after = ["", "'''\n", '"""\n', ")\n", "  y = 1\n", "else:\n  z\n", "]\r\n", "x = 'y"]
+    valid = 0
+    for head, indent, tail in itertools.product(before, ("", "  "), after):
+        text = head + indent + run.replace("\nc", "\n" + indent + "c") + tail
+        ok, error, items = pyliterals._extract(text)
+        assert (ok, sorted(items) if ok else error) == by_tree(text), text
+        valid += ok
+    assert valid >= 10
+
+
 def test_yaml_is_what_the_loader_makes_of_it():
     """Values and errors of plain and of unusual documents, aliases shared and not expanded."""
     import json

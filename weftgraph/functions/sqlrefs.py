@@ -342,6 +342,8 @@ def with_script_io(
 
 # Fixed value: pattern of the start of a query call.
 CALL_HEAD = r"""session\.sql\s*\(\s*[f]?["']+"""
+# What no such call is without, in lower case.
+CALL_WORD = "session.sql"
 
 
 def session_calls(content: Column) -> Column:
@@ -351,7 +353,7 @@ def session_calls(content: Column) -> Column:
     none = F.array().cast("array<struct<line:int,text:string>>")
     between = F.split(content, call, -1)
     whole, texts = (F.regexp_extract_all(content, F.lit(call), F.lit(group)) for group in (0, 1))
-    return F.aggregate(
+    found = F.aggregate(
         F.arrays_zip(between.alias("before"), whole.alias("whole"), texts.alias("text")),
         F.struct(F.lit(1).alias("line"), none.alias("found")),
         lambda acc, c: F.struct(
@@ -370,3 +372,5 @@ def session_calls(content: Column) -> Column:
         ),
         lambda acc: acc["found"],
     )
+    # Most texts have none, and are not searched.
+    return F.when(F.lower(content).contains(CALL_WORD), found).when(content.isNotNull(), none)

@@ -176,7 +176,8 @@ MARKDOWN_CALL = r"""(?s)st\.markdown\(["']{3}(.*?)["']{3}\)"""
 
 def call_text(c: Column, name: str) -> Column:
     """First quoted argument of ``st.<name>("...")``; null without one."""
-    return F.nullif(F.regexp_extract(c, QUOTED_CALL.format(name), 1), F.lit(""))
+    found = F.nullif(F.regexp_extract(c, QUOTED_CALL.format(name), 1), F.lit(""))
+    return F.when(c.contains(f"st.{name}("), found)
 
 
 def render_type(line: Column) -> Column:
@@ -190,5 +191,6 @@ def app_title(content: Column) -> Column:
 def app_description(content: Column) -> Column:
     """Text of the first triple-quoted ``st.markdown``; null without one."""
     return F.when(
-        content.rlike(MARKDOWN_CALL), strip(F.regexp_extract(content, MARKDOWN_CALL, 1))
+        content.contains("st.markdown(") & content.rlike(MARKDOWN_CALL),
+        strip(F.regexp_extract(content, MARKDOWN_CALL, 1)),
     )

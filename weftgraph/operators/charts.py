@@ -41,15 +41,19 @@ def markers(lines: DataFrame) -> DataFrame:
     def found(c: Column) -> Column:
         return F.nullif(c, F.lit(""))
 
-    labels = F.regexp_extract(line, TAB_DEF, 2)
+    # Patterns are looked for in the lines that hold their words.
+    def tabs(group: int) -> Column:
+        return F.when(line.contains("st.tabs(["), found(F.regexp_extract(line, TAB_DEF, group)))
+
+    use = F.when(line.contains("with"), found(F.regexp_extract(line, TAB_USE, 1)))
     return lines.select(
         "rel_path",
         F.col("idx").cast("long").alias("idx"),
         render_type(line).alias("render"),
         F.coalesce(call_text(line, "subheader"), call_text(line, "header")).alias("title"),
-        found(F.regexp_extract(line, TAB_USE, 1)).alias("tab"),
-        found(F.regexp_extract(line, TAB_DEF, 1)).alias("def_tab"),
-        found(F.regexp_extract(labels, r"""["']([^"']+)["']""", 1)).alias("def_label"),
+        use.alias("tab"),
+        tabs(1).alias("def_tab"),
+        found(F.regexp_extract(tabs(2), r"""["']([^"']+)["']""", 1)).alias("def_label"),
         call_text(line, "caption").alias("caption"),
     )
 
