@@ -109,3 +109,20 @@ def test_metadata(parsed):
     rows = {r["rel_path"]: r for r in dashboard.app_metadata(parsed.apps).collect()}
     assert set(rows) == {"app1/app.py", "app2/broken.py"}
     assert rows["app1/app.py"]["app_description"] == "Results by season."
+
+
+def test_files_are_shuffled_once(spark):
+    """As one row each, before lines and queries are taken out of them; files of one path count as one."""
+    first = 'import streamlit\nst.header("H")\nq = "SELECT a FROM t1 WHERE b"\nst.table(q)\nst.caption("C")\n'
+    other = 'import streamlit\nq = "SELECT a FROM t1 WHERE b"\n\nr = "SELECT a FROM t2 WHERE b"\n'
+    files = [("a.py", first), ("a.py", first), ("a.py", other), ("b.py", first), ("c.py", other), ("c.py", "x = ="), ("d.py", None)]
+    parsed = dashboard.parse(spark.createDataFrame(files, "rel_path string, content string"))
+    plan = parsed.usage._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Aggregate" not in plan
+    found = [(r.file_path, r.id, r.line_number, r.chart_type, r.chart_name, r.chart_caption, r.tables_used) for r in parsed.usage.collect()]
+    a, b, c = ([r[1:] for r in sorted(found) if r[0] == f"{x}.py"] for x in "abc")
+    assert [r[0] for r in a] == [1, 2] and sorted(r[-1] for r in a) == [["t1"], ["t2"]]
+    assert a[0][2:5] == ("table", "H", "C") and a[1][2:5] == ("unknown", "H", "C")
+    assert b == [(1, 3, "table", "H", "C", ["t1"])]
+    assert c == [(1, 2, "unknown", None, None, ["t1"]), (2, 4, "unknown", None, None, ["t2"])]
+    assert len(found) == 5

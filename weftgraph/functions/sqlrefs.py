@@ -9,6 +9,8 @@ cannot be a statement (odd quotes, unbalanced brackets, a dangling operator at t
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +34,8 @@ BLANK = (
     r'|("[^"]*+")'  # quoted identifier, kept
     r"|--[^\n]*+|//[^\n]*+|/\*.*?\*/|\$\$.*?\$\$"  # comment or dollar-quoted text -> blank
 )
+# What begins a literal, a quoted identifier or a comment; without one of these nothing is blanked.
+BLANKED = ("'", '"', "--", "//", "/*", "$$")
 
 # The words a statement can begin with.
 STATEMENT_WORDS = (
@@ -99,8 +103,11 @@ def decode_quoted(word: Column) -> Column:
 
 def blank(c: Column) -> Column:
     """Literals become ``''``, comments a blank, and ``IS DISTINCT FROM`` an operator."""
-    text = F.regexp_replace(c, BLANK, " $1$2$3 ")
-    return F.regexp_replace(text, r"(?i)\bIS\s+(?:NOT\s+)?DISTINCT\s+FROM\b", "=")
+    held = reduce(or_, [c.contains(sign) for sign in BLANKED])
+    text = F.when(held, F.regexp_replace(c, BLANK, " $1$2$3 ")).otherwise(c)
+    return F.when(
+        F.upper(c).contains("DISTINCT"), F.regexp_replace(text, r"(?i)\bIS\s+(?:NOT\s+)?DISTINCT\s+FROM\b", "=")
+    ).otherwise(text)
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -227,7 +234,7 @@ def _empty() -> Column:
 
 def _first_statement(df: DataFrame, sql: Column) -> DataFrame:
     """Adds ``_frag``: fragments of the first statement, null where the text is no statement."""
-    df = df.withColumn("_blank", blank(sql))
+    df = df.withColumn("_text", sql).withColumn("_blank", blank(F.col("_text")))
     whole = well_formed(F.col("_blank"))
     df = df.withColumn(
         "_stmt", F.when(whole, F.get(F.split(encode_quoted(F.col("_blank")), ";"), F.lit(0)))
@@ -236,7 +243,7 @@ def _first_statement(df: DataFrame, sql: Column) -> DataFrame:
         F.when(F.col("_stmt").rlike(HEADS) & ~F.right(strip(F.col("_stmt")), F.lit(9)).rlike(DANGLING), F.col("_stmt")),
     )
     df = df.withColumn("_stmt", unwrap(F.col("_stmt")))
-    return df.withColumn("_frag", peel(F.col("_stmt"))).drop("_blank", "_stmt")
+    return df.withColumn("_frag", peel(F.col("_stmt"))).drop("_text", "_blank", "_stmt")
 
 
 def with_qualified_refs(df: DataFrame, sql: str, out: str) -> DataFrame:
@@ -298,7 +305,7 @@ def with_script_io(
     DELETE, CALL, a bare SELECT) does not. CTE references stay. A script with odd quotes or brackets
     yields nothing; an unreadable statement is left out alone. Either way ``partial`` says so.
     """
-    df = df.withColumn("_blank", blank(fill_flow_variables(F.col(sql))))
+    df = df.withColumn("_text", fill_flow_variables(F.col(sql))).withColumn("_blank", blank(F.col("_text")))
     if partial:
         bad = F.exists(F.split("_blank", ";"), unreadable)
         df = df.withColumn(partial, F.coalesce(~well_formed(F.col("_blank")) | bad, F.lit(False)))
@@ -311,7 +318,7 @@ def with_script_io(
                 lambda s: s.rlike(r"(?i)\A\s*(?:CREATE|INSERT|MERGE)\b") & ~unreadable(s),
             ),
         ),
-    ).drop("_blank")
+    ).drop("_text", "_blank")
     df = df.withColumn(
         "_io", F.filter(F.transform("_stmts", statement_io), lambda x: x["target"].isNotNull())
     ).drop("_stmts")

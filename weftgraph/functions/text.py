@@ -84,7 +84,7 @@ def fill_flow_variables(c: Column) -> Column:
 
 
 def fill_placeholders(c: Column) -> Column:
-    return F.regexp_replace(c, PLACEHOLDER, PLACEHOLDER_NAME)
+    return F.when(c.contains("{"), F.regexp_replace(c, PLACEHOLDER, PLACEHOLDER_NAME)).otherwise(c)
 
 
 def drop_magic(c: Column) -> Column:

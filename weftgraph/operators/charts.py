@@ -22,21 +22,20 @@ TAB_DEF = r"(\w+)\s*=\s*st\.tabs\(\[(.*?)\]"
 
 
 def marker_lines(content: Column) -> Column:
-    """Array of (idx, line) of the lines that can mean something; idx is 0-based."""
+    """Array of (line, text) of the lines that can mean something; their numbers are 0-based."""
     lines = F.transform(
-        F.split(content, "\n", -1), lambda x, i: F.struct(i.alias("idx"), x.alias("line"))
+        F.split(content, "\n", -1), lambda x, i: F.struct(i.alias("line"), x.alias("text"))
     )
     return F.filter(
         lines,
-        lambda x: x["line"].contains("st.")
-        | x["line"].contains("to_pandas()")
-        | x["line"].contains("with"),
+        lambda x: x["text"].contains("st.")
+        | x["text"].contains("to_pandas()")
+        | x["text"].contains("with"),
     )
 
 
-def markers(lines: DataFrame) -> DataFrame:
-    """Marker columns of (rel_path, idx, line) rows."""
-    line = F.col("line")
+def markers(line: Column) -> list[Column]:
+    """What a line means; all null where ``line`` is null."""
 
     def found(c: Column) -> Column:
         return F.nullif(c, F.lit(""))
@@ -46,31 +45,24 @@ def markers(lines: DataFrame) -> DataFrame:
         return F.when(line.contains("st.tabs(["), found(F.regexp_extract(line, TAB_DEF, group)))
 
     use = F.when(line.contains("with"), found(F.regexp_extract(line, TAB_USE, 1)))
-    return lines.select(
-        "rel_path",
-        F.col("idx").cast("long").alias("idx"),
+    return [
         render_type(line).alias("render"),
         F.coalesce(call_text(line, "subheader"), call_text(line, "header")).alias("title"),
         use.alias("tab"),
         tabs(1).alias("def_tab"),
         found(F.regexp_extract(tabs(2), r"""["']([^"']+)["']""", 1)).alias("def_label"),
         call_text(line, "caption").alias("caption"),
-    )
+    ]
 
 
-def infer(queries: DataFrame, marks: DataFrame) -> DataFrame:
-    """Adds chart_type, chart_name, chart_caption to (rel_path, line_number, n_lines, ...) rows.
+def infer(rows: DataFrame) -> DataFrame:
+    """Adds chart_type, chart_name, chart_caption to the query rows of (rel_path, n_lines, idx, line, query) rows.
 
-    The search starts at the 0-based index that equals the 1-based line number, that is, on the line
-    after the query's first.
+    A row is a line that can mean something, with its ``line``, or a query, with its columns in the struct ``query``
+    and the index its search starts at: the 0-based one that equals its 1-based line number, that is, the line after
+    its first.
     """
-    payload = [c for c in queries.columns if c != "rel_path"]
-    at = queries.select(
-        "rel_path",
-        F.coalesce("line_number", F.lit(0)).cast("long").alias("idx"),
-        F.struct(*payload).alias("query"),
-    )
-    rows = marks.unionByName(at, allowMissingColumns=True)
+    rows = rows.select("rel_path", "n_lines", "idx", "query", *markers(F.col("line")))
     file = Window.partitionBy("rel_path").orderBy("idx")
 
     known = F.when(
@@ -114,7 +106,7 @@ def infer(queries: DataFrame, marks: DataFrame) -> DataFrame:
         .withColumn(
             "_chart",
             F.coalesce(
-                "_next", F.when(F.col("idx") < F.col("query.n_lines"), chart).otherwise(lost)
+                "_next", F.when(F.col("idx") < F.col("n_lines"), chart).otherwise(lost)
             ),
         )
         .select("rel_path", "query.*", "_chart.*")

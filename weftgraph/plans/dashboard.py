@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftgraph.functions import sqlrefs, text
 from weftgraph.functions.pyliterals import python_literals
 from weftgraph.operators import charts, graph
+from weftgraph.session import spread_by
 
 INTEGRATION = "Streamlit"
 SUFFIX = "*.py"
@@ -61,31 +62,43 @@ def extract(artifacts: DataFrame) -> DataFrame:
     )
 
 
-def queries_of(extracted: DataFrame) -> DataFrame:
-    """First occurrence of each SQL text per file: rel_path, sql_query, seq, line_number, n_lines."""
-    found = (
-        extracted.select("rel_path", "n_lines", F.posexplode("items").alias("seq", "item"))
+def rows_of(extracted: DataFrame) -> DataFrame:
+    """Rows (rel_path, n_lines, idx, line, query): every marker line, and every text that is SQL.
+
+    A file is shuffled as the one row that it is, and all that follows finds its rows together.
+    """
+    # A file that is no Python has no texts; its lines count for one of the same path.
+    texts = F.coalesce("items", F.array().cast("array<struct<line:int,text:string>>"))
+    marker, sql = F.col("seq") >= F.col("n_texts"), F.col("sql_query")
+    return (
+        spread_by(extracted.select("rel_path", "n_lines", "items", "lines"), "rel_path")
         .select(
             "rel_path",
             "n_lines",
-            "seq",
-            F.col("item.line").alias("line_number"),
-            text.strip(F.col("item.text")).alias("sql_query"),
+            F.size(texts).alias("n_texts"),
+            F.posexplode(F.concat(texts, "lines")).alias("seq", "x"),
         )
-        .filter(
-            text.looks_like_sql(F.col("sql_query")) & ~text.reads_like_prose(F.col("sql_query"))
+        .withColumn("sql_query", text.strip(F.col("x.text")))
+        .filter(marker | (text.looks_like_sql(sql) & ~text.reads_like_prose(sql)))
+        .select(
+            "rel_path",
+            "n_lines",
+            F.coalesce("x.line", F.lit(0)).cast("long").alias("idx"),
+            F.when(marker, F.col("x.text")).alias("line"),
+            F.when(~marker, F.struct("seq", F.col("x.line").alias("line_number"), sql)).alias("query"),
         )
     )
-    return graph.earliest(found, ["rel_path", "sql_query"], [F.col("seq")])
+
+
+def first_occurrences(queries: DataFrame) -> DataFrame:
+    """Each SQL text once per file, where it stands first."""
+    same = Window.partitionBy("rel_path", "sql_query").orderBy("seq")
+    return queries.withColumn("_nth", F.row_number().over(same)).filter("_nth = 1").drop("_nth")
 
 
 def parse(artifacts: DataFrame, stage=lambda df, name: df) -> Parsed:
     extracted = stage(extract(artifacts), "extracted")
-    marks = charts.markers(
-        extracted.select("rel_path", F.explode("lines").alias("x")).select("rel_path", "x.*")
-    )
-    placed = charts.infer(queries_of(extracted), marks)
-    numbered = placed.withColumn("id", usage_id())
+    numbered = first_occurrences(charts.infer(rows_of(extracted))).withColumn("id", usage_id())
     usage = sqlrefs.with_qualified_refs(numbered, "sql_query", "tables_used").select(
         "id",
         F.col("rel_path").alias("file_path"),
@@ -109,8 +122,6 @@ def parse(artifacts: DataFrame, stage=lambda df, name: df) -> Parsed:
 
 def usage_id() -> Column:
     """Number of the query within its app, from 1. Apps are numbered on their own."""
-    from pyspark.sql import Window
-
     return F.row_number().over(Window.partitionBy("rel_path").orderBy("seq")).cast("long")
 
 
